@@ -1,0 +1,79 @@
+"""Run a registered Spark query and its DuckDB statement on the same parquet
+files and compare: column names, column types, row count and the multiset of
+rows (exact values after the shared 6-decimal rounding)."""
+
+from __future__ import annotations
+
+import datetime as dt
+import math
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents "
+    "embeddings pages benchmark labels conversations"
+).split()
+
+_SPARK_TO_DUCK = {
+    "string": "VARCHAR",
+    "date": "DATE",
+    "double": "DOUBLE",
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "boolean": "BOOLEAN",
+}
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for t in TABLES:
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+    return con
+
+
+def _canon(v):
+    if v is None:
+        return None
+    if isinstance(v, float):
+        if math.isnan(v):
+            return None
+        return repr(v + 0.0)
+    if isinstance(v, dt.datetime):
+        return v.isoformat()
+    if isinstance(v, dt.date):
+        return v.isoformat()
+    return repr(v)
+
+
+def _rows(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    out = [tuple(_canon(r[i]) for i in order) for r in rows]
+    return sorted(out, key=lambda t: tuple("" if x is None else x for x in t))
+
+
+def compare(spark, con, name: str, query, sql: str, sf_dir: str) -> list[str]:
+    """Differences found, empty when the results agree."""
+    df = query(spark, sf_dir)
+    s_cols = df.columns
+    s_types = {f.name: _SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    s_rows = [tuple(r) for r in df.collect()]
+    rel = con.sql(sql)
+    d_cols = rel.columns
+    d_types = dict(zip(d_cols, [str(t) for t in rel.types]))
+    d_rows = rel.fetchall()
+    problems = []
+    if sorted(s_cols) != sorted(d_cols):
+        problems.append(f"{name}: columns spark={sorted(s_cols)} duck={sorted(d_cols)}")
+        return problems
+    for c in s_cols:
+        if s_types[c] != d_types[c]:
+            problems.append(f"{name}: type of {c}: spark={s_types[c]} duck={d_types[c]}")
+    if len(s_rows) != len(d_rows):
+        problems.append(f"{name}: rows spark={len(s_rows)} duck={len(d_rows)}")
+    a, b = _rows(s_cols, s_rows), _rows(d_cols, d_rows)
+    if a != b:
+        sa, sb = set(a), set(b)
+        only_s = [r for r in a if r not in sb][:3]
+        only_d = [r for r in b if r not in sa][:3]
+        problems.append(f"{name}: values differ; cols={sorted(s_cols)} spark-only={only_s} duck-only={only_d}")
+    return problems
