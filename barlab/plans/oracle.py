@@ -170,8 +170,10 @@ def _aligned_closes() -> str:
         f"SELECT date FROM {bars_inline} GROUP BY date "
         f"HAVING count(*) = (SELECT count(DISTINCT ticker) FROM {bars_inline})"
     )
-    src = f"SELECT date, ticker, {r6('close')} AS close FROM {bars_inline} WHERE date IN ({dates})"
-    return f"SELECT * FROM (PIVOT ({src}) ON ticker USING first(close) GROUP BY date)"
+    # Pivot every date, then keep the shared ones, so the ticker columns exist
+    # even when no date is shared.
+    src = f"SELECT date, ticker, {r6('close')} AS close FROM {bars_inline}"
+    return f"SELECT * FROM (PIVOT ({src}) ON ticker USING first(close) GROUP BY date) WHERE date IN ({dates})"
 
 
 def _seasonal() -> str:
@@ -212,10 +214,14 @@ ORACLE_SQL: dict[str, str] = {
         "sel AS (SELECT ticker, date, close FROM bars)",
         "d AS (SELECT date FROM sel GROUP BY date HAVING count(*) = (SELECT count(DISTINCT ticker) FROM sel))",
         "a AS (SELECT * FROM sel WHERE date IN (SELECT date FROM d))",
+        "pc AS (SELECT x.ticker AS tx, y.ticker AS ty, corr(x.close, y.close) AS c "
+        "FROM a x JOIN a y USING (date) GROUP BY x.ticker, y.ticker)",
+        "t AS (SELECT DISTINCT ticker FROM sel)",
     )
     + (
-        f"SELECT x.ticker AS ticker_x, y.ticker AS ticker_y, {r6(nan_null('corr(x.close, y.close)'))} AS corr "
-        "FROM a x JOIN a y USING (date) GROUP BY x.ticker, y.ticker"
+        # The full k x k grid, NULL where a pair has no shared dates.
+        f"SELECT t1.ticker AS ticker_x, t2.ticker AS ticker_y, {r6(nan_null('pc.c'))} AS corr "
+        "FROM t t1 CROSS JOIN t t2 LEFT JOIN pc ON pc.tx = t1.ticker AND pc.ty = t2.ticker"
     ),
     "daily_returns": with_(BARS, RETS)
     + f"SELECT ticker, date, {r6('close')} AS close, {r6('daily_return')} AS daily_return, "

@@ -92,13 +92,15 @@ def load_bars(
     start=None,
     end=None,
     options: dict | None = None,
-    ticker_from_path: bool = False,
+    ticker_from_path: bool | str = False,
 ) -> DataFrame:
     """Read bars from files of any Spark-supported format.
 
-    ``ticker_from_path=True`` is for one-file-per-series layouts: the ticker is
-    the file name without extension, taken from the hidden ``_metadata``
-    column (no extra listing job).
+    ``ticker_from_path`` is for one-series-per-file layouts, where the files
+    hold no ticker column: ``"file"`` (or True) takes the file name without
+    extension, ``"dir"`` the name of the folder holding the file (as Spark
+    writes ``MSFT.parquet/part-*``).  The path comes from the hidden
+    ``_metadata`` column, so no extra listing job runs.
     """
     reader = spark.read.format(fmt)
     if fmt == "csv":
@@ -107,9 +109,8 @@ def load_bars(
         reader = reader.options(**options)
     raw = reader.load(path)
     if ticker_from_path:
-        raw = raw.withColumn(
-            "ticker", F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+?)(\.[^./]*)?$", 1)
-        )
+        pattern = r"([^/]+?)(\.[^./]*)?/[^/]+$" if ticker_from_path == "dir" else r"([^/]+?)(\.[^./]*)?$"
+        raw = raw.withColumn("ticker", F.regexp_extract(F.col("_metadata.file_path"), pattern, 1))
     if "year" in raw.columns:
         # Layout of ``write_bars``: a year predicate prunes whole directories.
         if start is not None:

@@ -1,0 +1,84 @@
+"""Invariants on the real test tables."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from barlab import operators as ops
+from barlab.plans.catalog import END, START, finish
+from barlab.sources.bars import bars_from_events, bars_from_orders
+from conftest import SF001
+
+
+@pytest.fixture(scope="module")
+def bars(spark):
+    return bars_from_orders(spark, SF001).cache()
+
+
+def test_bars_key_is_unique(bars):
+    assert bars.groupBy("ticker", "date").count().filter("count > 1").count() == 0
+
+
+def test_trend_counts_add_up(bars):
+    joined = ops.trend_days(bars).join(ops.bar_coverage(bars), "ticker")
+    bad = joined.filter(F.col("upward_days") + F.col("downward_days") + F.col("neutral_days") != F.col("n_bars"))
+    assert bad.count() == 0
+
+
+def test_histogram_counts_add_up_to_returns(bars):
+    h = ops.return_histogram(bars, START, END, 50)
+    per = {r.ticker: (r.nb, r.total) for r in h.groupBy("ticker").agg(F.count("*").alias("nb"), F.sum("n").alias("total")).collect()}
+    sel = bars.filter(F.col("date").between(START, END))
+    n_bars = {r.ticker: r["count"] for r in sel.groupBy("ticker").count().collect()}
+    assert all(nb == 50 for nb, _ in per.values())
+    assert {t: tot for t, (_, tot) in per.items()} == {t: n - 1 for t, n in n_bars.items()}
+
+
+def test_ticker_correlation_is_symmetric_with_unit_diagonal(bars):
+    m = {(r.ticker_x, r.ticker_y): r.corr for r in ops.ticker_correlation(bars).collect()}
+    tickers = sorted({x for x, _ in m})
+    assert len(m) == len(tickers) ** 2
+    for a in tickers:
+        assert m[(a, a)] == pytest.approx(1.0)
+        for b in tickers:
+            assert m[(a, b)] == m[(b, a)]
+
+
+def test_blocked_correlation_equals_single_block(bars):
+    one = {(r.ticker_x, r.ticker_y): r.corr for r in ops.ticker_correlation(bars, block=16).collect()}
+    many = {(r.ticker_x, r.ticker_y): r.corr for r in ops.ticker_correlation(bars, block=2).collect()}
+    assert one.keys() == many.keys()
+    assert all(one[k] == pytest.approx(many[k], abs=1e-12) for k in one)
+
+
+def test_longest_gain_at_most_up_days(bars):
+    j = ops.longest_streaks(bars).join(ops.trend_days(bars), "ticker")
+    assert j.filter(F.col("longest_gain") > F.col("upward_days")).count() == 0
+    assert j.filter(F.col("longest_loss") > F.col("downward_days")).count() == 0
+
+
+def test_sma_of_one_is_close(bars):
+    s = ops.sma(bars, 1)
+    assert s.filter(~F.col("sma").eqNullSafe(F.col("close"))).count() == 0
+
+
+def test_recursive_ema_matches_pandas_ewm(bars):
+    pdf = finish(ops.ema_recursive(bars, 20)).toPandas().sort_values(["ticker", "date"])
+    for _, g in pdf.groupby("ticker"):
+        ref = g["close"].ewm(span=20, adjust=False).mean().round(6)
+        assert (abs(ref.to_numpy() - g["ema"].to_numpy()) < 2e-6).all()
+
+
+def test_same_result_under_any_partitioning(bars):
+    a = finish(ops.outlier_summary(bars.repartition(1))).orderBy("ticker").collect()
+    b = finish(ops.outlier_summary(bars.repartition(16, "date"))).orderBy("ticker").collect()
+    assert a == b
+    c = finish(ops.period_averages(bars.repartition(1), "month")).orderBy("ticker", "period").collect()
+    d = finish(ops.period_averages(bars.repartition(16, "date"), "month")).orderBy("ticker", "period").collect()
+    assert c == d
+
+
+def test_events_fixture_has_dense_shared_dates(spark):
+    ev = bars_from_events(spark, SF001)
+    assert ev.count() == 150
+    aligned = ops.aligned_closes(ev)
+    assert aligned.count() == 30
