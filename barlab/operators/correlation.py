@@ -25,18 +25,19 @@ from pyspark.sql import functions as F
 
 from barlab.functions.columns import masked_corr
 from barlab.plans.materialize import materialize
-from barlab.schema import PRICE_COLUMNS
+from barlab.schema import numeric_columns
 
 # Largest ticker list discovered from the data for a wide frame (the same
 # bound Spark's own pivot uses for values it discovers).
 MAX_DISCOVERED_TICKERS = 10_000
 
 
-def feature_correlation(bars: DataFrame, features: Sequence[str] = PRICE_COLUMNS) -> DataFrame:
+def feature_correlation(bars: DataFrame, features: Sequence[str] | None = None) -> DataFrame:
     """Full matrix (both orders and the diagonal) of correlations between
-    the given columns, per ticker.  Columns: ticker, feature_x, feature_y, corr.
+    the given columns (default: every double column), per ticker.
+    Columns: ticker, feature_x, feature_y, corr.
     """
-    feats = list(features)
+    feats = list(features) if features is not None else numeric_columns(bars)
     if not feats:
         raise ValueError("at least one feature is needed")
     pairs = [(a, b) for i, a in enumerate(feats) for b in feats[i:]]
@@ -85,6 +86,20 @@ def aligned_closes(bars: DataFrame, tickers: Iterable[str] | None = None, featur
     return aligned_frame(bars, chosen, feature)
 
 
+def _pair_rows(wide: DataFrame, chosen: Sequence[str], slots: Sequence[str], pairs: list[tuple[int, int]]) -> DataFrame:
+    """One global aggregation of the pair moments of ``pairs`` over ``wide``,
+    then a generator to (ticker_x, ticker_y, corr) in both orders."""
+    row = wide.agg(*[masked_corr(slots[i], slots[j]).alias(f"_c{n}") for n, (i, j) in enumerate(pairs)])
+    entries = [
+        F.struct(
+            F.lit(chosen[x]).alias("ticker_x"), F.lit(chosen[y]).alias("ticker_y"), F.col(f"_c{n}").alias("corr")
+        )
+        for n, (i, j) in enumerate(pairs)
+        for x, y in sorted({(i, j), (j, i)})
+    ]
+    return row.select(F.inline(F.array(*entries)))
+
+
 def ticker_correlation(
     bars: DataFrame,
     tickers: Iterable[str] | None = None,
@@ -94,6 +109,11 @@ def ticker_correlation(
     """Correlation of ``feature`` between every pair of chosen tickers (both
     orders and the diagonal), over the dates shared by all of them; each pair
     skips dates where either value is NULL.  At least two tickers are needed.
+
+    Up to ``block`` tickers: one wide frame, one aggregation.  Beyond, the
+    shared dates are found once, the chosen rows on them are checkpointed,
+    and each pair of ticker blocks builds its own wide frame of at most
+    ``2 * block`` columns, so no aggregation grows with the ticker count.
     Columns: ticker_x, ticker_y, corr.
     """
     chosen = resolve_tickers(bars, tickers)
@@ -101,26 +121,23 @@ def ticker_correlation(
         raise ValueError("select at least two tickers for a correlation matrix")
     if block < 1:
         raise ValueError("block must be >= 1")
-    slots = [f"_v{i}" for i in range(len(chosen))]
-    wide = aligned_frame(bars, chosen, feature, slots)
-    groups = [list(range(i, min(i + block, len(chosen)))) for i in range(0, len(chosen), block)]
-    if len(groups) > 1:
-        # Many block pairs read the wide frame: compute it once.
-        wide = materialize(wide)
+    k = len(chosen)
+    slots = [f"_v{i}" for i in range(k)]
+    if k <= block:
+        wide = aligned_frame(bars, chosen, feature, slots)
+        return _pair_rows(wide, chosen, slots, [(i, j) for i in range(k) for j in range(i, k)])
+    rows = bars.filter(F.col("ticker").isin(chosen)).select("ticker", "date", F.col(feature).alias("_v"))
+    shared = rows.groupBy("date").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") == F.lit(k)).select("date")
+    on_shared = materialize(rows.join(shared, "date", "left_semi"))
+    groups = [list(range(i, min(i + block, k))) for i in range(0, k, block)]
     parts = []
     for gi, ga in enumerate(groups):
         for gb in groups[gi:]:
-            pairs = [(i, j) for i in ga for j in gb if i <= j]
-            row = wide.agg(*[masked_corr(slots[i], slots[j]).alias(f"_c{n}") for n, (i, j) in enumerate(pairs)])
-            entries = []
-            for n, (i, j) in enumerate(pairs):
-                for x, y in {(i, j), (j, i)}:
-                    entries.append(
-                        F.struct(
-                            F.lit(chosen[x]).alias("ticker_x"),
-                            F.lit(chosen[y]).alias("ticker_y"),
-                            F.col(f"_c{n}").alias("corr"),
-                        )
-                    )
-            parts.append(row.select(F.inline(F.array(*entries))))
+            idx = sorted(set(ga) | set(gb))
+            wide = (
+                on_shared.filter(F.col("ticker").isin([chosen[i] for i in idx]))
+                .groupBy("date")
+                .agg(*[F.max(F.when(F.col("ticker") == F.lit(chosen[i]), F.col("_v"))).alias(slots[i]) for i in idx])
+            )
+            parts.append(_pair_rows(wide, chosen, slots, [(i, j) for i in ga for j in gb if i <= j]))
     return functools.reduce(DataFrame.unionByName, parts)

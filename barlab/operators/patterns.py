@@ -45,8 +45,8 @@ def trend_days(bars: DataFrame) -> DataFrame:
     )
 
 
-def _weekday_means(bars: DataFrame, weekdays_only: bool) -> DataFrame:
-    rets = with_returns(bars).filter(F.col("daily_return").isNotNull())
+def _weekday_means(bars: DataFrame, weekdays_only: bool, drop_missing_first: bool) -> DataFrame:
+    rets = with_returns(bars, drop_missing_first).filter(F.col("daily_return").isNotNull())
     if weekdays_only:
         rets = rets.filter(F.weekday("date") < 5)
     return rets.groupBy(
@@ -54,21 +54,21 @@ def _weekday_means(bars: DataFrame, weekdays_only: bool) -> DataFrame:
     ).agg(F.avg("daily_return").alias("avg_return"))
 
 
-def weekday_returns(bars: DataFrame, weekdays_only: bool = False) -> DataFrame:
+def weekday_returns(bars: DataFrame, weekdays_only: bool = False, drop_missing_first: bool = False) -> DataFrame:
     """Average daily return per weekday name.  Weekend dates keep their own
     names unless ``weekdays_only``.  Columns: ticker, day_of_week, avg_return.
     """
-    return _weekday_means(bars, weekdays_only).select("ticker", "day_of_week", "avg_return")
+    return _weekday_means(bars, weekdays_only, drop_missing_first).select("ticker", "day_of_week", "avg_return")
 
 
-def best_weekday(bars: DataFrame, weekdays_only: bool = False) -> DataFrame:
+def best_weekday(bars: DataFrame, weekdays_only: bool = False, drop_missing_first: bool = False) -> DataFrame:
     """Per ticker, the weekday with the highest average return; on ties the
     earlier day of the week (Monday first, weekend last).
     Columns: ticker, day_of_week, avg_return.
     """
     best = F.max_by(F.struct("day_of_week", "avg_return"), F.struct("avg_return", -F.col("_dow")))
     return (
-        _weekday_means(bars, weekdays_only)
+        _weekday_means(bars, weekdays_only, drop_missing_first)
         .groupBy("ticker")
         .agg(best.alias("_b"))
         .select("ticker", "_b.day_of_week", "_b.avg_return")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlab.functions.columns import series
-from barlab.schema import BAR_COLUMNS, PRICE_COLUMNS
+from barlab.schema import BAR_COLUMNS, numeric_columns
 
 
 def first_rows(bars: DataFrame, n: int = 10) -> DataFrame:
@@ -26,16 +26,17 @@ def last_rows(bars: DataFrame, n: int = 10) -> DataFrame:
     return bars.select(*BAR_COLUMNS, F.row_number().over(w).alias("rn")).filter(F.col("rn") <= n)
 
 
-def describe_stats(bars: DataFrame, columns: Sequence[str] = PRICE_COLUMNS) -> DataFrame:
+def describe_stats(bars: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """count, mean, sample stddev, min, max and median of each numeric column
-    per ticker, as typed numbers in long form.
+    (default: every double column) per ticker, as typed numbers in long form.
 
     The columns are unpivoted (an Expand, no extra scan) and aggregated in
     one group-by.  Median is exact; it keeps the values of a (ticker, column)
     group, which is bounded by the ticker's number of days.
     Columns: ticker, column_name, n, mean, stddev, min, max, median.
     """
-    long = bars.unpivot(["ticker"], list(columns), "column_name", "value")
+    cols = list(columns) if columns is not None else numeric_columns(bars)
+    long = bars.unpivot(["ticker"], cols, "column_name", "value")
     v = F.col("value")
     return long.groupBy("ticker", "column_name").agg(
         F.count(v).alias("n"),

@@ -15,13 +15,17 @@ from pyspark.sql import functions as F
 from barlab.functions.columns import intraday_return, pct_change, series
 
 
-def with_returns(bars: DataFrame) -> DataFrame:
+def with_returns(bars: DataFrame, drop_missing_first: bool = False) -> DataFrame:
     """Add ``prev_close``, ``daily_return`` and ``daily_change``.
 
     The first row of each ticker has no previous close, so both are NULL
-    there; a zero previous close gives a NULL return, not an error.
+    there; a zero previous close gives a NULL return, not an error.  By
+    default a bar with a missing close stays in the series, so the returns
+    on it and on the next day are NULL; ``drop_missing_first`` drops bars
+    without open or close before the lag, bridging the gap.
     """
-    out = bars.withColumn("prev_close", F.lag("close", 1).over(series()))
+    src = bars.dropna(subset=["open", "close"]) if drop_missing_first else bars
+    out = src.withColumn("prev_close", F.lag("close", 1).over(series()))
     return out.withColumns(
         {
             "daily_return": pct_change(F.col("close"), F.col("prev_close")),
@@ -53,6 +57,21 @@ def monthly_price_change(bars: DataFrame) -> DataFrame:
     return with_monthly_change(bars).select("ticker", "date", "close", "monthly_change")
 
 
+def calendar_month_change(bars: DataFrame) -> DataFrame:
+    """Change between calendar months: last close of each month with bars
+    minus the last close of the month before it.  The month-number-ordered
+    change above is the analysis's own definition; this is the calendar one.
+    Columns: ticker, month (first day), last_close, monthly_change.
+    """
+    last = (
+        bars.filter(F.col("close").isNotNull())
+        .groupBy("ticker", F.trunc("date", "month").alias("month"))
+        .agg(F.max_by("close", "date").alias("last_close"))
+    )
+    w = Window.partitionBy("ticker").orderBy("month")
+    return last.withColumn("monthly_change", F.col("last_close") - F.lag("last_close", 1).over(w))
+
+
 def intraday_returns(bars: DataFrame) -> DataFrame:
     """ticker, date, return_rate = (close - open) / open."""
     return bars.select("ticker", "date", intraday_return().alias("return_rate"))

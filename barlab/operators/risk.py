@@ -28,7 +28,7 @@ def _in_range(start, end) -> Column:
     return F.col("date").between(F.lit(_as_date(start)), F.lit(_as_date(end)))
 
 
-def return_consistency(bars: DataFrame, start=None, end=None) -> DataFrame:
+def return_consistency(bars: DataFrame, start=None, end=None, drop_missing_first: bool = True) -> DataFrame:
     """Sample standard deviation of daily returns per ticker, over bars in
     ``[start, end]`` with open and close present; +inf when there are fewer
     than two returns.  Every ticker of the input appears.
@@ -36,9 +36,10 @@ def return_consistency(bars: DataFrame, start=None, end=None) -> DataFrame:
     One pass: bars outside the selection sort first within a ticker and the
     lag is only trusted when the previous row is selected too, which is the
     same as filtering before the lag, yet keeps tickers with nothing
-    selected.  Columns: ticker, std_dev.
+    selected.  ``drop_missing_first=False`` keeps bars without open or close
+    in the chain (NULL returns around them).  Columns: ticker, std_dev.
     """
-    keep = F.col("open").isNotNull() & F.col("close").isNotNull()
+    keep = F.col("open").isNotNull() & F.col("close").isNotNull() if drop_missing_first else F.lit(True)
     if start is not None and end is not None:
         keep = keep & _in_range(start, end)
     elif start is not None:
@@ -58,18 +59,22 @@ def return_consistency(bars: DataFrame, start=None, end=None) -> DataFrame:
     )
 
 
-def most_consistent(bars: DataFrame, start=None, end=None, k: int = 3) -> DataFrame:
+def most_consistent(bars: DataFrame, start=None, end=None, k: int = 3, drop_missing_first: bool = True) -> DataFrame:
     """The ``k`` tickers with the steadiest returns (smallest std_dev)."""
-    return return_consistency(bars, start, end).orderBy(F.asc("std_dev"), F.asc("ticker")).limit(k)
+    return return_consistency(bars, start, end, drop_missing_first).orderBy(F.asc("std_dev"), F.asc("ticker")).limit(k)
 
 
-def _selected_returns(bars: DataFrame, start, end) -> DataFrame:
-    sel = filter_bars(bars, start=start, end=end, end_inclusive=True).dropna(subset=["open", "close"])
+def _selected_returns(bars: DataFrame, start, end, drop_missing_first: bool) -> DataFrame:
+    sel = filter_bars(bars, start=start, end=end, end_inclusive=True)
+    if drop_missing_first:
+        sel = sel.dropna(subset=["open", "close"])
     ret = pct_change(F.col("close"), F.lag("close", 1).over(series()))
     return sel.select("ticker", ret.alias("ret")).filter(F.col("ret").isNotNull())
 
 
-def return_histogram(bars: DataFrame, start=None, end=None, bins: int = 50) -> DataFrame:
+def return_histogram(
+    bars: DataFrame, start=None, end=None, bins: int = 50, drop_missing_first: bool = True
+) -> DataFrame:
     """Equal-width histogram of daily returns per ticker, ``bins`` bins from
     the ticker's smallest to largest return, empty bins reported as 0.
 
@@ -79,7 +84,7 @@ def return_histogram(bars: DataFrame, start=None, end=None, bins: int = 50) -> D
     """
     if bins < 1:
         raise ValueError("bins must be >= 1")
-    rets = _selected_returns(bars, start, end)
+    rets = _selected_returns(bars, start, end, drop_missing_first)
     w = whole_series()
     lo, hi = F.min("ret").over(w), F.max("ret").over(w)
     width = F.col("hi") - F.col("lo")
@@ -106,14 +111,14 @@ def return_histogram(bars: DataFrame, start=None, end=None, bins: int = 50) -> D
     )
 
 
-def flag_outliers(bars: DataFrame, k: float = 3.0) -> DataFrame:
+def flag_outliers(bars: DataFrame, k: float = 3.0, drop_missing_first: bool = False) -> DataFrame:
     """Daily returns over full history, flagged when outside mean ± k·stddev
     of the ticker's returns.  Columns: ticker, date, daily_return, is_outlier.
     """
     w = whole_series()
     r = F.col("daily_return")
     mean, sd = F.avg(r).over(w), F.stddev_samp(r).over(w)
-    flagged = with_returns(bars).select(
+    flagged = with_returns(bars, drop_missing_first).select(
         "ticker", "date", "daily_return", mean.alias("_m"), sd.alias("_s")
     )
     lim = F.lit(float(k)) * F.col("_s")
@@ -121,14 +126,14 @@ def flag_outliers(bars: DataFrame, k: float = 3.0) -> DataFrame:
     return flagged.select("ticker", "date", "daily_return", F.coalesce(is_out, F.lit(False)).alias("is_outlier"))
 
 
-def outlier_summary(bars: DataFrame, k: float = 3.0) -> DataFrame:
+def outlier_summary(bars: DataFrame, k: float = 3.0, drop_missing_first: bool = False) -> DataFrame:
     """Number of outlier days per ticker (0 included).  Columns: ticker, n_outliers."""
-    return flag_outliers(bars, k).groupBy("ticker").agg(F.count_if("is_outlier").alias("n_outliers"))
+    return flag_outliers(bars, k, drop_missing_first).groupBy("ticker").agg(F.count_if("is_outlier").alias("n_outliers"))
 
 
-def outlier_days(bars: DataFrame, k: float = 3.0) -> DataFrame:
+def outlier_days(bars: DataFrame, k: float = 3.0, drop_missing_first: bool = False) -> DataFrame:
     """The outlier days.  Columns: ticker, date, daily_return."""
-    return flag_outliers(bars, k).filter("is_outlier").select("ticker", "date", "daily_return")
+    return flag_outliers(bars, k, drop_missing_first).filter("is_outlier").select("ticker", "date", "daily_return")
 
 
 __all__ = [

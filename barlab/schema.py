@@ -37,6 +37,11 @@ SOURCE_NAMES = {
 }
 
 
+def numeric_columns(df) -> list[str]:
+    """The double-typed columns of ``df``, read from its schema (no job)."""
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, DoubleType)]
+
+
 def nan_to_null(c: Column) -> Column:
     """NaN becomes NULL once, at load time; later operators only meet NULL."""
     return F.nanvl(c, F.lit(None).cast("double"))

@@ -7,6 +7,7 @@ from barlab.sources.bars import (
     filter_bars,
     load_bars,
     normalize_bars,
+    union_bars,
     write_bars,
 )
 
@@ -17,5 +18,6 @@ __all__ = [
     "filter_bars",
     "load_bars",
     "normalize_bars",
+    "union_bars",
     "write_bars",
 ]

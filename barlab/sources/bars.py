@@ -14,6 +14,7 @@
 from __future__ import annotations
 
 import datetime as _dt
+import functools
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -178,6 +179,13 @@ def bars_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bars_from_ticks(events, "event_type", "ts", "value", "event_id")
 
 
+def union_bars(*frames: DataFrame) -> DataFrame:
+    """Stack bars from several sources by column name (a Union node, no shuffle)."""
+    if not frames:
+        raise ValueError("no bars to union")
+    return functools.reduce(DataFrame.unionByName, [f.select(*BAR_COLUMNS) for f in frames])
+
+
 def write_bars(bars: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Parquet sink, partitioned by year so later date ranges prune directories."""
     (
@@ -199,5 +207,6 @@ __all__ = [
     "filter_bars",
     "load_bars",
     "normalize_bars",
+    "union_bars",
     "write_bars",
 ]

@@ -142,3 +142,35 @@ def test_ticker_correlation_needs_two_tickers(make_bars):
     bars = make_bars([("A", "2020-01-01", 1, 2)])
     with pytest.raises(ValueError):
         ops.ticker_correlation(bars, ["A"])
+
+
+def test_calendar_month_change(make_bars):
+    bars = make_bars([("A", "2020-01-30", 1, 5), ("A", "2020-01-31", 1, 6), ("A", "2020-03-02", 1, 9)])
+    got = [(str(r.month), r.last_close, r.monthly_change) for r in ops.calendar_month_change(bars).orderBy("month").collect()]
+    assert got == [("2020-01-01", 6.0, None), ("2020-03-01", 9.0, 3.0)]
+
+
+def test_drop_missing_first_is_a_choice_per_analysis(make_bars):
+    bars = make_bars([("A", f"2020-01-0{d}", 1, c) for d, c in zip(range(1, 6), [10, None, 12, 9, 9])])
+    bridged = ops.return_consistency(bars, drop_missing_first=True).collect()[0].std_dev
+    kept = ops.return_consistency(bars, drop_missing_first=False).collect()[0].std_dev
+    assert bridged == pytest.approx(ops.return_consistency(bars.dropna(subset=["close"])).collect()[0].std_dev)
+    assert kept == pytest.approx(math.sqrt(0.5 * 0.25**2))  # returns -0.25 and 0.0 only
+    n_full = ops.flag_outliers(bars).filter("daily_return is not null").count()
+    n_bridged = ops.flag_outliers(bars, drop_missing_first=True).filter("daily_return is not null").count()
+    assert (n_full, n_bridged) == (2, 3)
+
+
+def test_defaults_pick_double_columns(make_bars):
+    bars = make_bars([("A", "2020-01-02", 1, 2), ("A", "2020-01-03", 2, 4), ("A", "2020-01-06", 3, 5)])
+    names = {r.column_name for r in ops.describe_stats(bars).collect()}
+    assert names == {"open", "high", "low", "close", "adj_close", "volume"}
+    assert ops.feature_correlation(bars).count() == 36
+
+
+def test_union_of_sources(make_bars):
+    from barlab.sources import union_bars
+
+    a = make_bars([("A", "2020-01-02", 1, 2)])
+    b = make_bars([("B", "2020-01-02", 1, 2)]).select("volume", *[c for c in a.columns if c != "volume"])
+    assert sorted(r.ticker for r in union_bars(a, b).collect()) == ["A", "B"]
