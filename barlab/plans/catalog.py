@@ -20,7 +20,7 @@ from pyspark.sql.types import DoubleType
 
 from barlab.functions.columns import round6
 from barlab.operators import correlation, patterns, periods, profile, ranking, returns, risk, smoothing
-from barlab.sources.bars import bars_from_orders, filter_bars
+from barlab.sources.bars import bars_from_events, bars_from_orders, filter_bars
 
 START = _dt.date(1996, 1, 1)
 END = _dt.date(1998, 12, 31)
@@ -107,5 +107,32 @@ QUERIES: dict[str, Query] = {
     "longest_streaks_joined": _q(lambda b: patterns.longest_streaks(b, join_first_row=True)),
 }
 
+
+def _q_events(op: Callable[[DataFrame], DataFrame]) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return finish(op(bars_from_events(spark, sf_dir)))
+
+    run.__doc__ = op.__doc__
+    return run
+
+
+# The same operators on the second fixture: bars from the events table
+# (five event types over 30 days, every day shared by all of them).
+EVENT_QUERIES: dict[str, Query] = {
+    "bars_events": _q_events(lambda b: b),
+    "daily_returns_events": _q_events(returns.daily_returns),
+    "describe_stats_events": _q_events(profile.describe_stats),
+    "aligned_closes_events": _q_events(lambda b: correlation.aligned_closes(b, None, FEATURE)),
+    "ticker_correlation_events": _q_events(lambda b: correlation.ticker_correlation(b, None, FEATURE)),
+    "weekly_averages_events": _q_events(lambda b: periods.period_averages(b, "week")),
+    "sma_events": _q_events(lambda b: smoothing.sma(b, N_AVG)),
+    "ema_recursive_events": _q_events(lambda b: smoothing.ema_recursive(b, N_AVG)),
+    "outlier_summary_events": _q_events(risk.outlier_summary),
+    "trend_days_events": _q_events(patterns.trend_days),
+    "longest_streaks_events": _q_events(patterns.longest_streaks),
+    "close_extremes_events": _q_events(ranking.close_extremes),
+}
+QUERIES.update(EVENT_QUERIES)
+
 # The flagship query: which series has the steadiest daily returns.
 FLAGSHIP = "most_consistent_top3"

@@ -42,6 +42,17 @@ BARS_BODY = """
         FROM orders)
   GROUP BY 1, 2"""
 
+EVENTS_BODY = """
+  SELECT event_type AS ticker, CAST(ts AS DATE) AS date,
+         arg_min(p, event_id) AS open, max(p) AS high, min(p) AS low,
+         arg_max(p, event_id) AS close,
+         (max(p) + min(p) + arg_max(p, event_id)) / 3.0 AS adj_close,
+         CAST(count(*) AS DOUBLE) AS volume
+  FROM (SELECT event_type, ts, event_id,
+               CASE WHEN isnan(value) THEN NULL ELSE value END AS p
+        FROM events)
+  GROUP BY 1, 2"""
+
 BARS = f"bars AS ({BARS_BODY})"
 RETS = """rets AS (
   SELECT *, (close - prev_close) / nullif(prev_close, 0) AS daily_return,
@@ -319,3 +330,11 @@ ORACLE_SQL: dict[str, str] = {
     "longest_streaks": _longest(False),
     "longest_streaks_joined": _longest(True),
 }
+
+
+# Second fixture: the same statements over bars built from the events table.
+for _name in (
+    "bars", "daily_returns", "describe_stats", "aligned_closes", "ticker_correlation", "weekly_averages",
+    "sma", "ema_recursive", "outlier_summary", "trend_days", "longest_streaks", "close_extremes",
+):
+    ORACLE_SQL[f"{_name}_events"] = ORACLE_SQL[_name].replace(BARS_BODY, EVENTS_BODY)

@@ -11,7 +11,7 @@ from barlab import operators as ops
 from conftest import SF001
 
 QUERIES = entry_module.queries()
-GLOBAL_AGG_OK = {"ticker_correlation"}  # a global aggregate of one partial row per task
+GLOBAL_AGG_OK = {"ticker_correlation", "ticker_correlation_events"}  # a global aggregate of one partial row per task
 
 
 def _exchanges(plan: str) -> list[str]:
