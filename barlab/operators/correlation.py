@@ -1,8 +1,8 @@
 """Pearson correlations.
 
-* ``feature_correlation`` — between price columns, per ticker: one group-by
-  on ``ticker`` holding all column pairs, then a generator to long form.
-  (The dashboard this reproduces ran one job per pair.)
+* ``feature_correlation`` — between price columns, per ticker: the column
+  pairs of each bar as rows, one group-by on (ticker, pair).  (The
+  dashboard this reproduces ran one job per pair.)
 * ``aligned_frame`` / ``aligned_closes`` — one row per date on which *every*
   chosen ticker has a bar, one column per ticker (inner join of the series
   on date), built as conditional aggregates of one group-by on ``date``.
@@ -35,19 +35,30 @@ MAX_DISCOVERED_TICKERS = 10_000
 def feature_correlation(bars: DataFrame, features: Sequence[str] | None = None) -> DataFrame:
     """Full matrix (both orders and the diagonal) of correlations between
     the given columns (default: every double column), per ticker.
+
+    Each bar is unpivoted into its k(k+1)/2 column pairs (a fixed-width
+    generator, like ``describe``'s unpivot), and one group-by on
+    (ticker, pair) holds three moment aggregates: the aggregation stays
+    small enough for whole-stage code generation whatever k is.
     Columns: ticker, feature_x, feature_y, corr.
     """
     feats = list(features) if features is not None else numeric_columns(bars)
     if not feats:
         raise ValueError("at least one feature is needed")
     pairs = [(a, b) for i, a in enumerate(feats) for b in feats[i:]]
-    moments = bars.groupBy("ticker").agg(*[masked_corr(a, b).alias(f"_c{i}") for i, (a, b) in enumerate(pairs)])
-    entries = []
-    for i, (a, b) in enumerate(pairs):
-        entries.append(F.struct(F.lit(a).alias("feature_x"), F.lit(b).alias("feature_y"), F.col(f"_c{i}").alias("corr")))
-        if a != b:
-            entries.append(F.struct(F.lit(b).alias("feature_x"), F.lit(a).alias("feature_y"), F.col(f"_c{i}").alias("corr")))
-    return moments.select("ticker", F.inline(F.array(*entries)))
+    entries = [
+        F.struct(F.lit(a).alias("feature_x"), F.lit(b).alias("feature_y"), F.col(a).alias("_x"), F.col(b).alias("_y"))
+        for a, b in pairs
+    ]
+    per_pair = (
+        bars.select("ticker", F.inline(F.array(*entries)))
+        .groupBy("ticker", "feature_x", "feature_y")
+        .agg(masked_corr("_x", "_y").alias("corr"))
+    )
+    same = F.struct(F.col("feature_x"), F.col("feature_y"), F.col("corr"))
+    swapped = F.struct(F.col("feature_y").alias("feature_x"), F.col("feature_x").alias("feature_y"), F.col("corr"))
+    both = F.when(F.col("feature_x") == F.col("feature_y"), F.array(same)).otherwise(F.array(same, swapped))
+    return per_pair.select("ticker", F.inline(both))
 
 
 def resolve_tickers(bars: DataFrame, tickers: Iterable[str] | None) -> list[str]:
