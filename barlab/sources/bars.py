@@ -132,7 +132,9 @@ def bars_from_ticks(
     """Daily bars from per-event prices.
 
     open/close are the price at the smallest/largest ``seq`` of the day
-    (``min_by``/``max_by``; equal ``seq`` broken by price), high/low the extremes, volume the summed
+    (``min_by``/``max_by``; ``seq`` is a per-event sequence number, unique
+    within a ticker and day, so open and close are the same on every re-run),
+    high/low the extremes, volume the summed
     ``volume`` column or, without one, the event count; ``adj_close`` is the
     typical price ``(high + low + close) / 3`` as no adjustment data exists.
     All aggregates are partial-aggregatable, so the shuffle carries at most
@@ -146,14 +148,13 @@ def bars_from_ticks(
         col(seq).alias("seq"),
         (nan_to_null(col(volume).cast("double")) if volume is not None else F.lit(1.0)).alias("qty"),
     )
-    # (seq, price) orders events totally, so open and close are the same on
-    # every re-run even when two events share a sequence number.
-    order = F.struct("seq", "price")
+    # A primitive ordering key keeps min_by/max_by in the hash aggregate (a
+    # struct key would force a sort of every tick before the partial step).
     daily = events.groupBy("ticker", "date").agg(
-        F.min_by("price", order).alias("open"),
+        F.min_by("price", "seq").alias("open"),
         F.max("price").alias("high"),
         F.min("price").alias("low"),
-        F.max_by("price", order).alias("close"),
+        F.max_by("price", "seq").alias("close"),
         (F.sum("qty") if volume is not None else F.count(F.lit(1)).cast("double")).alias("volume"),
     )
     return daily.select(

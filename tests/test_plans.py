@@ -65,3 +65,9 @@ def test_top_k_per_ticker_uses_group_limit(spark):
 def test_overall_top1_is_take_ordered(spark):
     plan = physical_plan(QUERIES["best_intraday_month"](spark, SF001))
     assert "TakeOrderedAndProject" in plan
+
+
+def test_bars_aggregate_is_hash_based(spark):
+    """min_by/max_by on a primitive key stay in HashAggregate: no sort of ticks."""
+    plan = physical_plan(QUERIES["bars"](spark, SF001))
+    assert "SortAggregate" not in plan and plan.count("HashAggregate") == 2
