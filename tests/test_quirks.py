@@ -174,3 +174,42 @@ def test_union_of_sources(make_bars):
     a = make_bars([("A", "2020-01-02", 1, 2)])
     b = make_bars([("B", "2020-01-02", 1, 2)]).select("volume", *[c for c in a.columns if c != "volume"])
     assert sorted(r.ticker for r in union_bars(a, b).collect()) == ["A", "B"]
+
+
+def test_calendar_periods_split_years(make_bars):
+    # ISO week 2 of 2020 and of 2021
+    bars = make_bars([("A", "2020-01-06", 1, 2), ("A", "2021-01-11", 1, 4), ("A", "2021-01-12", 1, 6)])
+    pooled = ops.period_averages(bars, "week")
+    cal = ops.period_averages(bars, "week", calendar=True)
+    assert pooled.count() == 1 and cal.count() == 2
+    assert sorted(str(r.period) for r in cal.collect()) == ["2020-01-06", "2021-01-11"]
+    assert ops.return_rates(bars, "month", calendar=True).count() == 2
+    assert ops.period_averages(bars, "year", calendar=True).count() == 2
+    assert ops.overall_average_return(bars, calendar=True).count() == 1
+
+
+def test_top1_ties_take_earliest_date_then_ticker(make_bars):
+    bars = make_bars([
+        ("B", "2020-01-01", 1, 1), ("B", "2020-01-02", 1, 2), ("B", "2020-01-03", 1, 1), ("B", "2020-01-04", 1, 2),
+        ("A", "2020-01-01", 1, 1), ("A", "2020-01-04", 1, 2),
+    ])
+    per = {r.ticker: (str(r.date), r.daily_return) for r in ops.highest_daily_return(bars).collect()}
+    assert per == {"B": ("2020-01-02", 1.0), "A": ("2020-01-04", 1.0)}
+    top = ops.highest_daily_return_overall(bars).collect()[0]
+    assert (top.ticker, str(top.date)) == ("B", "2020-01-02")
+    # intraday return 1.0 on 01-02 (B) and on 01-04 (A and B): the earliest wins
+    best = ops.best_intraday(bars).collect()[0]
+    assert (best.ticker, str(best.date)) == ("B", "2020-01-02")
+    later = ops.best_intraday(bars.filter("date > '2020-01-02'")).collect()[0]
+    assert (later.ticker, str(later.date)) == ("A", "2020-01-04")
+
+
+def test_ticker_with_only_null_returns_reports_first_day(make_bars):
+    bars = make_bars([("A", "2020-01-01", 1, 1)])
+    r = ops.highest_daily_return(bars).collect()[0]
+    assert (str(r.date), r.daily_return) == ("2020-01-01", None)
+
+
+def test_volume_leader_tie_goes_to_smaller_ticker(make_bars):
+    bars = make_bars([("B", "2020-01-01", 1, 1), ("A", "2020-01-01", 1, 1)])
+    assert ops.highest_volume(bars).collect()[0].ticker == "A"
