@@ -95,19 +95,24 @@ def return_histogram(
     binned = rets.select("ticker", "ret", lo.alias("lo"), hi.alias("hi")).select(
         "ticker", "lo", "hi", idx.cast("int").alias("bin")
     )
-    counts = binned.groupBy("ticker", "bin").agg(F.count(F.lit(1)).alias("n"))
-    grid = (
-        binned.groupBy("ticker")
-        .agg(F.first("lo").alias("lo"), F.first("hi").alias("hi"))
-        .select("ticker", "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    counts = binned.groupBy("ticker", "bin").agg(
+        F.count(F.lit(1)).alias("n"), F.first("lo").alias("lo"), F.first("hi").alias("hi")
     )
+    # At most ``bins`` entries per ticker: the empty bins are filled from a
+    # small per-ticker map, in the same partitions (no join, no new exchange).
+    per_ticker = counts.groupBy("ticker").agg(
+        F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("_counts"),
+        F.first("lo").alias("lo"),
+        F.first("hi").alias("hi"),
+    )
+    grid = per_ticker.select("ticker", "lo", "hi", "_counts", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     edge = lambda i: F.col("lo") + i * width / F.lit(bins)
-    return grid.join(counts, ["ticker", "bin"], "left").select(
+    return grid.select(
         "ticker",
         "bin",
         edge(F.col("bin")).alias("bin_low"),
         edge(F.col("bin") + F.lit(1)).alias("bin_high"),
-        F.coalesce(F.col("n"), F.lit(0).cast("bigint")).alias("n"),
+        F.coalesce(F.try_element_at("_counts", F.col("bin")), F.lit(0).cast("bigint")).alias("n"),
     )
 
 
