@@ -5,16 +5,13 @@
   one-step blend the analysis computes (NULL on a ticker's first row).
 * ``ema_recursive``  — the true exponential average ``e_t = a*c_t + (1-a)*e_{t-1}``,
   seeded with the first close.  A recurrence has no built-in window
-  function, so it runs as a grouped map (``applyInPandas``): Spark shuffles
-  by ticker, and each task walks one ticker's date-ordered closes.  A
-  ticker's daily history is bounded by its number of days, so the group
-  fits one task.
+  function, so it runs in Python over Spark-partitioned, Spark-sorted data
+  (``mapInPandas``): one pass over each partition's (ticker, date) stream.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,21 +50,25 @@ def ema_one_step(bars: DataFrame, n: int = 20) -> DataFrame:
 
 
 def _recursive_ema(alpha: float):
+    """Per partition: rows arrive sorted by (ticker, date) in Arrow batches;
+    the running value restarts at each new ticker and carries across
+    batches, so a ticker may span batch boundaries."""
     beta = 1.0 - alpha
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("date", kind="mergesort")
-        closes = pdf["close"].astype("float64").tolist()
-        out = np.full(len(closes), np.nan)
-        state = None
-        for i, x in enumerate(closes):
-            if x != x:  # NULL close: no value, state carries over
-                continue
-            state = x if state is None else alpha * x + beta * state
-            out[i] = state
-        return pd.DataFrame(
-            {"ticker": pdf["ticker"].to_numpy(), "date": pdf["date"].to_numpy(), "close": closes, "ema": out}
-        )
+    def run(batches):
+        ticker, state = None, None
+        for pdf in batches:
+            tickers = pdf["ticker"].tolist()
+            closes = pdf["close"].astype("float64").tolist()
+            out = np.full(len(closes), np.nan)
+            for i, x in enumerate(closes):
+                if tickers[i] != ticker:
+                    ticker, state = tickers[i], None
+                if x != x:  # NULL close: no value, state carries over
+                    continue
+                state = x if state is None else alpha * x + beta * state
+                out[i] = state
+            yield pdf.assign(ema=out)
 
     return run
 
@@ -75,13 +76,19 @@ def _recursive_ema(alpha: float):
 def ema_recursive(bars: DataFrame, n: int = 20) -> DataFrame:
     """ticker, date, close, ema with ``e_0 = c_0`` and ``e_t = a*c_t + (1-a)*e_{t-1}``.
 
-    Only the three needed columns cross to Python (Arrow batches); NULL
-    closes yield NULL and leave the running state unchanged.
+    A recurrence has no built-in window function.  Spark hash-partitions the
+    bars by ticker (the exchange every series window uses) and sorts each
+    partition by (ticker, date); ``mapInPandas`` then walks each partition's
+    sorted stream once.  Only the three needed columns cross to Python, in
+    Arrow batches, and no per-ticker pandas frame is built, so many short
+    series cost no more than a few long ones.  NULL closes yield NULL and
+    leave the running state unchanged.
     """
     _check_n(n)
     out = (
         bars.select("ticker", "date", "close")
-        .groupBy("ticker")
-        .applyInPandas(_recursive_ema(ema_alpha(n)), schema="ticker string, date date, close double, ema double")
+        .repartition("ticker")
+        .sortWithinPartitions("ticker", "date")
+        .mapInPandas(_recursive_ema(ema_alpha(n)), schema="ticker string, date date, close double, ema double")
     )
     return out.withColumns({"close": nan_to_null(F.col("close")), "ema": nan_to_null(F.col("ema"))})

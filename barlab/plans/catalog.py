@@ -134,5 +134,32 @@ EVENT_QUERIES: dict[str, Query] = {
 }
 QUERIES.update(EVENT_QUERIES)
 
+
+def _q_customers(op: Callable[[DataFrame], DataFrame]) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return finish(op(bars_from_orders(spark, sf_dir, ticker="o_custkey")))
+
+    run.__doc__ = op.__doc__
+    return run
+
+
+# Many tickers with short histories: one series per customer of ``orders``
+# (about 1,000 at sf0.01, 10,000 at sf0.1).  Same plans, same job counts.
+CUSTOMER_QUERIES: dict[str, Query] = {
+    "bars_by_customer": _q_customers(lambda b: b),
+    "daily_returns_by_customer": _q_customers(returns.daily_returns),
+    "weekly_averages_by_customer": _q_customers(lambda b: periods.period_averages(b, "week")),
+    "highest_daily_return_by_customer": _q_customers(ranking.highest_daily_return),
+    "close_extremes_by_customer": _q_customers(ranking.close_extremes),
+    "ema_recursive_by_customer": _q_customers(lambda b: smoothing.ema_recursive(b, N_AVG)),
+    "return_histogram_by_customer": _q_customers(lambda b: risk.return_histogram(b, START, END, BINS)),
+    "return_consistency_by_customer": _q_customers(lambda b: risk.return_consistency(b, START, END)),
+    "outlier_summary_by_customer": _q_customers(risk.outlier_summary),
+    "trend_days_by_customer": _q_customers(patterns.trend_days),
+    "best_weekday_by_customer": _q_customers(patterns.best_weekday),
+    "longest_streaks_by_customer": _q_customers(patterns.longest_streaks),
+}
+QUERIES.update(CUSTOMER_QUERIES)
+
 # The flagship query: which series has the steadiest daily returns.
 FLAGSHIP = "most_consistent_top3"

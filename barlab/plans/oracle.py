@@ -338,3 +338,14 @@ for _name in (
     "sma", "ema_recursive", "outlier_summary", "trend_days", "longest_streaks", "close_extremes",
 ):
     ORACLE_SQL[f"{_name}_events"] = ORACLE_SQL[_name].replace(BARS_BODY, EVENTS_BODY)
+
+
+# Many-ticker variant: one series per customer.
+CUSTOMER_BODY = BARS_BODY.replace(
+    "SELECT o_orderpriority AS ticker", "SELECT CAST(o_custkey AS VARCHAR) AS ticker"
+).replace("FROM (SELECT o_orderpriority, o_orderdate", "FROM (SELECT o_custkey, o_orderdate")
+for _name in (
+    "bars", "daily_returns", "weekly_averages", "highest_daily_return", "close_extremes", "ema_recursive",
+    "return_histogram", "return_consistency", "outlier_summary", "trend_days", "best_weekday", "longest_streaks",
+):
+    ORACLE_SQL[f"{_name}_by_customer"] = ORACLE_SQL[_name].replace(BARS_BODY, CUSTOMER_BODY)

@@ -169,12 +169,14 @@ def bars_from_ticks(
     )
 
 
-def bars_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Test recipe F2: ticker = order priority, price = order total, seq = order key."""
+def bars_from_orders(spark: SparkSession, sf_dir: str, ticker: str = "o_orderpriority") -> DataFrame:
+    """Test recipe F2: ticker = order priority, price = order total, seq = order
+    key.  ``ticker="o_custkey"`` gives the many-ticker variant: one series per
+    customer, thousands of short histories from the same table."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
-        "o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority"
+        "o_orderkey", "o_totalprice", "o_orderdate", ticker
     )
-    return bars_from_ticks(orders, "o_orderpriority", "o_orderdate", "o_totalprice", "o_orderkey")
+    return bars_from_ticks(orders, ticker, "o_orderdate", "o_totalprice", "o_orderkey")
 
 
 def bars_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
