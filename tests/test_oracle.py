@@ -32,3 +32,19 @@ def test_entry_runs_on_smoke_data(spark):
     assert df.columns == ["ticker", "std_dev"]
     assert len(rows) == 3
     assert [r.std_dev for r in rows] == sorted(r.std_dev for r in rows)
+
+
+@pytest.mark.parametrize(
+    "name", ["weekly_averages", "return_rate_weekly", "seasonal_close", "describe_stats", "ema_recursive", "best_weekday"]
+)
+def test_matches_duckdb_under_other_session_settings(spark, duck_sf001, name):
+    """The driver's session may differ from ours: many shuffle partitions,
+    adaptive execution off.  Results must not depend on it."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "200")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        assert compare(spark, duck_sf001, name, QUERIES[name], ORACLE[name], SF001) == []
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
