@@ -1,10 +1,12 @@
 """Daily bars built incrementally from a stream of ticks.
 
 The same aggregates as ``bars_from_ticks`` run as a Structured Streaming
-aggregation over one-day event-time windows.  A watermark bounds the state:
-a day's bar is final, and emitted in append mode, once events ``lateness``
-past its end have been seen; later events for it are dropped.  State per
-open day holds one row per ticker (the partial aggregates), not the ticks.
+aggregation keyed by (ticker, day), where the day is ``to_date`` of the
+event time exactly as in the batch builder, so both agree in any session
+time zone.  The watermark is set on the day's start: a day's bar is final,
+and emitted in append mode, once a tick dated more than ``lateness`` after
+that day has been seen; later ticks for it are dropped.  State per open
+day holds one row per ticker (the partial aggregates), not the ticks.
 """
 
 from __future__ import annotations
@@ -30,20 +32,18 @@ def stream_bars(
     volume: str | Column | None = None,
     lateness: str = "1 day",
 ) -> DataFrame:
-    """Streaming DataFrame of daily bars (schema of ``BARS``) from ticks.
-
-    Days are UTC calendar days of the event time (session time zone UTC).
-    """
+    """Streaming DataFrame of daily bars (schema of ``BARS``) from ticks."""
     events = ticks.select(
         _c(ticker).cast("string").alias("ticker"),
-        _c(ts).cast("timestamp").alias("_ts"),
+        # Watermarks need a TIMESTAMP: the start of the event's calendar day.
+        F.to_date(_c(ts)).cast("timestamp").alias("_day"),
         nan_to_null(_c(price).cast("double")).alias("price"),
         _c(seq).alias("seq"),
         (nan_to_null(_c(volume).cast("double")) if volume is not None else F.lit(1.0)).alias("qty"),
     )
     daily = (
-        events.withWatermark("_ts", lateness)
-        .groupBy("ticker", F.window("_ts", "1 day").alias("_day"))
+        events.withWatermark("_day", lateness)
+        .groupBy("ticker", "_day")
         .agg(
             F.min_by("price", "seq").alias("open"),
             F.max("price").alias("high"),
@@ -54,7 +54,7 @@ def stream_bars(
     )
     return daily.select(
         "ticker",
-        F.to_date(F.col("_day.start")).alias("date"),
+        F.to_date(F.col("_day")).alias("date"),
         "open",
         "high",
         "low",

@@ -56,3 +56,27 @@ def test_complete_mode_gives_all_bars(spark):
     batch = bars_from_events(spark, SF0001)
     assert got.count() == batch.count()
     assert got.exceptAll(batch).count() == 0
+
+
+def test_days_follow_the_data_in_any_session_time_zone(spark):
+    """Day boundaries come from ``to_date`` of the event time, as in batch."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        src = f"{SF0001}/events.parquet"
+        ticks = spark.readStream.schema(spark.read.parquet(src).schema).parquet(_stream_dir())
+        q = (
+            stream_bars(ticks, "event_type", "ts", "value", "event_id")
+            .writeStream.format("memory")
+            .queryName("bars_la")
+            .outputMode("complete")
+            .trigger(availableNow=True)
+            .start()
+        )
+        q.awaitTermination(120)
+        got = spark.table("bars_la")
+        batch = bars_from_events(spark, SF0001)
+        assert got.count() == batch.count() == 150
+        assert got.exceptAll(batch).count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
