@@ -10,21 +10,20 @@
   each pair over the dates where both values are present.
 
 No pair of rows is ever materialised: pair moments are aggregate
-expressions over the wide rows.  Tickers are taken in blocks of ``block``;
-each block pair is one global aggregation (partial per task, one merge row
-per task), and the union of the block pairs gives the full matrix.
+expressions over wide rows.  Up to ``block`` tickers the wide row holds them
+all and one global aggregation (partial per task) gives the matrix; beyond,
+tickers are laid out in blocks and each block pair is one group of a single
+aggregation, so the plan is the same size for any number of tickers.
 """
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barlab.functions.columns import masked_corr
-from barlab.plans.materialize import materialize
 from barlab.schema import numeric_columns
 
 # Largest ticker list discovered from the data for a wide frame (the same
@@ -111,21 +110,78 @@ def _pair_rows(wide: DataFrame, chosen: Sequence[str], slots: Sequence[str], pai
     return row.select(F.inline(F.array(*entries)))
 
 
+def _blocked_correlation(bars: DataFrame, chosen: Sequence[str], feature: str, block: int) -> DataFrame:
+    """The k x k matrix as one plan whatever k is.
+
+    Ticker ``i`` sits in block ``i // block`` at slot ``i % block``.  Each
+    row on a shared date is copied once per block (the partner block), so a
+    block pair (lo, hi) sees its own rows; one group-by on (lo, hi, date)
+    lays them out as ``2 * block`` slot columns (lo's block first), and one
+    group-by on (lo, hi) takes the pair moments.  Work is the matrix's own:
+    rows times blocks, not rows times tickers, and no aggregation holds more
+    than ``block``² pairs.
+    """
+    k = len(chosen)
+    n_blocks = -(-k // block)
+    index = bars.sparkSession.createDataFrame(
+        [(t, i // block, i % block) for i, t in enumerate(chosen)], "ticker string, _blk int, _slot int"
+    )
+    rows = bars.filter(F.col("ticker").isin(list(chosen))).select("ticker", "date", F.col(feature).alias("_v"))
+    shared = rows.groupBy("date").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") == F.lit(k)).select("date")
+    on_shared = rows.join(shared, "date", "left_semi").join(index, "ticker")
+    other = F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("_other")
+    copies = on_shared.select("date", "_v", "_blk", "_slot", other)
+    pos = F.when(F.col("_blk") <= F.col("_other"), F.col("_slot")).otherwise(F.col("_slot") + F.lit(block))
+    wide = copies.select(
+        "date",
+        "_v",
+        F.least("_blk", "_other").alias("_lo"),
+        F.greatest("_blk", "_other").alias("_hi"),
+        pos.alias("_pos"),
+    ).groupBy("_lo", "_hi", "date").agg(
+        *[F.max(F.when(F.col("_pos") == F.lit(m), F.col("_v"))).alias(f"_w{m}") for m in range(2 * block)]
+    )
+    names = F.array(*[F.lit(t) for t in chosen])
+    parts = []
+    for same_block in (True, False):
+        if same_block:
+            pairs = [(i, j) for i in range(block) for j in range(i, block)]
+            sel = wide.filter(F.col("_lo") == F.col("_hi"))
+        else:
+            pairs = [(i, block + j) for i in range(block) for j in range(block)]
+            sel = wide.filter(F.col("_lo") < F.col("_hi"))
+        moments = sel.groupBy("_lo", "_hi").agg(
+            *[masked_corr(f"_w{i}", f"_w{j}").alias(f"_c{n}") for n, (i, j) in enumerate(pairs)]
+        )
+        entries = []
+        for n, (i, j) in enumerate(pairs):
+            x = F.col("_lo") * F.lit(block) + F.lit(i)
+            y = (F.col("_lo") if same_block else F.col("_hi")) * F.lit(block) + F.lit(j if same_block else j - block)
+            entries.append(F.struct(x.alias("_x"), y.alias("_y"), F.col(f"_c{n}").alias("corr")))
+            if not (same_block and i == j):
+                entries.append(F.struct(y.alias("_x"), x.alias("_y"), F.col(f"_c{n}").alias("corr")))
+        parts.append(moments.select(F.inline(F.array(*entries))))
+    cells = parts[0].unionByName(parts[1]).filter((F.col("_x") < F.lit(k)) & (F.col("_y") < F.lit(k)))
+    return cells.select(
+        F.element_at(names, F.col("_x") + 1).alias("ticker_x"),
+        F.element_at(names, F.col("_y") + 1).alias("ticker_y"),
+        "corr",
+    )
+
+
 def ticker_correlation(
     bars: DataFrame,
     tickers: Iterable[str] | None = None,
     feature: str = "close",
-    block: int = 16,
+    block: int = 8,
 ) -> DataFrame:
     """Correlation of ``feature`` between every pair of chosen tickers (both
     orders and the diagonal), over the dates shared by all of them; each pair
     skips dates where either value is NULL.  At least two tickers are needed.
 
     Up to ``block`` tickers: one wide frame, one aggregation.  Beyond, the
-    shared dates are found once, the chosen rows on them are checkpointed,
-    and each pair of ticker blocks builds its own wide frame of at most
-    ``2 * block`` columns, so no aggregation grows with the ticker count.
-    Columns: ticker_x, ticker_y, corr.
+    blocked layout of ``_blocked_correlation``: the same few shuffles for
+    any number of tickers.  Columns: ticker_x, ticker_y, corr.
     """
     chosen = resolve_tickers(bars, tickers)
     if len(chosen) < 2:
@@ -133,22 +189,8 @@ def ticker_correlation(
     if block < 1:
         raise ValueError("block must be >= 1")
     k = len(chosen)
+    if k > block:
+        return _blocked_correlation(bars, chosen, feature, block)
     slots = [f"_v{i}" for i in range(k)]
-    if k <= block:
-        wide = aligned_frame(bars, chosen, feature, slots)
-        return _pair_rows(wide, chosen, slots, [(i, j) for i in range(k) for j in range(i, k)])
-    rows = bars.filter(F.col("ticker").isin(chosen)).select("ticker", "date", F.col(feature).alias("_v"))
-    shared = rows.groupBy("date").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") == F.lit(k)).select("date")
-    on_shared = materialize(rows.join(shared, "date", "left_semi"))
-    groups = [list(range(i, min(i + block, k))) for i in range(0, k, block)]
-    parts = []
-    for gi, ga in enumerate(groups):
-        for gb in groups[gi:]:
-            idx = sorted(set(ga) | set(gb))
-            wide = (
-                on_shared.filter(F.col("ticker").isin([chosen[i] for i in idx]))
-                .groupBy("date")
-                .agg(*[F.max(F.when(F.col("ticker") == F.lit(chosen[i]), F.col("_v"))).alias(slots[i]) for i in idx])
-            )
-            parts.append(_pair_rows(wide, chosen, slots, [(i, j) for i in ga for j in gb if i <= j]))
-    return functools.reduce(DataFrame.unionByName, parts)
+    wide = aligned_frame(bars, chosen, feature, slots)
+    return _pair_rows(wide, chosen, slots, [(i, j) for i in range(k) for j in range(i, k)])
