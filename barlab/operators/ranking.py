@@ -2,7 +2,9 @@
 
 Per ticker, a top-1 is an aggregate (``max_by``/``min_by`` over a struct
 ordering key that makes the winner unique), so it runs as partial + final
-aggregation with no sort.  Over all tickers, ``orderBy(...).limit(k)``
+aggregation.  A struct key makes Spark pick a sort-based aggregate: after
+the series window the data is already sorted by ticker, elsewhere only
+bars-sized data is sorted.  Over all tickers, ``orderBy(...).limit(k)``
 plans as TakeOrderedAndProject: a top-k per partition, then a merge of
 k rows per partition.
 

@@ -1,5 +1,7 @@
 """Registered queries: each reads the test tables of an ``sf_dir``, builds
-bars with ``bars_from_orders`` and runs one operator over the whole table.
+bars from them (``bars_from_orders`` by order priority; the ``_events``
+keys with ``bars_from_events``; the ``_by_customer`` keys from ``orders``
+with one series per customer) and runs one operator over the whole table.
 
 Parameters are fixed so the DuckDB oracle (``barlab.plans.oracle``) can state
 the same query: date range 1996-01-01..1998-12-31 (closed, or half-open for
