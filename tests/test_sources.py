@@ -51,3 +51,15 @@ def test_half_open_range(spark):
     bars = bars_from_orders(spark, SF001)
     got = filter_bars(bars, start="1996-01-01", end="1996-02-01").agg(F.min("date"), F.max("date")).collect()[0]
     assert got[0] >= dt.date(1996, 1, 1) and got[1] <= dt.date(1996, 1, 31)
+
+
+def test_materialize_cuts_lineage(spark):
+    from barlab.plans.materialize import checkpoint_dir, materialize
+
+    assert checkpoint_dir(spark) is not None
+    bars = bars_from_orders(spark, SF001)
+    cut = materialize(bars)
+    plan = physical_plan(cut)
+    assert "orders.parquet" not in plan and "HashAggregate" not in plan
+    assert cut.count() == bars.count()
+    assert cut.exceptAll(bars).count() == 0
