@@ -63,3 +63,23 @@ def test_materialize_cuts_lineage(spark):
     assert "orders.parquet" not in plan and "HashAggregate" not in plan
     assert cut.count() == bars.count()
     assert cut.exceptAll(bars).count() == 0
+
+
+def test_bars_from_ticks_with_volume(spark):
+    from barlab.sources.bars import bars_from_ticks
+
+    ticks = spark.createDataFrame(
+        [
+            ("A", dt.datetime(2020, 1, 1, 10, 0), 10.0, 2, 5.0),
+            ("A", dt.datetime(2020, 1, 1, 9, 0), 11.0, 1, 3.0),
+            ("A", dt.datetime(2020, 1, 1, 11, 0), float("nan"), 3, 1.0),
+            ("A", dt.datetime(2020, 1, 2, 9, 0), 12.0, 4, 1.0),
+        ],
+        "sym string, ts timestamp_ntz, px double, seq long, size double",
+    )
+    got = {r.date: r for r in bars_from_ticks(ticks, "sym", "ts", "px", "seq", volume="size").collect()}
+    d1 = got[dt.date(2020, 1, 1)]
+    # the last tick of day 1 has a NaN price: it becomes NULL, so the close is NULL
+    assert (d1.open, d1.high, d1.low, d1.close, d1.volume) == (11.0, 11.0, 10.0, None, 9.0)
+    d2 = got[dt.date(2020, 1, 2)]
+    assert (d2.open, d2.close, d2.adj_close, d2.volume) == (12.0, 12.0, 12.0, 1.0)
