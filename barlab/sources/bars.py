@@ -100,7 +100,7 @@ def load_bars(
     ``ticker_from_path`` is for one-series-per-file layouts, where the files
     hold no ticker column: ``"file"`` (or True) takes the file name without
     extension, ``"dir"`` the name of the folder holding the file (as Spark
-    writes ``MSFT.parquet/part-*``).  The path comes from the hidden
+    writes ``ABC.parquet/part-*``).  The path comes from the hidden
     ``_metadata`` column, so no extra listing job runs.
     """
     reader = spark.read.format(fmt)

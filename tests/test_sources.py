@@ -29,7 +29,7 @@ def test_parquet_round_trip_with_pruning(spark):
 
 
 def test_csv_with_original_labels(spark):
-    rows = [("AAPL", "2020-01-02", 1.0, 2.0, 0.5, 1.5, 1.4, 100.0), ("AAPL", "2020-01-03", 1.5, 2.5, 1.0, 2.0, 1.9, 200.0)]
+    rows = [("XYZ", "2020-01-02", 1.0, 2.0, 0.5, 1.5, 1.4, 100.0), ("XYZ", "2020-01-03", 1.5, 2.5, 1.0, 2.0, 1.9, 200.0)]
     df = spark.createDataFrame(rows, "Ticker string, Date string, Open double, High double, Low double, Close double, `Adj Close` double, Volume double")
     out = os.path.join(_tmp(), "csv")
     df.coalesce(1).write.option("header", "true").csv(out)
@@ -41,10 +41,10 @@ def test_csv_with_original_labels(spark):
 
 def test_ticker_from_file_name(spark):
     base = _tmp()
-    for t, c in (("MSFT", 10.0), ("GOOGL", 20.0)):
+    for t, c in (("ABC", 10.0), ("DEF", 20.0)):
         spark.createDataFrame([("2020-01-02", c, c, c, c, c, 1.0)], "Date string, Open double, High double, Low double, Close double, `Adj Close` double, Volume double").write.json(os.path.join(base, f"{t}.json"))
-    back = load_bars(spark, [os.path.join(base, "MSFT.json"), os.path.join(base, "GOOGL.json")], fmt="json", ticker_from_path="dir")
-    assert {(r.ticker, r.close) for r in back.collect()} == {("MSFT", 10.0), ("GOOGL", 20.0)}
+    back = load_bars(spark, [os.path.join(base, "ABC.json"), os.path.join(base, "DEF.json")], fmt="json", ticker_from_path="dir")
+    assert {(r.ticker, r.close) for r in back.collect()} == {("ABC", 10.0), ("DEF", 20.0)}
 
 
 def test_half_open_range(spark):
