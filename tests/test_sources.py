@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from barlab.plans.inspect import physical_plan
 from barlab.sources.bars import bars_from_orders, filter_bars, load_bars, write_bars
-from conftest import SF001
+import pytest
+
+from conftest import SF0001, SF001
 
 
 def _tmp():
@@ -83,3 +85,17 @@ def test_bars_from_ticks_with_volume(spark):
     assert (d1.open, d1.high, d1.low, d1.close, d1.volume) == (11.0, 11.0, 10.0, None, 9.0)
     d2 = got[dt.date(2020, 1, 2)]
     assert (d2.open, d2.close, d2.adj_close, d2.volume) == (12.0, 12.0, 12.0, 1.0)
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "orc", "json", "csv"])
+def test_formats_round_trip(spark, fmt):
+    bars = bars_from_orders(spark, SF0001)
+    out = os.path.join(_tmp(), fmt)
+    writer = bars.coalesce(2).write.format(fmt)
+    if fmt == "csv":
+        writer = writer.option("header", "true")
+    writer.save(out)
+    back = load_bars(spark, out, fmt=fmt)
+    assert back.schema == bars.schema or back.dtypes == bars.dtypes
+    assert back.count() == bars.count()
+    assert back.exceptAll(bars).count() == 0
