@@ -71,3 +71,12 @@ def test_bars_aggregate_is_hash_based(spark):
     """min_by/max_by on a primitive key stay in HashAggregate: no sort of ticks."""
     plan = physical_plan(QUERIES["bars"](spark, SF001))
     assert "SortAggregate" not in plan and plan.count("HashAggregate") == 2
+
+
+@pytest.mark.parametrize("name", ["load_bars_range", "return_histogram", "best_intraday_year"])
+def test_date_range_reaches_the_tick_scan(spark, name):
+    """A range on the bar date is pushed through the bar aggregation and
+    unwrapped from the date cast into a Parquet filter on the raw timestamp."""
+    plan = physical_plan(QUERIES[name](spark, SF001))
+    pushed = plan.split("PushedFilters: [")[1].split("]")[0]
+    assert "GreaterThanOrEqual(o_orderdate" in pushed and "LessThan(o_orderdate" in pushed
