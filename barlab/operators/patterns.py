@@ -20,8 +20,9 @@ from barlab.functions.columns import (
     series,
     weekday_name,
 )
+from barlab.operators._tickers import with_every_ticker
 from barlab.operators.returns import with_returns
-from barlab.sources.bars import _as_date
+from barlab.sources.bars import filter_bars
 
 
 def trend_days(bars: DataFrame) -> DataFrame:
@@ -75,22 +76,22 @@ def best_weekday(bars: DataFrame, weekdays_only: bool = False, drop_missing_firs
     )
 
 
-def seasonal_close(bars: DataFrame, start=None, end=None) -> DataFrame:
-    """Average close per meteorological season over bars in ``[start, end]``;
-    a season without bars is NULL, and every ticker of the input appears.
+def seasonal_close(bars: DataFrame, start=None, end=None, every_ticker: bool = True) -> DataFrame:
+    """Average close per meteorological season over bars in ``[start, end]``
+    (the range reaches the scan); a season without bars is NULL.
+    Conditional aggregates give the wide row in one group-by, no pivot.
 
-    Conditional aggregates give the wide row directly: one pass, no pivot
-    and no join.  Columns: ticker, winter, spring, summer, autumn.
+    With ``every_ticker`` (the default) a ticker with no bars in the range
+    is listed with all seasons NULL, as the analysis lists every series.
+    Columns: ticker, winter, spring, summer, autumn.
     """
-    sel = F.lit(True)
-    if start is not None:
-        sel = sel & (F.col("date") >= F.lit(_as_date(start)))
-    if end is not None:
-        sel = sel & (F.col("date") <= F.lit(_as_date(end)))
-    df = bars.select("ticker", "close", F.when(sel, season("date")).alias("_season"))
-    return df.groupBy("ticker").agg(
-        *[F.avg(F.when(F.col("_season") == name, F.col("close"))).alias(name.lower()) for name, _ in SEASONS]
+    sel = filter_bars(bars, start=start, end=end, end_inclusive=True)
+    per = (
+        sel.select("ticker", "close", season("date").alias("_season"))
+        .groupBy("ticker")
+        .agg(*[F.avg(F.when(F.col("_season") == name, F.col("close"))).alias(name.lower()) for name, _ in SEASONS])
     )
+    return with_every_ticker(bars, per) if every_ticker else per
 
 
 def _signed_days(bars: DataFrame, join_first_row: bool) -> DataFrame:

@@ -16,52 +16,43 @@ and no second shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barlab.functions.columns import pct_change, ratio, series, whole_series
+from barlab.operators._tickers import with_every_ticker
 from barlab.operators.returns import with_returns
-from barlab.sources.bars import _as_date, filter_bars
+from barlab.sources.bars import filter_bars
 
 
-def _in_range(start, end) -> Column:
-    return F.col("date").between(F.lit(_as_date(start)), F.lit(_as_date(end)))
-
-
-def return_consistency(bars: DataFrame, start=None, end=None, drop_missing_first: bool = True) -> DataFrame:
+def return_consistency(
+    bars: DataFrame, start=None, end=None, drop_missing_first: bool = True, every_ticker: bool = True
+) -> DataFrame:
     """Sample standard deviation of daily returns per ticker, over bars in
-    ``[start, end]`` with open and close present; +inf when there are fewer
-    than two returns.  Every ticker of the input appears.
-
-    One pass: bars outside the selection sort first within a ticker and the
-    lag is only trusted when the previous row is selected too, which is the
-    same as filtering before the lag, yet keeps tickers with nothing
-    selected.  ``drop_missing_first=False`` keeps bars without open or close
-    in the chain (NULL returns around them).  Columns: ticker, std_dev.
+    ``[start, end]`` (with open and close present, unless
+    ``drop_missing_first=False``); +inf when there are fewer than two
+    returns.  The range filter runs before the lag and reaches the scan.
+
+    With ``every_ticker`` (the default, as the analysis lists every series)
+    a ticker with no bars in the range is reported with +inf; without it,
+    such tickers are absent and the ticker-list branch is skipped.
+    Columns: ticker, std_dev.
     """
-    keep = F.col("open").isNotNull() & F.col("close").isNotNull() if drop_missing_first else F.lit(True)
-    if start is not None and end is not None:
-        keep = keep & _in_range(start, end)
-    elif start is not None:
-        keep = keep & (F.col("date") >= F.lit(_as_date(start)))
-    elif end is not None:
-        keep = keep & (F.col("date") <= F.lit(_as_date(end)))
-    w = Window.partitionBy("ticker").orderBy("_keep", "date")
-    df = bars.select("ticker", "date", "close", F.coalesce(keep, F.lit(False)).alias("_keep"))
-    ret = F.when(
-        F.col("_keep") & F.lag("_keep", 1).over(w),
-        pct_change(F.col("close"), F.lag("close", 1).over(w)),
-    )
-    return (
-        df.select("ticker", ret.alias("_ret"))
+    stats = (
+        _selected_returns(bars, start, end, drop_missing_first)
         .groupBy("ticker")
-        .agg(F.coalesce(F.stddev_samp("_ret"), F.lit(float("inf"))).alias("std_dev"))
+        .agg(F.stddev_samp("ret").alias("_sd"))
     )
+    if every_ticker:
+        stats = with_every_ticker(bars, stats)
+    return stats.select("ticker", F.coalesce(F.col("_sd"), F.lit(float("inf"))).alias("std_dev"))
 
 
-def most_consistent(bars: DataFrame, start=None, end=None, k: int = 3, drop_missing_first: bool = True) -> DataFrame:
+def most_consistent(
+    bars: DataFrame, start=None, end=None, k: int = 3, drop_missing_first: bool = True, every_ticker: bool = True
+) -> DataFrame:
     """The ``k`` tickers with the steadiest returns (smallest std_dev)."""
-    return return_consistency(bars, start, end, drop_missing_first).orderBy(F.asc("std_dev"), F.asc("ticker")).limit(k)
+    return return_consistency(bars, start, end, drop_missing_first, every_ticker).orderBy(F.asc("std_dev"), F.asc("ticker")).limit(k)
 
 
 def _selected_returns(bars: DataFrame, start, end, drop_missing_first: bool) -> DataFrame:

@@ -73,10 +73,21 @@ def test_bars_aggregate_is_hash_based(spark):
     assert "SortAggregate" not in plan and plan.count("HashAggregate") == 2
 
 
-@pytest.mark.parametrize("name", ["load_bars_range", "return_histogram", "best_intraday_year"])
+@pytest.mark.parametrize(
+    "name",
+    ["load_bars_range", "return_histogram", "best_intraday_year", "return_consistency", "most_consistent_top3", "seasonal_close"],
+)
 def test_date_range_reaches_the_tick_scan(spark, name):
     """A range on the bar date is pushed through the bar aggregation and
     unwrapped from the date cast into a Parquet filter on the raw timestamp."""
     plan = physical_plan(QUERIES[name](spark, SF001))
-    pushed = plan.split("PushedFilters: [")[1].split("]")[0]
-    assert "GreaterThanOrEqual(o_orderdate" in pushed and "LessThan(o_orderdate" in pushed
+    pushed = [part.split("]")[0] for part in plan.split("PushedFilters: [")[1:]]
+    assert any("GreaterThanOrEqual(o_orderdate" in p and "LessThan(o_orderdate" in p for p in pushed), pushed
+
+
+@pytest.mark.parametrize("name", ["return_consistency", "seasonal_close"])
+def test_every_ticker_branch_reads_one_column(spark, name):
+    """The ticker list of the every-ticker join scans the ticker column only."""
+    plan = physical_plan(QUERIES[name](spark, SF001))
+    schemas = [line.split("ReadSchema: ")[1] for line in plan.splitlines() if "ReadSchema: " in line]
+    assert "struct<o_orderpriority:string>" in schemas

@@ -100,6 +100,11 @@ def test_ticker_without_selected_bars_is_still_reported(make_bars):
     bars = make_bars([("A", "2020-01-01", 1, 1), ("A", "2020-01-02", 1, 2), ("B", "2019-01-01", 1, 2)])
     got = {r.ticker: r.std_dev for r in ops.return_consistency(bars, "2020-01-01", "2020-12-31").collect()}
     assert got == {"A": float("inf"), "B": float("inf")}
+    seasons = {r.ticker: tuple(r)[1:] for r in ops.seasonal_close(bars, "2020-01-01", "2020-12-31").collect()}
+    assert seasons == {"A": (1.5, None, None, None), "B": (None, None, None, None)}
+    # without the every-ticker branch, only tickers with selected bars appear
+    assert [r.ticker for r in ops.return_consistency(bars, "2020-01-01", "2020-12-31", every_ticker=False).collect()] == ["A"]
+    assert [r.ticker for r in ops.seasonal_close(bars, "2020-01-01", "2020-12-31", every_ticker=False).collect()] == ["A"]
 
 
 def test_missing_season_is_null(make_bars):
