@@ -32,6 +32,8 @@ MONTH = 1
 YEAR = 1997
 FEATURE = "close"
 BINS = 50
+EVENTS_START = _dt.date(2024, 1, 5)
+EVENTS_END = _dt.date(2024, 1, 25)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -133,6 +135,17 @@ EVENT_QUERIES: dict[str, Query] = {
     "trend_days_events": _q_events(patterns.trend_days),
     "longest_streaks_events": _q_events(patterns.longest_streaks),
     "close_extremes_events": _q_events(ranking.close_extremes),
+    "first_rows_events": _q_events(lambda b: profile.first_rows(b, N_ROWS)),
+    "feature_correlation_events": _q_events(correlation.feature_correlation),
+    "monthly_price_change_events": _q_events(returns.monthly_price_change),
+    "highest_daily_return_events": _q_events(ranking.highest_daily_return),
+    "best_intraday_month_events": _q_events(lambda b: ranking.best_intraday(b, month=MONTH)),
+    "best_weekday_events": _q_events(patterns.best_weekday),
+    "streak_runs_events": _q_events(patterns.streak_runs),
+    # The events span January 2024, so the range analyses use that month.
+    "return_histogram_events": _q_events(lambda b: risk.return_histogram(b, EVENTS_START, EVENTS_END, BINS)),
+    "return_consistency_events": _q_events(lambda b: risk.return_consistency(b, EVENTS_START, EVENTS_END)),
+    "seasonal_close_events": _q_events(lambda b: patterns.seasonal_close(b, EVENTS_START, EVENTS_END)),
 }
 QUERIES.update(EVENT_QUERIES)
 

@@ -10,7 +10,7 @@ guarded form gives NULL, so NaN maps to NULL.
 
 from __future__ import annotations
 
-from barlab.plans.catalog import BINS, END, MONTH, N_AVG, N_ROWS, START, YEAR
+from barlab.plans.catalog import BINS, END, EVENTS_END, EVENTS_START, MONTH, N_AVG, N_ROWS, START, YEAR
 from barlab.schema import PRICE_COLUMNS
 
 S, E = f"DATE '{START.isoformat()}'", f"DATE '{END.isoformat()}'"
@@ -336,8 +336,15 @@ ORACLE_SQL: dict[str, str] = {
 for _name in (
     "bars", "daily_returns", "describe_stats", "aligned_closes", "ticker_correlation", "weekly_averages",
     "sma", "ema_recursive", "outlier_summary", "trend_days", "longest_streaks", "close_extremes",
+    "first_rows", "feature_correlation", "monthly_price_change", "highest_daily_return", "best_intraday_month",
+    "best_weekday", "streak_runs", "return_histogram", "return_consistency", "seasonal_close",
 ):
-    ORACLE_SQL[f"{_name}_events"] = ORACLE_SQL[_name].replace(BARS_BODY, EVENTS_BODY)
+    ORACLE_SQL[f"{_name}_events"] = (
+        ORACLE_SQL[_name]
+        .replace(BARS_BODY, EVENTS_BODY)
+        .replace(S, f"DATE '{EVENTS_START.isoformat()}'")
+        .replace(E, f"DATE '{EVENTS_END.isoformat()}'")
+    )
 
 
 # Many-ticker variant: one series per customer.
