@@ -1,4 +1,4 @@
-"""Physical-plan checks used by tests and the benchmark."""
+"""Physical-plan access for tests and the plan report."""
 
 from __future__ import annotations
 
@@ -8,16 +8,3 @@ from pyspark.sql import DataFrame
 def physical_plan(df: DataFrame) -> str:
     """The executed plan as text (AQE's initial plan when not yet run)."""
     return df._jdf.queryExecution().executedPlan().toString()
-
-
-def single_partition_exchanges(df: DataFrame) -> int:
-    """How many ``Exchange SinglePartition`` the plan holds (a global window
-    or a global sort would add one)."""
-    return physical_plan(df).count("SinglePartition")
-
-
-def exchange_count(df: DataFrame) -> int:
-    plan = physical_plan(df)
-    return plan.count("Exchange hashpartitioning") + plan.count("Exchange rangepartitioning") + plan.count(
-        "Exchange SinglePartition"
-    )
