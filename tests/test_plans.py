@@ -91,3 +91,12 @@ def test_every_ticker_branch_reads_one_column(spark, name):
     plan = physical_plan(QUERIES[name](spark, SF001))
     schemas = [line.split("ReadSchema: ")[1] for line in plan.splitlines() if "ReadSchema: " in line]
     assert "struct<o_orderpriority:string>" in schemas
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_python_only_in_the_recursive_ema(spark, name):
+    """No row-at-a-time or scalar pandas UDF anywhere; the one Python stage
+    is the recursive EMA's mapInPandas."""
+    plan = physical_plan(QUERIES[name](spark, SF001))
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+    assert ("MapInPandas" in plan) == name.startswith("ema_recursive")
