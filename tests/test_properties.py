@@ -83,3 +83,21 @@ def test_events_fixture_has_dense_shared_dates(spark):
     assert ev.count() == 150
     aligned = ops.aligned_closes(ev)
     assert aligned.count() == 30
+
+
+def test_pages_build_every_result_lazily(bars):
+    from barlab.plans.catalog import END as C_END
+    from barlab.plans.catalog import START as C_START
+    from barlab.plans.catalog import finish
+    from barlab.plans.pages import pages
+
+    out = pages(bars, start=C_START, end=C_END, year=1997)
+    assert len(out) == 38
+    for name, df in out.items():
+        assert df.columns, name
+    same = finish(out["momentum/longest_streaks"]).orderBy("ticker").collect()
+    want = finish(ops.longest_streaks(bars)).orderBy("ticker").collect()
+    assert same == want
+    assert out["consistent_returns/top3"].count() == 3
+    one = pages(bars.filter("ticker = '1-URGENT'"))
+    assert "ticker_correlation/matrix" not in one and len(one) == 37
