@@ -256,3 +256,44 @@ def test_ticker_correlation_blocked(cases):
             assert want is not None
     single = {(r.ticker_x, r.ticker_y): r.corr for r in ops.ticker_correlation(df, chosen).collect()}
     assert all(_close(single[k], got[k], 1e-12) for k in got)
+
+
+def _corr(pairs):
+    if len(pairs) < 2:
+        return None
+    mx = sum(x for x, _ in pairs) / len(pairs)
+    my = sum(y for _, y in pairs) / len(pairs)
+    sx = math.sqrt(sum((x - mx) ** 2 for x, _ in pairs))
+    sy = math.sqrt(sum((y - my) ** 2 for _, y in pairs))
+    if sx == 0 or sy == 0:
+        return None
+    return sum((x - mx) * (y - my) for x, y in pairs) / (sx * sy)
+
+
+def test_describe_stats(cases):
+    df, series = cases
+    got = {(r.ticker, r.column_name): r for r in ops.describe_stats(df, ["open", "close", "volume"]).collect()}
+    pos = {"open": 2, "close": 5, "volume": 7}
+    for t, rs in series.items():
+        for name, i in pos.items():
+            xs = sorted(r[i] for r in rs if r[i] is not None)
+            g = got[(t, name)]
+            assert g.n == len(xs)
+            if not xs:
+                assert (g.mean, g.min, g.max, g.median) == (None, None, None, None)
+                continue
+            mid = len(xs) // 2
+            median = xs[mid] if len(xs) % 2 else (xs[mid - 1] + xs[mid]) / 2
+            assert _close(g.mean, sum(xs) / len(xs)) and _close(g.stddev, _stdev(xs))
+            assert (g.min, g.max) == (xs[0], xs[-1]) and _close(g.median, median), (t, name)
+
+
+def test_feature_correlation(cases):
+    df, series = cases
+    got = {(r.ticker, r.feature_x, r.feature_y): r.corr for r in ops.feature_correlation(df, ["open", "close", "volume"]).collect()}
+    pos = {"open": 2, "close": 5, "volume": 7}
+    for t, rs in series.items():
+        for a, i in pos.items():
+            for b, j in pos.items():
+                pairs = [(r[i], r[j]) for r in rs if r[i] is not None and r[j] is not None]
+                assert _close(got[(t, a, b)], _corr(pairs), 1e-7), (t, a, b)
