@@ -94,6 +94,7 @@ def load_bars(
     end=None,
     options: dict | None = None,
     ticker_from_path: bool | str = False,
+    ticker: str | None = None,
 ) -> DataFrame:
     """Read bars from files of any Spark-supported format.
 
@@ -101,7 +102,8 @@ def load_bars(
     hold no ticker column: ``"file"`` (or True) takes the file name without
     extension, ``"dir"`` the name of the folder holding the file (as Spark
     writes ``ABC.parquet/part-*``).  The path comes from the hidden
-    ``_metadata`` column, so no extra listing job runs.
+    ``_metadata`` column, so no extra listing job runs.  ``ticker`` labels a
+    source that holds a single series with a constant.
     """
     reader = spark.read.format(fmt)
     if fmt == "csv":
@@ -118,7 +120,7 @@ def load_bars(
             raw = raw.filter(F.col("year") >= _as_date(start).year)
         if end is not None:
             raw = raw.filter(F.col("year") <= _as_date(end).year)
-    return filter_bars(normalize_bars(raw), tickers, start, end)
+    return filter_bars(normalize_bars(raw, ticker), tickers, start, end)
 
 
 def bars_from_ticks(

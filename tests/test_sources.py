@@ -99,3 +99,13 @@ def test_formats_round_trip(spark, fmt):
     assert back.schema == bars.schema or back.dtypes == bars.dtypes
     assert back.count() == bars.count()
     assert back.exceptAll(bars).count() == 0
+
+
+def test_single_series_with_constant_label(spark):
+    out = os.path.join(_tmp(), "one")
+    spark.createDataFrame(
+        [("2020-01-02", 1.0, 2.0, 0.5, 1.5, 1.4, 100.0)],
+        "Date string, Open double, High double, Low double, Close double, `Adj Close` double, Volume double",
+    ).write.parquet(out)
+    back = load_bars(spark, out, ticker="XYZ", tickers=["XYZ"])
+    assert [(r.ticker, r.close) for r in back.collect()] == [("XYZ", 1.5)]
