@@ -25,7 +25,7 @@ from barlab.operators.periods import (
 )
 from barlab.operators.profile import bar_coverage, describe_stats, first_rows, last_rows
 from barlab.operators.ranking import best_intraday, close_extremes, highest_daily_return, highest_daily_return_overall
-from barlab.operators.returns import calendar_month_change, daily_returns, intraday_returns, monthly_price_change, with_monthly_change, with_returns
+from barlab.operators.returns import calendar_month_change, daily_returns, daily_returns_year_split, intraday_returns, monthly_price_change, with_monthly_change, with_returns
 from barlab.operators.risk import (
     flag_outliers,
     most_consistent,
@@ -46,6 +46,7 @@ __all__ = [
     "calendar_month_change",
     "close_extremes",
     "daily_returns",
+    "daily_returns_year_split",
     "describe_stats",
     "ema_one_step",
     "ema_recursive",

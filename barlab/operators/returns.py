@@ -39,6 +39,50 @@ def daily_returns(bars: DataFrame) -> DataFrame:
     return with_returns(bars).select("ticker", "date", "close", "daily_return", "daily_change")
 
 
+def daily_returns_year_split(bars: DataFrame) -> DataFrame:
+    """``daily_returns`` for series too long, or tickers too hot, for one
+    window task: each ticker's history is split by calendar year.
+
+    The lag runs within (ticker, year) partitions, so no task holds more
+    than one ticker-year.  The first bar of a year takes the last close of
+    the ticker's previous year with bars, from a per-(ticker, year) table
+    (one row per ticker-year, built with a partial aggregation and a lag
+    over years) joined on (ticker, year).  Same rows and the same
+    arithmetic as ``daily_returns``.  Columns: ticker, date, close,
+    daily_return, daily_change.
+    """
+    df = bars.select("ticker", "date", "close", F.year("date").alias("_y"))
+    in_year = Window.partitionBy("ticker", "_y").orderBy("date")
+    rows = df.select(
+        "ticker",
+        "date",
+        "close",
+        "_y",
+        F.lag("close", 1).over(in_year).alias("_prev"),
+        F.lag("date", 1).over(in_year).isNull().alias("_first"),
+    )
+    carry = (
+        df.groupBy("ticker", "_y")
+        .agg(F.max_by("close", "date").alias("_last"))
+        .select(
+            F.col("ticker").alias("_ct"),
+            F.col("_y").alias("_cy"),
+            F.lag("_last", 1).over(Window.partitionBy("ticker").orderBy("_y")).alias("_carry"),
+        )
+    )
+    # Null-safe keys: no not-null filter is inferred into the carry branch,
+    # so both branches share one tick-to-bar exchange (Spark reuses it).
+    on = F.col("ticker").eqNullSafe(F.col("_ct")) & F.col("_y").eqNullSafe(F.col("_cy"))
+    prev = F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_prev"))
+    return rows.join(carry, on, "left").select(
+        "ticker",
+        "date",
+        "close",
+        pct_change(F.col("close"), prev).alias("daily_return"),
+        (F.col("close") - prev).alias("daily_change"),
+    )
+
+
 def with_monthly_change(df: DataFrame) -> DataFrame:
     """Add ``monthly_change``: close minus the close of the previous row in
     month-number order.

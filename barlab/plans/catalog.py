@@ -68,6 +68,7 @@ QUERIES: dict[str, Query] = {
     "ticker_correlation": _q(lambda b: correlation.ticker_correlation(b, None, FEATURE)),
     # returns (C4)
     "daily_returns": _q(returns.daily_returns),
+    "daily_returns_year_split": _q(returns.daily_returns_year_split),
     "monthly_price_change": _q(returns.monthly_price_change),
     # period averages (C5, C7)
     "weekly_averages": _q(lambda b: periods.period_averages(b, "week")),
@@ -125,6 +126,7 @@ def _q_events(op: Callable[[DataFrame], DataFrame]) -> Query:
 EVENT_QUERIES: dict[str, Query] = {
     "bars_events": _q_events(lambda b: b),
     "daily_returns_events": _q_events(returns.daily_returns),
+    "daily_returns_year_split_events": _q_events(returns.daily_returns_year_split),
     "describe_stats_events": _q_events(profile.describe_stats),
     "aligned_closes_events": _q_events(lambda b: correlation.aligned_closes(b, None, FEATURE)),
     "ticker_correlation_events": _q_events(lambda b: correlation.ticker_correlation(b, None, FEATURE)),
@@ -163,6 +165,7 @@ def _q_customers(op: Callable[[DataFrame], DataFrame]) -> Query:
 CUSTOMER_QUERIES: dict[str, Query] = {
     "bars_by_customer": _q_customers(lambda b: b),
     "daily_returns_by_customer": _q_customers(returns.daily_returns),
+    "daily_returns_year_split_by_customer": _q_customers(returns.daily_returns_year_split),
     "weekly_averages_by_customer": _q_customers(lambda b: periods.period_averages(b, "week")),
     "highest_daily_return_by_customer": _q_customers(ranking.highest_daily_return),
     "close_extremes_by_customer": _q_customers(ranking.close_extremes),

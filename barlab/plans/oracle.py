@@ -356,3 +356,8 @@ for _name in (
     "return_histogram", "return_consistency", "outlier_summary", "trend_days", "best_weekday", "longest_streaks",
 ):
     ORACLE_SQL[f"{_name}_by_customer"] = ORACLE_SQL[_name].replace(BARS_BODY, CUSTOMER_BODY)
+
+
+# The year-split variant computes the same rows as the plain daily returns.
+for _suffix in ("", "_events", "_by_customer"):
+    ORACLE_SQL[f"daily_returns_year_split{_suffix}"] = ORACLE_SQL[f"daily_returns{_suffix}"]

@@ -297,3 +297,14 @@ def test_feature_correlation(cases):
             for b, j in pos.items():
                 pairs = [(r[i], r[j]) for r in rs if r[i] is not None and r[j] is not None]
                 assert _close(got[(t, a, b)], _corr(pairs), 1e-7), (t, a, b)
+
+
+def test_year_split_returns_over_many_years(cases):
+    df, _ = cases
+    from pyspark.sql import functions as F
+
+    # Spread each random series over several years (day n -> n * 40 days later).
+    spread = df.withColumn("date", F.date_add(F.lit("2015-01-01").cast("date"), F.datediff("date", F.lit("2020-01-01")) * 40))
+    want = sorted(map(tuple, ops.daily_returns(spread).collect()))
+    got = sorted(map(tuple, ops.daily_returns_year_split(spread).collect()))
+    assert got == want

@@ -218,3 +218,16 @@ def test_ticker_with_only_null_returns_reports_first_day(make_bars):
 def test_volume_leader_tie_goes_to_smaller_ticker(make_bars):
     bars = make_bars([("B", "2020-01-01", 1, 1), ("A", "2020-01-01", 1, 1)])
     assert ops.highest_volume(bars).collect()[0].ticker == "A"
+
+
+def test_year_split_returns_equal_plain_returns(make_bars):
+    bars = make_bars([
+        ("A", "2018-06-01", 1, 4), ("A", "2019-12-30", 1, 5), ("A", "2019-12-31", 1, None),
+        ("A", "2021-01-04", 1, 8), ("A", "2021-01-05", 1, 10), ("B", "2021-01-04", 1, 2), ("B", "2022-03-01", 1, 3),
+    ])
+    want = sorted(map(tuple, ops.daily_returns(bars).collect()))
+    got = sorted(map(tuple, ops.daily_returns_year_split(bars).collect()))
+    assert got == want
+    by_date = {(r[0], str(r[1])): r[3] for r in got}
+    assert by_date[("A", "2019-12-30")] == 0.25 and by_date[("A", "2021-01-04")] is None  # previous close NULL
+    assert by_date[("B", "2022-03-01")] == 0.5
