@@ -10,7 +10,6 @@ from barlab.functions.columns import (
     later_first,
     masked_corr,
     pct_change,
-    prev,
     ratio,
     round6,
     season,
@@ -29,7 +28,6 @@ __all__ = [
     "later_first",
     "masked_corr",
     "pct_change",
-    "prev",
     "ratio",
     "round6",
     "season",

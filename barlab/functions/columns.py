@@ -27,10 +27,6 @@ def ratio(num: Column, den: Column) -> Column:
     return F.try_divide(num, den)
 
 
-def prev(col: str | Column, w: WindowSpec | None = None) -> Column:
-    return F.lag(c(col), 1).over(w if w is not None else series())
-
-
 def pct_change(cur: Column, before: Column) -> Column:
     return ratio(cur - before, before)
 
