@@ -112,26 +112,73 @@ def _signed_days(bars: DataFrame, join_first_row: bool) -> DataFrame:
     return signed.withColumn("_chg", change).withColumn("streak_id", run_id)
 
 
-def _all_runs(bars: DataFrame, join_first_row: bool) -> DataFrame:
-    return (
-        _signed_days(bars, join_first_row)
-        .groupBy("ticker", "streak_id", "sign")
-        .agg(F.count(F.lit(1)).alias("n"))
+def _signed_days_year_split(bars: DataFrame, join_first_row: bool) -> DataFrame:
+    """The same numbering with each ticker's series split by calendar year.
+
+    Within (ticker, year): the sign changes and their running count.  Per
+    (ticker, year), one small row: first and last sign and the count of
+    changes inside the year.  Over a ticker's years (a window over one row
+    per year): whether the year's first day changes sign from the previous
+    year's last day, and the changes of all earlier years, which offset the
+    run numbers.  A run crossing New Year keeps one number.  The ticker's
+    very first day keeps its NULL number (or 0 with ``join_first_row``).
+    """
+    df = bars.select("ticker", "date", day_sign().alias("sign"), F.year("date").alias("_y"))
+    in_year = Window.partitionBy("ticker", "_y").orderBy("date")
+    rows = df.withColumn("_c", (F.col("sign") != F.lag("sign", 1).over(in_year)).cast("int")).withColumn(
+        "_cum", F.sum("_c").over(in_year.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    )
+    years = rows.groupBy("ticker", "_y").agg(
+        F.min_by("sign", "date").alias("_fs"),
+        F.max_by("sign", "date").alias("_ls"),
+        F.coalesce(F.sum("_c"), F.lit(0).cast("bigint")).alias("_inner"),
+    )
+    over_years = Window.partitionBy("ticker").orderBy("_y")
+    prev_last = F.lag("_ls", 1).over(over_years)
+    first_chg = F.when(prev_last.isNull(), F.lit(0) if join_first_row else F.lit(None)).otherwise(
+        (F.col("_fs") != prev_last).cast("int")
     )
+    years = years.withColumn("_fc", first_chg.cast("bigint"))
+    carry = years.select(
+        F.col("ticker").alias("_ct"),
+        F.col("_y").alias("_cy"),
+        "_fc",
+        F.coalesce(
+            F.sum(F.coalesce("_fc", F.lit(0)) + F.col("_inner")).over(
+                over_years.rowsBetween(Window.unboundedPreceding, -1)
+            ),
+            F.lit(0).cast("bigint"),
+        ).alias("_off"),
+    )
+    # Null-safe keys: no inferred filter, so both sides share the exchange.
+    on = F.col("ticker").eqNullSafe(F.col("_ct")) & F.col("_y").eqNullSafe(F.col("_cy"))
+    first_day = F.col("_c").isNull()
+    run_id = F.when(first_day, F.col("_off") + F.col("_fc")).otherwise(
+        F.col("_off") + F.coalesce(F.col("_fc"), F.lit(0)) + F.col("_cum")
+    )
+    return rows.join(carry, on, "left").select("ticker", "date", "sign", run_id.alias("streak_id"))
+
+
+def _all_runs(bars: DataFrame, join_first_row: bool, year_split: bool = False) -> DataFrame:
+    days = _signed_days_year_split(bars, join_first_row) if year_split else _signed_days(bars, join_first_row)
+    return days.groupBy("ticker", "streak_id", "sign").agg(F.count(F.lit(1)).alias("n"))
 
 
-def streak_runs(bars: DataFrame, join_first_row: bool = False) -> DataFrame:
+def streak_runs(bars: DataFrame, join_first_row: bool = False, year_split: bool = False) -> DataFrame:
     """Runs of consecutive gains (+1) or losses (-1); neutral days break a run
-    and are not runs themselves.  Columns: ticker, streak_id, sign, n.
+    and are not runs themselves.  ``year_split`` partitions each ticker's
+    series by (ticker, year) for series too long or tickers too hot for one
+    task; the runs are the same.  Columns: ticker, streak_id, sign, n.
     """
-    return _all_runs(bars, join_first_row).filter(F.col("sign") != 0)
+    return _all_runs(bars, join_first_row, year_split).filter(F.col("sign") != 0)
 
 
-def longest_streaks(bars: DataFrame, join_first_row: bool = False) -> DataFrame:
-    """Longest gain and loss run per ticker, 0 when there is none.
+def longest_streaks(bars: DataFrame, join_first_row: bool = False, year_split: bool = False) -> DataFrame:
+    """Longest gain and loss run per ticker, 0 when there is none
+    (``year_split`` as in ``streak_runs``).
     Columns: ticker, longest_gain, longest_loss.
     """
-    runs = _all_runs(bars, join_first_row)
+    runs = _all_runs(bars, join_first_row, year_split)
     zero = F.lit(0).cast("bigint")
     return runs.groupBy("ticker").agg(
         F.coalesce(F.max(F.when(F.col("sign") == 1, F.col("n"))), zero).alias("longest_gain"),

@@ -110,6 +110,9 @@ QUERIES: dict[str, Query] = {
     "streak_runs": _q(patterns.streak_runs),
     "longest_streaks": _q(patterns.longest_streaks),
     "longest_streaks_joined": _q(lambda b: patterns.longest_streaks(b, join_first_row=True)),
+    # The same streaks with each series split by (ticker, year).
+    "streak_runs_year_split": _q(lambda b: patterns.streak_runs(b, year_split=True)),
+    "longest_streaks_year_split": _q(lambda b: patterns.longest_streaks(b, year_split=True)),
 }
 
 
@@ -176,6 +179,7 @@ CUSTOMER_QUERIES: dict[str, Query] = {
     "trend_days_by_customer": _q_customers(patterns.trend_days),
     "best_weekday_by_customer": _q_customers(patterns.best_weekday),
     "longest_streaks_by_customer": _q_customers(patterns.longest_streaks),
+    "longest_streaks_year_split_by_customer": _q_customers(lambda b: patterns.longest_streaks(b, year_split=True)),
 }
 QUERIES.update(CUSTOMER_QUERIES)
 

@@ -361,3 +361,7 @@ for _name in (
 # The year-split variant computes the same rows as the plain daily returns.
 for _suffix in ("", "_events", "_by_customer"):
     ORACLE_SQL[f"daily_returns_year_split{_suffix}"] = ORACLE_SQL[f"daily_returns{_suffix}"]
+# So do the year-split streaks, run numbers included.
+ORACLE_SQL["streak_runs_year_split"] = ORACLE_SQL["streak_runs"]
+ORACLE_SQL["longest_streaks_year_split"] = ORACLE_SQL["longest_streaks"]
+ORACLE_SQL["longest_streaks_year_split_by_customer"] = ORACLE_SQL["longest_streaks_by_customer"]

@@ -308,3 +308,17 @@ def test_year_split_returns_over_many_years(cases):
     want = sorted(map(tuple, ops.daily_returns(spread).collect()))
     got = sorted(map(tuple, ops.daily_returns_year_split(spread).collect()))
     assert got == want
+
+
+@pytest.mark.parametrize("joined", [False, True])
+def test_year_split_streaks_over_many_years(cases, joined):
+    df, _ = cases
+    from pyspark.sql import functions as F
+
+    spread = df.withColumn("date", F.date_add(F.lit("2015-01-01").cast("date"), F.datediff("date", F.lit("2020-01-01")) * 40))
+    want = sorted(map(tuple, ops.streak_runs(spread, joined).collect()), key=str)
+    got = sorted(map(tuple, ops.streak_runs(spread, joined, year_split=True).collect()), key=str)
+    assert got == want
+    a = sorted(map(tuple, ops.longest_streaks(spread, joined).collect()))
+    b = sorted(map(tuple, ops.longest_streaks(spread, joined, year_split=True).collect()))
+    assert a == b

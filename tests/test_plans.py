@@ -102,9 +102,10 @@ def test_python_only_in_the_recursive_ema(spark, name):
     assert ("MapInPandas" in plan) == name.startswith("ema_recursive")
 
 
-def test_year_split_reuses_the_bar_exchange(spark):
-    """Both branches of the year-split returns read the ticks once."""
-    df = QUERIES["daily_returns_year_split"](spark, SF001)
+@pytest.mark.parametrize("name", ["daily_returns_year_split", "longest_streaks_year_split"])
+def test_year_split_reuses_the_bar_exchange(spark, name):
+    """Both branches of a year-split series read the ticks once."""
+    df = QUERIES[name](spark, SF001)
     df.collect()
     final = physical_plan(df).split("== Initial Plan ==")[0]
     assert "isFinalPlan=true" in final and final.count("FileScan") == 1
