@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from barlab.functions.columns import pct_change, ratio, series, whole_series
 from barlab.operators._tickers import with_every_ticker
-from barlab.operators.returns import with_returns
+from barlab.operators.returns import daily_returns_year_split, with_returns
 from barlab.sources.bars import filter_bars
 
 
@@ -107,29 +107,56 @@ def return_histogram(
     )
 
 
-def flag_outliers(bars: DataFrame, k: float = 3.0, drop_missing_first: bool = False) -> DataFrame:
+def flag_outliers(
+    bars: DataFrame, k: float = 3.0, drop_missing_first: bool = False, year_split: bool = False
+) -> DataFrame:
     """Daily returns over full history, flagged when outside mean ± k·stddev
-    of the ticker's returns.  Columns: ticker, date, daily_return, is_outlier.
+    of the ticker's returns.
+
+    By default the ticker's mean and stddev are unordered windows over the
+    series partition.  ``year_split`` (for series too long or tickers too
+    hot for one task) takes the returns from ``daily_returns_year_split`` and
+    the statistics from a partial-aggregated group-by on ticker joined back
+    on it, so no task holds a whole ticker.
+    Columns: ticker, date, daily_return, is_outlier.
     """
-    w = whole_series()
     r = F.col("daily_return")
-    mean, sd = F.avg(r).over(w), F.stddev_samp(r).over(w)
-    flagged = with_returns(bars, drop_missing_first).select(
-        "ticker", "date", "daily_return", mean.alias("_m"), sd.alias("_s")
-    )
+    if year_split:
+        src = bars.dropna(subset=["open", "close"]) if drop_missing_first else bars
+        rets = daily_returns_year_split(src)
+        stats = rets.groupBy("ticker").agg(F.avg(r).alias("_m"), F.stddev_samp(r).alias("_s"))
+        stats = stats.select(F.col("ticker").alias("_st"), "_m", "_s")
+        flagged = rets.join(stats, F.col("ticker").eqNullSafe(F.col("_st")), "left").select(
+            "ticker", "date", "daily_return", "_m", "_s"
+        )
+    else:
+        w = whole_series()
+        flagged = with_returns(bars, drop_missing_first).select(
+            "ticker", "date", "daily_return", F.avg(r).over(w).alias("_m"), F.stddev_samp(r).over(w).alias("_s")
+        )
     lim = F.lit(float(k)) * F.col("_s")
     is_out = (r > F.col("_m") + lim) | (r < F.col("_m") - lim)
     return flagged.select("ticker", "date", "daily_return", F.coalesce(is_out, F.lit(False)).alias("is_outlier"))
 
 
-def outlier_summary(bars: DataFrame, k: float = 3.0, drop_missing_first: bool = False) -> DataFrame:
+def outlier_summary(
+    bars: DataFrame, k: float = 3.0, drop_missing_first: bool = False, year_split: bool = False
+) -> DataFrame:
     """Number of outlier days per ticker (0 included).  Columns: ticker, n_outliers."""
-    return flag_outliers(bars, k, drop_missing_first).groupBy("ticker").agg(F.count_if("is_outlier").alias("n_outliers"))
+    return (
+        flag_outliers(bars, k, drop_missing_first, year_split)
+        .groupBy("ticker")
+        .agg(F.count_if("is_outlier").alias("n_outliers"))
+    )
 
 
-def outlier_days(bars: DataFrame, k: float = 3.0, drop_missing_first: bool = False) -> DataFrame:
+def outlier_days(
+    bars: DataFrame, k: float = 3.0, drop_missing_first: bool = False, year_split: bool = False
+) -> DataFrame:
     """The outlier days.  Columns: ticker, date, daily_return."""
-    return flag_outliers(bars, k, drop_missing_first).filter("is_outlier").select("ticker", "date", "daily_return")
+    return flag_outliers(bars, k, drop_missing_first, year_split).filter("is_outlier").select(
+        "ticker", "date", "daily_return"
+    )
 
 
 __all__ = [

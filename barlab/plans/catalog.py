@@ -96,6 +96,8 @@ QUERIES: dict[str, Query] = {
     "most_consistent_top3": _q(lambda b: risk.most_consistent(b, START, END, 3)),
     "outlier_summary": _q(risk.outlier_summary),
     "outlier_days": _q(risk.outlier_days),
+    "outlier_summary_year_split": _q(lambda b: risk.outlier_summary(b, year_split=True)),
+    "outlier_days_year_split": _q(lambda b: risk.outlier_days(b, year_split=True)),
     # volumes (C15)
     "avg_volume_daily": _q(lambda b: periods.average_volume(b, "day")),
     "avg_volume_weekly": _q(lambda b: periods.average_volume(b, "week")),
@@ -176,6 +178,7 @@ CUSTOMER_QUERIES: dict[str, Query] = {
     "return_histogram_by_customer": _q_customers(lambda b: risk.return_histogram(b, START, END, BINS)),
     "return_consistency_by_customer": _q_customers(lambda b: risk.return_consistency(b, START, END)),
     "outlier_summary_by_customer": _q_customers(risk.outlier_summary),
+    "outlier_summary_year_split_by_customer": _q_customers(lambda b: risk.outlier_summary(b, year_split=True)),
     "trend_days_by_customer": _q_customers(patterns.trend_days),
     "best_weekday_by_customer": _q_customers(patterns.best_weekday),
     "longest_streaks_by_customer": _q_customers(patterns.longest_streaks),

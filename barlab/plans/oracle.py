@@ -365,3 +365,7 @@ for _suffix in ("", "_events", "_by_customer"):
 ORACLE_SQL["streak_runs_year_split"] = ORACLE_SQL["streak_runs"]
 ORACLE_SQL["longest_streaks_year_split"] = ORACLE_SQL["longest_streaks"]
 ORACLE_SQL["longest_streaks_year_split_by_customer"] = ORACLE_SQL["longest_streaks_by_customer"]
+# And the year-split outliers.
+ORACLE_SQL["outlier_summary_year_split"] = ORACLE_SQL["outlier_summary"]
+ORACLE_SQL["outlier_days_year_split"] = ORACLE_SQL["outlier_days"]
+ORACLE_SQL["outlier_summary_year_split_by_customer"] = ORACLE_SQL["outlier_summary_by_customer"]

@@ -322,3 +322,13 @@ def test_year_split_streaks_over_many_years(cases, joined):
     a = sorted(map(tuple, ops.longest_streaks(spread, joined).collect()))
     b = sorted(map(tuple, ops.longest_streaks(spread, joined, year_split=True).collect()))
     assert a == b
+
+
+def test_year_split_outliers_over_many_years(cases):
+    df, _ = cases
+    from pyspark.sql import functions as F
+
+    spread = df.withColumn("date", F.date_add(F.lit("2015-01-01").cast("date"), F.datediff("date", F.lit("2020-01-01")) * 40))
+    want = sorted(map(tuple, ops.outlier_summary(spread, k=1.0).collect()))
+    got = sorted(map(tuple, ops.outlier_summary(spread, k=1.0, year_split=True).collect()))
+    assert got == want

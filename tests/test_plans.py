@@ -102,7 +102,7 @@ def test_python_only_in_the_recursive_ema(spark, name):
     assert ("MapInPandas" in plan) == name.startswith("ema_recursive")
 
 
-@pytest.mark.parametrize("name", ["daily_returns_year_split", "longest_streaks_year_split"])
+@pytest.mark.parametrize("name", ["daily_returns_year_split", "longest_streaks_year_split", "outlier_summary_year_split"])
 def test_year_split_reuses_the_bar_exchange(spark, name):
     """Both branches of a year-split series read the ticks once."""
     df = QUERIES[name](spark, SF001)
