@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlab.llm import bpe, decontaminate, lang_id, line_dedup
+from barlab.llm import bpe, decontaminate, lang_id, license_scan, line_dedup, near_dup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,5 +49,18 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op4_line_dedup, op6_bpe, op7_language_id, op8_decontaminate)}
-ORACLE_SQL = {"op4_line_dedup": line_dedup.ORACLE_SQL}
+def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of every document; ``kept`` is true for the one that stands for it."""
+    rows = near_dup.near_dup_classes(table(spark, sf_dir, "documents"))
+    kept = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("digest") == F.col("class_digest"))
+    return rows.select("doc_id", "class_id", "similar", kept.alias("kept"))
+
+
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences that each whole text names."""
+    rows = license_scan.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "n_known", F.array_join("licenses", ",").alias("licenses"))
+
+
+QUERIES = {f.__name__: f for f in (op4_line_dedup, op6_bpe, op7_language_id, op8_decontaminate, op9_near_dup, op10_license_scan)}
+ORACLE_SQL = {"op4_line_dedup": line_dedup.ORACLE_SQL, "op10_license_scan": license_scan.ORACLE_SQL}

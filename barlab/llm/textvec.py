@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 
 CHUNK_BYTES = 1 << 20
+CHUNK_ROWS = 1 << 14
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -80,7 +81,7 @@ def chunks(texts: pa.Array, max_bytes: int = CHUNK_BYTES) -> Iterator[Chunk]:
     data = np.frombuffer(values, np.uint8) if values is not None and values.size else np.zeros(0, np.uint8)
     at = 0
     while at < len(texts):
-        end = max(at + 1, int(np.searchsorted(bounds, bounds[at] + max_bytes, "right")) - 1)
+        end = min(max(at + 1, int(np.searchsorted(bounds, bounds[at] + max_bytes, "right")) - 1), at + CHUNK_ROWS)
         yield Chunk(at, data[bounds[at] : bounds[end]], bounds[at : end + 1] - bounds[at])
         at = end
 
