@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlab.llm import bpe, decontaminate, lang_id, line_dedup
+from barlab.llm import bpe, decontaminate, lang_id, line_dedup, near_dup
 from barlab.llm.queries import table, tokenizer_path
 from barlab.llm.scratch import stored
 
@@ -34,6 +34,11 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else rows
 
 
+def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates."""
+    return near_dup.drop_near_dups(docs)
+
+
 def leak_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark item."""
     return decontaminate.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
@@ -49,6 +54,7 @@ def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("language_id", language_stage),
     ("line_dedup", line_stage),
+    ("near_dup", near_dup_stage),
     ("decontaminate", leak_stage),
     ("bpe", token_stage),
 ]
