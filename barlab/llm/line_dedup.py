@@ -36,6 +36,7 @@ MIN_CHARS = 20
 MIN_DOCS = 3
 BATCHES = 4
 FANOUT = 2
+BUCKET_ROWS = 1 << 19
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -118,16 +119,17 @@ class LineRuns:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int = BATCHES, fanout: int = FANOUT) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, batches: int = BATCHES, fanout: int = FANOUT, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """``docs`` with ``text`` rewritten and ``n_lines`` (before), ``n_dropped``.
 
     The key table is written once and dealt to ``batches`` batches by document;
-    the texts themselves are shuffled once, to meet the positions to drop.
+    runs have a bucket for each ``bucket_rows`` keys of the table; the texts
+    themselves are shuffled once, to meet the positions to drop.
     """
     spark = docs.sparkSession
     docs = docs.drop("n_lines", "n_dropped")
     keys = stored(key_table(docs, min_chars).withColumn("batch", F.pmod(F.xxhash64("doc_id"), F.lit(batches))), "line-keys")
-    runs = LineRuns(spark, int(spark.conf.get("spark.sql.shuffle.partitions")), fanout)
+    runs = LineRuns(spark, 1 + keys.count() // bucket_rows, fanout)
     try:
         for b in range(batches):
             held = keys.where(F.col("batch") == b).groupBy("key", "doc_id").agg(F.lit(1).alias("one"))
