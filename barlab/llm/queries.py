@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlab.llm import bpe, decontaminate, lang_id, license_scan, line_dedup, near_dup
+from barlab.llm import bpe, decontaminate, lang_id, license_scan, line_dedup, near_dup, quality, substring_dedup, token_shards, toxicity
+from barlab.llm.scratch import scratch_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,12 +25,44 @@ def sha256(col: str):
     return F.sha2(F.coalesce(F.col(col).cast("binary"), F.lit(b"")), 256)
 
 
+def op1_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every token sequence's place in training order; the shards are written to a
+    folder under ``spark.checkpoint.dir``."""
+    import public_tokenizers
+
+    docs, ranks = table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return token_shards.write_shards(docs, scratch_dir(spark, "token-shards"), ranks, public_tokenizers.PATTERN, end_token=50256)
+
+
+def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base statistics of every text and the verdict of the line field."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = quality.label_lines(docs, quality.fit_field(docs, table(spark, sf_dir, "labels")))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "content_share")
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every text, learned on the training rows' labels."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(lang_id.is_training_row())
+    rows = toxicity.score(docs, toxicity.train(docs, labels))
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int")
+    return rows.select("doc_id", (~lang_id.is_training_row()).alias("held_out"), "score", predicted.alias("predicted"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines that at least three documents hold, kept in the last of them only."""
     rows = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_lines", "n_dropped", sha256("text").alias("kept_sha256"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts without the bytes of 200-byte strings that occur more than once."""
+    rows = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate(F.zip_with("span_end", "span_start", lambda e, s: e - s), F.lit(0).cast("long"), lambda a, x: a + x)
+    return rows.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("span_start").cast("long").alias("n_spans"), sha256("kept").alias("kept_sha256"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact BPE ids of every text, and the text that they decode to."""
     rows = bpe.encode_and_decode(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
@@ -62,5 +95,5 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_known", F.array_join("licenses", ",").alias("licenses"))
 
 
-QUERIES = {f.__name__: f for f in (op4_line_dedup, op6_bpe, op7_language_id, op8_decontaminate, op9_near_dup, op10_license_scan)}
+QUERIES = {f.__name__: f for f in (op1_token_shards, op2_line_quality, op3_toxicity, op4_line_dedup, op5_substring_dedup, op6_bpe, op7_language_id, op8_decontaminate, op9_near_dup, op10_license_scan)}
 ORACLE_SQL = {"op4_line_dedup": line_dedup.ORACLE_SQL, "op10_license_scan": license_scan.ORACLE_SQL}

@@ -126,6 +126,25 @@ def words(chunk: Chunk) -> Words:
     return Words(start, end, np.repeat(np.arange(chunk.n), np.diff(first)), first)
 
 
+def tally(mask: np.ndarray) -> np.ndarray:
+    """Running count: ``tally(mask)[b] - tally(mask)[a]`` is the count in a .. b."""
+    return np.concatenate([[0], np.cumsum(mask)])
+
+
+WORDLIKE = np.zeros(256, bool)
+WORDLIKE[[*range(ord("0"), ord("9") + 1), *range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1), *range(0x80, 0x100)]] = True
+
+
+def bare_words(chunk: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(start, end, row)`` of the words without ASCII punctuation at their
+    ends; words of punctuation only are left out."""
+    w = words(chunk)
+    solid = np.flatnonzero(WORDLIKE[chunk.buf])
+    a, b = np.searchsorted(solid, w.start), np.searchsorted(solid, w.end)
+    some = b > a
+    return solid[a[some]], solid[b[some] - 1] + 1, w.row[some]
+
+
 def windows(values: np.ndarray, row: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each run of ``k`` values of one row: positions and hashes."""
     n = len(values) - k + 1
