@@ -217,38 +217,38 @@ def near_dup_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame
     kind = docs.schema["doc_id"].dataType.simpleString()
     signed = stored(base.mapInArrow(_signatures(shared), f"doc_id {kind}, digest binary, bands array<long>"), "signatures")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")).alias("least")
-    nodes = stored(signed.groupBy("digest").agg(least, F.any_value("bands").alias("bands")), "nodes")
+    nodes = stored(signed.groupBy("digest").agg(least, F.any_value("bands").alias("bands")), "nodes", few=True)
 
     placed = nodes.select("digest", F.posexplode("bands").alias("band", "h"))
     buckets = placed.groupBy("band", "h").agg(F.count("*").alias("size")).where("size > 1")
-    placed = stored(placed.join(buckets, ["band", "h"]).select("band", "h", "digest", "size"), "buckets")
+    placed = stored(placed.join(buckets, ["band", "h"]).select("band", "h", "digest", "size"), "buckets", few=True)
     company = placed.groupBy("digest").agg(F.sum("size").alias("company"))
     rep = nodes.join(company, "digest", "left_semi").select(F.col("digest").alias("_d"), F.col("least.doc_id").alias("_i"))
     texts = base.join(rep, (F.col("digest") == F.col("_d")) & F.col("doc_id").eqNullSafe(F.col("_i")), "left_semi")
     texts = stored(texts.select("digest", "text").groupBy("digest").agg(F.any_value("text").alias("text")), "texts")
     hubs = placed.join(company, "digest").groupBy("band", "h").agg(F.max(F.struct("company", "digest")).alias("top"))
-    hubs = stored(hubs.select("band", "h", F.col("top.digest").alias("hub")), "hubs")
+    hubs = stored(hubs.select("band", "h", F.col("top.digest").alias("hub")), "hubs", few=True)
     pairs = placed.join(hubs, ["band", "h"]).select(F.col("digest").alias("a"), "hub").where("a <> hub").distinct()
-    links = stored(_verified(stored(pairs, "pairs"), texts, shared, threshold), "links")
-    labels = stored(components(links), "labels")
+    links = stored(_verified(stored(pairs, "pairs", few=True), texts, shared, threshold), "links", few=True)
+    labels = stored(components(links), "labels", few=True)
 
     # Buckets that still have members of different components.
     marked = placed.join(labels, F.col("digest") == F.col("node"), "left").withColumn("label", F.coalesce("label", "digest")).drop("node")
     mixed = marked.groupBy("band", "h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("band", "h")
     open_ = marked.join(mixed, ["band", "h"]).join(hubs, ["band", "h"])
-    open_ = stored(open_.select("band", "h", "digest", "label", "hub", F.col("size").alias("members")), "open")
+    open_ = stored(open_.select("band", "h", "digest", "label", "hub", F.col("size").alias("members")), "open", few=True)
     runs = texts.join(open_.select("digest").distinct(), "digest").select("digest", "text").mapInArrow(_runs_of(shared), "digest binary, run long, weight double")
     # The weight of each text in runs that no other open text has: min = max names the only holder.
     alone = runs.groupBy("run").agg(F.min("digest").alias("digest"), F.max("digest").alias("last"), F.max("weight").alias("weight")).where("digest = last")
     alone = alone.groupBy("digest").agg(F.sum("weight").alias("alone"))
     whole = texts.join(open_.select("digest").distinct(), "digest").mapInArrow(_total_weight(shared), "digest binary, total double")
     hopeless = whole.join(alone, "digest").where(F.col("alone") > (1 - threshold) * F.col("total") * (1 + 1e-9)).select("digest")
-    rest = stored(open_.join(hopeless, "digest", "left_anti").select("band", "h", "digest", "label", "hub"), "rest")
+    rest = stored(open_.join(hopeless, "digest", "left_anti").select("band", "h", "digest", "label", "hub"), "rest", few=True)
     hub_label = rest.join(labels.select(F.col("node").alias("hub"), F.col("label").alias("hub_label")), "hub", "left")
     outside = hub_label.where(~F.col("label").eqNullSafe(F.coalesce("hub_label", "hub"))).select("band", "h", F.col("digest").alias("o"), F.col("label").alias("o_label"))
     other = outside.join(rest, ["band", "h"]).where((F.col("o_label") != F.col("label")) & (F.col("digest") != F.col("hub")) & (F.col("o") != F.col("hub")))
     more = other.select(F.least("o", "digest").alias("a"), F.greatest("o", "digest").alias("hub")).distinct()
-    late = stored(_verified(stored(more, "late-pairs"), texts, shared, threshold), "late-links")
+    late = stored(_verified(stored(more, "late-pairs", few=True), texts, shared, threshold), "late-links", few=True)
     final = components(links.unionByName(late).select("a", "b")) if late.take(1) else labels
 
     joined = final.join(nodes, F.col("node") == F.col("digest")).select("digest", "label", "least")

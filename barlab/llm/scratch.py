@@ -29,8 +29,12 @@ def scratch_dir(spark: SparkSession, what: str) -> str:
     return f"{base.rstrip('/')}/llm-{what}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, what: str) -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read back."""
+def stored(df: DataFrame, what: str, few: bool = False) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read back.  ``few`` is for
+    tables of a few bytes a document: two files for each core of the cluster at
+    most, however many partitions made them."""
     path = scratch_dir(df.sparkSession, what)
+    if few:
+        df = df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

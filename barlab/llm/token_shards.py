@@ -196,7 +196,7 @@ def write_shards(docs: DataFrame, folder: str, vocabulary: str, pattern: str, en
     counts = placed.groupBy("shard").agg(F.count("*").alias("n"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     index = counts.select("shard", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first_slot"))
-    index.write.parquet(f"{folder}/index")
+    index.coalesce(1).write.parquet(f"{folder}/index")
     firsts = spark.read.parquet(f"{folder}/index").select("shard", "first_slot")
     rows = placed.join(firsts, "shard")
     return rows.select((F.col("first_slot") + F.col("place")).alias("slot"), "shard", (F.col("place") * (2 * length)).alias("byte_offset"), "doc_id", "seq_no", "n_tokens", "ids_sha256")

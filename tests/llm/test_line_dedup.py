@@ -1,0 +1,67 @@
+import hashlib
+import re
+from collections import defaultdict
+
+import pytest
+
+from barlab.llm import line_dedup
+from barlab.llm.queries import QUERIES
+from conftest import SF0001, SF001
+from llm_rows import awkward, docs, empty
+from oracle_compare import compare, duck
+
+
+def brute(rows, min_chars=20, min_docs=3):
+    key = lambda line: re.sub(r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "", line).translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+    order = lambda d: (d is not None, d or 0)
+    held = defaultdict(set)
+    for d, text, *_ in rows:
+        for line in (text or "").split("\n"):
+            if len(key(line)) >= min_chars:
+                held[key(line)].add(d)
+    out = []
+    for d, text, *_ in rows:
+        lines = (text or "").split("\n")
+        kept = [x for x in lines if not (len(held[key(x)]) >= min_docs and d != max(held[key(x)], key=order))]
+        out.append((d, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("sf", [SF0001, SF001])
+def test_matches_sql(spark, sf):
+    name = "op4_line_dedup"
+    assert compare(spark, duck(sf), name, QUERIES[name], line_dedup.ORACLE_SQL, sf) == []
+
+
+@pytest.mark.parametrize("batches, fanout, bucket_rows", [(1, 2, 1 << 19), (4, 2, 20), (7, 3, 1000)])
+def test_awkward_rows_match_brute_force(spark, batches, fanout, bucket_rows):
+    rows = awkward()
+    common = "  A line that MANY documents have.\t"
+    rows = [(d, (t or "") + "\n" + common if d is None or d % 3 else t, *rest) for d, t, *rest in rows]
+    got = line_dedup.dedup_lines(docs(spark, rows), batches=batches, fanout=fanout, bucket_rows=bucket_rows)
+    found = sorted(((r.doc_id, r.n_lines, r.n_dropped, r.text or "") for r in got.collect()), key=repr)
+    assert found == brute(rows)
+    assert got.columns == [c for c in docs(spark, rows).columns if c != "n_lines"] + ["n_lines", "n_dropped"]
+
+
+def test_empty_table(spark):
+    assert line_dedup.dedup_lines(empty(spark)).count() == 0
+
+
+def test_a_key_is_in_one_run_and_levels_merge(spark):
+    runs = line_dedup.LineRuns(spark, 2, fanout=2)
+    for b in range(4):
+        rows = [(hashlib.md5(str(k).encode()).digest(), 1, b) for k in range(b, b + 4)]
+        runs.add(spark.createDataFrame(rows, "key binary, n_docs long, max_doc long"))
+    assert [len(x) for x in runs.levels] == [0, 0, 1]
+    stored = spark.table(runs.levels[2][0])
+    assert stored.count() == stored.select("key").distinct().count() == 7
+    assert {(r.max_doc) for r in runs.common(4).collect()} == {3}
+    runs.close()
+
+
+def test_no_python(spark):
+    from barlab.plans.inspect import physical_plan
+
+    plan = physical_plan(line_dedup.dedup_lines(docs(spark)))
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
