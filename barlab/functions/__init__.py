@@ -1,10 +1,7 @@
 """Column-level building blocks (built-in Catalyst expressions only)."""
 
 from barlab.functions.columns import (
-    DOWNWARD,
-    NEUTRAL,
     SEASONS,
-    UPWARD,
     day_sign,
     intraday_return,
     later_first,
@@ -19,10 +16,7 @@ from barlab.functions.columns import (
 )
 
 __all__ = [
-    "DOWNWARD",
-    "NEUTRAL",
     "SEASONS",
-    "UPWARD",
     "day_sign",
     "intraday_return",
     "later_first",

@@ -45,9 +45,6 @@ def day_sign() -> Column:
     )
 
 
-# Trend labels of the up/down day analysis.
-UPWARD, DOWNWARD, NEUTRAL = "Upward", "Downward", "Neutral"
-
 # Meteorological seasons of the seasonal analysis, in display order.
 SEASONS = (
     ("Winter", (12, 1, 2)),

@@ -2,9 +2,8 @@
 
 from barlab.operators.correlation import (
     aligned_closes,
-    aligned_frame,
+    aligned_wide,
     feature_correlation,
-    resolve_tickers,
     ticker_correlation,
 )
 from barlab.operators.patterns import (
@@ -38,7 +37,7 @@ from barlab.operators.smoothing import ema_one_step, ema_recursive, sma
 
 __all__ = [
     "aligned_closes",
-    "aligned_frame",
+    "aligned_wide",
     "average_volume",
     "bar_coverage",
     "best_intraday",
@@ -66,7 +65,6 @@ __all__ = [
     "overall_average_return",
     "overall_return_rate",
     "period_averages",
-    "resolve_tickers",
     "return_consistency",
     "return_histogram",
     "return_rates",

@@ -1,19 +1,12 @@
-"""Keep every ticker of the input in a per-ticker result computed on a
-selection of its bars."""
+"""Per-ticker results listed for a given set of tickers."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
 
-def with_every_ticker(bars: DataFrame, per_ticker: DataFrame) -> DataFrame:
-    """``per_ticker`` (keyed by ``ticker``) left-joined onto every ticker of
-    ``bars``; tickers the selection left out get NULL values.
-
-    The ticker list is a narrow branch over the unfiltered input: column
-    pruning reads the ticker (and, for bars built from ticks, the date)
-    column only, partial aggregation shrinks it before the shuffle, and both
-    join sides are per-ticker rows.  The selection itself keeps its filters,
-    which reach the scan.
-    """
-    return bars.select("ticker").distinct().join(per_ticker, "ticker", "left")
+def of_universe(universe: DataFrame | None, per_ticker: DataFrame) -> DataFrame:
+    """``per_ticker`` (keyed by ``ticker``) left-joined onto the tickers of
+    ``universe``, a small table the caller keeps; unchanged without one.  The
+    bars are thus read once, with the selection's filters at the scan."""
+    return per_ticker if universe is None else universe.select("ticker").distinct().join(per_ticker, "ticker", "left")

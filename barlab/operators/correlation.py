@@ -1,19 +1,21 @@
 """Pearson correlations.
 
-* ``feature_correlation`` — between price columns, per ticker: the column
-  pairs of each bar as rows, one group-by on (ticker, pair).  (The
-  dashboard this reproduces ran one job per pair.)
-* ``aligned_frame`` / ``aligned_closes`` — one row per date on which *every*
-  chosen ticker has a bar, one column per ticker (inner join of the series
-  on date), built as conditional aggregates of one group-by on ``date``.
+* ``feature_correlation`` — between price columns, per ticker: one group-by on
+  ticker holds the moments of every column pair.  (The dashboard this
+  reproduces ran one job per pair.)
+* ``aligned_closes`` — the bars on dates on which *every* chosen ticker has one
+  (inner join of the series on date), long: date, ticker, value.
+* ``aligned_wide`` — the same with one column per ticker, for a given list.
 * ``ticker_correlation`` — the k×k matrix between tickers over those dates,
   each pair over the dates where both values are present.
 
-No pair of rows is ever materialised: pair moments are aggregate
-expressions over wide rows.  Up to ``block`` tickers the wide row holds them
-all and one global aggregation (partial per task) gives the matrix; beyond,
-tickers are laid out in blocks and each block pair is one group of a single
-aggregation, so the plan is the same size for any number of tickers.
+The plan is the same for any number of tickers, and building it runs no job.
+One group-by on date makes a row per date with its (ticker, value) pairs in
+ticker order, at most one entry per ticker.  Shared dates have all k of them, so
+a ticker's place in the row is its index.  Each shared date gives one row per
+pair of blocks of ``block`` tickers, and one partial-aggregated group-by on the
+block pair takes the moments; no pair of bars is ever a row.  The ticker names
+come from the same per-date rows, so the bars are read once.
 """
 
 from __future__ import annotations
@@ -26,147 +28,80 @@ from pyspark.sql import functions as F
 from barlab.functions.columns import masked_corr
 from barlab.schema import numeric_columns
 
-# Largest ticker list discovered from the data for a wide frame (the same
-# bound Spark's own pivot uses for values it discovers).
-MAX_DISCOVERED_TICKERS = 10_000
-
-
 def feature_correlation(bars: DataFrame, features: Sequence[str] | None = None) -> DataFrame:
     """Full matrix (both orders and the diagonal) of correlations between
     the given columns (default: every double column), per ticker.
 
-    Each bar is unpivoted into its k(k+1)/2 column pairs (a fixed-width
-    generator, like ``describe``'s unpivot), and one group-by on
-    (ticker, pair) holds three moment aggregates: the aggregation stays
-    small enough for whole-stage code generation whatever k is.
-    Columns: ticker, feature_x, feature_y, corr.
+    One group-by on ticker holds the moment aggregates of every pair; a
+    generator then turns each ticker's row into the matrix, so no bar is
+    multiplied before the shuffle.  Columns: ticker, feature_x, feature_y, corr.
     """
     feats = list(features) if features is not None else numeric_columns(bars)
     if not feats:
         raise ValueError("at least one feature is needed")
     pairs = [(a, b) for i, a in enumerate(feats) for b in feats[i:]]
+    moments = bars.groupBy("ticker").agg(*[masked_corr(a, b).alias(f"_c{n}") for n, (a, b) in enumerate(pairs)])
     entries = [
-        F.struct(F.lit(a).alias("feature_x"), F.lit(b).alias("feature_y"), F.col(a).alias("_x"), F.col(b).alias("_y"))
-        for a, b in pairs
+        F.struct(F.lit(x).alias("feature_x"), F.lit(y).alias("feature_y"), F.col(f"_c{n}").alias("corr"))
+        for n, (a, b) in enumerate(pairs)
+        for x, y in sorted({(a, b), (b, a)})
     ]
-    per_pair = (
-        bars.select("ticker", F.inline(F.array(*entries)))
-        .groupBy("ticker", "feature_x", "feature_y")
-        .agg(masked_corr("_x", "_y").alias("corr"))
-    )
-    same = F.struct(F.col("feature_x"), F.col("feature_y"), F.col("corr"))
-    swapped = F.struct(F.col("feature_y").alias("feature_x"), F.col("feature_x").alias("feature_y"), F.col("corr"))
-    both = F.when(F.col("feature_x") == F.col("feature_y"), F.array(same)).otherwise(F.array(same, swapped))
-    return per_pair.select("ticker", F.inline(both))
+    return moments.select("ticker", F.inline(F.array(*entries)))
 
 
-def resolve_tickers(bars: DataFrame, tickers: Iterable[str] | None) -> list[str]:
-    """The chosen tickers, sorted and de-duplicated.  ``None`` means all tickers
-    in ``bars``; their names (not rows) are fetched with one distinct job,
-    as ``pivot`` does, and bounded by ``MAX_DISCOVERED_TICKERS``.
-    """
-    if tickers is not None:
-        return sorted(set(tickers))
-    names = [
-        r[0]
-        for r in bars.select("ticker").where(F.col("ticker").isNotNull()).distinct().limit(MAX_DISCOVERED_TICKERS + 1).collect()
-    ]
-    if len(names) > MAX_DISCOVERED_TICKERS:
-        raise ValueError(f"more than {MAX_DISCOVERED_TICKERS} tickers; pass the tickers to compare explicitly")
-    return sorted(names)
+def _chosen(tickers: Iterable[str] | None) -> list[str] | None:
+    return None if tickers is None else sorted(set(tickers))
 
 
-def aligned_frame(bars: DataFrame, tickers: Sequence[str], feature: str = "close", names: Sequence[str] | None = None) -> DataFrame:
-    """date + one column per ticker, on the dates where every ticker has a bar.
+def _per_date(bars: DataFrame, chosen: list[str] | None, feature: str) -> DataFrame:
+    """date, ``names`` (the distinct tickers with a bar, in order) and ``vals``
+    (their values; the largest non-NULL one if a key is not unique)."""
+    rows = bars.where(F.col("ticker").isNotNull() & F.col("date").isNotNull())
+    if chosen is not None:
+        rows = rows.where(F.col("ticker").isin(chosen))
+    entry = F.struct(F.col("ticker").alias("t"), F.col(feature).alias("v"))
+    dates = rows.groupBy("date").agg(F.array_sort(F.collect_list(entry)).alias("_e"))
+    dates = dates.withColumn("names", F.array_distinct(F.transform("_e", lambda e: e["t"])))
+    of = lambda n: F.array_max(F.transform(F.filter("_e", lambda e: e["t"] == n), lambda e: e["v"]))
+    unique = F.size("_e") == F.size("names")
+    return dates.select("date", "names", F.when(unique, F.transform("_e", lambda e: e["v"])).otherwise(F.transform("names", of)).alias("vals"))
 
-    A bar whose value is NULL still counts as present (the value stays NULL).
-    Relies on the ``(ticker, date)`` key being unique, as bars are.
-    """
-    names = list(names) if names is not None else list(tickers)
-    k = len(tickers)
-    chosen = bars.filter(F.col("ticker").isin(list(tickers))).select("ticker", "date", F.col(feature).alias("_v"))
-    cols = [F.max(F.when(F.col("ticker") == F.lit(t), F.col("_v"))).alias(n) for t, n in zip(tickers, names)]
-    wide = chosen.groupBy("date").agg(*cols, F.count(F.lit(1)).alias("_present"))
-    return wide.filter(F.col("_present") == F.lit(k)).drop("_present")
 
+def _index(dates: DataFrame, chosen: list[str] | None) -> DataFrame:
+    """One row: ``names``, all tickers in order (those given, or all that have a bar)."""
+    if chosen is None:
+        return dates.select(F.explode("names").alias("t")).distinct().agg(F.array_sort(F.collect_set("t")).alias("all"))
+    # The given names as one row of the plan itself.
+    return dates.sparkSession.range(1).select(F.array(*[F.lit(t) for t in chosen]).alias("all"))
 
-def aligned_closes(bars: DataFrame, tickers: Iterable[str] | None = None, feature: str = "close") -> DataFrame:
-    """Wide table: date and one ``feature`` column per ticker named by the ticker."""
-    chosen = resolve_tickers(bars, tickers)
-    return aligned_frame(bars, chosen, feature)
 
+def _shared(dates: DataFrame, index: DataFrame) -> DataFrame:
+    """The per-date rows that have every ticker of ``index``."""
+    return dates.where(F.size("names") == index.select(F.size("all")).scalar())
 
-def _pair_rows(wide: DataFrame, chosen: Sequence[str], slots: Sequence[str], pairs: list[tuple[int, int]]) -> DataFrame:
-    """One global aggregation of the pair moments of ``pairs`` over ``wide``,
-    then a generator to (ticker_x, ticker_y, corr) in both orders."""
-    row = wide.agg(*[masked_corr(slots[i], slots[j]).alias(f"_c{n}") for n, (i, j) in enumerate(pairs)])
-    entries = [
-        F.struct(
-            F.lit(chosen[x]).alias("ticker_x"), F.lit(chosen[y]).alias("ticker_y"), F.col(f"_c{n}").alias("corr")
-        )
-        for n, (i, j) in enumerate(pairs)
-        for x, y in sorted({(i, j), (j, i)})
-    ]
-    return row.select(F.inline(F.array(*entries)))
 
-
-def _blocked_correlation(bars: DataFrame, chosen: Sequence[str], feature: str, block: int) -> DataFrame:
-    """The k x k matrix as one plan whatever k is.
-
-    Ticker ``i`` sits in block ``i // block`` at slot ``i % block``.  Each
-    row on a shared date is copied once per block (the partner block), so a
-    block pair (lo, hi) sees its own rows; one group-by on (lo, hi, date)
-    lays them out as ``2 * block`` slot columns (lo's block first), and one
-    group-by on (lo, hi) takes the pair moments.  Work is the matrix's own:
-    rows times blocks, not rows times tickers, and no aggregation holds more
-    than ``block``² pairs.
-    """
-    k = len(chosen)
-    n_blocks = -(-k // block)
-    index = bars.sparkSession.createDataFrame(
-        [(t, i // block, i % block) for i, t in enumerate(chosen)], "ticker string, _blk int, _slot int"
-    )
-    rows = bars.filter(F.col("ticker").isin(list(chosen))).select("ticker", "date", F.col(feature).alias("_v"))
-    shared = rows.groupBy("date").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") == F.lit(k)).select("date")
-    on_shared = rows.join(shared, "date", "left_semi").join(index, "ticker")
-    other = F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("_other")
-    copies = on_shared.select("date", "_v", "_blk", "_slot", other)
-    pos = F.when(F.col("_blk") <= F.col("_other"), F.col("_slot")).otherwise(F.col("_slot") + F.lit(block))
-    wide = copies.select(
-        "date",
-        "_v",
-        F.least("_blk", "_other").alias("_lo"),
-        F.greatest("_blk", "_other").alias("_hi"),
-        pos.alias("_pos"),
-    ).groupBy("_lo", "_hi", "date").agg(
-        *[F.max(F.when(F.col("_pos") == F.lit(m), F.col("_v"))).alias(f"_w{m}") for m in range(2 * block)]
-    )
-    names = F.array(*[F.lit(t) for t in chosen])
-    parts = []
-    for same_block in (True, False):
-        if same_block:
-            pairs = [(i, j) for i in range(block) for j in range(i, block)]
-            sel = wide.filter(F.col("_lo") == F.col("_hi"))
-        else:
-            pairs = [(i, block + j) for i in range(block) for j in range(block)]
-            sel = wide.filter(F.col("_lo") < F.col("_hi"))
-        moments = sel.groupBy("_lo", "_hi").agg(
-            *[masked_corr(f"_w{i}", f"_w{j}").alias(f"_c{n}") for n, (i, j) in enumerate(pairs)]
-        )
-        entries = []
-        for n, (i, j) in enumerate(pairs):
-            x = F.col("_lo") * F.lit(block) + F.lit(i)
-            y = (F.col("_lo") if same_block else F.col("_hi")) * F.lit(block) + F.lit(j if same_block else j - block)
-            entries.append(F.struct(x.alias("_x"), y.alias("_y"), F.col(f"_c{n}").alias("corr")))
-            if not (same_block and i == j):
-                entries.append(F.struct(y.alias("_x"), x.alias("_y"), F.col(f"_c{n}").alias("corr")))
-        parts.append(moments.select(F.inline(F.array(*entries))))
-    cells = parts[0].unionByName(parts[1]).filter((F.col("_x") < F.lit(k)) & (F.col("_y") < F.lit(k)))
-    return cells.select(
-        F.element_at(names, F.col("_x") + 1).alias("ticker_x"),
-        F.element_at(names, F.col("_y") + 1).alias("ticker_y"),
-        "corr",
+def aligned_closes(bars: DataFrame, tickers: Iterable[str] | None = None, feature: str = "close") -> DataFrame:
+    """date, ticker and ``feature`` on the dates where every chosen ticker (all of
+    them when None) has a bar.  A bar whose value is NULL counts as present."""
+    chosen = _chosen(tickers)
+    dates = _per_date(bars, chosen, feature)
+    pairs = F.inline(F.arrays_zip(F.col("names").alias("ticker"), F.col("vals").alias(feature)))
+    return _shared(dates, _index(dates, chosen)).select("date", pairs)
+
+
+def aligned_wide(bars: DataFrame, tickers: Iterable[str], feature: str = "close") -> DataFrame:
+    """date and one column ``{ticker}_{feature}`` per given ticker, on the dates
+    where every one of them has a bar."""
+    chosen = _chosen(tickers)
+    rows = bars.where(F.col("ticker").isin(chosen))
+    is_ = [F.col("ticker") == F.lit(t) for t in chosen]
+    wide = rows.groupBy("date").agg(
+        *[F.max(F.when(p, F.col(feature))).alias(f"{t}_{feature}") for t, p in zip(chosen, is_)],
+        *[F.count_if(p).alias(f"_n{i}") for i, p in enumerate(is_)],
     )
+    for i in range(len(chosen)):
+        wide = wide.where(F.col(f"_n{i}") > 0)
+    return wide.drop(*[f"_n{i}" for i in range(len(chosen))])
 
 
 def ticker_correlation(
@@ -177,20 +112,36 @@ def ticker_correlation(
 ) -> DataFrame:
     """Correlation of ``feature`` between every pair of chosen tickers (both
     orders and the diagonal), over the dates shared by all of them; each pair
-    skips dates where either value is NULL.  At least two tickers are needed.
-
-    Up to ``block`` tickers: one wide frame, one aggregation.  Beyond, the
-    blocked layout of ``_blocked_correlation``: the same few shuffles for
-    any number of tickers.  Columns: ticker_x, ticker_y, corr.
+    skips dates where either value is NULL.  A pair without two such dates, or
+    with a constant value, is NULL; with no shared date every cell is.  A list
+    of fewer than two tickers is an error.  Columns: ticker_x, ticker_y, corr.
     """
-    chosen = resolve_tickers(bars, tickers)
-    if len(chosen) < 2:
+    chosen = _chosen(tickers)
+    if chosen is not None and len(chosen) < 2:
         raise ValueError("select at least two tickers for a correlation matrix")
     if block < 1:
         raise ValueError("block must be >= 1")
-    k = len(chosen)
-    if k > block:
-        return _blocked_correlation(bars, chosen, feature, block)
-    slots = [f"_v{i}" for i in range(k)]
-    wide = aligned_frame(bars, chosen, feature, slots)
-    return _pair_rows(wide, chosen, slots, [(i, j) for i in range(k) for j in range(i, k)])
+    dates = _per_date(bars, chosen, feature)
+    index = _index(dates, chosen)
+    shared = _shared(dates, index)
+
+    last = F.floor((F.size("vals") - 1) / block).cast("int")
+    lows = shared.select("vals", F.explode(F.sequence(F.lit(0), last)).alias("_lo"))
+    both = lows.select("vals", "_lo", F.explode(F.sequence(F.col("_lo"), last)).alias("_hi"))
+    cell = lambda base, i: F.get(F.col("vals"), F.col(base) * block + i)
+    slots = both.select(
+        "_lo", "_hi", *[cell("_lo", i).alias(f"_x{i}") for i in range(block)], *[cell("_hi", i).alias(f"_y{i}") for i in range(block)]
+    )
+    grid = [(i, j) for i in range(block) for j in range(block)]
+    moments = slots.groupBy("_lo", "_hi").agg(*[masked_corr(f"_x{i}", f"_y{j}").alias(f"_c{i}_{j}") for i, j in grid])
+    ix = lambda i: (F.col("_lo") * block + i).alias("_ix")
+    iy = lambda j: (F.col("_hi") * block + j).alias("_iy")
+    cells = moments.select(F.inline(F.array(*[F.struct(ix(i), iy(j), F.col(f"_c{i}_{j}").alias("corr")) for i, j in grid])))
+    upper = cells.where("_ix <= _iy")
+
+    names = index.select(F.size("all").alias("_k"), F.posexplode("all").alias("_i", "_t"))
+    left = names.select(F.col("_i").alias("_ix"), F.col("_t").alias("ticker_x"), "_k").repartition("_ix")
+    pairs = left.select("_ix", "ticker_x", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)).alias("_iy"))
+    pairs = pairs.join(names.select(F.col("_i").alias("_iy"), F.col("_t").alias("ticker_y")), "_iy")
+    key = [F.least("_ix", "_iy").alias("_ix"), F.greatest("_ix", "_iy").alias("_iy")]
+    return pairs.select("ticker_x", "ticker_y", *key).join(upper, ["_ix", "_iy"], "left").select("ticker_x", "ticker_y", "corr")

@@ -10,18 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barlab.functions.columns import (
-    DOWNWARD,
-    NEUTRAL,
-    SEASONS,
-    UPWARD,
-    day_sign,
-    season,
-    series,
-    weekday_name,
-)
-from barlab.operators._tickers import with_every_ticker
-from barlab.operators.returns import with_returns
+from barlab.functions.columns import SEASONS, day_sign, season, series, weekday_name
+from barlab.operators._tickers import of_universe
+from barlab.operators.returns import with_key, with_returns
 from barlab.sources.bars import filter_bars
 
 
@@ -30,19 +21,11 @@ def trend_days(bars: DataFrame) -> DataFrame:
     where neutral is every other bar, including ones with a missing price.
     Columns: ticker, upward_days, downward_days, neutral_days.
     """
-    label = (
-        F.when(F.col("close") > F.col("open"), F.lit(UPWARD))
-        .when(F.col("close") < F.col("open"), F.lit(DOWNWARD))
-        .otherwise(F.lit(NEUTRAL))
-    )
-    return (
-        bars.select("ticker", label.alias("_t"))
-        .groupBy("ticker")
-        .agg(
-            F.count_if(F.col("_t") == UPWARD).alias("upward_days"),
-            F.count_if(F.col("_t") == DOWNWARD).alias("downward_days"),
-            F.count_if(F.col("_t") == NEUTRAL).alias("neutral_days"),
-        )
+    sign = day_sign()
+    return bars.groupBy("ticker").agg(
+        F.count_if(sign == 1).alias("upward_days"),
+        F.count_if(sign == -1).alias("downward_days"),
+        F.count_if(sign == 0).alias("neutral_days"),
     )
 
 
@@ -57,9 +40,10 @@ def _weekday_means(bars: DataFrame, weekdays_only: bool, drop_missing_first: boo
 
 def weekday_returns(bars: DataFrame, weekdays_only: bool = False, drop_missing_first: bool = False) -> DataFrame:
     """Average daily return per weekday name.  Weekend dates keep their own
-    names unless ``weekdays_only``.  Columns: ticker, day_of_week, avg_return.
+    names unless ``weekdays_only``.  ``day_index`` (0 for Monday) is the order to
+    show them in.  Columns: ticker, day_index, day_of_week, avg_return.
     """
-    return _weekday_means(bars, weekdays_only, drop_missing_first).select("ticker", "day_of_week", "avg_return")
+    return _weekday_means(bars, weekdays_only, drop_missing_first).select("ticker", F.col("_dow").alias("day_index"), "day_of_week", "avg_return")
 
 
 def best_weekday(bars: DataFrame, weekdays_only: bool = False, drop_missing_first: bool = False) -> DataFrame:
@@ -76,13 +60,13 @@ def best_weekday(bars: DataFrame, weekdays_only: bool = False, drop_missing_firs
     )
 
 
-def seasonal_close(bars: DataFrame, start=None, end=None, every_ticker: bool = True) -> DataFrame:
+def seasonal_close(bars: DataFrame, start=None, end=None, universe: DataFrame | None = None) -> DataFrame:
     """Average close per meteorological season over bars in ``[start, end]``
     (the range reaches the scan); a season without bars is NULL.
     Conditional aggregates give the wide row in one group-by, no pivot.
 
-    With ``every_ticker`` (the default) a ticker with no bars in the range
-    is listed with all seasons NULL, as the analysis lists every series.
+    Tickers with no bar in the range are absent, unless ``universe`` (a table
+    with a ``ticker`` column) lists them: then they have all seasons NULL.
     Columns: ticker, winter, spring, summer, autumn.
     """
     sel = filter_bars(bars, start=start, end=end, end_inclusive=True)
@@ -91,7 +75,7 @@ def seasonal_close(bars: DataFrame, start=None, end=None, every_ticker: bool = T
         .groupBy("ticker")
         .agg(*[F.avg(F.when(F.col("_season") == name, F.col("close"))).alias(name.lower()) for name, _ in SEASONS])
     )
-    return with_every_ticker(bars, per) if every_ticker else per
+    return of_universe(universe, per)
 
 
 def _signed_days(bars: DataFrame, join_first_row: bool) -> DataFrame:
@@ -123,7 +107,7 @@ def _signed_days_year_split(bars: DataFrame, join_first_row: bool) -> DataFrame:
     run numbers.  A run crossing New Year keeps one number.  The ticker's
     very first day keeps its NULL number (or 0 with ``join_first_row``).
     """
-    df = bars.select("ticker", "date", day_sign().alias("sign"), F.year("date").alias("_y"))
+    df = with_key(bars).select("ticker", "date", day_sign().alias("sign"), F.year("date").alias("_y"))
     in_year = Window.partitionBy("ticker", "_y").orderBy("date")
     rows = df.withColumn("_c", (F.col("sign") != F.lag("sign", 1).over(in_year)).cast("int")).withColumn(
         "_cum", F.sum("_c").over(in_year.rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -150,8 +134,8 @@ def _signed_days_year_split(bars: DataFrame, join_first_row: bool) -> DataFrame:
             F.lit(0).cast("bigint"),
         ).alias("_off"),
     )
-    # Null-safe keys: no inferred filter, so both sides share the exchange.
-    on = F.col("ticker").eqNullSafe(F.col("_ct")) & F.col("_y").eqNullSafe(F.col("_cy"))
+    # Equality on the window's own keys: the join needs no exchange of the rows.
+    on = (F.col("ticker") == F.col("_ct")) & (F.col("_y") == F.col("_cy"))
     first_day = F.col("_c").isNull()
     run_id = F.when(first_day, F.col("_off") + F.col("_fc")).otherwise(
         F.col("_off") + F.coalesce(F.col("_fc"), F.lit(0)) + F.col("_cum")

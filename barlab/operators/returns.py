@@ -15,6 +15,11 @@ from pyspark.sql import functions as F
 from barlab.functions.columns import intraday_return, pct_change, series
 
 
+def with_key(bars: DataFrame) -> DataFrame:
+    """Bars that have their key; a row without ticker or date is in no series."""
+    return bars.where(F.col("ticker").isNotNull() & F.col("date").isNotNull())
+
+
 def with_returns(bars: DataFrame, drop_missing_first: bool = False) -> DataFrame:
     """Add ``prev_close``, ``daily_return`` and ``daily_change``.
 
@@ -47,11 +52,17 @@ def daily_returns_year_split(bars: DataFrame) -> DataFrame:
     than one ticker-year.  The first bar of a year takes the last close of
     the ticker's previous year with bars, from a per-(ticker, year) table
     (one row per ticker-year, built with a partial aggregation and a lag
-    over years) joined on (ticker, year).  Same rows and the same
-    arithmetic as ``daily_returns``.  Columns: ticker, date, close,
-    daily_return, daily_change.
+    over years) joined on (ticker, year): the rows are where the window put
+    them, so the join moves none.  Same rows and the same arithmetic as
+    ``daily_returns``, for bars that have their key.  Columns: ticker, date,
+    close, daily_return, daily_change.
     """
-    df = bars.select("ticker", "date", "close", F.year("date").alias("_y"))
+    return _year_split_returns(bars).select("ticker", "date", "close", "daily_return", "daily_change")
+
+
+def _year_split_returns(bars: DataFrame) -> DataFrame:
+    """``daily_returns_year_split`` with the year, ``_y``."""
+    df = with_key(bars).select("ticker", "date", "close", F.year("date").alias("_y"))
     in_year = Window.partitionBy("ticker", "_y").orderBy("date")
     rows = df.select(
         "ticker",
@@ -70,13 +81,12 @@ def daily_returns_year_split(bars: DataFrame) -> DataFrame:
             F.lag("_last", 1).over(Window.partitionBy("ticker").orderBy("_y")).alias("_carry"),
         )
     )
-    # Null-safe keys: no not-null filter is inferred into the carry branch,
-    # so both branches share one tick-to-bar exchange (Spark reuses it).
-    on = F.col("ticker").eqNullSafe(F.col("_ct")) & F.col("_y").eqNullSafe(F.col("_cy"))
+    on = (F.col("ticker") == F.col("_ct")) & (F.col("_y") == F.col("_cy"))
     prev = F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_prev"))
     return rows.join(carry, on, "left").select(
         "ticker",
         "date",
+        "_y",
         "close",
         pct_change(F.col("close"), prev).alias("daily_return"),
         (F.col("close") - prev).alias("daily_change"),

@@ -16,43 +16,40 @@ and no second shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlab.functions.columns import pct_change, ratio, series, whole_series
-from barlab.operators._tickers import with_every_ticker
-from barlab.operators.returns import daily_returns_year_split, with_returns
+from barlab.operators._tickers import of_universe
+from barlab.operators.returns import _year_split_returns, with_returns
 from barlab.sources.bars import filter_bars
 
 
 def return_consistency(
-    bars: DataFrame, start=None, end=None, drop_missing_first: bool = True, every_ticker: bool = True
+    bars: DataFrame, start=None, end=None, drop_missing_first: bool = True, universe: DataFrame | None = None
 ) -> DataFrame:
     """Sample standard deviation of daily returns per ticker, over bars in
     ``[start, end]`` (with open and close present, unless
     ``drop_missing_first=False``); +inf when there are fewer than two
     returns.  The range filter runs before the lag and reaches the scan.
 
-    With ``every_ticker`` (the default, as the analysis lists every series)
-    a ticker with no bars in the range is reported with +inf; without it,
-    such tickers are absent and the ticker-list branch is skipped.
-    Columns: ticker, std_dev.
+    Tickers without a return in the range are absent, unless ``universe`` (a
+    table with a ticker column) lists them: then they have +inf.  A ticker with
+    one return has +inf.  Columns: ticker, std_dev.
     """
     stats = (
         _selected_returns(bars, start, end, drop_missing_first)
         .groupBy("ticker")
         .agg(F.stddev_samp("ret").alias("_sd"))
     )
-    if every_ticker:
-        stats = with_every_ticker(bars, stats)
-    return stats.select("ticker", F.coalesce(F.col("_sd"), F.lit(float("inf"))).alias("std_dev"))
+    return of_universe(universe, stats).select("ticker", F.coalesce(F.col("_sd"), F.lit(float("inf"))).alias("std_dev"))
 
 
 def most_consistent(
-    bars: DataFrame, start=None, end=None, k: int = 3, drop_missing_first: bool = True, every_ticker: bool = True
+    bars: DataFrame, start=None, end=None, k: int = 3, drop_missing_first: bool = True, universe: DataFrame | None = None
 ) -> DataFrame:
     """The ``k`` tickers with the steadiest returns (smallest std_dev)."""
-    return return_consistency(bars, start, end, drop_missing_first, every_ticker).orderBy(F.asc("std_dev"), F.asc("ticker")).limit(k)
+    return return_consistency(bars, start, end, drop_missing_first, universe).orderBy(F.asc("std_dev"), F.asc("ticker")).limit(k)
 
 
 def _selected_returns(bars: DataFrame, start, end, drop_missing_first: bool) -> DataFrame:
@@ -115,20 +112,25 @@ def flag_outliers(
 
     By default the ticker's mean and stddev are unordered windows over the
     series partition.  ``year_split`` (for series too long or tickers too
-    hot for one task) takes the returns from ``daily_returns_year_split`` and
-    the statistics from a partial-aggregated group-by on ticker joined back
-    on it, so no task holds a whole ticker.
+    hot for one task) takes the returns from ``daily_returns_year_split``,
+    makes one row of moments per ticker and year, combines them over a
+    ticker's years (a window over one row per year) and joins them back on
+    (ticker, year), where the rows already are.
     Columns: ticker, date, daily_return, is_outlier.
     """
     r = F.col("daily_return")
     if year_split:
         src = bars.dropna(subset=["open", "close"]) if drop_missing_first else bars
-        rets = daily_returns_year_split(src)
-        stats = rets.groupBy("ticker").agg(F.avg(r).alias("_m"), F.stddev_samp(r).alias("_s"))
-        stats = stats.select(F.col("ticker").alias("_st"), "_m", "_s")
-        flagged = rets.join(stats, F.col("ticker").eqNullSafe(F.col("_st")), "left").select(
-            "ticker", "date", "daily_return", "_m", "_s"
-        )
+        rets = _year_split_returns(src)
+        years = rets.groupBy("ticker", "_y").agg(F.count(r).alias("_n"), F.avg(r).alias("_my"), F.var_pop(r).alias("_vy"))
+        all_years = Window.partitionBy("ticker")
+        n = F.sum("_n").over(all_years)
+        years = years.withColumn("_all", n).withColumn("_m", ratio(F.sum(F.col("_n") * F.col("_my")).over(all_years), n.cast("double")))
+        apart = F.col("_n") * (F.col("_vy") + (F.col("_my") - F.col("_m")) * (F.col("_my") - F.col("_m")))
+        spread = F.sqrt(ratio(F.sum(apart).over(all_years), (F.col("_all") - 1).cast("double")))
+        stats = years.select(F.col("ticker").alias("_st"), F.col("_y").alias("_sy"), "_m", spread.alias("_s"))
+        on = (F.col("ticker") == F.col("_st")) & (F.col("_y") == F.col("_sy"))
+        flagged = rets.join(stats, on, "left").select("ticker", "date", "daily_return", "_m", "_s")
     else:
         w = whole_series()
         flagged = with_returns(bars, drop_missing_first).select(

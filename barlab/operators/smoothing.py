@@ -50,24 +50,33 @@ def ema_one_step(bars: DataFrame, n: int = 20) -> DataFrame:
 
 
 def _recursive_ema(alpha: float):
-    """Per partition: rows arrive sorted by (ticker, date) in Arrow batches;
-    the running value restarts at each new ticker and carries across
-    batches, so a ticker may span batch boundaries."""
+    """Per partition: rows arrive sorted by (ticker, date) in Arrow batches.  All
+    series of a batch advance together, one day a step, each step on arrays over
+    the series; a series that a batch cuts takes its state to the next one."""
     beta = 1.0 - alpha
 
     def run(batches):
-        ticker, state = None, None
+        last, carried = None, np.nan
         for pdf in batches:
-            tickers = pdf["ticker"].tolist()
-            closes = pdf["close"].astype("float64").tolist()
-            out = np.full(len(closes), np.nan)
-            for i, x in enumerate(closes):
-                if tickers[i] != ticker:
-                    ticker, state = tickers[i], None
-                if x != x:  # NULL close: no value, state carries over
-                    continue
-                state = x if state is None else alpha * x + beta * state
-                out[i] = state
+            if pdf.empty:
+                continue
+            names = pdf["ticker"].fillna("").to_numpy()
+            close = pdf["close"].to_numpy("float64", na_value=np.nan)
+            start = np.flatnonzero(np.append(True, names[1:] != names[:-1]))
+            size = np.diff(np.append(start, len(names)))
+            state = np.full(len(start), np.nan)
+            if names[0] == last:
+                state[0] = carried
+            out = np.full(len(names), np.nan)
+            longest_first = np.argsort(-size, kind="stable")
+            alive = np.searchsorted(-size[longest_first], -np.arange(size.max()), "left")
+            for day, n in enumerate(alive):
+                live = longest_first[:n]
+                x, e = close[start[live] + day], state[live]
+                e = np.where(np.isnan(x), e, np.where(np.isnan(e), x, alpha * x + beta * e))
+                state[live] = e
+                out[start[live] + day] = np.where(np.isnan(x), np.nan, e)
+            last, carried = names[-1], state[-1]
             yield pdf.assign(ema=out)
 
     return run
@@ -78,10 +87,11 @@ def ema_recursive(bars: DataFrame, n: int = 20) -> DataFrame:
 
     A recurrence has no built-in window function.  Spark hash-partitions the
     bars by ticker (the exchange every series window uses) and sorts each
-    partition by (ticker, date); ``mapInPandas`` then walks each partition's
-    sorted stream once.  Only the three needed columns cross to Python, in
-    Arrow batches, and no per-ticker pandas frame is built, so many short
-    series cost no more than a few long ones.  NULL closes yield NULL and
+    partition by (ticker, date); ``mapInPandas`` then advances all series of a
+    batch together, a day a step, so the interpreter's steps follow the days and
+    not the rows.  Only the three needed columns cross to Python, in Arrow
+    batches, and no per-ticker pandas frame is built.  A ticker's whole series is
+    in one task.  NULL closes yield NULL and
     leave the running state unchanged.
     """
     _check_n(n)

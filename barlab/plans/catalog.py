@@ -17,12 +17,14 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from barlab.functions.columns import round6
 from barlab.operators import correlation, patterns, periods, profile, ranking, returns, risk, smoothing
-from barlab.sources.bars import bars_from_events, bars_from_orders, filter_bars
+from barlab.schema import PRICE_COLUMNS
+from barlab.sources.bars import bars_from_events, bars_from_orders, bars_from_ticks, filter_bars, load_bars, union_bars
 
 START = _dt.date(1996, 1, 1)
 END = _dt.date(1998, 12, 31)
@@ -45,6 +47,22 @@ def finish(df: DataFrame) -> DataFrame:
     )
 
 
+# One bar per order: its key is unique, so the loader's check holds.
+BY_ORDER = {"ticker": "o_orderkey", "date": "o_orderdate"} | {c: "o_totalprice" for c in PRICE_COLUMNS}
+# Orders of one priority share days, so their keys repeat.
+BY_PRIORITY = BY_ORDER | {"ticker": "o_orderpriority"}
+
+
+def load_orders(spark: SparkSession, sf_dir: str, columns: dict[str, str] = BY_ORDER, **options) -> DataFrame:
+    """``load_bars`` on the orders file, its columns mapped to bar columns."""
+    return load_bars(spark, f"{sf_dir}/orders.parquet", columns=columns, **options)
+
+
+def event_series(spark: SparkSession, sf_dir: str, ticker: Column) -> DataFrame:
+    """Bars from the events, with the series told by an expression."""
+    return bars_from_ticks(spark.read.parquet(f"{sf_dir}/events.parquet"), ticker, "ts", "value", "event_id")
+
+
 def _q(op: Callable[[DataFrame], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return finish(op(bars_from_orders(spark, sf_dir)))
@@ -57,6 +75,13 @@ QUERIES: dict[str, Query] = {
     # sources (S1, S10)
     "bars": _q(lambda b: b),
     "load_bars_range": _q(lambda b: filter_bars(b, start=START, end=END)),
+    "load_bars_mapped": lambda spark, d: finish(load_orders(spark, d)),
+    "load_bars_tickers": lambda spark, d: finish(
+        load_orders(spark, d, columns=BY_PRIORITY, tickers=["1-URGENT", "5-LOW"], start=START, end=END, duplicates="greatest")
+    ),
+    "union_bars": lambda spark, d: finish(
+        union_bars(load_orders(spark, d, start=START, end=END), bars_from_orders(spark, d), bars_from_events(spark, d))
+    ),
     # profile (C1, C2)
     "first_rows": _q(lambda b: profile.first_rows(b, N_ROWS)),
     "last_rows": _q(lambda b: profile.last_rows(b, N_ROWS)),
@@ -65,16 +90,24 @@ QUERIES: dict[str, Query] = {
     # correlations (C3, J1, C10)
     "feature_correlation": _q(correlation.feature_correlation),
     "aligned_closes": _q(lambda b: correlation.aligned_closes(b, None, FEATURE)),
+    "aligned_wide": _q(lambda b: correlation.aligned_wide(b, ["1-URGENT", "5-LOW"], FEATURE)),
     "ticker_correlation": _q(lambda b: correlation.ticker_correlation(b, None, FEATURE)),
+    "ticker_correlation_open": _q(lambda b: correlation.ticker_correlation(b, ["1-URGENT", "5-LOW"], "open")),
+    "ticker_correlation_volume": _q(lambda b: correlation.ticker_correlation(b, ["1-URGENT", "5-LOW"], "volume")),
+    "ticker_correlation_12_series": lambda spark, d: finish(correlation.ticker_correlation(event_series(spark, d, F.col("user_id") % 12))),
+    "ticker_correlation_no_shared_date": lambda spark, d: finish(correlation.ticker_correlation(event_series(spark, d, F.dayofmonth("ts") % 9))),
     # returns (C4)
     "daily_returns": _q(returns.daily_returns),
     "daily_returns_year_split": _q(returns.daily_returns_year_split),
     "monthly_price_change": _q(returns.monthly_price_change),
+    "calendar_month_change": _q(returns.calendar_month_change),
+    "intraday_returns": _q(returns.intraday_returns),
     # period averages (C5, C7)
     "weekly_averages": _q(lambda b: periods.period_averages(b, "week")),
     "monthly_averages": _q(lambda b: periods.period_averages(b, "month")),
     "yearly_averages": _q(lambda b: periods.period_averages(b, "year")),
     "overall_average_return": _q(periods.overall_average_return),
+    "monthly_averages_calendar": _q(lambda b: periods.period_averages(b, "month", calendar=True)),
     # return rates (C11)
     "return_rate_weekly": _q(lambda b: periods.return_rates(b, "week")),
     "return_rate_monthly": _q(lambda b: periods.return_rates(b, "month")),
@@ -88,6 +121,7 @@ QUERIES: dict[str, Query] = {
     "close_extremes": _q(ranking.close_extremes),
     # moving averages (C8)
     "sma": _q(lambda b: smoothing.sma(b, N_AVG)),
+    "sma_full_window": _q(lambda b: smoothing.sma(b, N_AVG, min_periods=N_AVG)),
     "ema_one_step": _q(lambda b: smoothing.ema_one_step(b, N_AVG)),
     "ema_recursive": _q(lambda b: smoothing.ema_recursive(b, N_AVG)),
     # dispersion (C9, C13, C14)
@@ -104,9 +138,13 @@ QUERIES: dict[str, Query] = {
     "avg_volume_monthly": _q(lambda b: periods.average_volume(b, "month")),
     "avg_volume_yearly": _q(lambda b: periods.average_volume(b, "year")),
     "highest_volume": _q(lambda b: periods.highest_volume(b, "day")),
+    "highest_volume_weekly": _q(lambda b: periods.highest_volume(b, "week")),
+    "highest_volume_monthly": _q(lambda b: periods.highest_volume(b, "month")),
+    "highest_volume_yearly": _q(lambda b: periods.highest_volume(b, "year")),
     # day classes and calendar profiles (C17-C20)
     "trend_days": _q(patterns.trend_days),
     "weekday_returns": _q(patterns.weekday_returns),
+    "weekday_returns_weekdays_only": _q(lambda b: patterns.weekday_returns(b, weekdays_only=True)),
     "best_weekday": _q(patterns.best_weekday),
     "seasonal_close": _q(lambda b: patterns.seasonal_close(b, START, END)),
     "streak_runs": _q(patterns.streak_runs),

@@ -157,8 +157,7 @@ SEL_RETS = [
     "rr AS (SELECT * FROM sr WHERE ret IS NOT NULL)",
 ]
 CONSISTENCY = SEL_RETS + [
-    "cons AS (SELECT t.ticker, coalesce(s.sd, CAST('inf' AS DOUBLE)) AS std_dev FROM (SELECT DISTINCT ticker FROM bars) t "
-    "LEFT JOIN (SELECT ticker, stddev_samp(ret) AS sd FROM rr GROUP BY ticker) s USING (ticker))"
+    "cons AS (SELECT ticker, coalesce(stddev_samp(ret), CAST('inf' AS DOUBLE)) AS std_dev FROM rr GROUP BY ticker)"
 ]
 OUTLIERS = [
     BARS,
@@ -175,25 +174,43 @@ WEEKDAY = [
 ]
 
 
-def _aligned_closes() -> str:
-    bars_inline = f"({BARS_BODY})"
-    dates = (
-        f"SELECT date FROM {bars_inline} GROUP BY date "
-        f"HAVING count(*) = (SELECT count(DISTINCT ticker) FROM {bars_inline})"
+SHARED_DATES = "SELECT date FROM sel GROUP BY date HAVING count(DISTINCT ticker) = (SELECT count(DISTINCT ticker) FROM sel)"
+
+
+def _ticker_correlation(feature: str = "close", where: str = "") -> str:
+    return with_(
+        BARS,
+        f"sel AS (SELECT ticker, date, {feature} AS v FROM bars {where})",
+        f"a AS (SELECT * FROM sel WHERE date IN ({SHARED_DATES}))",
+        "pc AS (SELECT x.ticker AS tx, y.ticker AS ty, corr(x.v, y.v) AS c FROM a x JOIN a y USING (date) GROUP BY x.ticker, y.ticker)",
+        "t AS (SELECT DISTINCT ticker FROM sel)",
+    ) + (
+        # The full k x k grid, NULL where a pair has no shared dates.
+        f"SELECT t1.ticker AS ticker_x, t2.ticker AS ticker_y, {r6(nan_null('pc.c'))} AS corr "
+        "FROM t t1 CROSS JOIN t t2 LEFT JOIN pc ON pc.tx = t1.ticker AND pc.ty = t2.ticker"
     )
-    # Pivot every date, then keep the shared ones, so the ticker columns exist
-    # even when no date is shared.
-    src = f"SELECT date, ticker, {r6('close')} AS close FROM {bars_inline}"
-    return f"SELECT * FROM (PIVOT ({src}) ON ticker USING first(close) GROUP BY date) WHERE date IN ({dates})"
+
+
+TWO = "WHERE ticker IN ('1-URGENT', '5-LOW')"
+
+
+def _event_bars(ticker: str) -> str:
+    """Bars of the events with the series told by a SQL expression."""
+    body = EVENTS_BODY.replace("event_type AS ticker", "series AS ticker").replace("SELECT event_type, ts", f"SELECT CAST({ticker} AS VARCHAR) AS series, ts")
+    return body
+
+
+def _orders_as_bars(ticker: str) -> str:
+    cols = ", ".join(f"max(o_totalprice) AS {c}" for c in PRICE_COLUMNS)
+    return f"SELECT CAST({ticker} AS VARCHAR) AS ticker, CAST(o_orderdate AS DATE) AS date, {cols} FROM orders GROUP BY 1, 2"
 
 
 def _seasonal() -> str:
     seasons = {"winter": "12, 1, 2", "spring": "3, 4, 5", "summer": "6, 7, 8", "autumn": "9, 10, 11"}
     cols = ", ".join(
-        f"{r6(f'avg(close) FILTER (WHERE month(date) IN ({m}) AND date BETWEEN {S} AND {E})')} AS {name}"
-        for name, m in seasons.items()
+        f"{r6(f'avg(close) FILTER (WHERE month(date) IN ({m}))')} AS {name}" for name, m in seasons.items()
     )
-    return with_(BARS) + f"SELECT ticker, {cols} FROM bars GROUP BY ticker"
+    return with_(BARS) + f"SELECT ticker, {cols} FROM bars WHERE date BETWEEN {S} AND {E} GROUP BY ticker"
 
 
 ORACLE_SQL: dict[str, str] = {
@@ -219,29 +236,39 @@ ORACLE_SQL: dict[str, str] = {
     "bar_coverage": with_(BARS)
     + "SELECT ticker, count(*) AS n_bars, min(date) AS first_date, max(date) AS last_date FROM bars GROUP BY ticker",
     "feature_correlation": _feature_correlation(),
-    "aligned_closes": _aligned_closes(),
-    "ticker_correlation": with_(
-        BARS,
-        "sel AS (SELECT ticker, date, close FROM bars)",
-        "d AS (SELECT date FROM sel GROUP BY date HAVING count(*) = (SELECT count(DISTINCT ticker) FROM sel))",
-        "a AS (SELECT * FROM sel WHERE date IN (SELECT date FROM d))",
-        "pc AS (SELECT x.ticker AS tx, y.ticker AS ty, corr(x.close, y.close) AS c "
-        "FROM a x JOIN a y USING (date) GROUP BY x.ticker, y.ticker)",
-        "t AS (SELECT DISTINCT ticker FROM sel)",
-    )
-    + (
-        # The full k x k grid, NULL where a pair has no shared dates.
-        f"SELECT t1.ticker AS ticker_x, t2.ticker AS ticker_y, {r6(nan_null('pc.c'))} AS corr "
-        "FROM t t1 CROSS JOIN t t2 LEFT JOIN pc ON pc.tx = t1.ticker AND pc.ty = t2.ticker"
-    ),
+    "load_bars_mapped": with_(f"bars AS ({_orders_as_bars('o_orderkey')})") + f"SELECT {_bar_cols()} FROM bars",
+    "load_bars_tickers": with_(f"bars AS ({_orders_as_bars('o_orderpriority')})")
+    + f"SELECT {_bar_cols()} FROM bars {TWO} AND date >= {S} AND date < {E}",
+    "union_bars": f"WITH o AS ({_orders_as_bars('o_orderkey')}),\nbars AS (SELECT * FROM o WHERE date >= {S} AND date < {E} "
+    f"UNION ALL BY NAME {BARS_BODY} UNION ALL BY NAME {EVENTS_BODY})\nSELECT {_bar_cols()} FROM bars",
+    "aligned_closes": with_(BARS, "sel AS (SELECT ticker, date, close FROM bars)")
+    + f"SELECT date, ticker, {r6('close')} AS close FROM sel WHERE date IN ({SHARED_DATES})",
+    "aligned_wide": with_(BARS, f"sel AS (SELECT * FROM bars {TWO})")
+    + "SELECT date, "
+    + ", ".join(f"""{r6(f"max(close) FILTER (WHERE ticker = '{t}')")} AS "{t}_close\"""" for t in ("1-URGENT", "5-LOW"))
+    + " FROM sel GROUP BY date HAVING count(DISTINCT ticker) = 2",
+    "ticker_correlation": _ticker_correlation(),
+    "ticker_correlation_open": _ticker_correlation("open", TWO),
+    "ticker_correlation_volume": _ticker_correlation("volume", TWO),
+    "ticker_correlation_12_series": _ticker_correlation().replace(BARS_BODY, _event_bars("user_id % 12")),
+    "ticker_correlation_no_shared_date": _ticker_correlation().replace(BARS_BODY, _event_bars("day(ts) % 9")),
     "daily_returns": with_(BARS, RETS)
     + f"SELECT ticker, date, {r6('close')} AS close, {r6('daily_return')} AS daily_return, "
     f"{r6('daily_change')} AS daily_change FROM rets",
     "monthly_price_change": with_(BARS, RETS, MCHG)
     + f"SELECT ticker, date, {r6('close')} AS close, {r6('monthly_change')} AS monthly_change FROM mchg",
+    "calendar_month_change": with_(BARS, "lc AS (SELECT ticker, CAST(date_trunc('month', date) AS DATE) AS month, arg_max(close, date) AS last_close "
+    "FROM bars WHERE close IS NOT NULL GROUP BY 1, 2)")
+    + f"SELECT ticker, month, {r6('last_close')} AS last_close, "
+    + r6("last_close - lag(last_close) OVER (PARTITION BY ticker ORDER BY month)")
+    + " AS monthly_change FROM lc",
+    "intraday_returns": with_(BARS) + f"SELECT ticker, date, {r6('(close - open) / nullif(open, 0)')} AS return_rate FROM bars",
     "weekly_averages": _period_averages("week"),
     "monthly_averages": _period_averages("month"),
     "yearly_averages": _period_averages("year"),
+    "monthly_averages_calendar": _period_averages("month")
+    .replace("CAST(month(date) AS INTEGER)", "CAST(date_trunc('month', date) AS DATE)")
+    .replace("GROUP BY ticker, month(date)", "GROUP BY ticker, date_trunc('month', date)"),
     "overall_average_return": _mean_of_means("rets", avg_d("daily_return"), [BARS, RETS]),
     "return_rate_weekly": _return_rates("week"),
     "return_rate_monthly": _return_rates("month"),
@@ -276,6 +303,9 @@ ORACLE_SQL: dict[str, str] = {
     + f"SELECT ticker, date, {r6('close')} AS close, "
     + r6(f"avg(close) OVER (PARTITION BY ticker ORDER BY date ROWS BETWEEN {N_AVG - 1} PRECEDING AND CURRENT ROW)")
     + " AS sma FROM bars",
+    "sma_full_window": with_(BARS)
+    + f"SELECT ticker, date, {r6('close')} AS close, CASE WHEN count(close) OVER w >= {N_AVG} THEN {r6('avg(close) OVER w')} END AS sma FROM bars "
+    f"WINDOW w AS (PARTITION BY ticker ORDER BY date ROWS BETWEEN {N_AVG - 1} PRECEDING AND CURRENT ROW)",
     "ema_one_step": with_(BARS)
     + f"SELECT ticker, date, {r6('close')} AS close, "
     + r6(f"close * {ALPHA} + lag(close) OVER (PARTITION BY ticker ORDER BY date) * (1 - {ALPHA})")
@@ -316,12 +346,16 @@ ORACLE_SQL: dict[str, str] = {
     "highest_volume": with_(BARS)
     + f"SELECT ticker, {r6('v')} AS avg_volume FROM (SELECT ticker, avg(volume) AS v FROM bars GROUP BY ticker) "
     "ORDER BY v DESC NULLS LAST, ticker LIMIT 1",
+    **{f"highest_volume_{p}ly": f"SELECT * FROM ({_avg_volume(p)}) ORDER BY avg_volume DESC NULLS LAST, ticker LIMIT 1" for p in ("week", "month", "year")},
     "trend_days": with_(BARS)
     + "SELECT ticker, count(*) FILTER (WHERE close > open) AS upward_days, "
     "count(*) FILTER (WHERE close < open) AS downward_days, "
     "count(*) FILTER (WHERE NOT coalesce(close > open OR close < open, false)) AS neutral_days "
     "FROM bars GROUP BY ticker",
-    "weekday_returns": with_(*WEEKDAY) + f"SELECT ticker, day_of_week, {r6('avg_return')} AS avg_return FROM wd",
+    "weekday_returns": with_(*WEEKDAY)
+    + f"SELECT ticker, CAST(dow - 1 AS INTEGER) AS day_index, day_of_week, {r6('avg_return')} AS avg_return FROM wd",
+    "weekday_returns_weekdays_only": with_(*WEEKDAY)
+    + f"SELECT ticker, CAST(dow - 1 AS INTEGER) AS day_index, day_of_week, {r6('avg_return')} AS avg_return FROM wd WHERE dow <= 5",
     "best_weekday": with_(*WEEKDAY)
     + f"SELECT ticker, day_of_week, {r6('avg_return')} AS avg_return FROM "
     "(SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY avg_return DESC, dow) AS rn FROM wd) WHERE rn = 1",

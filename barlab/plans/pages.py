@@ -9,7 +9,6 @@ histogram bins, selected tickers) are arguments, as the page widgets were.
 
 from __future__ import annotations
 
-import datetime as _dt
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
@@ -22,8 +21,8 @@ def pages(
     *,
     rows: int = 10,
     window: int = 20,
-    start=_dt.date(2020, 1, 1),
-    end=_dt.date(2023, 1, 1),
+    start,
+    end,
     month: int = 1,
     year: int = 2022,
     feature: str = "close",
@@ -32,10 +31,8 @@ def pages(
     volume_period: str = "day",
 ) -> dict[str, DataFrame]:
     """All page results for ``bars``.  ``tickers`` is the selection of the
-    cross-ticker correlation page (all tickers when None, fetched by one
-    small distinct job; the matrix needs at least two); every other page
-    covers all tickers at once."""
-    chosen = correlation.resolve_tickers(bars, tickers)
+    cross-ticker correlation page (all tickers when None; a list needs two at
+    least); every other page covers all tickers at once.  Nothing is run here."""
     out: dict[str, DataFrame] = {
         "data_exploration/first_rows": profile.first_rows(bars, rows),
         "data_exploration/last_rows": profile.last_rows(bars, rows),
@@ -50,7 +47,8 @@ def pages(
         "moving_averages/sma": smoothing.sma(bars, window),
         "moving_averages/ema_one_step": smoothing.ema_one_step(bars, window),
         "moving_averages/ema_recursive": smoothing.ema_recursive(bars, window),
-        "ticker_correlation/aligned": correlation.aligned_closes(bars, chosen, feature),
+        "ticker_correlation/aligned": correlation.aligned_closes(bars, tickers, feature),
+        "ticker_correlation/matrix": correlation.ticker_correlation(bars, tickers, feature),
         "return_rates/overall": periods.overall_return_rate(bars),
         "return_rates/best_day_of_month": ranking.best_intraday(bars, month=month),
         "return_rates/best_day_of_year": ranking.best_intraday(bars, year=year),
@@ -69,8 +67,6 @@ def pages(
         "momentum/longest_streaks": patterns.longest_streaks(bars),
         "momentum/runs": patterns.streak_runs(bars),
     }
-    if len(chosen) >= 2:
-        out["ticker_correlation/matrix"] = correlation.ticker_correlation(bars, chosen, feature)
     for period in ("week", "month", "year"):
         out[f"data_preparation/{period}ly_averages"] = periods.period_averages(bars, period)
         out[f"return_rates/{period}ly"] = periods.return_rates(bars, period)

@@ -1,7 +1,8 @@
 """The one table every operator reads: daily price bars of many tickers.
 
-Key ``(ticker, date)``. Because the key is unique and there is at most one
-bar per calendar day, the rows of one ticker are bounded by the number of
+Key ``(ticker, date)``: bars built from ticks have it by construction,
+``load_bars`` checks it unless told to trust the source. Because there is at most
+one bar per ticker and calendar day, the rows of one ticker are bounded by the number of
 days it covers (about 250 a year for a trading calendar, 366 at most).  Every
 ordered window in this package is partitioned by ``ticker``, so no window
 task ever holds more than one ticker's daily history, whatever the total
@@ -36,6 +37,12 @@ SOURCE_NAMES = {
     "Volume": "volume",
 }
 
+# What CSV and JSON sources are read with: those labels, dates as text or dates.
+DAILY_HISTORY = StructType(
+    [StructField("Ticker", StringType()), StructField("Date", StringType())]
+    + [StructField(label, DoubleType()) for label, name in SOURCE_NAMES.items() if name in PRICE_COLUMNS]
+)
+
 
 def numeric_columns(df) -> list[str]:
     """The double-typed columns of ``df``, read from its schema (no job)."""

@@ -3,12 +3,8 @@ session; callers hand theirs in."""
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
-from barlab.plans.materialize import checkpoint_dir
-
 
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str = "barlab", **conf) -> SparkSession:
     builder = (
@@ -27,7 +23,4 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str
         builder = builder.config(key.replace("__", "."), str(value))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if checkpoint_dir(spark) is None:
-        # Local runs only: a cluster names a shared folder in spark.checkpoint.dir.
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="barlab-ckpt-", dir="/tmp"))
     return spark

@@ -20,7 +20,9 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlab.schema import BAR_COLUMNS, BARS, PRICE_COLUMNS, SOURCE_NAMES, nan_to_null
+from pyspark.sql.types import StructType
+
+from barlab.schema import BAR_COLUMNS, BARS, DAILY_HISTORY, PRICE_COLUMNS, SOURCE_NAMES, nan_to_null
 
 
 def _as_date(value) -> _dt.date:
@@ -55,10 +57,11 @@ def filter_bars(
     return out
 
 
-def normalize_bars(df: DataFrame, ticker: str | None = None) -> DataFrame:
+def normalize_bars(df: DataFrame, ticker: str | None = None, columns: dict[str, str] | None = None) -> DataFrame:
     """Rename the usual labels, cast to the ``BARS`` schema, NaN → NULL.
 
-    ``ticker`` gives a constant label for a table that holds one series only.
+    ``ticker`` gives a constant label for a table that holds one series only;
+    ``columns`` names the source column of a bar column, before the labels.
     """
     by_lower = {c.lower(): c for c in df.columns}
     aliases = {k.lower(): v for k, v in SOURCE_NAMES.items()}
@@ -67,6 +70,10 @@ def normalize_bars(df: DataFrame, ticker: str | None = None) -> DataFrame:
         target = aliases.get(lower, lower.replace(" ", "_"))
         if target in BAR_COLUMNS and target not in found:
             found[target] = original
+    for name, source in (columns or {}).items():
+        if name not in BAR_COLUMNS or source not in df.columns:
+            raise ValueError(f"cannot take {name!r} from {source!r}; columns: {df.columns}")
+        found[name] = source
     cols = []
     for field in BARS.fields:
         name = field.name
@@ -95,6 +102,10 @@ def load_bars(
     options: dict | None = None,
     ticker_from_path: bool | str = False,
     ticker: str | None = None,
+    columns: dict[str, str] | None = None,
+    schema: StructType | str | None = None,
+    year_partitioned: bool = False,
+    duplicates: str = "error",
 ) -> DataFrame:
     """Read bars from files of any Spark-supported format.
 
@@ -104,23 +115,86 @@ def load_bars(
     writes ``ABC.parquet/part-*``).  The path comes from the hidden
     ``_metadata`` column, so no extra listing job runs.  ``ticker`` labels a
     source that holds a single series with a constant.
+
+    ``columns`` names the source column of a bar column (``{"close": "px"}``);
+    others go by the usual labels.  CSV and JSON are read with ``schema``, by
+    default the labels of :data:`DAILY_HISTORY`; they are never inferred, and a
+    CSV header must agree with it.  ``year_partitioned=True`` says that the
+    source is a :func:`write_bars` folder, whose ``year`` folders are pruned by
+    the range; any other column of that name is left alone.
+
+    ``duplicates`` says what a second row of one ``(ticker, date)`` means: an
+    error when the query runs (``"error"``), the row with the greatest prices in
+    column order (``"greatest"``), or that the caller vouches for the key
+    (``"trust"``, which spares the group-by).
     """
+    if duplicates not in ("error", "greatest", "trust"):
+        raise ValueError(f"duplicates must be error, greatest or trust, got {duplicates!r}")
     reader = spark.read.format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", "true")
+        reader = reader.option("header", "true").option("enforceSchema", "false")
     if options:
         reader = reader.options(**options)
+    if schema is None and fmt in ("csv", "json"):
+        own = ticker is not None or ticker_from_path
+        schema = StructType([f for f in DAILY_HISTORY.fields if not (own and f.name == "Ticker")])
+    if schema is not None:
+        reader = reader.schema(schema)
     raw = reader.load(path)
     if ticker_from_path:
         pattern = r"([^/]+?)(\.[^./]*)?/[^/]+$" if ticker_from_path == "dir" else r"([^/]+?)(\.[^./]*)?$"
         raw = raw.withColumn("ticker", F.regexp_extract(F.col("_metadata.file_path"), pattern, 1))
-    if "year" in raw.columns:
-        # Layout of ``write_bars``: a year predicate prunes whole directories.
+    if year_partitioned:
         if start is not None:
             raw = raw.filter(F.col("year") >= _as_date(start).year)
         if end is not None:
             raw = raw.filter(F.col("year") <= _as_date(end).year)
-    return filter_bars(normalize_bars(raw, ticker), tickers, start, end)
+    bars = filter_bars(normalize_bars(raw, ticker, columns), tickers, start, end)
+    return bars if duplicates == "trust" else one_per_key(bars, duplicates)
+
+
+def one_per_key(bars: DataFrame, duplicates: str = "error") -> DataFrame:
+    """Bars with the key ``(ticker, date)`` made sure of: one partial-aggregated
+    group-by on it.  ``duplicates`` as in :func:`load_bars`."""
+    kept = bars.groupBy("ticker", "date").agg(F.max(F.struct(*PRICE_COLUMNS)).alias("_bar"), F.count(F.lit(1)).alias("_n"))
+    if duplicates == "error":
+        said = F.format_string("more than one bar for (%s, %s)", F.col("ticker"), F.col("date").cast("string"))
+        kept = kept.where(F.when(F.col("_n") > 1, F.raise_error(said).cast("boolean")).otherwise(F.lit(True)))
+    return kept.select("ticker", "date", *[F.col(f"_bar.{c}").alias(c) for c in PRICE_COLUMNS])
+
+
+def tick_events(ticks: DataFrame, ticker, ts, price, seq, volume) -> DataFrame:
+    """ticker, date, price, qty, and ``seq`` of the events that have a price (NULL
+    for the others, so that they are no first or last price)."""
+    col = lambda c: F.col(c) if isinstance(c, str) else c
+    value = nan_to_null(col(price).cast("double"))
+    return ticks.select(
+        col(ticker).cast("string").alias("ticker"),
+        F.to_date(col(ts)).alias("date"),
+        value.alias("price"),
+        F.when(value.isNotNull(), col(seq)).alias("seq"),
+        (nan_to_null(col(volume).cast("double")) if volume is not None else F.lit(1.0)).alias("qty"),
+    )
+
+
+def tick_aggregates(volume) -> list[Column]:
+    """Aggregates of one ticker-day of :func:`tick_events`; events without a price
+    count for the volume only."""
+    # A primitive ordering key keeps min_by/max_by in the hash aggregate (a
+    # struct key would force a sort of every tick before the partial step).
+    return [
+        F.min_by("price", "seq").alias("open"),
+        F.max("price").alias("high"),
+        F.min("price").alias("low"),
+        F.max_by("price", "seq").alias("close"),
+        (F.sum("qty") if volume is not None else F.count(F.lit(1)).cast("double")).alias("volume"),
+    ]
+
+
+def finished_bars(daily: DataFrame) -> DataFrame:
+    """Columns of ``BARS`` from the aggregates of a ticker-day."""
+    typical = (F.col("high") + F.col("low") + F.col("close")) / F.lit(3.0)
+    return daily.select("ticker", "date", "open", "high", "low", "close", typical.alias("adj_close"), "volume")
 
 
 def bars_from_ticks(
@@ -133,7 +207,7 @@ def bars_from_ticks(
 ) -> DataFrame:
     """Daily bars from per-event prices.
 
-    open/close are the price at the smallest/largest ``seq`` of the day
+    open/close are the first and last price that is not NULL, by ``seq``
     (``min_by``/``max_by``; ``seq`` is a per-event sequence number, unique
     within a ticker and day, so open and close are the same on every re-run),
     high/low the extremes, volume the summed
@@ -142,33 +216,8 @@ def bars_from_ticks(
     All aggregates are partial-aggregatable, so the shuffle carries at most
     one row per (map task, ticker, day).
     """
-    col = lambda c: F.col(c) if isinstance(c, str) else c
-    events = ticks.select(
-        col(ticker).cast("string").alias("ticker"),
-        F.to_date(col(ts)).alias("date"),
-        nan_to_null(col(price).cast("double")).alias("price"),
-        col(seq).alias("seq"),
-        (nan_to_null(col(volume).cast("double")) if volume is not None else F.lit(1.0)).alias("qty"),
-    )
-    # A primitive ordering key keeps min_by/max_by in the hash aggregate (a
-    # struct key would force a sort of every tick before the partial step).
-    daily = events.groupBy("ticker", "date").agg(
-        F.min_by("price", "seq").alias("open"),
-        F.max("price").alias("high"),
-        F.min("price").alias("low"),
-        F.max_by("price", "seq").alias("close"),
-        (F.sum("qty") if volume is not None else F.count(F.lit(1)).cast("double")).alias("volume"),
-    )
-    return daily.select(
-        "ticker",
-        "date",
-        "open",
-        "high",
-        "low",
-        "close",
-        ((F.col("high") + F.col("low") + F.col("close")) / F.lit(3.0)).alias("adj_close"),
-        "volume",
-    )
+    events = tick_events(ticks, ticker, ts, price, seq, volume)
+    return finished_bars(events.groupBy("ticker", "date").agg(*tick_aggregates(volume)))
 
 
 def bars_from_orders(spark: SparkSession, sf_dir: str, ticker: str = "o_orderpriority") -> DataFrame:
@@ -215,6 +264,7 @@ __all__ = [
     "filter_bars",
     "load_bars",
     "normalize_bars",
+    "one_per_key",
     "union_bars",
     "write_bars",
 ]

@@ -16,11 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from barlab.plans.materialize import checkpoint_dir
-from barlab.schema import nan_to_null
-
-
-def _c(x: str | Column) -> Column:
-    return F.col(x) if isinstance(x, str) else x
+from barlab.sources.bars import finished_bars, tick_aggregates, tick_events
 
 
 def stream_bars(
@@ -30,38 +26,19 @@ def stream_bars(
     price: str | Column,
     seq: str | Column,
     volume: str | Column | None = None,
-    lateness: str = "1 day",
+    *,
+    lateness: str,
 ) -> DataFrame:
-    """Streaming DataFrame of daily bars (schema of ``BARS``) from ticks."""
-    events = ticks.select(
-        _c(ticker).cast("string").alias("ticker"),
-        # Watermarks need a TIMESTAMP: the start of the event's calendar day.
-        F.to_date(_c(ts)).cast("timestamp").alias("_day"),
-        nan_to_null(_c(price).cast("double")).alias("price"),
-        _c(seq).alias("seq"),
-        (nan_to_null(_c(volume).cast("double")) if volume is not None else F.lit(1.0)).alias("qty"),
-    )
-    daily = (
-        events.withWatermark("_day", lateness)
-        .groupBy("ticker", "_day")
-        .agg(
-            F.min_by("price", "seq").alias("open"),
-            F.max("price").alias("high"),
-            F.min("price").alias("low"),
-            F.max_by("price", "seq").alias("close"),
-            (F.sum("qty") if volume is not None else F.count(F.lit(1)).cast("double")).alias("volume"),
-        )
-    )
-    return daily.select(
-        "ticker",
-        F.to_date(F.col("_day")).alias("date"),
-        "open",
-        "high",
-        "low",
-        "close",
-        ((F.col("high") + F.col("low") + F.col("close")) / F.lit(3.0)).alias("adj_close"),
-        "volume",
-    )
+    """Streaming DataFrame of daily bars (schema of ``BARS``) from ticks.
+
+    ``lateness`` (for instance ``"1 day"``) is the caller's promise: ticks that
+    come later than that are not in their bar.  Rebuild the days with
+    ``bars_from_ticks`` if the source breaks it."""
+    events = tick_events(ticks, ticker, ts, price, seq, volume)
+    # Watermarks need a TIMESTAMP: the start of the event's calendar day.
+    events = events.withColumn("_day", F.col("date").cast("timestamp"))
+    daily = events.withWatermark("_day", lateness).groupBy("ticker", "_day").agg(*tick_aggregates(volume))
+    return finished_bars(daily.withColumn("date", F.to_date("_day")))
 
 
 def write_bars_stream(

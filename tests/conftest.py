@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -16,6 +17,7 @@ def spark():
     from barlab.session import local_session
 
     session = local_session("*", shuffle_partitions=8, app="barlab-tests")
+    session.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="barlab-ckpt-"))
     yield session
     session.stop()
 

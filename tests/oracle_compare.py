@@ -35,9 +35,7 @@ def _canon(v):
     if v is None:
         return None
     if isinstance(v, float):
-        if math.isnan(v):
-            return None
-        return repr(v + 0.0)
+        return "nan" if math.isnan(v) else repr(v + 0.0)
     if isinstance(v, dt.datetime):
         return v.isoformat()
     if isinstance(v, dt.date):
@@ -57,7 +55,9 @@ def compare(spark, con, name: str, query, sql: str, sf_dir: str) -> list[str]:
     s_cols = df.columns
     s_types = {f.name: _SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
     s_rows = [tuple(r) for r in df.collect()]
-    rel = con.sql(sql)
+    # A view, as a statement must be storable as one.
+    con.execute(f'CREATE OR REPLACE TEMP VIEW "q_{name}" AS {sql}')
+    rel = con.sql(f'SELECT * FROM "q_{name}"')
     d_cols = rel.columns
     d_types = dict(zip(d_cols, [str(t) for t in rel.types]))
     d_rows = rel.fetchall()

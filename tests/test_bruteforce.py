@@ -141,7 +141,7 @@ def test_moving_averages(cases):
 @pytest.mark.parametrize("drop", [True, False])
 def test_return_consistency(cases, drop):
     df, series = cases
-    got = {r.ticker: r.std_dev for r in ops.return_consistency(df, START, END, drop_missing_first=drop).collect()}
+    got = {r.ticker: r.std_dev for r in ops.return_consistency(df, START, END, drop_missing_first=drop, universe=df).collect()}
     for t, rs in series.items():
         sel = [r for r in rs if START <= r[1] <= END]
         sd = _stdev([x for _, x in _returns(sel, drop_missing=drop)])
@@ -210,7 +210,7 @@ def test_outliers(cases):
 
 def test_seasonal_close(cases):
     df, series = cases
-    got = {r.ticker: (r.winter, r.spring) for r in ops.seasonal_close(df, START, END).collect()}
+    got = {r.ticker: (r.winter, r.spring) for r in ops.seasonal_close(df, START, END, universe=df).collect()}
     assert set(got) == set(series)
     for t, rs in series.items():
         w = [r[5] for r in rs if START <= r[1] <= END and r[5] is not None and r[1].month in (12, 1, 2)]

@@ -7,13 +7,17 @@ import __spark_entry__ as entry_module
 from conftest import SF0001, SF001
 from oracle_compare import compare, duck
 
-QUERIES = entry_module.queries()
-ORACLE = entry_module.oracle_sql()
+from barlab.plans.catalog import QUERIES
+from barlab.plans.oracle import ORACLE_SQL as ORACLE
 
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
-    assert len(QUERIES) >= 87
+    assert len(QUERIES) >= 103
+
+
+def test_entry_registers_them_all():
+    assert set(QUERIES) <= set(entry_module.queries()) and set(ORACLE) <= set(entry_module.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

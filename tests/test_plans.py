@@ -2,16 +2,19 @@
 exchange under a window), scans read only needed columns, predicates reach
 the Parquet reader, aggregates after a window reuse its partitioning."""
 
+import re
+
 import pytest
 
-import __spark_entry__ as entry_module
 from barlab.plans.inspect import physical_plan
 from barlab.sources.bars import bars_from_orders
 from barlab import operators as ops
 from conftest import SF001
 
-QUERIES = entry_module.queries()
-GLOBAL_AGG_OK = {"ticker_correlation", "ticker_correlation_events"}  # a global aggregate of one partial row per task
+from barlab.plans.catalog import QUERIES
+
+# One partial row per task with the ticker names meets in one task.
+GLOBAL_AGG_OK = {q for q in QUERIES if q.startswith(("ticker_correlation", "aligned_closes"))}
 
 
 def _exchanges(plan: str) -> list[str]:
@@ -40,7 +43,58 @@ def test_scan_reads_only_needed_columns(spark):
 def test_ticker_filter_reaches_parquet(spark):
     bars = bars_from_orders(spark, SF001)
     plan = physical_plan(ops.ticker_correlation(bars, ["1-URGENT", "2-HIGH"]))
-    assert "PushedFilters: [In(o_orderpriority" in plan or "PushedFilters: [Or(" in plan or "o_orderpriority" in plan.split("PushedFilters")[1]
+    pushed = [part.split("]]")[0] for part in plan.split("PushedFilters: [")[1:]]
+    assert pushed and all("In(o_orderpriority, [1-URGENT,2-HIGH" in p for p in pushed), pushed
+
+
+@pytest.mark.parametrize("name", sorted(GLOBAL_AGG_OK))
+def test_cross_ticker_queries_scan_once(spark, name):
+    df = QUERIES[name](spark, SF001)
+    df.collect()
+    final = executed(physical_plan(df))
+    assert final.count("FileScan") == 1, final
+
+
+def executed(plan: str) -> str:
+    """The final plans, subqueries included, without the initial ones."""
+    out, skip = [], None
+    for line in plan.splitlines():
+        depth = len(line) - len(line.lstrip(" :+-"))
+        if skip is not None and depth >= skip:
+            continue
+        skip = depth if "== Initial Plan ==" in line else None
+        if skip is None:
+            out.append(line)
+    return "\n".join(out)
+
+
+def test_building_the_matrix_runs_no_job(spark):
+    bars = bars_from_orders(spark, SF001)
+    spark.sparkContext.setJobGroup("build", "build")
+    ops.ticker_correlation(bars)
+    ops.aligned_closes(bars)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("build")) == 0
+    spark.sparkContext.setJobGroup("tests", "tests")
+
+
+@pytest.mark.parametrize("name", ["return_consistency", "most_consistent_top3", "seasonal_close"])
+def test_range_queries_scan_once(spark, name):
+    assert physical_plan(QUERIES[name](spark, SF001)).count("FileScan") == 1
+
+
+@pytest.mark.parametrize("name", ["daily_returns_year_split", "longest_streaks_year_split", "outlier_summary_year_split"])
+def test_year_split_moves_no_rows_by_ticker_alone(spark, name):
+    """Without broadcasts, only per-year rows meet by ticker; the bars' rows stay
+    where (ticker, year) put them."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = physical_plan(QUERIES[name](spark, SF001))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    lines = plan.splitlines()
+    by_ticker = [lines[i + 1] for i, x in enumerate(lines) if "hashpartitioning(ticker#" in x and x.split("hashpartitioning(")[1].split(")")[0].count("#") == 1]
+    assert by_ticker and all(re.search(r"HashAggregate\(keys=\[ticker#\d+(, _y#\d+\]|\].*functions=\[partial_)", x) for x in by_ticker), plan
 
 
 def test_window_then_aggregate_shuffles_bars_once(spark):
@@ -85,14 +139,6 @@ def test_date_range_reaches_the_tick_scan(spark, name):
     assert any("GreaterThanOrEqual(o_orderdate" in p and "LessThan(o_orderdate" in p for p in pushed), pushed
 
 
-@pytest.mark.parametrize("name", ["return_consistency", "seasonal_close"])
-def test_every_ticker_branch_reads_one_column(spark, name):
-    """The ticker list of the every-ticker join scans the ticker column only."""
-    plan = physical_plan(QUERIES[name](spark, SF001))
-    schemas = [line.split("ReadSchema: ")[1] for line in plan.splitlines() if "ReadSchema: " in line]
-    assert "struct<o_orderpriority:string>" in schemas
-
-
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_python_only_in_the_recursive_ema(spark, name):
     """No row-at-a-time or scalar pandas UDF anywhere; the one Python stage

@@ -82,7 +82,8 @@ def test_events_fixture_has_dense_shared_dates(spark):
     ev = bars_from_events(spark, SF001)
     assert ev.count() == 150
     aligned = ops.aligned_closes(ev)
-    assert aligned.count() == 30
+    assert aligned.count() == 150 and aligned.columns == ["date", "ticker", "close"]
+    assert ops.aligned_wide(ev, ["click", "view"], "open").columns == ["date", "click_open", "view_open"]
 
 
 def test_pages_build_every_result_lazily(bars):
@@ -92,12 +93,12 @@ def test_pages_build_every_result_lazily(bars):
     from barlab.plans.pages import pages
 
     out = pages(bars, start=C_START, end=C_END, year=1997)
-    assert len(out) == 38
+    assert len(out) == 38 and "ticker_correlation/matrix" in out
     for name, df in out.items():
         assert df.columns, name
     same = finish(out["momentum/longest_streaks"]).orderBy("ticker").collect()
     want = finish(ops.longest_streaks(bars)).orderBy("ticker").collect()
     assert same == want
     assert out["consistent_returns/top3"].count() == 3
-    one = pages(bars.filter("ticker = '1-URGENT'"))
-    assert "ticker_correlation/matrix" not in one and len(one) == 37
+    one = pages(bars.filter("ticker = '1-URGENT'"), start=C_START, end=C_END)
+    assert one["ticker_correlation/matrix"].count() == 1 and len(one) == 38

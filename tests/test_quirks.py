@@ -98,13 +98,35 @@ def test_one_return_gives_infinite_stddev(make_bars):
 
 def test_ticker_without_selected_bars_is_still_reported(make_bars):
     bars = make_bars([("A", "2020-01-01", 1, 1), ("A", "2020-01-02", 1, 2), ("B", "2019-01-01", 1, 2)])
-    got = {r.ticker: r.std_dev for r in ops.return_consistency(bars, "2020-01-01", "2020-12-31").collect()}
+    listed = bars.select("ticker")
+    got = {r.ticker: r.std_dev for r in ops.return_consistency(bars, "2020-01-01", "2020-12-31", universe=listed).collect()}
     assert got == {"A": float("inf"), "B": float("inf")}
-    seasons = {r.ticker: tuple(r)[1:] for r in ops.seasonal_close(bars, "2020-01-01", "2020-12-31").collect()}
+    seasons = {r.ticker: tuple(r)[1:] for r in ops.seasonal_close(bars, "2020-01-01", "2020-12-31", universe=listed).collect()}
     assert seasons == {"A": (1.5, None, None, None), "B": (None, None, None, None)}
-    # without the every-ticker branch, only tickers with selected bars appear
-    assert [r.ticker for r in ops.return_consistency(bars, "2020-01-01", "2020-12-31", every_ticker=False).collect()] == ["A"]
-    assert [r.ticker for r in ops.seasonal_close(bars, "2020-01-01", "2020-12-31", every_ticker=False).collect()] == ["A"]
+    # without a universe, only tickers with selected bars appear
+    assert [r.ticker for r in ops.return_consistency(bars, "2020-01-01", "2020-12-31").collect()] == ["A"]
+    assert [r.ticker for r in ops.seasonal_close(bars, "2020-01-01", "2020-12-31").collect()] == ["A"]
+
+
+def test_shared_dates_need_a_bar_of_every_ticker(make_bars):
+    # two rows of A on a day without B do not make it a shared date
+    bars = make_bars([("A", "2020-01-01", 1, 2), ("A", "2020-01-01", 1, 3), ("A", "2020-01-02", 1, 4), ("B", "2020-01-02", 1, 5)])
+    got = [tuple(r) for r in ops.aligned_closes(bars).select("ticker", "close").collect()]
+    assert sorted(got) == [("A", 4.0), ("B", 5.0)]
+    assert [tuple(r)[1:] for r in ops.aligned_wide(bars, ["A", "B"]).collect()] == [(4.0, 5.0)]
+
+
+def test_no_shared_date_gives_the_whole_grid_of_nulls(make_bars):
+    bars = make_bars([(f"T{i}", f"2020-01-{i + 1:02d}", 1, i + 1) for i in range(11)])
+    got = [tuple(r) for r in ops.ticker_correlation(bars).collect()]
+    assert len(got) == 121 and {c for _, _, c in got} == {None}
+
+
+def test_dotted_ticker_names(make_bars):
+    bars = make_bars([(t, f"2020-01-0{d}", 1, d + k) for d in (1, 2, 3) for k, t in enumerate(("BRK.B", "date"))])
+    assert ops.aligned_closes(bars).count() == 6
+    assert ops.aligned_wide(bars, ["BRK.B", "date"]).columns == ["date", "BRK.B_close", "date_close"]
+    assert len(ops.ticker_correlation(bars).collect()) == 4
 
 
 def test_missing_season_is_null(make_bars):

@@ -21,7 +21,7 @@ def test_parquet_round_trip_with_pruning(spark):
     bars = bars_from_orders(spark, SF001)
     out = os.path.join(_tmp(), "bars")
     write_bars(bars, out)
-    back = load_bars(spark, out, start="1996-01-01", end="1997-01-01", tickers=["2-HIGH"])
+    back = load_bars(spark, out, start="1996-01-01", end="1997-01-01", tickers=["2-HIGH"], year_partitioned=True, duplicates="trust")
     plan = physical_plan(back)
     assert "PartitionFilters: [isnotnull(year" in plan
     assert "PushedFilters" in plan and "ticker" in plan.split("PushedFilters")[1].split("]")[0]
@@ -81,8 +81,8 @@ def test_bars_from_ticks_with_volume(spark):
     )
     got = {r.date: r for r in bars_from_ticks(ticks, "sym", "ts", "px", "seq", volume="size").collect()}
     d1 = got[dt.date(2020, 1, 1)]
-    # the last tick of day 1 has a NaN price: it becomes NULL, so the close is NULL
-    assert (d1.open, d1.high, d1.low, d1.close, d1.volume) == (11.0, 11.0, 10.0, None, 9.0)
+    # the last tick of day 1 has a NaN price: the close is the last price there is
+    assert (d1.open, d1.high, d1.low, d1.close, d1.volume) == (11.0, 11.0, 10.0, 10.0, 9.0)
     d2 = got[dt.date(2020, 1, 2)]
     assert (d2.open, d2.close, d2.adj_close, d2.volume) == (12.0, 12.0, 12.0, 1.0)
 
@@ -95,7 +95,7 @@ def test_formats_round_trip(spark, fmt):
     if fmt == "csv":
         writer = writer.option("header", "true")
     writer.save(out)
-    back = load_bars(spark, out, fmt=fmt)
+    back = load_bars(spark, out, fmt=fmt, schema=bars.schema if fmt in ("csv", "json") else None)
     assert back.schema == bars.schema or back.dtypes == bars.dtypes
     assert back.count() == bars.count()
     assert back.exceptAll(bars).count() == 0
@@ -109,3 +109,42 @@ def test_single_series_with_constant_label(spark):
     ).write.parquet(out)
     back = load_bars(spark, out, ticker="XYZ", tickers=["XYZ"])
     assert [(r.ticker, r.close) for r in back.collect()] == [("XYZ", 1.5)]
+
+
+BAR = "Ticker string, Date string, Open double, High double, Low double, Close double, `Adj Close` double, Volume double"
+
+
+def test_fiscal_year_column_is_no_partition(spark):
+    out = os.path.join(_tmp(), "fiscal")
+    rows = [("A", f"2020-0{m}-01", 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 2021) for m in (1, 2)]
+    spark.createDataFrame(rows, BAR + ", year int").write.parquet(out)
+    assert load_bars(spark, out, start="2020-01-01", end="2020-12-31").count() == 2
+
+
+def test_duplicate_keys_are_an_error_or_defined(spark):
+    out = os.path.join(_tmp(), "twice")
+    rows = [("A", "2020-01-01", 1.0, 1.0, 1.0, 1.0, 1.0, 1.0), ("A", "2020-01-01", 2.0, 1.0, 1.0, 1.0, 1.0, 1.0)]
+    spark.createDataFrame(rows, BAR).write.parquet(out)
+    with pytest.raises(Exception, match="more than one bar"):
+        load_bars(spark, out).collect()
+    assert [r.open for r in load_bars(spark, out, duplicates="greatest").collect()] == [2.0]
+    assert load_bars(spark, out, duplicates="trust").count() == 2
+
+
+def test_missing_first_and_last_prices_of_a_day(spark, duck_sf001):
+    """open and close are the first and last price there is, as in the oracle."""
+    import duckdb
+
+    from barlab.plans.oracle import BARS_BODY
+    from barlab.sources.bars import bars_from_ticks
+
+    day = dt.datetime(2020, 1, 1, 9)
+    ticks = [("A", day, None, 1), ("A", day, 5.0, 2), ("A", day, 7.0, 3), ("A", day, None, 4), ("B", day, None, 1)]
+    df = spark.createDataFrame(ticks, "o_orderpriority string, o_orderdate timestamp_ntz, o_totalprice double, o_orderkey long")
+    got = {r.ticker: (r.open, r.close, r.volume) for r in bars_from_ticks(df, "o_orderpriority", "o_orderdate", "o_totalprice", "o_orderkey").collect()}
+    assert got == {"A": (5.0, 7.0, 4.0), "B": (None, None, 1.0)}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE orders (o_orderpriority VARCHAR, o_orderdate TIMESTAMP, o_totalprice DOUBLE, o_orderkey BIGINT)")
+    con.executemany("INSERT INTO orders VALUES (?, ?, ?, ?)", ticks)
+    want = {r[0]: r[1:] for r in con.sql(f"SELECT ticker, open, close, volume FROM ({BARS_BODY})").fetchall()}
+    assert got == want

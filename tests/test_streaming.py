@@ -44,7 +44,7 @@ def test_complete_mode_gives_all_bars(spark):
     schema = spark.read.parquet(src).schema
     ticks = spark.readStream.schema(schema).parquet(_stream_dir())
     q = (
-        stream_bars(ticks, "event_type", "ts", "value", "event_id")
+        stream_bars(ticks, "event_type", "ts", "value", "event_id", lateness="1 day")
         .writeStream.format("memory")
         .queryName("all_bars")
         .outputMode("complete")
@@ -66,7 +66,7 @@ def test_days_follow_the_data_in_any_session_time_zone(spark):
         src = f"{SF0001}/events.parquet"
         ticks = spark.readStream.schema(spark.read.parquet(src).schema).parquet(_stream_dir())
         q = (
-            stream_bars(ticks, "event_type", "ts", "value", "event_id")
+            stream_bars(ticks, "event_type", "ts", "value", "event_id", lateness="1 day")
             .writeStream.format("memory")
             .queryName("bars_la")
             .outputMode("complete")
