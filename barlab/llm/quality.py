@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -213,8 +213,9 @@ def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 def fit_field(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> ChainField:
     """The field learned from ``labels(doc_id, quality)`` on a bounded sample."""
     label = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).where("doc_id is not null and quality in (0, 1)")
-    turn = F.row_number().over(Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = label.groupBy("doc_id").agg(F.min("quality").alias("quality")).withColumn("turn", turn).where(F.col("turn") <= sample_docs // 2)
+    label = label.groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    least = lambda q: label.where(F.col("quality") == q).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs // 2)
+    chosen = least(0).unionByName(least(1))
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
     rows = rows.select("text", "quality", F.xxhash64("doc_id").alias("order")).mapInArrow(_sample_features, "quality int, order long, features array<double>")
     found = rows.orderBy("order", "quality", "features").limit(sample_docs).collect()
