@@ -28,12 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barlab.llm.textvec import Chunk, chunks, mix, prefix_hash, range_hash, tally, windows, words
+from barlab.llm.textvec import WORDLIKE, Chunk, chunks, mix, prefix_hash, range_hash, tally, windows, words
 
 MIN_SHARE = 0.5
 SAMPLE_DOCS = 3000
 SAMPLE_LINES = 300
-N_FEATURES = 12
+N_FEATURES = 13
 
 
 def _table(chars: str) -> np.ndarray:
@@ -105,6 +105,8 @@ class Lines:
         size = np.maximum(self.n_words, 1)
         rep, twin = tally(repeated), tally(np.append(False, (word_hash[1:] == word_hash[:-1]) & (w.row[1:] == w.row[:-1])) if n else np.zeros(0, bool))
         letters = tally(_LETTER[buf])
+        solid = tally(WORDLIKE[buf])
+        bare = tally(solid[w.end] == solid[w.start])  # words of marks only
         tail = np.zeros(len(start), bool)
         full = np.flatnonzero(self.n_words)
         tail[full] = _STOP[buf[w.end[b[full] - 1] - 1]]
@@ -122,6 +124,7 @@ class Lines:
                 np.minimum((points[end] - points[start]) / size, 30) / 10,
                 (twin[b] - twin[a]) / size,
                 self.n_words == 0,
+                2 * (bare[b] - bare[a]) / size,
             ],
             axis=1,
         )
@@ -166,7 +169,7 @@ class ChainField:
         return labels
 
     @staticmethod
-    def fit(features: np.ndarray, first: np.ndarray, labels: np.ndarray, steps: int = 120, ridge: float = 1e-3) -> ChainField:
+    def fit(features: np.ndarray, first: np.ndarray, labels: np.ndarray, steps: int = 160, ridge: float = 3e-4) -> ChainField:
         """Maximum conditional likelihood per line, by gradient ascent (Adam)."""
         k = features.shape[1]
         order, alive = _by_step(first)
