@@ -193,7 +193,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, min_wo
 
     id_type, item_type = docs.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()
     bench = benchmark.select("item_id", F.col("text").cast("string").alias("text")).distinct()
-    items = stored(bench.mapInArrow(_benchmark_windows(width, min_words), _ITEM.format(item_type)), "benchmark-windows", few=True)
+    items = stored(bench.mapInArrow(_benchmark_windows(width, min_words), _ITEM.format(item_type)), "benchmark-windows", small=True)
     bits, widths = _bitmap(items)
     shared = docs.sparkSession.sparkContext.broadcast(bits)
     hits = docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(_document_windows(shared, widths), _HIT.format(id_type))

@@ -12,7 +12,7 @@ from barlab.llm.scratch import stored
 def components(edges: DataFrame) -> DataFrame:
     """``(node, label)`` for every node of ``edges(a, b)``: the label is the least
     node of the component.  Self-loops and repeated edges are allowed."""
-    now = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges", few=True)
+    now = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges", small=True)
     before = None
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -20,7 +20,7 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         down = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(down, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(down.select("a", F.col("m").alias("b")))
-        now = stored(small.where("a <> b").distinct(), "edges", few=True)
+        now = stored(small.where("a <> b").distinct(), "edges", small=True)
         mark = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if mark == before:
             break

@@ -134,7 +134,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN
         for b in range(batches):
             held = keys.where(F.col("batch") == b).groupBy("key", "doc_id").agg(F.lit(1).alias("one"))
             runs.add(held.groupBy("key").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("max_doc")))
-        common = stored(runs.common(min_docs), "line-common", few=True)
+        common = stored(runs.common(min_docs), "line-common", small=True)
     finally:
         runs.close()
     lost = keys.join(common, "key").where(~F.col("doc_id").eqNullSafe(F.col("max_doc")))

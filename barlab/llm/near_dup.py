@@ -7,10 +7,10 @@ hash bucket (``2**FEATURE_BITS`` buckets, the hashing trick; every document is
 counted).  The second factor lies between 1 and 2: rare runs weigh up to twice
 as much as universal ones, so a run does not lose its say by being copied.
 
-Consistent weighted sampling draws ``BANDS * ROWS`` samples (run, quantised
+Consistent weighted sampling draws ``bands * rows`` samples (run, quantised
 weight) of each document; two documents share a sample with the probability of
 their weighted Jaccard similarity, whatever their weights' scale.  Documents that
-share all ``ROWS`` samples of a band are candidates, and candidates count as
+share all ``rows`` samples of a band are candidates, and candidates count as
 linked if their weighted Jaccard similarity, taken from the whole texts, is at
 least ``threshold``.  Classes are the connected components of the links.
 
@@ -96,7 +96,7 @@ class Sampler:
     is (element, t).  The draws come from a table of 65,536 rows picked by a hash
     of the element and the sample's number; equal a's are told apart by hash."""
 
-    def __init__(self, n: int = BANDS * ROWS):
+    def __init__(self, n: int):
         u = ((mix(np.arange(1, 5 * 65536 + 1, dtype=np.uint64)) >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53
         u = u.reshape(5, 65536)
         r, c = -np.log(u[0] * u[1]), -np.log(u[2] * u[3])
@@ -120,9 +120,9 @@ class Sampler:
         return out & np.uint64(0xFFFFFFFF)
 
 
-def _signatures(shared):
+def _signatures(shared, n_bands: int, n_rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sampler, idf = Sampler(), shared.value
+        sampler, idf = Sampler(n_bands * n_rows), shared.value
         for batch in batches:
             for chunk in chunks(batch.column(batch.schema.names.index("text"))):
                 rows, ids, count = _row_sets(*shingles(chunk, WORDS))
@@ -130,9 +130,9 @@ def _signatures(shared):
                 if len(rows):
                     start = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
                     weight = np.log(count * idf[(ids >> np.uint64(_ID_BITS - FEATURE_BITS)).astype(np.int64)]).astype(np.float32)
-                    names = sampler.samples(ids, weight, start).reshape(BANDS, ROWS, -1)
-                    band = np.zeros((BANDS, len(start)), np.uint64)
-                    for k in range(ROWS):
+                    names = sampler.samples(ids, weight, start).reshape(n_bands, n_rows, -1)
+                    band = np.zeros((n_bands, len(start)), np.uint64)
+                    for k in range(n_rows):
                         band = mix(band ^ names[:, k])
                     for r, values in zip(rows[start].tolist(), band.T.view(np.int64).tolist()):
                         bands[r] = values
@@ -207,7 +207,7 @@ def _runs_of(shared):
     return run
 
 
-def near_dup_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def near_dup_classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """``(doc_id, digest, class_id, class_digest, similar)`` of every row of
     ``docs``: ``class_id`` and ``class_digest`` name the document that stands for
     its class, and ``similar`` counts the class's different texts."""
@@ -215,40 +215,40 @@ def near_dup_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame
     base = docs.select("doc_id", digest().alias("digest"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     shared = spark.sparkContext.broadcast(inverse_frequencies(docs))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    signed = stored(base.mapInArrow(_signatures(shared), f"doc_id {kind}, digest binary, bands array<long>"), "signatures")
+    signed = stored(base.mapInArrow(_signatures(shared, bands, rows), f"doc_id {kind}, digest binary, bands array<long>"), "signatures", small=True)
     least = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")).alias("least")
-    nodes = stored(signed.groupBy("digest").agg(least, F.any_value("bands").alias("bands")), "nodes", few=True)
+    nodes = stored(signed.groupBy("digest").agg(least, F.any_value("bands").alias("bands")), "nodes", small=True)
 
     placed = nodes.select("digest", F.posexplode("bands").alias("band", "h"))
     buckets = placed.groupBy("band", "h").agg(F.count("*").alias("size")).where("size > 1")
-    placed = stored(placed.join(buckets, ["band", "h"]).select("band", "h", "digest", "size"), "buckets", few=True)
+    placed = stored(placed.join(buckets, ["band", "h"]).select("band", "h", "digest", "size"), "buckets", small=True)
     company = placed.groupBy("digest").agg(F.sum("size").alias("company"))
     rep = nodes.join(company, "digest", "left_semi").select(F.col("digest").alias("_d"), F.col("least.doc_id").alias("_i"))
     texts = base.join(rep, (F.col("digest") == F.col("_d")) & F.col("doc_id").eqNullSafe(F.col("_i")), "left_semi")
     texts = stored(texts.select("digest", "text").groupBy("digest").agg(F.any_value("text").alias("text")), "texts")
     hubs = placed.join(company, "digest").groupBy("band", "h").agg(F.max(F.struct("company", "digest")).alias("top"))
-    hubs = stored(hubs.select("band", "h", F.col("top.digest").alias("hub")), "hubs", few=True)
+    hubs = stored(hubs.select("band", "h", F.col("top.digest").alias("hub")), "hubs", small=True)
     pairs = placed.join(hubs, ["band", "h"]).select(F.col("digest").alias("a"), "hub").where("a <> hub").distinct()
-    links = stored(_verified(stored(pairs, "pairs", few=True), texts, shared, threshold), "links", few=True)
-    labels = stored(components(links), "labels", few=True)
+    links = stored(_verified(stored(pairs, "pairs", small=True), texts, shared, threshold), "links", small=True)
+    labels = stored(components(links), "labels", small=True)
 
     # Buckets that still have members of different components.
     marked = placed.join(labels, F.col("digest") == F.col("node"), "left").withColumn("label", F.coalesce("label", "digest")).drop("node")
     mixed = marked.groupBy("band", "h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("band", "h")
     open_ = marked.join(mixed, ["band", "h"]).join(hubs, ["band", "h"])
-    open_ = stored(open_.select("band", "h", "digest", "label", "hub", F.col("size").alias("members")), "open", few=True)
+    open_ = stored(open_.select("band", "h", "digest", "label", "hub", F.col("size").alias("members")), "open", small=True)
     runs = texts.join(open_.select("digest").distinct(), "digest").select("digest", "text").mapInArrow(_runs_of(shared), "digest binary, run long, weight double")
     # The weight of each text in runs that no other open text has: min = max names the only holder.
     alone = runs.groupBy("run").agg(F.min("digest").alias("digest"), F.max("digest").alias("last"), F.max("weight").alias("weight")).where("digest = last")
     alone = alone.groupBy("digest").agg(F.sum("weight").alias("alone"))
     whole = texts.join(open_.select("digest").distinct(), "digest").mapInArrow(_total_weight(shared), "digest binary, total double")
     hopeless = whole.join(alone, "digest").where(F.col("alone") > (1 - threshold) * F.col("total") * (1 + 1e-9)).select("digest")
-    rest = stored(open_.join(hopeless, "digest", "left_anti").select("band", "h", "digest", "label", "hub"), "rest", few=True)
+    rest = stored(open_.join(hopeless, "digest", "left_anti").select("band", "h", "digest", "label", "hub"), "rest", small=True)
     hub_label = rest.join(labels.select(F.col("node").alias("hub"), F.col("label").alias("hub_label")), "hub", "left")
     outside = hub_label.where(~F.col("label").eqNullSafe(F.coalesce("hub_label", "hub"))).select("band", "h", F.col("digest").alias("o"), F.col("label").alias("o_label"))
     other = outside.join(rest, ["band", "h"]).where((F.col("o_label") != F.col("label")) & (F.col("digest") != F.col("hub")) & (F.col("o") != F.col("hub")))
     more = other.select(F.least("o", "digest").alias("a"), F.greatest("o", "digest").alias("hub")).distinct()
-    late = stored(_verified(stored(more, "late-pairs", few=True), texts, shared, threshold), "late-links", few=True)
+    late = stored(_verified(stored(more, "late-pairs", small=True), texts, shared, threshold), "late-links", small=True)
     final = components(links.unionByName(late).select("a", "b")) if late.take(1) else labels
 
     joined = final.join(nodes, F.col("node") == F.col("digest")).select("digest", "label", "least")

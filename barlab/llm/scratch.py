@@ -29,12 +29,16 @@ def scratch_dir(spark: SparkSession, what: str) -> str:
     return f"{base.rstrip('/')}/llm-{what}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, what: str, few: bool = False) -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read back.  ``few`` is for
-    tables of a few bytes a document: two files for each core of the cluster at
-    most, however many partitions made them."""
-    path = scratch_dir(df.sparkSession, what)
-    if few:
-        df = df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism)
+def stored(df: DataFrame, what: str, small: bool = False) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read back.
+
+    Files follow the cluster and not the partitions that ``df`` happens to have:
+    four a core, and a quarter of ``spark.sql.shuffle.partitions`` at least.
+    ``small`` is for tables of some bytes a document, made by work that
+    deserves all its tasks: they are dealt anew to a dozen times fewer."""
+    spark = df.sparkSession
+    cores, parts = spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df = df.repartition(max(1, cores // 3, parts // 50)) if small else df.coalesce(max(4 * cores, parts // 4))
+    path = scratch_dir(spark, what)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

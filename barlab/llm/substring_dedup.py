@@ -249,7 +249,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot_contexts: int = HO
     buckets = anchors.groupBy("gram").agg(F.count("*").alias("n"), F.min("context").alias("c0"), F.max("context").alias("c1")).where("n > 1")
     shared = stored(anchors.join(buckets.select("gram", (F.col("c0") == F.col("c1")).alias("alike")), "gram"), "anchors")
     kinds = shared.where("not alike").groupBy("gram", "context").agg(F.count("*").alias("n"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "mark", "pos")).alias("one"))
-    kinds = stored(kinds.select("gram", "context", "n", "one.doc_id", "one.mark", "one.pos"), "contexts", few=True)
+    kinds = stored(kinds.select("gram", "context", "n", "one.doc_id", "one.mark", "one.pos"), "contexts", small=True)
 
     asked = kinds.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("gram", "context", "pos")).alias("asked"))
     asked = asked.select(F.col("doc_id").alias("_i"), F.col("mark").alias("_m"), "asked")

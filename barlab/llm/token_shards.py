@@ -192,7 +192,7 @@ def write_shards(docs: DataFrame, folder: str, vocabulary: str, pattern: str, en
     )
     names = ["shard", "place", "doc_id", "seq_no", "n_tokens", "ids_sha256"]
     written = packed.groupBy("shard").applyInArrow(_write(folder, length, names), f"shard int, place long, doc_id {kind}, seq_no int, n_tokens int, ids_sha256 string")
-    placed = stored(written, "shard-records")
+    placed = stored(written, "shard-records", small=True)
     counts = placed.groupBy("shard").agg(F.count("*").alias("n"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     index = counts.select("shard", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first_slot"))

@@ -89,11 +89,9 @@ def test_groups_of_edited_copies(spark, edits):
     check(spark, rows)
 
 
-def test_members_of_other_components_are_compared(spark, monkeypatch):
+def test_members_of_other_components_are_compared(spark):
     """A chain in one bucket: each text like the next, none like all, so the hub
     leaves some to the exact rest."""
-    monkeypatch.setattr(near_dup, "BANDS", 60)
-    monkeypatch.setattr(near_dup, "ROWS", 1)
     rnd = random.Random(11)
     words = prose(rnd, 200).split()
     rows = []
@@ -101,7 +99,7 @@ def test_members_of_other_components_are_compared(spark, monkeypatch):
         rows.append((i, " ".join(words), "en", "s", 1))
         at = 25 * i
         words[at : at + 12] = [w + "q" for w in words[at : at + 12]]
-    found = near_dup.near_dup_classes(docs(spark, rows)).collect()
+    found = near_dup.near_dup_classes(docs(spark, rows), bands=60, rows=1).collect()
     sets = [shingles(r[1]) for r in rows]
     assert all(similarity(sets[i], sets[i + 1]) > 0.84 for i in range(7)) and similarity(sets[0], sets[7]) < 0.5
     assert {r.class_id for r in found} == {0}
