@@ -4,14 +4,15 @@ A byte goes if it lies in a string of ``length`` bytes that also starts anywhere
 else, in the same text or another one.  Texts count as UTF-8 bytes and matches
 never cross texts.
 
-1. *Anchors.*  Of the ``GRAM``-byte grams in every string of ``length`` bytes the
-   ones with the least hash are anchors, so equal strings have equal anchors at
-   equal places, and about one gram in 85 is one.  The gram is the initial bucket
-   of the suffixes around it.  Buckets of one anchor are done.
-2. *Contexts.*  All strings of ``length`` bytes around an anchor lie in the
-   ``length - GRAM`` bytes before and the ``length`` bytes from it.  Anchors whose
-   contexts are equal need no comparison: everything in them is repeated.  One
-   context of each other kind is fetched from the texts.
+1. *Anchors.*  Every string of ``length`` bytes has one: of its ``GRAM``-byte grams
+   the one with the least hash (the first, if several have it).  Strings one after
+   the other mostly share it, so about one gram in 85 is an anchor.  Equal strings
+   have equal anchors at equal places; the anchor's gram is the initial bucket.
+   Buckets of one anchor are done.
+2. *Contexts.*  An anchor's context is the bytes of all strings that it is the anchor
+   of.  Equal contexts are one kind, and everything in a kind that occurs twice is
+   repeated.  Of a bucket with several kinds, one context of each is fetched from the
+   texts.
 3. *Refinement.*  In a bucket, contexts lie side by side, aligned at the anchor.
    Every offset starts in the bucket of its first ``length / 4`` bytes; buckets are
    refined by sorting on their own identifier and the identifier that the offset
@@ -34,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barlab.llm.scratch import stored
@@ -42,41 +43,42 @@ from barlab.llm.textvec import Chunk, chunks, mix, prefix_hash, range_hash
 
 LENGTH = 200
 GRAM = 32
-HOT_CONTEXTS = 4000
-CHUNK_CONTEXTS = 8000
+HOT_CONTEXTS = 3000
+CHUNK_CONTEXTS = 3000
 _NEVER = np.uint64(0xFFFFFFFFFFFFFFFF)
+_PLACE = np.uint64((1 << 31) - 1)
 
 
-def _sliding(values: np.ndarray, w: int, best, filler) -> np.ndarray:
-    """``best`` (minimum or maximum) of each run of ``w`` values."""
+def _sliding_min(values: np.ndarray, w: int) -> np.ndarray:
+    """Least of each run of ``w`` values."""
     n = len(values) - w + 1
     blocks = -(-len(values) // w)
-    padded = np.full(blocks * w, filler, values.dtype)
-    padded[: len(values)] = values
-    grid = padded.reshape(blocks, w)
-    ahead = best.accumulate(grid, axis=1).ravel()
-    behind = best.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
-    return best(behind[:n], ahead[w - 1 : w - 1 + n])
+    grid = np.full(blocks * w, _NEVER)
+    grid[: len(values)] = values
+    grid = grid.reshape(blocks, w)
+    ahead = np.minimum.accumulate(grid, axis=1).ravel()
+    behind = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
+    return np.minimum(behind[:n], ahead[w - 1 : w - 1 + n])
 
 
-def find_anchors(chunk: Chunk, sums: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(row, position in the chunk, gram hash)`` of every anchor."""
-    none = np.zeros(0, np.int64)
+def find_anchors(chunk: Chunk, sums: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(row, anchor, first, last)`` of every anchor, as positions in the chunk:
+    it is the anchor of the strings that start at ``first`` to ``last``."""
     n, w = len(chunk.buf), length - GRAM + 1
     if n < length:
-        return none, none, none.astype(np.uint64)
-    starts = np.arange(n - GRAM + 1)
-    grams = range_hash(sums, starts, starts + GRAM) >> np.uint64(1)  # _NEVER is no gram's hash
-    whole = np.ones(n - length + 1, bool)  # strings that lie in one row
-    for edge in chunk.bounds[1:-1]:
-        whole[max(0, edge - length + 1) : edge] = False
-        grams[max(0, edge - GRAM + 1) : edge] = _NEVER
-    least = _sliding(grams, w, np.minimum, _NEVER)
-    # The greatest of the least hashes of all strings that contain the gram; 0 for strings that cross rows.
-    low = np.zeros(len(least) + 2 * (w - 1), np.uint64)
-    low[w - 1 : w - 1 + len(least)] = np.where(whole, least, np.uint64(0))
-    at = np.flatnonzero((_sliding(low, w, np.maximum, np.uint64(0)) == grams) & (grams != _NEVER))
-    return np.searchsorted(chunk.bounds, at, "right") - 1, at, grams[at]
+        none = np.zeros(0, np.int64)
+        return none, none, none, none
+    at = np.arange(n - GRAM + 1)
+    # 33 bits of the hash, then the place: the least is the first of the least hashes.
+    rank = (range_hash(sums, at, at + GRAM) & ~_PLACE) | at.astype(np.uint64)
+    anchor = (_sliding_min(rank, w) & _PLACE).astype(np.int64)
+    row = np.searchsorted(chunk.bounds, at[: len(anchor)], "right") - 1
+    inside = at[: len(anchor)] + length <= chunk.bounds[row + 1]
+    starts = np.flatnonzero(inside)
+    new = np.append(True, (anchor[starts][1:] != anchor[starts][:-1]) | (row[starts][1:] != row[starts][:-1])) if len(starts) else np.zeros(0, bool)
+    first = starts[new]
+    last = np.append(starts[np.flatnonzero(new)[1:] - 1], starts[-1:])
+    return row[first], anchor[first], first, last
 
 
 def _anchor_rows(length: int):
@@ -84,38 +86,48 @@ def _anchor_rows(length: int):
         for batch in batches:
             for chunk in chunks(batch.column(2)):
                 sums = prefix_hash(chunk.buf)
-                row, at, gram = find_anchors(chunk, sums, length)
-                left = np.maximum(chunk.bounds[row], at - (length - GRAM))
-                right = np.minimum(chunk.bounds[row + 1], at + length)
-                context = mix(range_hash(sums, left, right) + (at - left).astype(np.uint64))
+                row, at, first, last = find_anchors(chunk, sums, length)
+                gram = range_hash(sums, at, at + GRAM)
+                context = range_hash(sums, first, last + length) & ~np.uint64(0xFFFF)
+                # The name of a context says how long it is and where its anchor is.
+                context |= ((last - first) << 8 | (at - first)).astype(np.uint64)
                 part = batch.slice(chunk.first, chunk.n)
                 pick = pa.array(row)
-                cols = [part.column(0).take(pick), part.column(1).take(pick), pa.array((at - chunk.bounds[row]).astype(np.int32)), pa.array(gram.view(np.int64)), pa.array(context.view(np.int64))]
+                cols = [part.column(0).take(pick), part.column(1).take(pick), pa.array((first - chunk.bounds[row]).astype(np.int32)), pa.array(gram.view(np.int64)), pa.array(context.view(np.int64))]
                 yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "mark", "pos", "gram", "context"])
 
     return run
 
 
+def _size(length: int) -> Column:
+    """Bytes of a context, by its name."""
+    return (F.shiftright("context", 8).bitwiseAND(F.lit(0xFF)) + length).cast("int")
+
+
 def _fetch(length: int):
     """The bytes of the contexts asked of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for data, asked in zip(batch.column(0), batch.column(1)):
-                text = (data.as_py() or "").encode()
-                asked = asked.as_py()
-                out = {"gram": [], "context": [], "before": [], "bytes": []}
-                for x in asked:
-                    lo = max(0, x["pos"] - (length - GRAM))
-                    out["gram"].append(x["gram"])
-                    out["context"].append(x["context"])
-                    out["before"].append(x["pos"] - lo)
-                    out["bytes"].append(text[lo : x["pos"] + length])
-                yield pa.RecordBatch.from_arrays([pa.array(out["gram"], pa.int64()), pa.array(out["context"], pa.int64()), pa.array(out["before"], pa.int32()), pa.array(out["bytes"], pa.binary())], names=list(out))
+            gram, context, data = [], [], []
+            for text, asked in zip(batch.column(0), batch.column(1)):
+                whole = text.as_py().encode()
+                for x in asked.as_py():
+                    gram.append(x["gram"])
+                    context.append(x["context"])
+                    data.append(whole[x["pos"] : x["pos"] + (x["context"] >> 8 & 0xFF) + length])
+                if len(data) >= 20_000:
+                    yield _context_batch(gram, context, data)
+                    gram, context, data = [], [], []
+            yield _context_batch(gram, context, data)
 
     return run
 
 
+def _context_batch(gram: list[int], context: list[int], data: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(gram, pa.int64()), pa.array(context, pa.int64()), pa.array(data, pa.binary())], names=["gram", "context", "bytes"])
+
+
 def _shared_buckets(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Bucket identifiers of equal keys, and which of them hold two or more."""
     order = np.argsort(keys, kind="stable")
@@ -128,71 +140,64 @@ def _shared_buckets(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ids, size[ids] > 1
 
 
-def _grid(before: list[int], data: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Contexts as rows aligned at the anchor, and the columns each one has."""
-    width = 2 * length - GRAM
-    grid = np.zeros((len(data), width), np.uint8)
-    lo = np.array([length - GRAM - b for b in before], np.int64)
-    hi = lo + np.array([len(d) for d in data], np.int64)
-    for r, d in enumerate(data):
-        grid[r, lo[r] : hi[r]] = np.frombuffer(d, np.uint8)
-    return grid, lo, hi
-
-
-def refine(group: np.ndarray, before: list[int], data: list[bytes], length: int) -> list[np.ndarray]:
-    """For each context, the columns at which a string starts that another context
-    of its group has at the same column."""
-    grid, lo, hi = _grid(before, data, length)
-    rows, width = grid.shape
+def refine(group: np.ndarray, before: np.ndarray, data: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
+    """``(context, start)`` of each string that another context of its group has at
+    the same distance from the anchor; ``before[i]`` bytes of context ``i`` stand
+    before its anchor."""
     quarter = length // 4
-    sums = prefix_hash(grid.ravel())
-    col = np.arange(width - quarter + 1)
-    inside = (col >= lo[:, None]) & (col + quarter <= hi[:, None])
-    at = np.flatnonzero(np.pad(inside, ((0, 0), (0, quarter - 1))).ravel())
-    first = range_hash(sums, at, at + quarter)
-    place = (group[at // width].astype(np.uint64) << np.uint64(16)) | (at % width).astype(np.uint64)
-    ids, many = _shared_buckets(mix(first + mix(place)))
-    bucket = np.full(rows * width + length, -1, np.int64)
+    size = np.array([len(d) for d in data], np.int64)
+    base = np.concatenate([[0], np.cumsum(size)])
+    text = np.frombuffer(b"".join(data), np.uint8)
+    owner = np.repeat(np.arange(len(data)), size)
+    place = np.arange(len(text)) - base[owner]
+    at = np.flatnonzero(place + quarter <= size[owner])
+    aligned = (group[owner[at]] << 16 | (place[at] - before[owner[at]] + length)).astype(np.uint64)
+    ids, many = _shared_buckets(mix(range_hash(prefix_hash(text), at, at + quarter) + mix(aligned)))
+    bucket = np.full(len(text) + length, -1, np.int64)
     bucket[at[many]] = ids[many]
     at = at[many]
     for step in (quarter, 2 * quarter):
-        # A bucket names group and column too, so the pair of identifiers is all there is to sort on.
+        # A bucket names group and alignment too, so the pair of identifiers is all there is to sort on.
         later = bucket[at + step]
-        ok = (later >= 0) & (at % width + step < width)
+        ok = (later >= 0) & (place[at] + 2 * step <= size[owner[at]])
         at, later = at[ok], later[ok]
         ids, many = _shared_buckets((bucket[at] << 32) | later)
         now = np.full(len(bucket), -1, np.int64)
         now[at[many]] = ids[many]
         bucket, at = now, at[many]
-    found = np.split(at % width, np.searchsorted(at // width, np.arange(1, rows)))
-    return found
+    return owner[at], place[at]
 
 
-def _spans(columns: np.ndarray, length: int) -> tuple[list[int], list[int]]:
-    """Byte spans, relative to the anchor, of the strings starting at ``columns``."""
-    start = columns - (length - GRAM)
-    cut = np.flatnonzero(np.append(True, start[1:] > start[:-1] + length))
-    return start[cut].tolist(), (start[np.append(cut[1:] - 1, len(start) - 1)] + length).tolist()
+def _distinct_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by gram and context without the repeats."""
+    last = None
+    for batch in batches:
+        keys = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+        keep = [k != p for k, p in zip(keys, [last, *keys])]
+        last = keys[-1] if keys else last
+        yield batch.filter(pa.array(keep, pa.bool_()))
 
 
 def _refined(length: int):
     """Rows come sorted by gram; whole buckets are refined together."""
 
-    def flush(grams, contexts, before, data):
-        group = np.unique(np.array(grams), return_inverse=True)[1]
-        found = refine(group, before, data, length)
-        keep = [i for i, f in enumerate(found) if len(f)]
-        spans = [_spans(found[i], length) for i in keep]
-        cols = [pa.array([grams[i] for i in keep], pa.int64()), pa.array([contexts[i] for i in keep], pa.int64()), pa.array([s[0] for s in spans], pa.list_(pa.int32())), pa.array([s[1] for s in spans], pa.list_(pa.int32()))]
-        return pa.RecordBatch.from_arrays(cols, names=["gram", "context", "lo", "hi"])
+    def flush(grams, contexts, data):
+        grams, contexts = np.array(grams, np.int64), np.array(contexts, np.int64)
+        owner, start = refine(np.unique(grams, return_inverse=True)[1], contexts & 0xFF, data, length)
+        # Strings that overlap or touch are one span.
+        new = np.append(True, (owner[1:] != owner[:-1]) | (start[1:] > start[:-1] + length)) if len(owner) else np.zeros(0, bool)
+        first = np.flatnonzero(new)
+        last = np.append(first[1:] - 1, len(owner) - 1)[: len(first)]
+        who = owner[first]
+        return pa.RecordBatch.from_arrays([pa.array(grams[who]), pa.array(contexts[who]), pa.array(start[first].astype(np.int32)), pa.array((start[last] + length).astype(np.int32))], names=["gram", "context", "lo", "hi"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[list, list, list, list] = ([], [], [], [])
+        held: tuple[list, list, list] = ([], [], [])
         for batch in batches:
             for row in zip(*[c.to_pylist() for c in batch.columns]):
                 if len(held[0]) >= CHUNK_CONTEXTS and row[0] != held[0][-1]:
                     yield flush(*held)
-                    held = ([], [], [], [])
+                    held = ([], [], [])
                 for part, value in zip(held, row):
                     part.append(value)
         if held[0]:
@@ -204,12 +209,12 @@ def _refined(length: int):
 def _hot_strings(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for gram, context, before, data in zip(*[c.to_pylist() for c in batch.columns]):
+            for gram, context, data in zip(*[c.to_pylist() for c in batch.columns]):
                 sums = prefix_hash(np.frombuffer(data, np.uint8))
                 start = np.arange(len(data) - length + 1)
                 h = range_hash(sums, start, start + length)
-                column = (start + (length - GRAM - before)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), gram)), pa.array(np.full(len(h), context)), pa.array(column), pa.array(h.view(np.int64))], names=["gram", "context", "col", "h"])
+                cols = [np.full(len(h), gram), np.full(len(h), context), (start - (context & 0xFF)).astype(np.int32), start.astype(np.int32), h.view(np.int64)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["gram", "context", "col", "lo", "h"])
 
     return run
 
@@ -219,9 +224,9 @@ def _cut(length: int, names: list[str]):
         for batch in batches:
             out: list[list] = [[], [], [], []]
             for text, spans in zip(batch.column(1), batch.column(2)):
-                data = (text.as_py() or "").encode()
+                data = text.as_py().encode()
                 n, merged = len(data), []
-                for x in sorted((max(0, s["lo"]), min(n, s["hi"])) for s in spans.as_py() or ()):
+                for x in sorted((s["lo"], s["hi"]) for s in spans.as_py() or ()):
                     if merged and x[0] <= merged[-1][1]:
                         merged[-1][1] = max(merged[-1][1], x[1])
                     else:
@@ -240,41 +245,39 @@ def _cut(length: int, names: list[str]):
 def remove_repeats(docs: DataFrame, length: int = LENGTH, hot_contexts: int = HOT_CONTEXTS) -> DataFrame:
     """``(doc_id, n_bytes, span_start, span_end, kept)`` of every row: the maximal
     removed runs as two arrays, and the remaining bytes.  ``length`` is a multiple
-    of 4, at least 100."""
+    of 4 from 100 to 280."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     # Rows are told apart by doc_id and a hash of the text, so repeated ids do no harm.
-    base = docs.select("doc_id", F.xxhash64(text).alias("mark"), text.alias("text"))
-    anchors = base.mapInArrow(_anchor_rows(length), f"doc_id {kind}, mark long, pos int, gram long, context long")
-    buckets = anchors.groupBy("gram").agg(F.count("*").alias("n"), F.min("context").alias("c0"), F.max("context").alias("c1")).where("n > 1")
-    shared = stored(anchors.join(buckets.select("gram", (F.col("c0") == F.col("c1")).alias("alike")), "gram"), "anchors")
-    kinds = shared.where("not alike").groupBy("gram", "context").agg(F.count("*").alias("n"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "mark", "pos")).alias("one"))
-    kinds = stored(kinds.select("gram", "context", "n", "one.doc_id", "one.mark", "one.pos"), "contexts", small=True)
-
-    asked = kinds.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("gram", "context", "pos")).alias("asked"))
+    base = docs.select("doc_id", F.hash(text).alias("mark"), text.alias("text"))
+    anchors = base.mapInArrow(_anchor_rows(length), f"doc_id {kind}, mark int, pos int, gram long, context long")
+    many = anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
+    shared = stored(anchors.join(many, "gram"), "anchors")
+    kinds = shared.groupBy("gram", "context").agg(F.count("*").alias("n"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "mark", "pos")).alias("one"))
+    sizes = kinds.groupBy("gram").agg(F.count("*").alias("k"))
+    kinds = stored(kinds.join(sizes, "gram").select("gram", "context", "n", "k", "one.doc_id", "one.mark", "one.pos"), "contexts", small=True)
+
+    asked = kinds.where("k > 1").groupBy("doc_id", "mark").agg(F.collect_list(F.struct("gram", "context", "pos")).alias("asked"))
     asked = asked.select(F.col("doc_id").alias("_i"), F.col("mark").alias("_m"), "asked")
     same = F.col("doc_id").eqNullSafe(F.col("_i")) & F.col("mark").eqNullSafe(F.col("_m"))
-    # Rows that repeat both are equal; one of them is enough to fetch from.
-    fetched = base.join(asked, same).select("text", "asked").mapInArrow(_fetch(length), "gram long, context long, before int, bytes binary")
-    sizes = kinds.groupBy("gram").agg(F.count("*").alias("k"))
-    hot = sizes.where(F.col("k") > hot_contexts).select("gram")
-    cool = fetched.join(hot, "gram", "left_anti").dropDuplicates(["gram", "context"])
+    fetched = base.join(asked, same).select("text", "asked").mapInArrow(_fetch(length), "gram long, context long, bytes binary")
+    hot = kinds.where(F.col("k") > hot_contexts).select("gram").distinct()
+    some_hot = bool(hot.take(1))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = cool.repartition(parts, "gram").sortWithinPartitions("gram")
-    refined = dealt.mapInArrow(_refined(length), "gram long, context long, lo array<int>, hi array<int>")
-    spans = refined.select("gram", "context", F.explode(F.arrays_zip("lo", "hi")).alias("s")).select("gram", "context", "s.lo", "s.hi")
-    if hot.take(1):
-        strings = stored(fetched.join(hot, "gram", "left_semi").dropDuplicates(["gram", "context"]).mapInArrow(_hot_strings(length), "gram long, context long, col int, h long"), "hot-strings")
+    # Rows that repeat doc_id and text are asked alike; one answer is enough.
+    cool = fetched.join(hot, "gram", "left_anti") if some_hot else fetched
+    dealt = cool.repartition(parts, "gram").sortWithinPartitions("gram", "context")
+    spans = dealt.mapInArrow(_distinct_contexts, "gram long, context long, bytes binary").mapInArrow(_refined(length), "gram long, context long, lo int, hi int")
+    if some_hot:
+        answers = fetched.join(hot, "gram", "left_semi").groupBy("gram", "context").agg(F.any_value("bytes").alias("bytes"))
+        strings = stored(answers.mapInArrow(_hot_strings(length), "gram long, context long, col int, lo int, h long"), "hot-strings")
         often = strings.groupBy("gram", "col", "h").agg(F.count("*").alias("n")).where("n > 1").select("gram", "col", "h")
-        lo = F.col("col") - (length - GRAM)
-        spans = spans.unionByName(strings.join(often, ["gram", "col", "h"]).select("gram", "context", lo.alias("lo"), (lo + length).alias("hi")))
-    # A context that occurs twice is repeated as a whole; the ends are clipped to the text at the cut.
-    whole = kinds.where("n > 1").select("gram", "context", F.lit(GRAM - length).alias("lo"), F.lit(length).alias("hi"))
-    spans = spans.unionByName(whole)
-    span = lambda lo, hi: F.struct((F.col("pos") + lo).alias("lo"), (F.col("pos") + hi).alias("hi"))
-    places = shared.where("not alike").join(spans, ["gram", "context"]).select("doc_id", "mark", span(F.col("lo"), F.col("hi")).alias("s"))
-    places = places.unionByName(shared.where("alike").select("doc_id", "mark", span(F.lit(GRAM - length), F.lit(length)).alias("s")))
-    by_text = places.groupBy("doc_id", "mark").agg(F.collect_list("s").alias("spans"))
+        found = strings.join(often, ["gram", "col", "h"])
+        spans = spans.unionByName(found.select("gram", "context", "lo", (F.col("lo") + length).alias("hi")))
+    spans = spans.unionByName(kinds.where("n > 1").select("gram", "context", F.lit(0).alias("lo"), _size(length).alias("hi")))
+    places = shared.join(spans, ["gram", "context"])
+    span = F.struct((F.col("pos") + F.col("lo")).alias("lo"), (F.col("pos") + F.col("hi")).alias("hi"))
+    by_text = places.groupBy("doc_id", "mark").agg(F.collect_list(span).alias("spans"))
     by_text = by_text.select(F.col("doc_id").alias("_i"), F.col("mark").alias("_m"), "spans")
     rows = base.join(by_text, same, "left").select("doc_id", "text", "spans")
     names = ["doc_id", "n_bytes", "span_start", "span_end", "kept"]

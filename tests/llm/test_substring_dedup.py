@@ -77,15 +77,18 @@ def test_empty_table(spark):
     assert substring_dedup.remove_repeats(empty(spark)).count() == 0
 
 
-def test_equal_strings_have_equal_anchors():
+def test_every_string_has_one_anchor_and_equal_strings_the_same():
     import pyarrow as pa
 
     from barlab.llm.textvec import chunks, prefix_hash
 
     rnd = random.Random(4)
     p = prose(rnd, 80)[:300].encode()
-    texts = [prose(rnd, 50).encode() + p, p + prose(rnd, 50).encode()]
+    texts = [prose(rnd, 50).encode() + p, b"short", p + prose(rnd, 50).encode()]
     (chunk,) = chunks(pa.array(texts, pa.binary()))
-    row, at, _ = substring_dedup.find_anchors(chunk, prefix_hash(chunk.buf), 200)
-    inside = [{int(a - chunk.bounds[r]) - base for r, a in zip(row, at) if r == k and 100 <= a - chunk.bounds[r] - base <= 200 - substring_dedup.GRAM} for k, base in ((0, len(texts[0]) - 300), (1, 0))]
-    assert inside[0] == inside[1] and all(np.diff(np.sort(at[row == k])).max() <= 200 - substring_dedup.GRAM + 1 for k in (0, 1))
+    row, at, first, last = substring_dedup.find_anchors(chunk, prefix_hash(chunk.buf), 200)
+    anchor = {int(i): int(a) for a, f, l in zip(at, first, last) for i in range(f, l + 1)}
+    want = [i for r in range(3) for i in range(chunk.bounds[r], chunk.bounds[r + 1] - 199)]
+    assert sorted(anchor) == want and all(i <= a <= i + 200 - substring_dedup.GRAM for i, a in anchor.items())
+    x, y = int(chunk.bounds[1]) - 300, int(chunk.bounds[2])
+    assert all(anchor[x + k] - x == anchor[y + k] - y for k in range(101))
