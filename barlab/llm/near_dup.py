@@ -1,11 +1,11 @@
 """Near-duplicate documents by improved consistent weighted sampling.
 
 A document is the weighted set of its runs of five lower-cased words: weight =
-count in the document x (1 + ln((1 + N) / (1 + df)) / ln(1 + N)), with N the
-number of documents and df the number of documents that hold a run of the same
+count in the document x (1 + RARITY * ln((1 + N) / (1 + df)) / ln(2 + N)), with N
+the number of documents and df the number of documents that hold a run of the same
 hash bucket (``2**FEATURE_BITS`` buckets, the hashing trick; every document is
-counted).  The second factor lies between 1 and 2: rare runs weigh up to twice
-as much as universal ones, so a run does not lose its say by being copied.
+counted).  The second factor lies between 1 and ``1 + RARITY``: an inverse document
+frequency, damped so that a run does not lose its say by being copied often.
 
 Consistent weighted sampling draws ``bands * rows`` samples (run, quantised
 weight) of each document; two documents share a sample with the probability of
@@ -47,6 +47,7 @@ THRESHOLD = 0.8
 BANDS = 9
 ROWS = 3
 FEATURE_BITS = 18
+RARITY = 0.25
 HUB_ROWS = 2000  # members of a hub that one task compares
 _ID_BITS = 44
 
@@ -86,7 +87,7 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
     n_docs = int(n[bucket == -1].sum())
     df = np.zeros(1 << FEATURE_BITS)
     df[bucket[bucket >= 0]] = n[bucket >= 0]
-    return (1 + np.log((1 + n_docs) / (1 + np.minimum(df, n_docs))) / np.log(2 + n_docs)).astype(np.float32)
+    return (1 + RARITY * np.log((1 + n_docs) / (1 + np.minimum(df, n_docs))) / np.log(2 + n_docs)).astype(np.float32)
 
 
 class Sampler:

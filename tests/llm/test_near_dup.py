@@ -37,8 +37,8 @@ def similarity(a, b):
     return both / total if total else 0.0
 
 
-def check(spark, rows, sure=0.84, apart=0.76):
-    """Against all pairs, by plain Jaccard with room for the weights between 1 and 2."""
+def check(spark, rows, sure=0.82, apart=0.77):
+    """Against all pairs, by plain Jaccard with room for the weights between 1 and 1.25."""
     found = near_dup.near_dup_classes(docs(spark, rows)).collect()
     assert len(found) == len(rows)
     cls = {(r.doc_id, bytes(r.digest)): bytes(r.class_digest) for r in found}

@@ -44,7 +44,7 @@ def test_stages_match_brute_force(spark, tmp_path):
     rows = [(d, lines[d], lang, s, len(lines[d])) for d, _, lang, s, _ in rows]
     texts = [test_near_dup.shingles(r[1]) for r in rows]
     sims = [(i, j, test_near_dup.similarity(texts[i], texts[j])) for i in range(len(rows)) for j in range(i)]
-    assert not [s for *_, s in sims if 0.76 < s < 0.84]  # the weights decide nothing here
+    assert not [s for *_, s in sims if 0.77 < s < 0.82]  # the weights decide nothing here
     find = test_near_dup.classes((i, j) for i, j, s in sims if s >= 0.8)
     first = {}
     for i, r in enumerate(rows):
