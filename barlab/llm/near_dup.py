@@ -57,6 +57,11 @@ def digest(text: str = "text") -> Column:
     return F.unhex(F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary")))
 
 
+def _key(doc_id: str) -> Column:
+    """The id as a key that is never null; ids and null stay apart."""
+    return F.coalesce(F.concat(F.lit("i"), F.col(doc_id).cast("string")), F.lit(""))
+
+
 def _row_sets(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct ``(row, 44-bit id)`` of the shingles with their counts, by row."""
     key = np.sort((rows.astype(np.uint64) << np.uint64(_ID_BITS)) | (values >> np.uint64(64 - _ID_BITS)))
@@ -224,9 +229,11 @@ def near_dup_classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     buckets = placed.groupBy("band", "h").agg(F.count("*").alias("size")).where("size > 1")
     placed = stored(placed.join(buckets, ["band", "h"]).select("band", "h", "digest", "size"), "buckets", small=True)
     company = placed.groupBy("digest").agg(F.sum("size").alias("company"))
-    rep = nodes.join(company, "digest", "left_semi").select(F.col("digest").alias("_d"), F.col("least.doc_id").alias("_i"))
-    texts = base.join(rep, (F.col("digest") == F.col("_d")) & F.col("doc_id").eqNullSafe(F.col("_i")), "left_semi")
-    texts = stored(texts.select("digest", "text").groupBy("digest").agg(F.any_value("text").alias("text")), "texts")
+    # One row of each text, the one of its least doc_id, so that many copies do not meet in
+    # one task; where that one is repeated, the copies already lie together.
+    rep = nodes.join(company, "digest", "left_semi").select("digest", _key("least.doc_id").alias("_key"))
+    found = base.withColumn("_key", _key("doc_id")).join(rep, ["digest", "_key"], "left_semi")
+    texts = stored(found.groupBy("digest", "_key").agg(F.any_value("text").alias("text")).select("digest", "text"), "texts")
     hubs = placed.join(company, "digest").groupBy("band", "h").agg(F.max(F.struct("company", "digest")).alias("top"))
     hubs = stored(hubs.select("band", "h", F.col("top.digest").alias("hub")), "hubs", small=True)
     pairs = placed.join(hubs, ["band", "h"]).select(F.col("digest").alias("a"), "hub").where("a <> hub").distinct()
@@ -272,6 +279,6 @@ def drop_near_dups(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One document of each class: the one that stands for it.  Of repeated rows
     with its ``doc_id`` and text, one stays."""
     named = near_dup_classes(docs, threshold).where(F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("digest") == F.col("class_digest")))
-    named = named.select(F.col("doc_id").alias("_i"), F.col("digest").alias("_d")).distinct()
-    kept = docs.withColumn("_digest", digest()).join(named, F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("_digest") == F.col("_d")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_digest"]).drop("_digest")
+    named = named.select(_key("doc_id").alias("_key"), F.col("digest").alias("_digest")).distinct()
+    kept = docs.withColumns({"_key": _key("doc_id"), "_digest": digest()}).join(named, ["_key", "_digest"], "left_semi")
+    return kept.dropDuplicates(["_key", "_digest"]).select(*docs.columns)

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from barlab.plans.materialize import checkpoint_dir
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def scratch_dir(spark: SparkSession, what: str) -> str:
     """A new folder name under the session's checkpoint folder.  Where none is
@@ -40,5 +42,11 @@ def stored(df: DataFrame, what: str, small: bool = False) -> DataFrame:
     cores, parts = spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
     df = df.repartition(max(1, cores // 3, parts // 50)) if small else df.coalesce(max(4 * cores, parts // 4))
     path = scratch_dir(spark, what)
-    df.write.parquet(path)
+    # The write's shuffle files are of no use after it; Spark drops them at its end.
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
