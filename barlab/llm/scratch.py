@@ -22,7 +22,7 @@ def scratch_dir(spark: SparkSession, what: str) -> str:
     set, a local session gets one in the temp folder; a cluster must name one."""
     base = checkpoint_dir(spark)
     if base is None:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="barlab-llm-")
         spark.sparkContext.setCheckpointDir(base)

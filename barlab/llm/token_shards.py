@@ -141,7 +141,7 @@ def _write(folder: str, length: int, names: list[str]):
         records = [data[i * stride : (i + 1) * stride] for i in range(len(key))]
         sums = [hashlib.sha256(r).hexdigest() for r in records]
         by = sorted(range(len(key)), key=lambda i: (key[i], sums[i]))
-        fs, path = pafs.FileSystem.from_uri(folder)
+        fs, path = _file_system(folder)
         fs.create_dir(path, recursive=True)
         draft = f"{path}/_draft-{shard:06d}-{uuid.uuid4().hex}"
         with fs.open_output_stream(draft) as out:
@@ -161,6 +161,11 @@ def _write(folder: str, length: int, names: list[str]):
     return run
 
 
+def _file_system(folder: str) -> tuple[pafs.FileSystem, str]:
+    """Arrow's file system for a URI that Spark uses."""
+    return pafs.FileSystem.from_uri(folder.replace("s3a://", "s3://", 1) if folder.startswith("s3a://") else folder)
+
+
 def file_name(shard: int) -> str:
     return f"shard-{shard:06d}.u16"
 
@@ -204,7 +209,7 @@ def write_shards(docs: DataFrame, folder: str, vocabulary: str, pattern: str, en
 
 def read_from(spark: SparkSession, folder: str, slot: int, length: int = LENGTH) -> Iterator[np.ndarray]:
     """The records from a global slot on, in order, one at a time."""
-    fs, path = pafs.FileSystem.from_uri(folder)
+    fs, path = _file_system(folder)
     for shard, n, first in sorted(tuple(r) for r in spark.read.parquet(f"{folder}/index").where(F.col("first_slot") + F.col("n") > slot).select("shard", "n", "first_slot").collect()):
         with fs.open_input_file(f"{path}/{file_name(shard)}") as f:
             f.seek(max(0, slot - first) * 2 * length)
