@@ -14,14 +14,14 @@ share all ``rows`` samples of a band are candidates, and candidates count as
 linked if their weighted Jaccard similarity, taken from the whole texts, is at
 least ``threshold``.  Classes are the connected components of the links.
 
-No pairs within a group are spelled out.  Equal texts are one node.  In each
+No pairs within a group are spelled out as rows.  Equal texts are one node.  In each
 band's bucket the member with most company is its hub, and every member is
-compared with the hub.  Where a bucket then still has members of different
-components, a member can only have another partner if at least ``threshold`` of
-its weight lies in runs that some other such member has; members below that are
-done, exactly, and the others are compared with each member of another component
-of their bucket.  So every candidate pair is linked, told apart by the bound, or
-compared, or is in one component already.
+compared with the hub.  Buckets that then still have members of different
+components go by their hub's component to families; a family is cut into
+blocks of ``BLOCK_BYTES`` of text, and each pair of blocks is one task's group, which
+takes the similarity of all texts of different components at once, as products
+of their weight matrices.  So every candidate pair is compared or in one component
+already.
 
 Defined results: a null text counts as empty; all empty texts (and all texts
 without words, if equal) are equal texts, and a text without words is like its
@@ -49,6 +49,7 @@ ROWS = 3
 FEATURE_BITS = 18
 RARITY = 0.25
 HUB_ROWS = 2000  # members of a hub that one task compares
+BLOCK_BYTES = 1 << 20
 _ID_BITS = 44
 
 
@@ -201,18 +202,57 @@ def _verified(pairs: DataFrame, texts: DataFrame, shared, threshold: float) -> D
     return dealt.mapInArrow(_compare(shared, threshold), "a binary, b binary, similarity double")
 
 
-def _runs_of(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        idf = shared.value
-        for batch in batches:
-            names = batch.column(0).to_pylist()
-            for i, h, n, w in _weighted(batch.column(1), idf):
-                cols = [pa.array([names[i]] * len(h), pa.binary()), pa.array(h.view(np.int64)), pa.array(n * w)]
-                yield pa.RecordBatch.from_arrays(cols, names=["digest", "run", "weight"])
+def _similarities(texts: pa.Array, idf: np.ndarray) -> np.ndarray:
+    """Weighted Jaccard similarity of all pairs of a few texts."""
+    rows, names, weights = [], [], []
+    for i, h, n, w in _weighted(texts, idf):
+        # The k-th occurrence of a run is an element of its own, so that sets do for counts.
+        turn = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        rows.append(np.full(len(turn), i))
+        names.append(mix(np.repeat(h, n) + turn.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
+        weights.append(np.repeat(w, n))
+    row, weight = np.concatenate(rows), np.concatenate(weights)
+    total = np.bincount(row, weight, len(texts))
+    column, count = np.unique(np.concatenate(names), return_inverse=True, return_counts=True)[1:]
+    often = count[column] > 1
+    row, weight = row[often], weight[often]
+    column = np.unique(column[often], return_inverse=True)[1]
+    order = np.argsort(column, kind="stable")
+    row, weight, column = row[order], np.sqrt(weight[order]), column[order]
+    both = np.zeros((len(texts), len(texts)))
+    step = max(64, (1 << 22) // max(1, len(texts)))
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, step):
+        a, b = np.searchsorted(column, (at, at + step))
+        part = np.zeros((len(texts), step))
+        part[row[a:b], column[a:b] - at] = weight[a:b]
+        both += part @ part.T
+    either = total[:, None] + total[None, :] - both
+    return np.divide(both, either, out=np.zeros_like(both), where=either > 0)
+
+
+def _compare_blocks(shared, threshold: float):
+    def run(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        label = np.array(group["label"].to_pylist(), dtype=object)
+        sim = _similarities(group["text"], shared.value)
+        a, b = np.nonzero(np.triu(sim >= threshold, 1) & (label[:, None] != label[None, :]))
+        names = group["digest"].to_pylist()
+        return pa.table({"a": pa.array([names[i] for i in a], pa.binary()), "b": pa.array([names[i] for i in b], pa.binary()), "similarity": pa.array(sim[a, b], pa.float64())})
 
     return run
 
 
+def _across_components(open_: DataFrame, texts: DataFrame, shared, threshold: float) -> DataFrame:
+    """Links between texts of different components that share a bucket, as ``(a, b,
+    similarity)``; ``open_`` has (family, digest, label)."""
+    members = open_.join(texts, "digest").withColumn("bytes", F.octet_length("text") + 100)
+    sizes = members.groupBy("family").agg(F.ceil(F.sum("bytes") / BLOCK_BYTES).cast("int").alias("blocks"))
+    placed = members.join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    placed = placed.select("family", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "digest", "label", "text")
+    return placed.groupBy("family", "lo", "hi").applyInArrow(_compare_blocks(shared, threshold), "a binary, b binary, similarity double")
+
+
 def near_dup_classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """``(doc_id, digest, class_id, class_digest, similar)`` of every row of
     ``docs``: ``class_id`` and ``class_digest`` name the document that stands for
@@ -243,20 +283,10 @@ def near_dup_classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     # Buckets that still have members of different components.
     marked = placed.join(labels, F.col("digest") == F.col("node"), "left").withColumn("label", F.coalesce("label", "digest")).drop("node")
     mixed = marked.groupBy("band", "h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("band", "h")
-    open_ = marked.join(mixed, ["band", "h"]).join(hubs, ["band", "h"])
-    open_ = stored(open_.select("band", "h", "digest", "label", "hub", F.col("size").alias("members")), "open", small=True)
-    runs = texts.join(open_.select("digest").distinct(), "digest").select("digest", "text").mapInArrow(_runs_of(shared), "digest binary, run long, weight double")
-    # The weight of each text in runs that no other open text has: min = max names the only holder.
-    alone = runs.groupBy("run").agg(F.min("digest").alias("digest"), F.max("digest").alias("last"), F.max("weight").alias("weight")).where("digest = last")
-    alone = alone.groupBy("digest").agg(F.sum("weight").alias("alone"))
-    whole = texts.join(open_.select("digest").distinct(), "digest").mapInArrow(_total_weight(shared), "digest binary, total double")
-    hopeless = whole.join(alone, "digest").where(F.col("alone") > (1 - threshold) * F.col("total") * (1 + 1e-9)).select("digest")
-    rest = stored(open_.join(hopeless, "digest", "left_anti").select("band", "h", "digest", "label", "hub"), "rest", small=True)
-    hub_label = rest.join(labels.select(F.col("node").alias("hub"), F.col("label").alias("hub_label")), "hub", "left")
-    outside = hub_label.where(~F.col("label").eqNullSafe(F.coalesce("hub_label", "hub"))).select("band", "h", F.col("digest").alias("o"), F.col("label").alias("o_label"))
-    other = outside.join(rest, ["band", "h"]).where((F.col("o_label") != F.col("label")) & (F.col("digest") != F.col("hub")) & (F.col("o") != F.col("hub")))
-    more = other.select(F.least("o", "digest").alias("a"), F.greatest("o", "digest").alias("hub")).distinct()
-    late = stored(_verified(stored(more, "late-pairs", small=True), texts, shared, threshold), "late-links", small=True)
+    open_ = marked.join(mixed, ["band", "h"]).join(hubs, ["band", "h"]).select("digest", "label", "hub")
+    family = labels.select(F.col("node").alias("hub"), F.col("label").alias("family"))
+    open_ = open_.join(family, "hub", "left").select(F.coalesce("family", "hub").alias("family"), "digest", "label").distinct()
+    late = stored(_across_components(stored(open_, "open", small=True), texts, shared, threshold), "late-links", small=True)
     final = components(links.unionByName(late).select("a", "b")) if late.take(1) else labels
 
     joined = final.join(nodes, F.col("node") == F.col("digest")).select("digest", "label", "least")
@@ -266,15 +296,6 @@ def near_dup_classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int =
     return signed.join(named, "digest").select("doc_id", "digest", F.col("first.doc_id").alias("class_id"), F.col("first.digest").alias("class_digest"), "similar")
 
 
-def _total_weight(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            total = [float((n * w).sum()) for _, _, n, w in _weighted(batch.column(1), shared.value)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(total, pa.float64())], names=["digest", "total"])
-
-    return run
-
-
 def drop_near_dups(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One document of each class: the one that stands for it.  Of repeated rows
     with its ``doc_id`` and text, one stays."""
