@@ -220,8 +220,9 @@ def _similarities(texts: pa.Array, idf: np.ndarray) -> np.ndarray:
     order = np.argsort(column, kind="stable")
     row, weight, column = row[order], np.sqrt(weight[order]), column[order]
     both = np.zeros((len(texts), len(texts)))
-    step = max(64, (1 << 22) // max(1, len(texts)))
-    for at in range(0, int(column[-1]) + 1 if len(column) else 0, step):
+    columns = int(column[-1]) + 1 if len(column) else 0
+    step = max(1, min(columns, (1 << 22) // max(1, len(texts))))
+    for at in range(0, columns, step):
         a, b = np.searchsorted(column, (at, at + step))
         part = np.zeros((len(texts), step))
         part[row[a:b], column[a:b] - at] = weight[a:b]
