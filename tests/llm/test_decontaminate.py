@@ -36,8 +36,8 @@ def test_exact_and_reparameterised_questions(spark):
 
 
 def test_short_items_and_units(spark):
-    got = leaks(spark, ["indeed THE quick, tests are few!", "the quick tests were few", "it takes 30km and more"])
-    assert set(got) == {(0, 2)}
+    got = leaks(spark, ["indeed the quick, tests ARE few!", "indeed the quick, tests are few!", "the quick tests were few", "it takes 30km and more"])
+    assert set(got) == {(1, 2)}  # a capital inside a sentence is a name
 
 
 def test_partial_copies_need_half_of_the_item(spark):

@@ -79,9 +79,11 @@ def test_fit_learns_labels_and_their_neighbours():
     labels = np.repeat(rnd.integers(0, 2, 200), 10)
     x = np.stack([np.ones(2000), labels + rnd.normal(0, 1.0, 2000)], axis=1)
     field = quality.ChainField.fit(x, first, labels)
-    assert (field.decode(x, first) == labels).mean() > 0.95
     alone = quality.ChainField(field.emit, np.zeros((2, 2)))
-    assert (alone.decode(x, first) == labels).mean() < (field.decode(x, first) == labels).mean()
+    assert (alone.decode(x, first) == labels).mean() + 0.1 < (field.decode(x, first) == labels).mean()
+    # At the maximum, more steps change nothing.
+    longer = quality.ChainField.fit(x, first, labels, steps=1000)
+    assert np.abs(longer.pair - field.pair).max() < 0.05 and np.abs(longer.emit - field.emit).max() < 0.05
 
 
 def test_no_labels_keep_all(spark):
