@@ -40,7 +40,9 @@ def feature_correlation(bars: DataFrame, features: Sequence[str] | None = None)
     if not feats:
         raise ValueError("at least one feature is needed")
     pairs = [(a, b) for i, a in enumerate(feats) for b in feats[i:]]
-    moments = bars.groupBy("ticker").agg(*[masked_corr(a, b).alias(f"_c{n}") for n, (a, b) in enumerate(pairs)])
+    # A column correlates with itself by 1, unless it is constant.
+    corr = lambda a, b: masked_corr(a, b) if a != b else F.when(F.stddev_pop(a) > 0, F.lit(1.0))
+    moments = bars.groupBy("ticker").agg(*[corr(a, b).alias(f"_c{n}") for n, (a, b) in enumerate(pairs)])
     entries = [
         F.struct(F.lit(x).alias("feature_x"), F.lit(y).alias("feature_y"), F.col(f"_c{n}").alias("corr"))
         for n, (a, b) in enumerate(pairs)
@@ -108,7 +110,7 @@ def ticker_correlation(
     bars: DataFrame,
     tickers: Iterable[str] | None = None,
     feature: str = "close",
-    block: int = 8,
+    block: int = 4,
 ) -> DataFrame:
     """Correlation of ``feature`` between every pair of chosen tickers (both
     orders and the diagonal), over the dates shared by all of them; each pair
