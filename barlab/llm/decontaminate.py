@@ -14,6 +14,11 @@ value in the document, and the other way round.  A document is contaminated by
 an item if a consistent alignment covers at least ``min_coverage`` of the item's
 words.
 
+:func:`find_all_leaks`, which the query and the pipeline use, also hashes windows of
+the plain lower-cased words.  Such a window needs no slot check, and a word of the
+item is covered if a window of either reading covers it, so that a verbatim copy
+counts however its words are capitalised and wherever its lines and sentences begin.
+
 A bitmap of fixed size with the benchmark's window hashes goes to the tasks, so
 that only windows that may match leave the scan; the join decides.  It is a
 pre-filter and nothing more: with a large benchmark it only lets more through.
@@ -27,6 +32,7 @@ as such; on a tie of alignments the one with the lowest offset is reported.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -116,88 +122,96 @@ class Template:
         self.pos = np.arange(n) - first[self.row]
 
 
-def _emit(ids: list, t: Template, at: np.ndarray, values: np.ndarray, width: np.ndarray) -> tuple[list, list, list, list]:
-    """Rows of windows: id, position, hash and the slots of the window."""
+def _emit(ids: list, t: Template, at: np.ndarray, values: np.ndarray, width: np.ndarray, exact: bool) -> tuple[list, list, list, list]:
+    """Rows of windows: id, position, hash and the slots of the window (a window
+    of plain words has none)."""
     slots = []
     for a, k in zip(at.tolist(), width.tolist()):
-        s = np.flatnonzero(t.kind[a : a + k])
+        s = np.flatnonzero(t.kind[a : a + k]) if not exact else np.zeros(0, np.int64)
         slots.append([int(x) for x in t.value[a + s].view(np.int64)])
     return [ids[r] for r in t.row[at]], t.pos[at].tolist(), values.view(np.int64).tolist(), slots
 
 
-def _hashes(t: Template, width: int) -> tuple[np.ndarray, np.ndarray]:
-    at, values = windows(t.symbol, t.row, width)
-    return at, mix(values ^ np.uint64(width))
+def _hashes(t: Template, width: int, exact: bool) -> tuple[np.ndarray, np.ndarray]:
+    at, values = windows(t.value if exact else t.symbol, t.row, width)
+    return at, mix(values ^ np.uint64(width) ^ _READING[exact])
 
 
-_ITEM = "item_id {}, n_words int, width int, item_pos int, h long, item_slots array<long>"
+_READING = (np.uint64(0), np.uint64(0x706C61696E << 16))
+_ITEM = "item_id {}, n_words int, exact boolean, width int, item_pos int, h long, item_slots array<long>"
 _HIT = "doc_id {}, doc_pos int, h long, doc_slots array<long>"
 
 
-def _benchmark_windows(width: int, min_words: int):
+def _benchmark_windows(width: int, min_words: int, readings: list[bool]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_pylist()
             for chunk in chunks(batch.column(1)):
                 t = Template(chunk)
                 n = np.diff(t.first)
-                for k in np.unique(np.minimum(n[n >= min_words], width)):
-                    at, values = _hashes(t, int(k))
+                for exact, k in itertools.product(readings, np.unique(np.minimum(n[n >= min_words], width))):
+                    at, values = _hashes(t, int(k), exact)
                     size = n[t.row[at]]
                     plain = np.concatenate([[0], np.cumsum(t.kind == _PLAIN)])
                     use = (np.minimum(size, width) == k) & (plain[at + k] > plain[at])
                     at, values = at[use], values[use]
-                    item, pos, h, slots = _emit(ids[chunk.first : chunk.first + chunk.n], t, at, values, np.full(len(at), k))
-                    cols = [pa.array(item, batch.schema.field(0).type), pa.array(n[t.row[at]], pa.int32()), pa.array(np.full(len(at), k), pa.int32()), pa.array(pos, pa.int32()), pa.array(h, pa.int64()), pa.array(slots, pa.list_(pa.int64()))]
-                    yield pa.RecordBatch.from_arrays(cols, names=["item_id", "n_words", "width", "item_pos", "h", "item_slots"])
+                    item, pos, h, slots = _emit(ids[chunk.first : chunk.first + chunk.n], t, at, values, np.full(len(at), k), exact)
+                    cols = [pa.array(item, batch.schema.field(0).type), pa.array(n[t.row[at]], pa.int32()), pa.array(np.full(len(at), exact)), pa.array(np.full(len(at), k), pa.int32()), pa.array(pos, pa.int32()), pa.array(h, pa.int64()), pa.array(slots, pa.list_(pa.int64()))]
+                    yield pa.RecordBatch.from_arrays(cols, names=["item_id", "n_words", "exact", "width", "item_pos", "h", "item_slots"])
 
     return run
 
 
-def _document_windows(shared, widths: list[int]):
+def _document_windows(shared, widths: list[tuple[bool, int]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(shared.value, np.uint8)
         for batch in batches:
             ids = batch.column(0).to_pylist()
             for chunk in chunks(batch.column(1)):
                 t = Template(chunk)
-                for k in widths:
-                    at, values = _hashes(t, k)
+                for exact, k in widths:
+                    at, values = _hashes(t, k, exact)
                     slot = values >> np.uint64(64 - BITMAP_BITS)
                     hit = (bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
                     at, values = at[hit], values[hit]
                     if len(at):
-                        doc, pos, h, slots = _emit(ids[chunk.first : chunk.first + chunk.n], t, at, values, np.full(len(at), k))
+                        doc, pos, h, slots = _emit(ids[chunk.first : chunk.first + chunk.n], t, at, values, np.full(len(at), k), exact)
                         cols = [pa.array(doc, batch.schema.field(0).type), pa.array(pos, pa.int32()), pa.array(h, pa.int64()), pa.array(slots, pa.list_(pa.int64()))]
                         yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "doc_pos", "h", "doc_slots"])
 
     return run
 
 
-def _bitmap(items: DataFrame) -> tuple[bytes, list[int]]:
+def _bitmap(items: DataFrame) -> tuple[bytes, list[tuple[bool, int]]]:
     """Bit ``h >> (64 - BITMAP_BITS)`` of every window, as at most
-    ``2**BITMAP_BITS / 64`` words, and the windows' widths (at most ``width``)."""
+    ``2**BITMAP_BITS / 64`` words, and the windows' widths (at most ``width``) by reading."""
     slot = F.shiftrightunsigned("h", 64 - BITMAP_BITS)
     words_ = items.groupBy(F.shiftright(slot, 6).alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, int(shiftrightunsigned(h, {64 - BITMAP_BITS}) & 63))")).alias("b"))
     bits = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
     for w, b in words_.collect():
         bits[w] = b
-    return bits.tobytes(), sorted(r[0] for r in items.select("width").distinct().collect())
+    return bits.tobytes(), sorted((r[0], r[1]) for r in items.select("exact", "width").distinct().collect())
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, min_words: int = MIN_WORDS, min_coverage: float = MIN_COVERAGE) -> DataFrame:
-    """``(doc_id, item_id, first_word, n_covered, n_words, coverage, n_slots,
-    n_changed)``: one row for each document and item it contains; ``n_changed``
-    of the ``n_slots`` distinct slot values differ from the item's."""
+def _meetings(docs: DataFrame, benchmark: DataFrame, width: int, min_words: int, readings: list[bool]) -> DataFrame:
+    """Every window of a document that is one of an item's."""
     from barlab.llm.scratch import stored
 
     id_type, item_type = docs.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()
     bench = benchmark.select("item_id", F.col("text").cast("string").alias("text")).distinct()
-    items = stored(bench.mapInArrow(_benchmark_windows(width, min_words), _ITEM.format(item_type)), "benchmark-windows", small=True)
+    items = stored(bench.mapInArrow(_benchmark_windows(width, min_words, readings), _ITEM.format(item_type)), "benchmark-windows", small=True)
     bits, widths = _bitmap(items)
     shared = docs.sparkSession.sparkContext.broadcast(bits)
     hits = docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(_document_windows(shared, widths), _HIT.format(id_type))
-    met = hits.join(items, "h").withColumn("offset", F.col("doc_pos") - F.col("item_pos"))
+    return hits.join(items, "h").withColumn("offset", F.col("doc_pos") - F.col("item_pos"))
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, min_words: int = MIN_WORDS, min_coverage: float = MIN_COVERAGE) -> DataFrame:
+    """``(doc_id, item_id, first_word, n_covered, n_words, coverage, n_slots,
+    n_changed)``: one row for each document and item it contains; ``n_changed``
+    of the ``n_slots`` distinct slot values differ from the item's.  This is the
+    template reading alone; :func:`find_all_leaks` has both."""
+    met = _meetings(docs, benchmark, width, min_words, [False])
     group = ["doc_id", "item_id", "offset"]
     lined = met.groupBy(*group).agg(
         F.max("n_words").alias("n_words"),
@@ -219,7 +233,55 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, min_wo
     return scored.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*")
 
 
+_FOUND = "doc_id {}, item_id {}, first_word int, n_covered int, n_words int, coverage double, n_slots int, n_changed int"
+
+
+def _score(n_words: int, met: list[dict], min_coverage: float) -> tuple | None:
+    """What the windows that one document and one item share amount to."""
+    lines = {}
+    for m in met:
+        lines.setdefault(m["offset"], []).append(m)
+    best = None
+    for offset in sorted(lines):
+        pairs = {p for m in lines[offset] for p in zip(m["item_slots"], m["doc_slots"])}
+        consistent = len({i for i, _ in pairs}) == len({d for _, d in pairs}) == len(pairs)
+        kept = [m for m in lines[offset] if consistent or m["exact"]]
+        covered = {m["item_pos"] + k for m in kept for k in range(m["width"])}
+        if covered and len(covered) / n_words >= min_coverage and (best is None or len(covered) > best[1]):
+            slots = pairs if consistent else set()
+            best = (offset + min(covered), len(covered), n_words, len(covered) / n_words, len(slots), sum(i != d for i, d in slots))
+    return best
+
+
+def _scores(schema: pa.Schema, min_coverage: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for doc, item, n_words, met in zip(*(c.to_pylist() for c in batch.columns)):
+                found = _score(n_words, met, min_coverage)
+                if found:
+                    rows.append((doc, item, *found))
+            cols = list(zip(*rows)) or [()] * len(schema)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
+
+    return run
+
+
+def find_all_leaks(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, min_words: int = MIN_WORDS, min_coverage: float = MIN_COVERAGE) -> DataFrame:
+    """The columns of :func:`find_leaks`, for windows of the template and of the
+    plain words together; slots are counted on windows of the template."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    id_type, item_type = docs.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()
+    met = _meetings(docs, benchmark, width, min_words, [False, True])
+    window = F.struct("offset", "item_pos", "width", "exact", "item_slots", "doc_slots")
+    lined = met.groupBy("doc_id", "item_id").agg(F.max("n_words").alias("n_words"), F.collect_set(window).alias("met"))
+    found = _FOUND.format(id_type, item_type)
+    return lined.mapInArrow(_scores(to_arrow_schema(StructType.fromDDL(found)), min_coverage), found)
+
+
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
     """``docs`` without the contaminated documents."""
-    bad = find_leaks(docs, benchmark, **settings).select(F.col("doc_id").alias("_leak")).distinct()
+    bad = find_all_leaks(docs, benchmark, **settings).select(F.col("doc_id").alias("_leak")).distinct()
     return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_leak")), "left_anti")

@@ -79,7 +79,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, re-parameterised ones included."""
-    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.find_all_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op9_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -76,3 +76,19 @@ def test_empty_tables(spark):
     assert decontaminate.find_leaks(empty(spark), bench(spark)).count() == 0
     assert decontaminate.find_leaks(docs(spark), bench(spark, [])).count() == 0
     assert decontaminate.drop_leaks(docs(spark), bench(spark, [])).count() == docs(spark).count()
+
+
+def all_leaks(spark, texts, items=ITEMS):
+    rows = docs(spark, [(i, t, "en", "s", 1) for i, t in enumerate(texts)])
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.find_all_leaks(rows, bench(spark, items)).collect()}
+    kept = {r.doc_id for r in decontaminate.drop_leaks(rows, bench(spark, items)).collect()}
+    assert kept == set(range(len(texts))) - {d for d, _ in got}
+    return got
+
+
+def test_verbatim_copies_in_any_case_and_place(spark):
+    item, short = ITEMS[0][1], "What is the capital city of France?"
+    wrapped = item.replace("leaves Boston", "leaves\nBoston").replace("reaches ", "reaches\n")
+    got = all_leaks(spark, [item.lower(), item.upper(), wrapped, "He asked, " + short, "Q7 " + short, "the quick tests ARE few"], [*ITEMS, (7, short)])
+    assert set(got) == {(0, 1), (1, 1), (2, 1), (3, 7), (4, 7), (5, 2)}
+    assert all(r.coverage == 1.0 for r in got.values())
