@@ -18,6 +18,10 @@ words.
 the plain lower-cased words.  Such a window needs no slot check, and a word of the
 item is covered if a window of either reading covers it, so that a verbatim copy
 counts however its words are capitalised and wherever its lines and sentences begin.
+There an alignment with contradicting slots loses only the windows that hold a slot
+whose value is not the one that stands most often for the item's value (on a tie the
+item's own value, then the one that comes first); one document value for two item
+values is no contradiction.
 
 A bitmap of fixed size with the benchmark's window hashes goes to the tasks, so
 that only windows that may match leave the scan; the join decides.  It is a
@@ -33,6 +37,7 @@ as such; on a tie of alignments the one with the lowest offset is reported.
 from __future__ import annotations
 
 import itertools
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -138,7 +143,7 @@ def _hashes(t: Template, width: int, exact: bool) -> tuple[np.ndarray, np.ndarra
 
 
 _READING = (np.uint64(0), np.uint64(0x706C61696E << 16))
-_ITEM = "item_id {}, n_words int, exact boolean, width int, item_pos int, h long, item_slots array<long>"
+_ITEM = "item_id {}, n_words int, exact boolean, width int, item_pos int, h long, item_slots array<long>, item_at array<int>"
 _HIT = "doc_id {}, doc_pos int, h long, doc_slots array<long>"
 
 
@@ -156,8 +161,9 @@ def _benchmark_windows(width: int, min_words: int, readings: list[bool]):
                     use = (np.minimum(size, width) == k) & (plain[at + k] > plain[at])
                     at, values = at[use], values[use]
                     item, pos, h, slots = _emit(ids[chunk.first : chunk.first + chunk.n], t, at, values, np.full(len(at), k), exact)
-                    cols = [pa.array(item, batch.schema.field(0).type), pa.array(n[t.row[at]], pa.int32()), pa.array(np.full(len(at), exact)), pa.array(np.full(len(at), k), pa.int32()), pa.array(pos, pa.int32()), pa.array(h, pa.int64()), pa.array(slots, pa.list_(pa.int64()))]
-                    yield pa.RecordBatch.from_arrays(cols, names=["item_id", "n_words", "exact", "width", "item_pos", "h", "item_slots"])
+                    spots = [(p + np.flatnonzero(t.kind[a : a + k])).tolist() if not exact else [] for a, p in zip(at.tolist(), pos)]
+                    cols = [pa.array(item, batch.schema.field(0).type), pa.array(n[t.row[at]], pa.int32()), pa.array(np.full(len(at), exact)), pa.array(np.full(len(at), k), pa.int32()), pa.array(pos, pa.int32()), pa.array(h, pa.int64()), pa.array(slots, pa.list_(pa.int64())), pa.array(spots, pa.list_(pa.int32()))]
+                    yield pa.RecordBatch.from_arrays(cols, names=["item_id", "n_words", "exact", "width", "item_pos", "h", "item_slots", "item_at"])
 
     return run
 
@@ -236,6 +242,16 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, min_wo
 _FOUND = "doc_id {}, item_id {}, first_word int, n_covered int, n_words int, coverage double, n_slots int, n_changed int"
 
 
+def _meant(met: list[dict]) -> dict[int, int]:
+    """The document's value for each of the item's slot values in one alignment."""
+    seen = {x for m in met for x in zip(m["item_at"], m["item_slots"], m["doc_slots"])}
+    count, first = Counter((i, d) for _, i, d in seen), {}
+    for at, i, d in seen:
+        first[i, d] = min(at, first.get((i, d), at))
+    order = sorted(count, key=lambda p: (count[p], p[0] == p[1], -first[p]))
+    return dict(order)
+
+
 def _score(n_words: int, met: list[dict], min_coverage: float) -> tuple | None:
     """What the windows that one document and one item share amount to."""
     lines = {}
@@ -243,12 +259,11 @@ def _score(n_words: int, met: list[dict], min_coverage: float) -> tuple | None:
         lines.setdefault(m["offset"], []).append(m)
     best = None
     for offset in sorted(lines):
-        pairs = {p for m in lines[offset] for p in zip(m["item_slots"], m["doc_slots"])}
-        consistent = len({i for i, _ in pairs}) == len({d for _, d in pairs}) == len(pairs)
-        kept = [m for m in lines[offset] if consistent or m["exact"]]
+        meant = _meant(lines[offset])
+        kept = [m for m in lines[offset] if m["item_slots"] == m["doc_slots"] or all(meant[i] == d for i, d in zip(m["item_slots"], m["doc_slots"]))]
         covered = {m["item_pos"] + k for m in kept for k in range(m["width"])}
         if covered and len(covered) / n_words >= min_coverage and (best is None or len(covered) > best[1]):
-            slots = pairs if consistent else set()
+            slots = {p for m in kept for p in zip(m["item_slots"], m["doc_slots"])}
             best = (offset + min(covered), len(covered), n_words, len(covered) / n_words, len(slots), sum(i != d for i, d in slots))
     return best
 
@@ -275,7 +290,7 @@ def find_all_leaks(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, mi
 
     id_type, item_type = docs.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()
     met = _meetings(docs, benchmark, width, min_words, [False, True])
-    window = F.struct("offset", "item_pos", "width", "exact", "item_slots", "doc_slots")
+    window = F.struct("offset", "item_pos", "width", "exact", "item_slots", "item_at", "doc_slots")
     lined = met.groupBy("doc_id", "item_id").agg(F.max("n_words").alias("n_words"), F.collect_set(window).alias("met"))
     found = _FOUND.format(id_type, item_type)
     return lined.mapInArrow(_scores(to_arrow_schema(StructType.fromDDL(found)), min_coverage), found)

@@ -92,3 +92,21 @@ def test_verbatim_copies_in_any_case_and_place(spark):
     got = all_leaks(spark, [item.lower(), item.upper(), wrapped, "He asked, " + short, "Q7 " + short, "the quick tests ARE few"], [*ITEMS, (7, short)])
     assert set(got) == {(0, 1), (1, 1), (2, 1), (3, 7), (4, 7), (5, 2)}
     assert all(r.coverage == 1.0 for r in got.values())
+
+
+def test_one_contradicting_slot_costs_its_windows_only(spark):
+    item = ITEMS[0][1]
+    mixed = item.replace("reaches Denver", "reaches Paris")
+    both = item.replace("Boston", "Denver").replace("30", "45")
+    same = item.replace("30", "9").replace("7", "9")  # two slots, one value
+    got = all_leaks(spark, [mixed, both, same])
+    assert set(got) == {(0, 1), (1, 1), (2, 1)}
+    assert got[0, 1].coverage >= 0.95 and got[1, 1].coverage == got[2, 1].coverage == 1.0
+    assert got[2, 1].n_changed == 2
+
+
+def test_the_value_that_stands_most_often_is_meant():
+    window = lambda at, doc: {"item_at": at, "item_slots": [7] * len(at), "doc_slots": doc}
+    assert decontaminate._meant([window([1, 4], [5, 7]), window([4, 9], [7, 5])]) == {7: 5}
+    assert decontaminate._meant([window([1, 4], [5, 7])]) == {7: 7}  # a tie: the item's own
+    assert decontaminate._meant([window([1, 4], [5, 6])]) == {7: 5}  # then the first
