@@ -45,7 +45,6 @@ SENTENCES = {
     "lgpl3-work": "This work is licensed under the GNU Lesser General Public License, version 3.",
     "agpl3-work": "This work is licensed under the GNU Affero General Public License, version 3.",
     "gpl-free": "This program is free software:",
-    "gpl-free-2": "This program is free software;",
     "gpl3-terms": "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     "gpl2-terms": "either version 2 of the License, or (at your option) any later version.",
     "gpl2-grant": "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation;",
@@ -60,7 +59,7 @@ SENTENCES = {
     "bsd-licensed": "Licensed under the BSD License.",
     "bsd3-licensed": "Licensed under the 3-Clause BSD License.",
     "isc-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
-    "mpl-subject": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "mpl-subject": "This Source Code Form is subject to the terms of the Mozilla Public License, v 2.0.",
     "mpl-subject-head": "This Source Code Form is subject to the terms of the Mozilla Public License, v.",
     "mpl-version": "2.0.",
     "mpl-copy": "If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
@@ -75,10 +74,12 @@ SENTENCES = {
     "cc-by-sa-long": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     "cc-by-nc-long": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
 }
-# Fixed values: (licence, sentence identifiers in order); a licence may have several rules.
+# Fixed values: (licence, sentence identifiers in order); a licence may have several rules.  The GPL
+# family's grants name their licence by themselves: what stands before is "This program", "This library"
+# or another name, or a copyright line that has no end.
 RULES = [
     ("AGPL-3.0", ["agpl3-work"]),
-    ("AGPL-3.0", ["gpl-free", "agpl3-terms"]),
+    ("AGPL-3.0", ["agpl3-terms"]),
     ("Apache-2.0", ["apache-licensed"]),
     ("Apache-2.0", ["apache-header", "apache-comply"]),
     ("Apache-2.0", ["apache-comply", "apache-copy", "apache-unless", "apache-see"]),
@@ -96,20 +97,19 @@ RULES = [
     ("CC-BY-SA-4.0", ["cc-by-sa-long"]),
     ("CC0-1.0", ["cc0"]),
     ("GPL-2.0", ["gpl2-work"]),
-    ("GPL-2.0", ["gpl-free-2", "gpl2-grant", "gpl2-terms"]),
+    ("GPL-2.0", ["gpl2-grant", "gpl2-terms"]),
     ("GPL-3.0", ["gpl3-work"]),
-    ("GPL-3.0", ["gpl-free", "gpl3-terms"]),
-    ("GPL-3.0", ["gpl3-terms", "gpl-hope", "gpl-implied"]),
+    ("GPL-3.0", ["gpl3-terms"]),
     ("ISC", ["isc-grant"]),
     ("LGPL-3.0", ["lgpl3-work"]),
-    ("LGPL-3.0", ["gpl-free", "lgpl3-terms"]),
+    ("LGPL-3.0", ["lgpl3-terms"]),
     ("MIT", ["mit-released"]),
     ("MIT", ["mit-licensed"]),
     ("MIT", ["mit-project"]),
     ("MIT", ["mit-grant", "mit-notice"]),
     ("MIT", ["mit-notice", "mit-warranty", "mit-liability"]),
     ("MPL-2.0", ["mpl-subject"]),
-    ("MPL-2.0", ["mpl-subject-head", "mpl-version", "mpl-copy"]),
+    ("MPL-2.0", ["mpl-subject-head", "mpl-version"]),
     ("Unlicense", ["unlicense"]),
 ]
 
@@ -121,7 +121,16 @@ def normalise(sentence: str) -> str:
     return re.sub("[^a-z0-9]+", " ", sentence.lower()).strip()
 
 
-KNOWN = {normalise(text): name for name, text in SENTENCES.items()}
+def _known(sentences: dict[str, str]) -> dict[str, str]:
+    """Identifiers by normalised sentence; no two sentences may be alike."""
+    known = {}
+    for name, text in sentences.items():
+        if (other := known.setdefault(normalise(text), name)) != name:
+            raise ValueError(f"sentences {other} and {name} are the same once normalised")
+    return known
+
+
+KNOWN = _known(SENTENCES)
 
 
 def _sentences(text: Column) -> Column:

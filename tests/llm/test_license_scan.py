@@ -59,3 +59,32 @@ def test_no_python_and_no_shuffle(spark):
 
     plan = physical_plan(license_scan.scan_licenses(docs(spark)))
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan and "Exchange" not in plan
+
+
+def test_every_rule_finds_its_sentences(spark):
+    got = scan(spark, ["\n".join(license_scan.SENTENCES[i] for i in ids) for _, ids in license_scan.RULES])
+    for k, (name, ids) in enumerate(license_scan.RULES):
+        assert name in got[k][1], (name, ids)
+
+
+def test_standard_notices_of_the_gpl_family_and_mpl(spark):
+    grant = "you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation{} either version {} of the License, or (at your option) any later version."
+    free = "Copyright (C) 2020 Someone\n\nThis program is free software"
+    hope = " This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public License, v{}2.0."
+    texts = [
+        free + ": " + grant.format("Affero General Public License", ",", 3),
+        free + ": " + grant.format("Lesser General Public License", ",", 3) + hope,
+        free + ": " + grant.format("General Public License", ",", 3),
+        free + "; " + grant.format("General Public License", ";", 2) + hope,
+        mpl.format(". "),
+        mpl.format(" ") + " And more.",
+    ]
+    want = [["AGPL-3.0"], ["LGPL-3.0"], ["GPL-3.0"], ["GPL-2.0"], ["MPL-2.0"], ["MPL-2.0"]]
+    got = scan(spark, texts + [textwrap.fill(t, 50) for t in texts])
+    assert [got[k][1] for k in range(12)] == want * 2
+
+
+def test_sentences_alike_are_refused():
+    with pytest.raises(ValueError, match="a and b"):
+        license_scan._known({"a": "This is free software:", "b": "this is free software;"})
