@@ -21,7 +21,11 @@ counts however its words are capitalised and wherever its lines and sentences be
 There an alignment with contradicting slots loses only the windows that hold a slot
 whose value is not the one that stands most often for the item's value (on a tie the
 item's own value, then the one that comes first); one document value for two item
-values is no contradiction.
+values is no contradiction.  The alignments of one text and one item are put
+together: the words that any of them covers count, so that a copy with words put in
+or left out is found; ``first_word`` is that of the alignment that covers most.  A run
+of ``run_words`` plain words of an item is reported whatever part of the item it is.
+Of equal windows of plain words a text needs its first only.
 
 A bitmap of fixed size with the benchmark's window hashes goes to the tasks, so
 that only windows that may match leave the scan; the join decides.  It is a
@@ -30,13 +34,13 @@ No row of the benchmark or the documents reaches the driver.
 
 Defined results: null and empty texts match nothing; an item with fewer than
 ``min_words`` words, or with placeholders only, is no template; repeated rows of
-one ``doc_id`` count as one document; a null ``doc_id`` or ``item_id`` is kept
+one ``doc_id`` count as one document (:func:`find_all_leaks` scores different texts of
+one ``doc_id`` or ``item_id`` by themselves); a null ``doc_id`` or ``item_id`` is kept
 as such; on a tie of alignments the one with the lowest offset is reported.
 """
 
 from __future__ import annotations
 
-import itertools
 from collections import Counter
 from collections.abc import Iterator
 
@@ -50,6 +54,7 @@ from barlab.llm.textvec import LOWER, Chunk, chunks, mix, prefix_hash, range_has
 WIDTH = 8
 MIN_WORDS = 5
 MIN_COVERAGE = 0.5
+RUN_WORDS = 13
 BITMAP_BITS = 24
 
 # Unit words, matched without case.
@@ -143,27 +148,30 @@ def _hashes(t: Template, width: int, exact: bool) -> tuple[np.ndarray, np.ndarra
 
 
 _READING = (np.uint64(0), np.uint64(0x706C61696E << 16))
-_ITEM = "item_id {}, n_words int, exact boolean, width int, item_pos int, h long, item_slots array<long>, item_at array<int>"
-_HIT = "doc_id {}, doc_pos int, h long, doc_slots array<long>"
+_ITEM = "item_id {}, item_part long, n_words int, exact boolean, width int, item_pos int, h long, item_slots array<long>, item_at array<int>"
+_HIT = "doc_id {}, doc_part long, doc_pos int, h long, doc_slots array<long>"
 
 
-def _benchmark_windows(width: int, min_words: int, readings: list[bool]):
+def _benchmark_windows(width: int, min_words: int, readings: list[bool], run_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_pylist()
+            ids, parts = batch.column(0).to_pylist(), batch.column(2).to_numpy()
             for chunk in chunks(batch.column(1)):
                 t = Template(chunk)
                 n = np.diff(t.first)
-                for exact, k in itertools.product(readings, np.unique(np.minimum(n[n >= min_words], width))):
-                    at, values = _hashes(t, int(k), exact)
+                sizes = [(exact, int(k)) for exact in readings for k in np.unique(np.minimum(n[n >= min_words], width))]
+                if True in readings and run_words > width:
+                    sizes.append((True, run_words))
+                for exact, k in sizes:
+                    at, values = _hashes(t, k, exact)
                     size = n[t.row[at]]
                     plain = np.concatenate([[0], np.cumsum(t.kind == _PLAIN)])
-                    use = (np.minimum(size, width) == k) & (plain[at + k] > plain[at])
+                    use = ((np.minimum(size, width) == k) | (k > width)) & (plain[at + k] > plain[at])
                     at, values = at[use], values[use]
                     item, pos, h, slots = _emit(ids[chunk.first : chunk.first + chunk.n], t, at, values, np.full(len(at), k), exact)
                     spots = [(p + np.flatnonzero(t.kind[a : a + k])).tolist() if not exact else [] for a, p in zip(at.tolist(), pos)]
-                    cols = [pa.array(item, batch.schema.field(0).type), pa.array(n[t.row[at]], pa.int32()), pa.array(np.full(len(at), exact)), pa.array(np.full(len(at), k), pa.int32()), pa.array(pos, pa.int32()), pa.array(h, pa.int64()), pa.array(slots, pa.list_(pa.int64())), pa.array(spots, pa.list_(pa.int32()))]
-                    yield pa.RecordBatch.from_arrays(cols, names=["item_id", "n_words", "exact", "width", "item_pos", "h", "item_slots", "item_at"])
+                    cols = [pa.array(item, batch.schema.field(0).type), pa.array(parts[chunk.first + t.row[at]], pa.int64()), pa.array(n[t.row[at]], pa.int32()), pa.array(np.full(len(at), exact)), pa.array(np.full(len(at), k), pa.int32()), pa.array(pos, pa.int32()), pa.array(h, pa.int64()), pa.array(slots, pa.list_(pa.int64())), pa.array(spots, pa.list_(pa.int32()))]
+                    yield pa.RecordBatch.from_arrays(cols, names=["item_id", "item_part", "n_words", "exact", "width", "item_pos", "h", "item_slots", "item_at"])
 
     return run
 
@@ -172,7 +180,7 @@ def _document_windows(shared, widths: list[tuple[bool, int]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(shared.value, np.uint8)
         for batch in batches:
-            ids = batch.column(0).to_pylist()
+            ids, parts = batch.column(0).to_pylist(), batch.column(2).to_numpy()
             for chunk in chunks(batch.column(1)):
                 t = Template(chunk)
                 for exact, k in widths:
@@ -180,17 +188,20 @@ def _document_windows(shared, widths: list[tuple[bool, int]]):
                     slot = values >> np.uint64(64 - BITMAP_BITS)
                     hit = (bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
                     at, values = at[hit], values[hit]
+                    if exact and len(at):
+                        once = np.sort(np.unique(np.stack([t.row[at].astype(np.uint64), values]), axis=1, return_index=True)[1])
+                        at, values = at[once], values[once]
                     if len(at):
                         doc, pos, h, slots = _emit(ids[chunk.first : chunk.first + chunk.n], t, at, values, np.full(len(at), k), exact)
-                        cols = [pa.array(doc, batch.schema.field(0).type), pa.array(pos, pa.int32()), pa.array(h, pa.int64()), pa.array(slots, pa.list_(pa.int64()))]
-                        yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "doc_pos", "h", "doc_slots"])
+                        cols = [pa.array(doc, batch.schema.field(0).type), pa.array(parts[chunk.first + t.row[at]], pa.int64()), pa.array(pos, pa.int32()), pa.array(h, pa.int64()), pa.array(slots, pa.list_(pa.int64()))]
+                        yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "doc_part", "doc_pos", "h", "doc_slots"])
 
     return run
 
 
 def _bitmap(items: DataFrame) -> tuple[bytes, list[tuple[bool, int]]]:
     """Bit ``h >> (64 - BITMAP_BITS)`` of every window, as at most
-    ``2**BITMAP_BITS / 64`` words, and the windows' widths (at most ``width``) by reading."""
+    ``2**BITMAP_BITS / 64`` words, and the windows' widths (at most ``width``, and ``run_words``) by reading."""
     slot = F.shiftrightunsigned("h", 64 - BITMAP_BITS)
     words_ = items.groupBy(F.shiftright(slot, 6).alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, int(shiftrightunsigned(h, {64 - BITMAP_BITS}) & 63))")).alias("b"))
     bits = np.zeros(1 << (BITMAP_BITS - 6), np.int64)
@@ -199,16 +210,17 @@ def _bitmap(items: DataFrame) -> tuple[bytes, list[tuple[bool, int]]]:
     return bits.tobytes(), sorted((r[0], r[1]) for r in items.select("exact", "width").distinct().collect())
 
 
-def _meetings(docs: DataFrame, benchmark: DataFrame, width: int, min_words: int, readings: list[bool]) -> DataFrame:
+def _meetings(docs: DataFrame, benchmark: DataFrame, width: int, min_words: int, readings: list[bool], run_words: int = RUN_WORDS) -> DataFrame:
     """Every window of a document that is one of an item's."""
     from barlab.llm.scratch import stored
 
     id_type, item_type = docs.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()
-    bench = benchmark.select("item_id", F.col("text").cast("string").alias("text")).distinct()
-    items = stored(bench.mapInArrow(_benchmark_windows(width, min_words, readings), _ITEM.format(item_type)), "benchmark-windows", small=True)
+    text = F.col("text").cast("string")
+    bench = benchmark.select("item_id", text.alias("text")).distinct().withColumn("part", F.xxhash64("text"))
+    items = stored(bench.mapInArrow(_benchmark_windows(width, min_words, readings, run_words), _ITEM.format(item_type)), "benchmark-windows", small=True)
     bits, widths = _bitmap(items)
     shared = docs.sparkSession.sparkContext.broadcast(bits)
-    hits = docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(_document_windows(shared, widths), _HIT.format(id_type))
+    hits = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("part")).mapInArrow(_document_windows(shared, widths), _HIT.format(id_type))
     return hits.join(items, "h").withColumn("offset", F.col("doc_pos") - F.col("item_pos"))
 
 
@@ -252,28 +264,32 @@ def _meant(met: list[dict]) -> dict[int, int]:
     return dict(order)
 
 
-def _score(n_words: int, met: list[dict], min_coverage: float) -> tuple | None:
-    """What the windows that one document and one item share amount to."""
+def _score(n_words: int, met: list[dict], min_coverage: float, run_words: int) -> tuple | None:
+    """What the windows that one text and one item share amount to."""
     lines = {}
     for m in met:
         lines.setdefault(m["offset"], []).append(m)
-    best = None
+    covered, slots, most, first = set(), set(), 0, 0
     for offset in sorted(lines):
         meant = _meant(lines[offset])
         kept = [m for m in lines[offset] if m["item_slots"] == m["doc_slots"] or all(meant[i] == d for i, d in zip(m["item_slots"], m["doc_slots"]))]
-        covered = {m["item_pos"] + k for m in kept for k in range(m["width"])}
-        if covered and len(covered) / n_words >= min_coverage and (best is None or len(covered) > best[1]):
-            slots = {p for m in kept for p in zip(m["item_slots"], m["doc_slots"])}
-            best = (offset + min(covered), len(covered), n_words, len(covered) / n_words, len(slots), sum(i != d for i, d in slots))
-    return best
-
-
-def _scores(schema: pa.Schema, min_coverage: float):
+        here = {m["item_pos"] + k for m in kept for k in range(m["width"])}
+        slots.update(p for m in kept for p in zip(m["item_slots"], m["doc_slots"]))
+        if len(here) > most:
+            most, first = len(here), offset + min(here)
+        covered |= here
+    run = any(m["exact"] and m["width"] >= run_words for m in met)
+    if not run and (not covered or len(covered) / n_words < min_coverage):
+        return None
+    return first, len(covered), n_words, len(covered) / n_words, len(slots), sum(i != d for i, d in slots)
+
+
+def _scores(schema: pa.Schema, min_coverage: float, run_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for doc, item, n_words, met in zip(*(c.to_pylist() for c in batch.columns)):
-                found = _score(n_words, met, min_coverage)
+                found = _score(n_words, met, min_coverage, run_words)
                 if found:
                     rows.append((doc, item, *found))
             cols = list(zip(*rows)) or [()] * len(schema)
@@ -282,18 +298,21 @@ def _scores(schema: pa.Schema, min_coverage: float):
     return run
 
 
-def find_all_leaks(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, min_words: int = MIN_WORDS, min_coverage: float = MIN_COVERAGE) -> DataFrame:
+def find_all_leaks(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, min_words: int = MIN_WORDS, min_coverage: float = MIN_COVERAGE, run_words: int = RUN_WORDS) -> DataFrame:
     """The columns of :func:`find_leaks`, for windows of the template and of the
     plain words together; slots are counted on windows of the template."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
     id_type, item_type = docs.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()
-    met = _meetings(docs, benchmark, width, min_words, [False, True])
+    met = _meetings(docs, benchmark, width, min_words, [False, True], run_words)
     window = F.struct("offset", "item_pos", "width", "exact", "item_slots", "item_at", "doc_slots")
-    lined = met.groupBy("doc_id", "item_id").agg(F.max("n_words").alias("n_words"), F.collect_set(window).alias("met"))
+    lined = met.groupBy("doc_id", "doc_part", "item_id", "item_part").agg(F.max("n_words").alias("n_words"), F.collect_set(window).alias("met"))
     found = _FOUND.format(id_type, item_type)
-    return lined.mapInArrow(_scores(to_arrow_schema(StructType.fromDDL(found)), min_coverage), found)
+    scored = lined.drop("doc_part", "item_part").mapInArrow(_scores(to_arrow_schema(StructType.fromDDL(found)), min_coverage, run_words), found)
+    row = F.struct("first_word", "n_covered", "n_words", "coverage", "n_slots", "n_changed")
+    best = F.max_by(row, F.struct("coverage", "n_covered", -F.col("first_word"), "n_slots", "n_changed")).alias("best")
+    return scored.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*")
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:

@@ -110,3 +110,23 @@ def test_the_value_that_stands_most_often_is_meant():
     assert decontaminate._meant([window([1, 4], [5, 7]), window([4, 9], [7, 5])]) == {7: 5}
     assert decontaminate._meant([window([1, 4], [5, 7])]) == {7: 7}  # a tie: the item's own
     assert decontaminate._meant([window([1, 4], [5, 6])]) == {7: 5}  # then the first
+
+
+def test_alignments_of_one_item_are_put_together(spark):
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(250)]
+    item = " ".join(words)
+    quote = "as he said " + " ".join(words[40:140]) + " and went on"
+    short = " ".join(words[40:52])  # 12 words
+    inserted = " ".join(w + " really" if i in (83, 166) else w for i, w in enumerate(words))
+    dropped = " ".join(w for i, w in enumerate(words) if i not in (83, 166))
+    halves = " ".join(words[:60]) + " other words between " + " ".join(words[100:170])
+    got = all_leaks(spark, [quote, short, inserted, dropped, halves, item], [(1, item)])
+    assert set(got) == {(0, 1), (2, 1), (3, 1), (4, 1), (5, 1)}
+    assert got[0, 1].n_covered == 100 and got[0, 1].first_word == 3
+    assert got[2, 1].n_covered == 250 and got[3, 1].n_covered == 248 and got[4, 1].n_covered == 130
+
+
+def test_texts_of_one_id_are_not_put_together(spark):
+    words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(30)]
+    rows = docs(spark, [(None, " ".join(words[:10]), "en", "s", 1), (None, " ".join(words[15:25]), "en", "s", 1)])
+    assert decontaminate.find_all_leaks(rows, bench(spark, [(1, " ".join(words))])).count() == 0
