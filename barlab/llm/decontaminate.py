@@ -25,7 +25,9 @@ values is no contradiction.  The alignments of one text and one item are put
 together: the words that any of them covers count, so that a copy with words put in
 or left out is found; ``first_word`` is that of the alignment that covers most.  A run
 of ``run_words`` plain words of an item is reported whatever part of the item it is.
-Of equal windows of plain words a text needs its first only.
+Of equal windows of plain words a text needs its first only.  Windows of plain words
+are hashed for every item: those with placeholders only by their literal values,
+and items of fewer than ``min_words`` words as a whole.
 
 A bitmap of fixed size with the benchmark's window hashes goes to the tasks, so
 that only windows that may match leave the scan; the join decides.  It is a
@@ -33,7 +35,8 @@ pre-filter and nothing more: with a large benchmark it only lets more through.
 No row of the benchmark or the documents reaches the driver.
 
 Defined results: null and empty texts match nothing; an item with fewer than
-``min_words`` words, or with placeholders only, is no template; repeated rows of
+``min_words`` words, or with placeholders only, is no template and is found
+verbatim only; repeated rows of
 one ``doc_id`` count as one document (:func:`find_all_leaks` scores different texts of
 one ``doc_id`` or ``item_id`` by themselves); a null ``doc_id`` or ``item_id`` is kept
 as such; on a tie of alignments the one with the lowest offset is reported.
@@ -159,14 +162,14 @@ def _benchmark_windows(width: int, min_words: int, readings: list[bool], run_wor
             for chunk in chunks(batch.column(1)):
                 t = Template(chunk)
                 n = np.diff(t.first)
-                sizes = [(exact, int(k)) for exact in readings for k in np.unique(np.minimum(n[n >= min_words], width))]
+                sizes = [(exact, int(k)) for exact in readings for k in np.unique(np.minimum(n[n >= (1 if exact else min_words)], width))]
                 if True in readings and run_words > width:
                     sizes.append((True, run_words))
                 for exact, k in sizes:
                     at, values = _hashes(t, k, exact)
                     size = n[t.row[at]]
                     plain = np.concatenate([[0], np.cumsum(t.kind == _PLAIN)])
-                    use = ((np.minimum(size, width) == k) | (k > width)) & (plain[at + k] > plain[at])
+                    use = ((np.minimum(size, width) == k) | (k > width)) & (exact | (plain[at + k] > plain[at]))
                     at, values = at[use], values[use]
                     item, pos, h, slots = _emit(ids[chunk.first : chunk.first + chunk.n], t, at, values, np.full(len(at), k), exact)
                     spots = [(p + np.flatnonzero(t.kind[a : a + k])).tolist() if not exact else [] for a, p in zip(at.tolist(), pos)]

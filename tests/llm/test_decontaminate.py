@@ -130,3 +130,19 @@ def test_texts_of_one_id_are_not_put_together(spark):
     words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(30)]
     rows = docs(spark, [(None, " ".join(words[:10]), "en", "s", 1), (None, " ".join(words[15:25]), "en", "s", 1)])
     assert decontaminate.find_all_leaks(rows, bench(spark, [(1, " ".join(words))])).count() == 0
+
+
+def test_placeholders_and_short_items_are_found_verbatim(spark):
+    series = "What comes next: " + " ".join(str(i) for i in range(2, 42))
+    items = [(3, ITEMS[2][1]), (6, "two words"), (7, series), (8, "Oslo"), (9, "..."), (10, "")]
+    texts = [
+        "so " + series + " and on",
+        "it is 12 14 16 18 20 22 24 26 28 30 then",
+        "1 3 5 7 9 11 13 15 17 19 21 23",  # the same form, other values
+        "here are Two words, and Two words again",
+        "two other words",
+        "from oslo.",
+    ]
+    got = all_leaks(spark, texts, items)
+    assert set(got) == {(0, 7), (1, 3), (3, 6), (5, 8)}
+    assert all(r.coverage == 1.0 for r in got.values())
