@@ -21,10 +21,11 @@ ORACLE_SQL = None
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents with a recognisable language; ``und`` goes."""
+    """Keeps documents with a recognisable language; ``und`` goes, and so does a text
+    that shares no n-gram with any profile (score 0)."""
     profiles = lang_id.train_profiles(docs.where(lang_id.is_training_row()))
     found = lang_id.identify(docs, profiles)
-    return found.where(F.col("lang_pred") != lang_id.UND).select(*docs.columns)
+    return found.where((F.col("lang_pred") != lang_id.UND) & (F.col("score") > 0)).select(*docs.columns)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -74,3 +74,9 @@ def test_clean_documents_stay(spark):
     kept = {r.doc_id for r in corpus_pipeline.run(spark, sf).collect()}
     ids = {r.doc_id for r in table(spark, sf, "documents").select("doc_id").collect()}
     assert kept <= ids and len(kept) > 0.8 * len(ids)
+
+
+def test_texts_in_a_script_of_no_profile_go(spark):
+    rows = [*corpus(), (900, "καλημέρα κόσμε", None, "s", 14), (901, "the one of them", None, "s", 15)]
+    kept = {r.doc_id for r in corpus_pipeline.language_stage(spark, docs(spark, rows), "").collect()}
+    assert 901 in kept and 900 not in kept
