@@ -3,10 +3,12 @@ its whole table, and derives the digest columns where a contract names some."""
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlab.llm import bpe, decontaminate, lang_id, license_scan, line_dedup, near_dup, quality, substring_dedup, token_shards, toxicity
+from barlab.llm import bpe, decontaminate, lang_id, license_scan, line_dedup, merkle, near_dup, quality, substring_dedup, token_shards, toxicity
 from barlab.llm.scratch import scratch_dir
 
 
@@ -95,5 +97,15 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_known", F.array_join("licenses", ",").alias("licenses"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_shards, op2_line_quality, op3_toxicity, op4_line_dedup, op5_substring_dedup, op6_bpe, op7_language_id, op8_decontaminate, op9_near_dup, op10_license_scan)}
-ORACLE_SQL = {"op4_line_dedup": line_dedup.ORACLE_SQL, "op10_license_scan": license_scan.ORACLE_SQL}
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in the manifest, and whether a tampered copy shows."""
+    docs = table(spark, sf_dir, "documents")
+    lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, merkle.leaf_hash(text=lower))
+    rows = merkle.build(docs, keep={"tampered": tampered}).proofs()
+    rows = rows.select("doc_id", "leaf", "subroot", "root", merkle.proof_hash().alias("proof_sha256"), merkle.fold(F.coalesce("tampered", "leaf")).alias("folded_root"))
+    return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_shards, op2_line_quality, op3_toxicity, op4_line_dedup, op5_substring_dedup, op6_bpe, op7_language_id, op8_decontaminate, op9_near_dup, op10_license_scan, op11_merkle_manifest)}
+ORACLE_SQL = {"op4_line_dedup": line_dedup.ORACLE_SQL, "op10_license_scan": license_scan.ORACLE_SQL, "op11_merkle_manifest": merkle.ORACLE_SQL}

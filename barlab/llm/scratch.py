@@ -31,8 +31,8 @@ def scratch_dir(spark: SparkSession, what: str) -> str:
     return f"{base.rstrip('/')}/llm-{what}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, what: str, small: bool = False) -> DataFrame:
-    """``df`` written as Parquet to the shared folder and read back.
+def stored(df: DataFrame, what: str, small: bool = False, path: str | None = None) -> DataFrame:
+    """``df`` written as Parquet to the shared folder (or to ``path``) and read back.
 
     Files follow the cluster and not the partitions that ``df`` happens to have:
     four a core, and a quarter of ``spark.sql.shuffle.partitions`` at least.
@@ -41,7 +41,7 @@ def stored(df: DataFrame, what: str, small: bool = False) -> DataFrame:
     spark = df.sparkSession
     cores, parts = spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
     df = df.repartition(max(1, cores // 3, parts // 50)) if small else df.coalesce(max(4 * cores, parts // 4))
-    path = scratch_dir(spark, what)
+    path = path or scratch_dir(spark, what)
     # The write's shuffle files are of no use after it; Spark drops them at its end.
     before = spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
