@@ -8,7 +8,7 @@ import string
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlab.llm import bpe, decontaminate, lang_id, license_scan, line_dedup, merkle, near_dup, quality, substring_dedup, token_shards, toxicity
+from barlab.llm import bpe, decontaminate, lang_id, license_scan, line_dedup, merkle, near_dup, quality, resample, substring_dedup, token_shards, toxicity
 from barlab.llm.scratch import scratch_dir
 
 
@@ -107,5 +107,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_shards, op2_line_quality, op3_toxicity, op4_line_dedup, op5_substring_dedup, op6_bpe, op7_language_id, op8_decontaminate, op9_near_dup, op10_license_scan, op11_merkle_manifest)}
-ORACLE_SQL = {"op4_line_dedup": line_dedup.ORACLE_SQL, "op10_license_scan": license_scan.ORACLE_SQL, "op11_merkle_manifest": merkle.ORACLE_SQL}
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of the documents drawn towards the benchmark's word distribution."""
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_shards, op2_line_quality, op3_toxicity, op4_line_dedup, op5_substring_dedup, op6_bpe, op7_language_id, op8_decontaminate, op9_near_dup, op10_license_scan, op11_merkle_manifest, op13_importance_resampling)}
+ORACLE_SQL = {"op4_line_dedup": line_dedup.ORACLE_SQL, "op10_license_scan": license_scan.ORACLE_SQL, "op11_merkle_manifest": merkle.ORACLE_SQL, "op13_importance_resampling": resample.ORACLE_SQL}
