@@ -8,7 +8,7 @@ import string
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlab.llm import bpe, decontaminate, lang_id, license_scan, line_dedup, merkle, near_dup, quality, resample, substring_dedup, token_shards, toxicity
+from barlab.llm import bpe, decontaminate, lang_id, license_scan, line_dedup, merkle, near_dup, pu_quality, quality, resample, substring_dedup, token_shards, toxicity
 from barlab.llm.scratch import scratch_dir
 
 
@@ -107,10 +107,19 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every text, learned from the training rows' good documents."""
+    learned = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0
+    good = table(spark, sf_dir, "labels").where(learned & (F.col("quality") == 1))
+    rows = pu_quality.classify(table(spark, sf_dir, "documents").select("doc_id", "text"), good)
+    predicted = (F.col("score") >= pu_quality.THRESHOLD).cast("int")
+    return rows.select("doc_id", F.coalesce(~learned, F.lit(False)).alias("held_out"), "score", predicted.alias("predicted"))
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A quarter of the documents drawn towards the benchmark's word distribution."""
     return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_shards, op2_line_quality, op3_toxicity, op4_line_dedup, op5_substring_dedup, op6_bpe, op7_language_id, op8_decontaminate, op9_near_dup, op10_license_scan, op11_merkle_manifest, op13_importance_resampling)}
+QUERIES = {f.__name__: f for f in (op1_token_shards, op2_line_quality, op3_toxicity, op4_line_dedup, op5_substring_dedup, op6_bpe, op7_language_id, op8_decontaminate, op9_near_dup, op10_license_scan, op11_merkle_manifest, op12_quality_classifier, op13_importance_resampling)}
 ORACLE_SQL = {"op4_line_dedup": line_dedup.ORACLE_SQL, "op10_license_scan": license_scan.ORACLE_SQL, "op11_merkle_manifest": merkle.ORACLE_SQL, "op13_importance_resampling": resample.ORACLE_SQL}
