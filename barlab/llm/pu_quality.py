@@ -238,7 +238,7 @@ def _sample(rows: DataFrame, limit: int) -> np.ndarray:
 def train(rows: DataFrame, positives: DataFrame, sample: int = SAMPLE) -> tuple[Scorer, float]:
     """The scorer and the class prior for a stored feature table ``rows``, with
     ``positives(doc_id)`` the trusted ones."""
-    positives = positives.where("doc_id is not null").select("doc_id").distinct()
+    positives, rows = positives.where("doc_id is not null").select("doc_id").distinct(), rows.select("doc_id", "features")
     one, other = (positives.where(F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)) == k) for k in (0, 1))
     unlabelled = _sample(rows, sample)
     halves = [_sample(rows.join(half, "doc_id", "left_semi"), sample // 2) for half in (one, other)]

@@ -6,7 +6,7 @@ import random
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 # Names that operators make or use themselves; whatever a table has there must do no harm.
-CLASHES = ["score", "kept", "digest", "lang_pred", "n", "key", "batch", "pos", "h", "ids", "decoded", "n_tokens", "label", "size", "mark", "n_lines", "licenses", "n_words", "row"]
+CLASHES = ["score", "kept", "digest", "lang_pred", "n", "key", "batch", "pos", "h", "ids", "decoded", "n_tokens", "label", "size", "mark", "n_lines", "licenses", "n_words", "row", "tree", "node", "weight", "features", "rank", "total", "_doc", "_drop", "_lines", "_from", "_to", "_key", "_digest", "_leak", "_line", "_flow", "_seq", "_tie", "_part", "_nth", "_good", "_i", "_m"]
 
 
 def prose(rnd: random.Random, n: int, lang: str = "en") -> str:
@@ -26,6 +26,7 @@ def awkward(seed: int = 7) -> list[tuple]:
         (5, base, "en", "s", len(base)),
         (6, base, "en", "s", len(base)),
         (6, base, "en", "s", len(base)),
+        (6, "another text under an id that is used already\n" + base, "en", "s", 1),
         (7, base.replace("the", "tea", 1), None, "s", len(base)),
         (None, base, "en", "s", len(base)),
         (8, "12345 67890 !!! ???", "en", "s", 20),
