@@ -9,6 +9,7 @@ from barlab.operators.correlation import (
 from barlab.operators.patterns import (
     best_weekday,
     longest_streaks,
+    longest_streaks_merged,
     seasonal_close,
     streak_runs,
     trend_days,
@@ -58,6 +59,7 @@ __all__ = [
     "intraday_returns",
     "last_rows",
     "longest_streaks",
+    "longest_streaks_merged",
     "monthly_price_change",
     "most_consistent",
     "outlier_days",

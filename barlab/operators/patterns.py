@@ -7,12 +7,12 @@ Up/down days and streaks compare close with open of the same day
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlab.functions.columns import SEASONS, day_sign, season, series, weekday_name
 from barlab.operators._tickers import of_universe
-from barlab.operators.returns import with_key, with_returns
+from barlab.operators.returns import by_year, with_key, with_returns, with_year_rows
 from barlab.sources.bars import filter_bars
 
 
@@ -107,7 +107,7 @@ def _signed_days_year_split(bars: DataFrame, join_first_row: bool) -> DataFrame:
     run numbers.  A run crossing New Year keeps one number.  The ticker's
     very first day keeps its NULL number (or 0 with ``join_first_row``).
     """
-    df = with_key(bars).select("ticker", "date", day_sign().alias("sign"), F.year("date").alias("_y"))
+    df = by_year(with_key(bars).select("ticker", "date", day_sign().alias("sign")))
     in_year = Window.partitionBy("ticker", "_y").orderBy("date")
     rows = df.withColumn("_c", (F.col("sign") != F.lag("sign", 1).over(in_year)).cast("int")).withColumn(
         "_cum", F.sum("_c").over(in_year.rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -124,8 +124,8 @@ def _signed_days_year_split(bars: DataFrame, join_first_row: bool) -> DataFrame:
     )
     years = years.withColumn("_fc", first_chg.cast("bigint"))
     carry = years.select(
-        F.col("ticker").alias("_ct"),
-        F.col("_y").alias("_cy"),
+        "ticker",
+        "_y",
         "_fc",
         F.coalesce(
             F.sum(F.coalesce("_fc", F.lit(0)) + F.col("_inner")).over(
@@ -134,13 +134,11 @@ def _signed_days_year_split(bars: DataFrame, join_first_row: bool) -> DataFrame:
             F.lit(0).cast("bigint"),
         ).alias("_off"),
     )
-    # Equality on the window's own keys: the join needs no exchange of the rows.
-    on = (F.col("ticker") == F.col("_ct")) & (F.col("_y") == F.col("_cy"))
     first_day = F.col("_c").isNull()
     run_id = F.when(first_day, F.col("_off") + F.col("_fc")).otherwise(
         F.col("_off") + F.coalesce(F.col("_fc"), F.lit(0)) + F.col("_cum")
     )
-    return rows.join(carry, on, "left").select("ticker", "date", "sign", run_id.alias("streak_id"))
+    return with_year_rows(rows, carry).select("ticker", "date", "sign", run_id.alias("streak_id"))
 
 
 def _all_runs(bars: DataFrame, join_first_row: bool, year_split: bool = False) -> DataFrame:
@@ -169,3 +167,47 @@ def longest_streaks(bars: DataFrame, join_first_row: bool = False, year_split: b
         F.coalesce(F.max(F.when(F.col("sign") == -1, F.col("n"))), zero).alias("longest_loss"),
     )
 
+
+
+# Longest streaks from mergeable summaries.  A span of days is summed up by its first and
+# last run (sign, length), whether these are one run, and the longest gain and loss
+# strictly inside; two neighbouring spans' summaries give that of both together, so spans
+# are merged in any grouping and no window runs over a history.
+_SPAN = "struct<fs:int,fl:bigint,ls:int,ll:bigint,whole:boolean,gain:bigint,loss:bigint>"
+_DAY = "named_struct('fs', sign, 'fl', 1L, 'ls', sign, 'll', 1L, 'whole', true, 'gain', 0L, 'loss', 0L)"
+# Span a followed by span b.  Runs that lie strictly inside both together, but in neither
+# alone: the one across the border, or, where the signs differ, the two at it.
+_MEET = "a.ls = b.span.fs"
+_ACROSS = f"CASE WHEN {_MEET} THEN CASE WHEN NOT a.whole AND NOT b.span.whole THEN a.ll + b.span.fl END WHEN NOT a.whole THEN a.ll END"
+_BEGUN = f"CASE WHEN NOT {_MEET} AND NOT b.span.whole THEN b.span.fl END"
+_JOINED = f"""named_struct(
+  'fs', a.fs, 'fl', a.fl + CASE WHEN {_MEET} AND a.whole THEN b.span.fl ELSE 0L END,
+  'ls', b.span.ls, 'll', b.span.ll + CASE WHEN {_MEET} AND b.span.whole THEN a.ll ELSE 0L END,
+  'whole', {_MEET} AND a.whole AND b.span.whole,
+  'gain', greatest(a.gain, b.span.gain, CASE WHEN a.ls = 1 THEN {_ACROSS} END, CASE WHEN b.span.fs = 1 THEN {_BEGUN} END),
+  'loss', greatest(a.loss, b.span.loss, CASE WHEN a.ls = -1 THEN {_ACROSS} END, CASE WHEN b.span.fs = -1 THEN {_BEGUN} END))"""
+
+
+def _span() -> Column:
+    """Aggregate of (at, span): the summary of all, neighbours in the order of ``at``."""
+    step = f"(a, b) -> CASE WHEN a IS NULL THEN b.span ELSE {_JOINED} END"
+    return F.expr(f"aggregate(sort_array(collect_list(struct(at, span))), CAST(NULL AS {_SPAN}), {step})").alias("span")
+
+
+def longest_streaks_merged(bars: DataFrame, join_first_row: bool = False) -> DataFrame:
+    """The rows of ``longest_streaks`` (for bars that have their key) from partial
+    aggregates: days are summed up by (ticker, month), months by ticker.  A group is
+    31 days or a ticker's months; the only exchange of rows is by (ticker, month).
+    Columns: ticker, longest_gain, longest_loss.
+    """
+    days = with_key(bars).select("ticker", F.col("date").alias("at"), day_sign().alias("sign"))
+    days = days.select("ticker", F.trunc("at", "month").alias("_m"), "at", F.expr(_DAY).alias("span"))
+    months = days.groupBy("ticker", "_m").agg(_span()).withColumnRenamed("_m", "at")
+    whole = months.groupBy("ticker").agg(_span())
+    first, rest = (F.col("span.fl"), F.lit(0)) if join_first_row else (F.lit(1).cast("bigint"), F.col("span.fl") - 1)
+
+    def longest(sign: int, inside: str) -> Column:
+        ends = [F.when(F.col("span.fs") == sign, F.greatest(first, rest)), F.when((F.col("span.ls") == sign) & ~F.col("span.whole"), F.col("span.ll"))]
+        return F.greatest(F.col(f"span.{inside}"), *ends)
+
+    return whole.select("ticker", longest(1, "gain").alias("longest_gain"), longest(-1, "loss").alias("longest_loss"))

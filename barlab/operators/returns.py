@@ -9,7 +9,7 @@ keys include ``ticker`` adds none.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlab.functions.columns import intraday_return, pct_change, series
@@ -57,40 +57,35 @@ def daily_returns_year_split(bars: DataFrame) -> DataFrame:
     ``daily_returns``, for bars that have their key.  Columns: ticker, date,
     close, daily_return, daily_change.
     """
-    return _year_split_returns(bars).select("ticker", "date", "close", "daily_return", "daily_change")
+    prev, rows = previous_close_year_split(bars)
+    change = F.col("close") - prev
+    return rows.select("ticker", "date", "close", pct_change(F.col("close"), prev).alias("daily_return"), change.alias("daily_change"))
 
 
-def _year_split_returns(bars: DataFrame) -> DataFrame:
-    """``daily_returns_year_split`` with the year, ``_y``."""
-    df = with_key(bars).select("ticker", "date", "close", F.year("date").alias("_y"))
+def by_year(df: DataFrame) -> DataFrame:
+    """``df`` with its calendar year, ``_y``, dealt by (ticker, year).  Windows and
+    group-bys on that key, and joins with its results, move no row again; what is
+    derived twice from these rows reuses the one exchange."""
+    return df.withColumn("_y", F.year("date")).repartition("ticker", "_y")
+
+
+def with_year_rows(rows: DataFrame, years: DataFrame) -> DataFrame:
+    """``rows`` with the columns of their (ticker, year) in ``years``: equality on the
+    key that the rows are dealt by."""
+    years = years.withColumnsRenamed({"ticker": "_ct", "_y": "_cy"})
+    return rows.join(years, (F.col("ticker") == F.col("_ct")) & (F.col("_y") == F.col("_cy")), "left").drop("_ct", "_cy")
+
+
+def previous_close_year_split(bars: DataFrame) -> tuple[Column, DataFrame]:
+    """The expression of the previous close, and the rows (ticker, date, close, _y) to
+    use it on: a lag within (ticker, year), and on a year's first bar the last close
+    of the ticker's year before."""
+    df = by_year(with_key(bars).select("ticker", "date", "close"))
     in_year = Window.partitionBy("ticker", "_y").orderBy("date")
-    rows = df.select(
-        "ticker",
-        "date",
-        "close",
-        "_y",
-        F.lag("close", 1).over(in_year).alias("_prev"),
-        F.lag("date", 1).over(in_year).isNull().alias("_first"),
-    )
-    carry = (
-        df.groupBy("ticker", "_y")
-        .agg(F.max_by("close", "date").alias("_last"))
-        .select(
-            F.col("ticker").alias("_ct"),
-            F.col("_y").alias("_cy"),
-            F.lag("_last", 1).over(Window.partitionBy("ticker").orderBy("_y")).alias("_carry"),
-        )
-    )
-    on = (F.col("ticker") == F.col("_ct")) & (F.col("_y") == F.col("_cy"))
-    prev = F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_prev"))
-    return rows.join(carry, on, "left").select(
-        "ticker",
-        "date",
-        "_y",
-        "close",
-        pct_change(F.col("close"), prev).alias("daily_return"),
-        (F.col("close") - prev).alias("daily_change"),
-    )
+    rows = df.select("*", F.lag("close", 1).over(in_year).alias("_prev"), F.lag("date", 1).over(in_year).isNull().alias("_first"))
+    last = df.groupBy("ticker", "_y").agg(F.max_by("close", "date").alias("_last"))
+    carry = last.select("ticker", "_y", F.lag("_last", 1).over(Window.partitionBy("ticker").orderBy("_y")).alias("_carry"))
+    return F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_prev")), with_year_rows(rows, carry)
 
 
 def with_monthly_change(df: DataFrame) -> DataFrame:

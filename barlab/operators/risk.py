@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from barlab.functions.columns import pct_change, ratio, series, whole_series
 from barlab.operators._tickers import of_universe
-from barlab.operators.returns import _year_split_returns, with_returns
+from barlab.operators.returns import by_year, with_key, with_returns, with_year_rows
 from barlab.sources.bars import filter_bars
 
 
@@ -104,6 +104,35 @@ def return_histogram(
     )
 
 
+def _returns_and_moments_year_split(bars: DataFrame) -> DataFrame:
+    """ticker, date, daily_return, and the mean and sample deviation (_m, _s) of the
+    ticker's returns.  One row per (ticker, year) has the moments of the returns
+    inside the year, and its first and last close; over a ticker's years these give
+    the return of each year's first bar and the moments of all, joined back once."""
+    df = by_year(with_key(bars).select("ticker", "date", "close"))
+    prev = F.lag("close", 1).over(Window.partitionBy("ticker", "_y").orderBy("date"))
+    rows = df.withColumn("_r", pct_change(F.col("close"), prev))
+    years = rows.groupBy("ticker", "_y").agg(
+        F.count("_r").alias("_n"),
+        F.avg("_r").alias("_my"),
+        F.var_pop("_r").alias("_vy"),
+        F.min("date").alias("_start"),
+        F.min_by("close", "date").alias("_open"),
+        F.max_by("close", "date").alias("_last"),
+    )
+    over_years, all_years = Window.partitionBy("ticker").orderBy("_y"), Window.partitionBy("ticker")
+    years = years.withColumn("_r0", pct_change(F.col("_open"), F.lag("_last", 1).over(over_years)))
+    n = F.sum(F.col("_n") + F.col("_r0").isNotNull().cast("int")).over(all_years)
+    total = F.sum(F.coalesce(F.col("_n") * F.col("_my"), F.lit(0.0)) + F.coalesce("_r0", F.lit(0.0))).over(all_years)
+    years = years.withColumns({"_all": n, "_m": ratio(total, n.cast("double"))})
+    square = lambda x: (x - F.col("_m")) * (x - F.col("_m"))
+    apart = F.coalesce(F.col("_n") * (F.col("_vy") + square(F.col("_my"))), F.lit(0.0)) + F.coalesce(square(F.col("_r0")), F.lit(0.0))
+    spread = F.sqrt(ratio(F.sum(apart).over(all_years), (F.col("_all") - 1).cast("double")))
+    stats = years.select("ticker", "_y", "_start", "_r0", "_m", spread.alias("_s"))
+    ret = F.when(F.col("date") == F.col("_start"), F.col("_r0")).otherwise(F.col("_r"))
+    return with_year_rows(rows, stats).select("ticker", "date", ret.alias("daily_return"), "_m", "_s")
+
+
 def flag_outliers(
     bars: DataFrame, k: float = 3.0, drop_missing_first: bool = False, year_split: bool = False
 ) -> DataFrame:
@@ -112,25 +141,14 @@ def flag_outliers(
 
     By default the ticker's mean and stddev are unordered windows over the
     series partition.  ``year_split`` (for series too long or tickers too
-    hot for one task) takes the returns from ``daily_returns_year_split``,
-    makes one row of moments per ticker and year, combines them over a
-    ticker's years (a window over one row per year) and joins them back on
+    hot for one task) makes one row per ticker and year, combines them over a
+    ticker's years (a window over one row per year) and joins them back once on
     (ticker, year), where the rows already are.
     Columns: ticker, date, daily_return, is_outlier.
     """
     r = F.col("daily_return")
     if year_split:
-        src = bars.dropna(subset=["open", "close"]) if drop_missing_first else bars
-        rets = _year_split_returns(src)
-        years = rets.groupBy("ticker", "_y").agg(F.count(r).alias("_n"), F.avg(r).alias("_my"), F.var_pop(r).alias("_vy"))
-        all_years = Window.partitionBy("ticker")
-        n = F.sum("_n").over(all_years)
-        years = years.withColumn("_all", n).withColumn("_m", ratio(F.sum(F.col("_n") * F.col("_my")).over(all_years), n.cast("double")))
-        apart = F.col("_n") * (F.col("_vy") + (F.col("_my") - F.col("_m")) * (F.col("_my") - F.col("_m")))
-        spread = F.sqrt(ratio(F.sum(apart).over(all_years), (F.col("_all") - 1).cast("double")))
-        stats = years.select(F.col("ticker").alias("_st"), F.col("_y").alias("_sy"), "_m", spread.alias("_s"))
-        on = (F.col("ticker") == F.col("_st")) & (F.col("_y") == F.col("_sy"))
-        flagged = rets.join(stats, on, "left").select("ticker", "date", "daily_return", "_m", "_s")
+        flagged = _returns_and_moments_year_split(bars.dropna(subset=["open", "close"]) if drop_missing_first else bars)
     else:
         w = whole_series()
         flagged = with_returns(bars, drop_missing_first).select(

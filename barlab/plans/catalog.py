@@ -124,6 +124,11 @@ QUERIES: dict[str, Query] = {
     "sma_full_window": _q(lambda b: smoothing.sma(b, N_AVG, min_periods=N_AVG)),
     "ema_one_step": _q(lambda b: smoothing.ema_one_step(b, N_AVG)),
     "ema_recursive": _q(lambda b: smoothing.ema_recursive(b, N_AVG)),
+    # The same averages with each series split by (ticker, year).
+    "sma_year_split": _q(lambda b: smoothing.sma(b, N_AVG, year_split=True)),
+    "sma_full_window_year_split": _q(lambda b: smoothing.sma(b, N_AVG, min_periods=N_AVG, year_split=True)),
+    "ema_one_step_year_split": _q(lambda b: smoothing.ema_one_step(b, N_AVG, year_split=True)),
+    "ema_recursive_year_split": _q(lambda b: smoothing.ema_recursive(b, N_AVG, year_split=True)),
     # dispersion (C9, C13, C14)
     "return_histogram": _q(lambda b: risk.return_histogram(b, START, END, BINS)),
     "return_consistency": _q(lambda b: risk.return_consistency(b, START, END)),
@@ -153,6 +158,9 @@ QUERIES: dict[str, Query] = {
     # The same streaks with each series split by (ticker, year).
     "streak_runs_year_split": _q(lambda b: patterns.streak_runs(b, year_split=True)),
     "longest_streaks_year_split": _q(lambda b: patterns.longest_streaks(b, year_split=True)),
+    # And from mergeable summaries of months, without a window.
+    "longest_streaks_merged": _q(patterns.longest_streaks_merged),
+    "longest_streaks_joined_merged": _q(lambda b: patterns.longest_streaks_merged(b, join_first_row=True)),
 }
 
 
@@ -178,6 +186,7 @@ EVENT_QUERIES: dict[str, Query] = {
     "ema_recursive_events": _q_events(lambda b: smoothing.ema_recursive(b, N_AVG)),
     "outlier_summary_events": _q_events(risk.outlier_summary),
     "trend_days_events": _q_events(patterns.trend_days),
+    "longest_streaks_merged_events": _q_events(patterns.longest_streaks_merged),
     "longest_streaks_events": _q_events(patterns.longest_streaks),
     "close_extremes_events": _q_events(ranking.close_extremes),
     "first_rows_events": _q_events(lambda b: profile.first_rows(b, N_ROWS)),
@@ -213,6 +222,8 @@ CUSTOMER_QUERIES: dict[str, Query] = {
     "highest_daily_return_by_customer": _q_customers(ranking.highest_daily_return),
     "close_extremes_by_customer": _q_customers(ranking.close_extremes),
     "ema_recursive_by_customer": _q_customers(lambda b: smoothing.ema_recursive(b, N_AVG)),
+    "sma_year_split_by_customer": _q_customers(lambda b: smoothing.sma(b, N_AVG, year_split=True)),
+    "ema_recursive_year_split_by_customer": _q_customers(lambda b: smoothing.ema_recursive(b, N_AVG, year_split=True)),
     "return_histogram_by_customer": _q_customers(lambda b: risk.return_histogram(b, START, END, BINS)),
     "return_consistency_by_customer": _q_customers(lambda b: risk.return_consistency(b, START, END)),
     "outlier_summary_by_customer": _q_customers(risk.outlier_summary),
@@ -220,6 +231,7 @@ CUSTOMER_QUERIES: dict[str, Query] = {
     "trend_days_by_customer": _q_customers(patterns.trend_days),
     "best_weekday_by_customer": _q_customers(patterns.best_weekday),
     "longest_streaks_by_customer": _q_customers(patterns.longest_streaks),
+    "longest_streaks_merged_by_customer": _q_customers(patterns.longest_streaks_merged),
     "longest_streaks_year_split_by_customer": _q_customers(lambda b: patterns.longest_streaks(b, year_split=True)),
 }
 QUERIES.update(CUSTOMER_QUERIES)

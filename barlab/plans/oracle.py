@@ -386,7 +386,7 @@ CUSTOMER_BODY = BARS_BODY.replace(
     "SELECT o_orderpriority AS ticker", "SELECT CAST(o_custkey AS VARCHAR) AS ticker"
 ).replace("FROM (SELECT o_orderpriority, o_orderdate", "FROM (SELECT o_custkey, o_orderdate")
 for _name in (
-    "bars", "daily_returns", "weekly_averages", "highest_daily_return", "close_extremes", "ema_recursive",
+    "bars", "daily_returns", "weekly_averages", "highest_daily_return", "close_extremes", "ema_recursive", "sma",
     "return_histogram", "return_consistency", "outlier_summary", "trend_days", "best_weekday", "longest_streaks",
 ):
     ORACLE_SQL[f"{_name}_by_customer"] = ORACLE_SQL[_name].replace(BARS_BODY, CUSTOMER_BODY)
@@ -403,3 +403,14 @@ ORACLE_SQL["longest_streaks_year_split_by_customer"] = ORACLE_SQL["longest_strea
 ORACLE_SQL["outlier_summary_year_split"] = ORACLE_SQL["outlier_summary"]
 ORACLE_SQL["outlier_days_year_split"] = ORACLE_SQL["outlier_days"]
 ORACLE_SQL["outlier_summary_year_split_by_customer"] = ORACLE_SQL["outlier_summary_by_customer"]
+# And the year-split moving averages.
+for _name in ("sma", "sma_full_window", "ema_one_step", "ema_recursive"):
+    ORACLE_SQL[f"{_name}_year_split"] = ORACLE_SQL[_name]
+for _name in ("sma", "ema_recursive"):
+    ORACLE_SQL[f"{_name}_year_split_by_customer"] = ORACLE_SQL[f"{_name}_by_customer"]
+del ORACLE_SQL["sma_by_customer"]
+# And the streaks from merged summaries.
+for _name in ("longest_streaks", "longest_streaks_joined"):
+    ORACLE_SQL[f"{_name}_merged"] = ORACLE_SQL[_name]
+for _suffix in ("_events", "_by_customer"):
+    ORACLE_SQL[f"longest_streaks_merged{_suffix}"] = ORACLE_SQL[f"longest_streaks{_suffix}"]
