@@ -9,19 +9,26 @@
 * ``ticker_correlation`` — the k×k matrix between tickers over those dates,
   each pair over the dates where both values are present.
 
-The plan is the same for any number of tickers, and building it runs no job.
-One group-by on date makes a row per date with its (ticker, value) pairs in
-ticker order, at most one entry per ticker.  Shared dates have all k of them, so
-a ticker's place in the row is its index.  Each shared date gives one row per
-pair of blocks of ``block`` tickers, and one partial-aggregated group-by on the
-block pair takes the moments; no pair of bars is ever a row.  The ticker names
-come from the same per-date rows, so the bars are read once.
+The plans are the same for any number of tickers, and building them runs no job.
+
+``aligned_closes``: one group-by on date makes a row per date with its (ticker, value)
+pairs, at most one entry per ticker; shared dates have all k of them.
+
+``ticker_correlation``: a group-by on ticker packs each series into one row (as long as
+the calendar, whatever the number of tickers).  The shared dates are counted from
+these rows and reach the tasks as one array.  Tickers are dealt by hash to blocks of
+about ``block``; each pair of blocks is a group of its own, whose task takes the
+moments of all its pairs at once as products of (ticker x date) matrices.  So the
+work on k x k cells is spread over pairs of blocks, no date's or ticker's row is
+ever joined with another, and a task holds two blocks of series.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -106,11 +113,74 @@ def aligned_wide(bars: DataFrame, tickers: Iterable[str], feature: str = "close"
     return wide.drop(*[f"_n{i}" for i in range(len(chosen))])
 
 
+def _packed(bars: DataFrame, chosen: list[str] | None, feature: str) -> DataFrame:
+    """One row per ticker: its dates in order and its values on them (the largest
+    non-NULL one if a key is not unique)."""
+    rows = bars.where(F.col("ticker").isNotNull() & F.col("date").isNotNull())
+    if chosen is not None:
+        rows = rows.where(F.col("ticker").isin(chosen))
+    unique = rows.groupBy("ticker", "date").agg(F.max(F.col(feature).cast("double")).alias("v"))
+    series = unique.groupBy("ticker").agg(F.sort_array(F.collect_list(F.struct("date", "v"))).alias("_s"))
+    return series.select("ticker", F.transform("_s.date", F.unix_date).alias("days"), F.col("_s.v").alias("vals"))
+
+
+def _cells(group: pa.Table) -> pa.Table:
+    """Correlations between the tickers of two blocks.  The row without a ticker has
+    the shared dates."""
+    names, days, vals = (group[c].to_pylist() for c in ("ticker", "days", "vals"))
+    lo, hi = group["lo"][0].as_py(), group["hi"][0].as_py()
+    side = group["side"].to_numpy()
+    shared = np.array(days[names.index(None)] if None in names else [], np.int32)
+
+    def matrix(block: int) -> tuple[list[str], np.ndarray]:
+        rows = [i for i, n in enumerate(names) if n is not None and side[i] == block]
+        out = np.full((len(rows), len(shared)), np.nan)
+        for r, i in enumerate(rows):
+            if len(shared) and days[i]:
+                at = np.searchsorted(shared, days[i])
+                ok = at < len(shared)
+                ok[ok] = shared[at[ok]] == np.array(days[i])[ok]
+                out[r, at[ok]] = np.array(vals[i], float)[ok]
+        return [names[i] for i in rows], out
+
+    left, x = matrix(lo)
+    right, y = (left, x) if lo == hi else matrix(hi)
+    corr = _correlations(x, y)
+    if lo == hi:
+        corr = (corr + corr.T) / 2  # the two orders of a pair agree to the last bit
+    cells = [(left, right, corr)] if lo == hi else [(left, right, corr), (right, left, corr.T)]
+    cols = [np.concatenate([np.repeat(np.array(a, object), len(b)) for a, b, _ in cells]), np.concatenate([np.tile(np.array(b, object), len(a)) for a, b, _ in cells])]
+    value = np.concatenate([c.ravel() for _, _, c in cells])
+    arrays = [*[pa.array(c, pa.string()) for c in cols], pa.array(value, pa.float64(), mask=np.isnan(value))]
+    return pa.Table.from_arrays(arrays, names=["ticker_x", "ticker_y", "corr"])
+
+
+def _correlations(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Pearson correlation of each row of ``x`` with each of ``y`` over the columns where
+    both are numbers; NaN where there are not two, or one side is constant there."""
+
+    def parts(m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        there = ~np.isnan(m)
+        # Moments of small numbers: each series less its first value.
+        first = np.array([row[t][0] if t.any() else 0.0 for row, t in zip(m, there)]).reshape(-1, 1)
+        return there.astype(float), np.where(there, m - first, 0.0)
+
+    (mx, vx), (my, vy) = parts(x), parts(y)
+    n = mx @ my.T
+    some = np.maximum(n, 1)
+    sx, sy, qx, qy = vx @ my.T, mx @ vy.T, (vx * vx) @ my.T, mx @ (vy * vy).T
+    spread_x, spread_y = qx - sx * sx / some, qy - sy * sy / some
+    # What is left of a constant is rounding.
+    ok = (n > 1) & (spread_x > 1e-13 * qx) & (spread_y > 1e-13 * qy)
+    both = np.sqrt(np.where(ok, spread_x, 1.0)) * np.sqrt(np.where(ok, spread_y, 1.0))
+    return np.where(ok, (vx @ vy.T - sx * sy / some) / both, np.nan)
+
+
 def ticker_correlation(
     bars: DataFrame,
     tickers: Iterable[str] | None = None,
     feature: str = "close",
-    block: int = 4,
+    block: int = 128,
 ) -> DataFrame:
     """Correlation of ``feature`` between every pair of chosen tickers (both
     orders and the diagonal), over the dates shared by all of them; each pair
@@ -123,27 +193,25 @@ def ticker_correlation(
         raise ValueError("select at least two tickers for a correlation matrix")
     if block < 1:
         raise ValueError("block must be >= 1")
-    dates = _per_date(bars, chosen, feature)
-    index = _index(dates, chosen)
-    shared = _shared(dates, index)
-
-    last = F.floor((F.size("vals") - 1) / block).cast("int")
-    lows = shared.select("vals", F.explode(F.sequence(F.lit(0), last)).alias("_lo"))
-    both = lows.select("vals", "_lo", F.explode(F.sequence(F.col("_lo"), last)).alias("_hi"))
-    cell = lambda base, i: F.get(F.col("vals"), F.col(base) * block + i)
-    slots = both.select(
-        "_lo", "_hi", *[cell("_lo", i).alias(f"_x{i}") for i in range(block)], *[cell("_hi", i).alias(f"_y{i}") for i in range(block)]
-    )
-    grid = [(i, j) for i in range(block) for j in range(block)]
-    moments = slots.groupBy("_lo", "_hi").agg(*[masked_corr(f"_x{i}", f"_y{j}").alias(f"_c{i}_{j}") for i, j in grid])
-    ix = lambda i: (F.col("_lo") * block + i).alias("_ix")
-    iy = lambda j: (F.col("_hi") * block + j).alias("_iy")
-    cells = moments.select(F.inline(F.array(*[F.struct(ix(i), iy(j), F.col(f"_c{i}_{j}").alias("corr")) for i, j in grid])))
-    upper = cells.where("_ix <= _iy")
-
-    names = index.select(F.size("all").alias("_k"), F.posexplode("all").alias("_i", "_t"))
-    left = names.select(F.col("_i").alias("_ix"), F.col("_t").alias("ticker_x"), "_k").repartition("_ix")
-    pairs = left.select("_ix", "ticker_x", F.explode(F.sequence(F.lit(0), F.col("_k") - 1)).alias("_iy"))
-    pairs = pairs.join(names.select(F.col("_i").alias("_iy"), F.col("_t").alias("ticker_y")), "_iy")
-    key = [F.least("_ix", "_iy").alias("_ix"), F.greatest("_ix", "_iy").alias("_iy")]
-    return pairs.select("ticker_x", "ticker_y", *key).join(upper, ["_ix", "_iy"], "left").select("ticker_x", "ticker_y", "corr")
+    packed = _packed(bars, chosen, feature)
+    if chosen is None:
+        # By the series, so that this count comes from the same exchange.
+        k = packed.agg(F.count_if(F.size("days") > 0)).scalar()
+        series = packed
+    else:
+        # The given names as rows of the plan itself; those without a bar share no date.
+        k = F.lit(len(chosen))
+        names = packed.sparkSession.range(1).select(F.explode(F.array(*[F.lit(t) for t in chosen])).alias("ticker"))
+        series = names.join(packed, "ticker", "left")
+    dates = packed.select(F.explode("days").alias("day")).groupBy("day").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == k)
+    shared = dates.agg(F.sort_array(F.collect_list("day")).alias("days"))
+
+    last = (F.ceil(k / block) - 1).cast("int")
+    dealt = series.withColumn("side", F.pmod(F.xxhash64("ticker"), last + 1).cast("int"))
+    dealt = dealt.select("ticker", "days", "vals", "side", F.explode(F.sequence(F.lit(0), last)).alias("other"))
+    dealt = dealt.select(F.least("side", "other").alias("lo"), F.greatest("side", "other").alias("hi"), "side", "ticker", "days", "vals")
+    each = shared.select("days", F.explode(F.sequence(F.lit(0), last)).alias("lo"))
+    each = each.select("days", "lo", F.explode(F.sequence("lo", last)).alias("hi"))
+    none = F.lit(None)
+    each = each.select("lo", "hi", none.cast("int").alias("side"), none.cast("string").alias("ticker"), "days", none.cast("array<double>").alias("vals"))
+    return dealt.unionByName(each).groupBy("lo", "hi").applyInArrow(_cells, "ticker_x string, ticker_y string, corr double")

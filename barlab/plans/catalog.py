@@ -25,6 +25,7 @@ from barlab.functions.columns import round6
 from barlab.operators import correlation, patterns, periods, profile, ranking, returns, risk, smoothing
 from barlab.schema import PRICE_COLUMNS
 from barlab.sources.bars import bars_from_events, bars_from_orders, bars_from_ticks, filter_bars, load_bars, union_bars
+from barlab.sources.table import save_bars_table
 
 START = _dt.date(1996, 1, 1)
 END = _dt.date(1998, 12, 31)
@@ -236,5 +237,25 @@ CUSTOMER_QUERIES: dict[str, Query] = {
 }
 QUERIES.update(CUSTOMER_QUERIES)
 
+def _q_table(op: Callable[[DataFrame], DataFrame]) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        table = save_bars_table(bars_from_orders(spark, sf_dir, ticker="o_custkey"), "bars_by_customer", buckets=16)
+        return finish(op(table))
+
+    run.__doc__ = op.__doc__
+    return run
+
+
+# Analyses on the bars table, bucketed and sorted by ticker, written first.
+TABLE_QUERIES: dict[str, Query] = {
+    "bars_table": _q_table(lambda b: b),
+    "daily_returns_table": _q_table(returns.daily_returns),
+    "outlier_summary_table": _q_table(risk.outlier_summary),
+    "longest_streaks_table": _q_table(patterns.longest_streaks),
+    "ema_recursive_table": _q_table(lambda b: smoothing.ema_recursive(b, N_AVG)),
+    "close_extremes_table": _q_table(ranking.close_extremes),
+}
+QUERIES.update(TABLE_QUERIES)
+
 # The flagship query: which series has the steadiest daily returns.
 FLAGSHIP = "most_consistent_top3"

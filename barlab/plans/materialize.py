@@ -8,6 +8,9 @@ the session and never invented here.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -28,3 +31,17 @@ def materialize(df: DataFrame) -> DataFrame:
     if checkpoint_dir(df.sparkSession) is None:
         raise RuntimeError("set spark.checkpoint.dir to a shared folder before materialising a DataFrame")
     return df.checkpoint(eager=True)
+
+
+def shared_folder(spark: SparkSession, what: str) -> str:
+    """A new folder name under the session's checkpoint folder.  Where none is
+    set, a local session gets one in the temp folder; a cluster must name one."""
+    base = checkpoint_dir(spark)
+    if base is None:
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="barlab-")
+        spark.sparkContext.setCheckpointDir(base)
+    if base.startswith("/"):
+        base = "file://" + base
+    return f"{base.rstrip('/')}/{what}-{uuid.uuid4().hex}"

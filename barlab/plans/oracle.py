@@ -414,3 +414,6 @@ for _name in ("longest_streaks", "longest_streaks_joined"):
     ORACLE_SQL[f"{_name}_merged"] = ORACLE_SQL[_name]
 for _suffix in ("_events", "_by_customer"):
     ORACLE_SQL[f"longest_streaks_merged{_suffix}"] = ORACLE_SQL[f"longest_streaks{_suffix}"]
+# Analyses on the bars table.
+for _name in ("bars", "daily_returns", "outlier_summary", "longest_streaks", "ema_recursive", "close_extremes"):
+    ORACLE_SQL[f"{_name}_table"] = ORACLE_SQL[f"{_name}_by_customer"]

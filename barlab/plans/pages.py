@@ -14,6 +14,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 
 from barlab.operators import correlation, patterns, periods, profile, ranking, returns, risk, smoothing
+from barlab.sources.table import save_bars_table
 
 
 def pages(
@@ -23,16 +24,22 @@ def pages(
     window: int = 20,
     start,
     end,
-    month: int = 1,
-    year: int = 2022,
+    month: int,
+    year: int,
     feature: str = "close",
     bins: int = 50,
     tickers: Iterable[str] | None = None,
     volume_period: str = "day",
+    table: str | None = None,
 ) -> dict[str, DataFrame]:
     """All page results for ``bars``.  ``tickers`` is the selection of the
     cross-ticker correlation page (all tickers when None; a list needs two at
-    least); every other page covers all tickers at once.  Nothing is run here."""
+    least); every other page covers all tickers at once.  Nothing is run here, unless
+    ``table`` names a table to keep the bars in: then they are written once
+    (:func:`barlab.sources.table.save_bars_table`), and every page reads that table, without
+    going back to what the bars were made from."""
+    if table is not None:
+        bars = save_bars_table(bars, table)
     out: dict[str, DataFrame] = {
         "data_exploration/first_rows": profile.first_rows(bars, rows),
         "data_exploration/last_rows": profile.last_rows(bars, rows),

@@ -10,8 +10,11 @@ from barlab.sources.bars import (
     union_bars,
     write_bars,
 )
+from barlab.sources.table import bars_table, save_bars_table
 
 __all__ = [
+    "bars_table",
+    "save_bars_table",
     "bars_from_events",
     "bars_from_orders",
     "bars_from_ticks",

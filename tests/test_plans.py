@@ -11,7 +11,9 @@ from barlab.sources.bars import bars_from_orders
 from barlab import operators as ops
 from conftest import SF001
 
-from barlab.plans.catalog import QUERIES
+from barlab.plans.catalog import QUERIES, finish
+from barlab.plans.pages import pages
+from barlab.sources.table import save_bars_table
 
 # One partial row per task with the ticker names meets in one task.
 GLOBAL_AGG_OK = {q for q in QUERIES if q.startswith(("ticker_correlation", "aligned_closes"))}
@@ -82,7 +84,10 @@ def test_range_queries_scan_once(spark, name):
     assert physical_plan(QUERIES[name](spark, SF001)).count("FileScan") == 1
 
 
-@pytest.mark.parametrize("name", ["daily_returns_year_split", "longest_streaks_year_split", "outlier_summary_year_split"])
+YEAR_SPLITS = sorted(q for q in QUERIES if "year_split" in q and not q.endswith(("_events", "_by_customer")))
+
+
+@pytest.mark.parametrize("name", YEAR_SPLITS)
 def test_year_split_moves_no_rows_by_ticker_alone(spark, name):
     """Without broadcasts, only per-year rows meet by ticker; the bars' rows stay
     where (ticker, year) put them."""
@@ -93,8 +98,43 @@ def test_year_split_moves_no_rows_by_ticker_alone(spark, name):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     lines = plan.splitlines()
-    by_ticker = [lines[i + 1] for i, x in enumerate(lines) if "hashpartitioning(ticker#" in x and x.split("hashpartitioning(")[1].split(")")[0].count("#") == 1]
-    assert by_ticker and all(re.search(r"HashAggregate\(keys=\[ticker#\d+(, _y#\d+\]|\].*functions=\[partial_)", x) for x in by_ticker), plan
+    at = [i for i, x in enumerate(lines) if "hashpartitioning(ticker#" in x and x.split("hashpartitioning(")[1].split(")")[0].count("#") == 1]
+    assert at, plan
+    for i in at:
+        # What moves by ticker comes out of an aggregate by (ticker, year).
+        below = [x for x in lines[i + 1 : i + 4] if "Project" not in x]
+        assert re.search(r"Aggregate\(keys=\[ticker#\d+(, _y#\d+\]|\].*functions=\[partial_)", below[0]), plan
+
+
+def test_merged_streaks_move_days_by_month_only(spark):
+    plan = physical_plan(QUERIES["longest_streaks_merged"](spark, SF001))
+    keys = [x.split("hashpartitioning(")[1].split(", 8)")[0] for x in plan.splitlines() if "hashpartitioning(" in x]
+    assert "Window" not in plan and len(keys) == 3 and "_m#" in keys[1], plan
+
+
+def test_series_analyses_on_the_bars_table_need_no_exchange_and_no_sort(spark):
+    bars = save_bars_table(bars_from_orders(spark, SF001, ticker="o_custkey"), "bars_plan_test", buckets=8)
+    windowed = [ops.daily_returns, ops.sma, ops.ema_one_step, ops.outlier_days, ops.streak_runs, ops.longest_streaks, ops.weekday_returns, ops.highest_daily_return]
+    for op in [*windowed, ops.close_extremes, ops.trend_days]:
+        plan = physical_plan(op(bars))
+        assert "Exchange" not in plan and "Bucketed: true" in plan, plan
+        if op in (ops.daily_returns, ops.sma, ops.ema_one_step, ops.outlier_days):
+            assert "Sort" not in plan, plan
+    # The same rows as without the table.
+    want = ops.longest_streaks(bars_from_orders(spark, SF001, ticker="o_custkey"))
+    assert sorted(map(tuple, ops.longest_streaks(bars).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_pages_on_a_table_read_the_ticks_once(spark):
+    """The table is written by one scan of the ticks; no page has another."""
+    ticks = bars_from_orders(spark, SF001)
+    assert physical_plan(ticks).count("FileScan") == 1
+    out = pages(ticks, start="1996-01-01", end="1998-12-31", month=1, year=1997, table="bars_pages_test")
+    plain = pages(ticks, start="1996-01-01", end="1998-12-31", month=1, year=1997)
+    for name, df in out.items():
+        plan = physical_plan(df)
+        assert "bars_pages_test" in plan and "o_totalprice" not in plan, name
+        assert finish(df).count() == plain[name].count(), name
 
 
 def test_window_then_aggregate_shuffles_bars_once(spark):
@@ -141,14 +181,15 @@ def test_date_range_reaches_the_tick_scan(spark, name):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_python_only_in_the_recursive_ema(spark, name):
-    """No row-at-a-time or scalar pandas UDF anywhere; the one Python stage
-    is the recursive EMA's mapInPandas."""
+    """No row-at-a-time or scalar pandas UDF anywhere; the Python stages are the
+    unsplit recursive EMA's mapInPandas and the correlation's matrix products."""
     plan = physical_plan(QUERIES[name](spark, SF001))
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
-    assert ("MapInPandas" in plan) == name.startswith("ema_recursive")
+    assert ("MapInPandas" in plan) == (name.startswith("ema_recursive") and "year_split" not in name)
+    assert ("FlatMapGroupsInArrow" in plan) == name.startswith("ticker_correlation")
 
 
-@pytest.mark.parametrize("name", ["daily_returns_year_split", "longest_streaks_year_split", "outlier_summary_year_split"])
+@pytest.mark.parametrize("name", YEAR_SPLITS)
 def test_year_split_reuses_the_bar_exchange(spark, name):
     """Both branches of a year-split series read the ticks once."""
     df = QUERIES[name](spark, SF001)

@@ -92,7 +92,7 @@ def test_pages_build_every_result_lazily(bars):
     from barlab.plans.catalog import finish
     from barlab.plans.pages import pages
 
-    out = pages(bars, start=C_START, end=C_END, year=1997)
+    out = pages(bars, start=C_START, end=C_END, month=1, year=1997)
     assert len(out) == 38 and "ticker_correlation/matrix" in out
     for name, df in out.items():
         assert df.columns, name
@@ -100,5 +100,5 @@ def test_pages_build_every_result_lazily(bars):
     want = finish(ops.longest_streaks(bars)).orderBy("ticker").collect()
     assert same == want
     assert out["consistent_returns/top3"].count() == 3
-    one = pages(bars.filter("ticker = '1-URGENT'"), start=C_START, end=C_END)
+    one = pages(bars.filter("ticker = '1-URGENT'"), start=C_START, end=C_END, month=1, year=1997)
     assert one["ticker_correlation/matrix"].count() == 1 and len(one) == 38
