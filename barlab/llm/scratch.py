@@ -7,37 +7,28 @@ rerun of what made them.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barlab.plans.materialize import checkpoint_dir
+from barlab.plans.materialize import shared_folder
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def scratch_dir(spark: SparkSession, what: str) -> str:
-    """A new folder name under the session's checkpoint folder.  Where none is
-    set, a local session gets one in the temp folder; a cluster must name one."""
-    base = checkpoint_dir(spark)
-    if base is None:
-        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="barlab-llm-")
-        spark.sparkContext.setCheckpointDir(base)
-    if base.startswith("/"):
-        base = "file://" + base
-    return f"{base.rstrip('/')}/llm-{what}-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, what: str, small: bool = False, path: str | None = None) -> DataFrame:
+    """A new folder name under the session's checkpoint folder."""
+    return shared_folder(spark, f"llm-{what}")
+
+
+def stored(df: DataFrame, what: str, small: bool = False, path: str | None = None, by: Sequence[str] = ()) -> DataFrame:
     """``df`` written as Parquet to the shared folder (or to ``path``) and read back.
 
     Files follow the cluster and not the partitions that ``df`` happens to have:
     four a core, and a quarter of ``spark.sql.shuffle.partitions`` at least.
     ``small`` is for tables of some bytes a document, made by work that
-    deserves all its tasks: they are dealt anew to a dozen times fewer."""
+    deserves all its tasks: they are dealt anew to a dozen times fewer.  ``by`` are
+    columns to keep apart in folders."""
     spark = df.sparkSession
     cores, parts = spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
     df = df.repartition(max(1, cores // 3, parts // 50)) if small else df.coalesce(max(4 * cores, parts // 4))
@@ -46,7 +37,7 @@ def stored(df: DataFrame, what: str, small: bool = False, path: str | None = Non
     before = spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.partitionBy(*by).parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)

@@ -48,13 +48,50 @@ def test_empty_table(spark):
     assert line_dedup.dedup_lines(empty(spark)).count() == 0
 
 
+def test_rows_that_share_an_id_keep_their_own_lines(spark):
+    common = "this line is in all of the documents"
+    texts = [(1, "a\nb\nc\nd\n" + common), (1, "x"), (1, common + "\nother"), (1, "only line of another row with this id"), (2, common), (3, common), (None, common + "\nno id"), (None, "no id either")]
+    rows = [(d, t, "en", "s", 1) for d, t in texts]
+    got = line_dedup.dedup_lines(docs(spark, rows))
+    assert sorted(((r.doc_id, r.n_lines, r.n_dropped, r.text) for r in got.collect()), key=repr) == brute(rows)
+
+
+def test_columns_of_any_name_come_back(spark):
+    names = ["row", "drop", "lines", "doc", "parts", "_doc", "_drop", "_lines", "_from", "_to", "key", "pos"]
+    df = docs(spark, clashes=False)
+    from pyspark.sql import functions as F
+
+    df = df.withColumns({n: F.lit(f"value of {n}") for n in names})
+    got = line_dedup.dedup_lines(df).collect()
+    assert len(got) == df.count() and all(r[n] == f"value of {n}" for r in got for n in names)
+
+
+def test_runs_are_reopened_by_name(spark, tmp_path):
+    def batch(b):
+        rows = [(hashlib.md5(str(k).encode()).digest(), 1, b) for k in range(b, b + 4)]
+        return spark.createDataFrame(rows, "key binary, n_docs long, max_doc long")
+
+    runs = line_dedup.LineRuns(spark, 2, fanout=2, folder=f"file://{tmp_path}/runs")
+    for b in range(3):
+        runs.add(batch(b))
+    runs.save()
+    levels = runs.levels
+    runs.close()
+    again = line_dedup.LineRuns.open(spark, f"file://{tmp_path}/runs")
+    assert again.levels == levels == [[levels[0][0]], [levels[1][0]]]
+    again.add(batch(3))
+    assert {r.max_doc for r in again.common(4).collect()} == {3}
+    assert [len(x) for x in again.levels] == [0, 0, 1]
+    again.close()
+
+
 def test_a_key_is_in_one_run_and_levels_merge(spark):
     runs = line_dedup.LineRuns(spark, 2, fanout=2)
     for b in range(4):
         rows = [(hashlib.md5(str(k).encode()).digest(), 1, b) for k in range(b, b + 4)]
         runs.add(spark.createDataFrame(rows, "key binary, n_docs long, max_doc long"))
     assert [len(x) for x in runs.levels] == [0, 0, 1]
-    stored = spark.table(runs.levels[2][0])
+    stored = runs.run(runs.levels[2][0])
     assert stored.count() == stored.select("key").distinct().count() == 7
     assert {(r.max_doc) for r in runs.common(4).collect()} == {3}
     runs.close()
