@@ -23,6 +23,9 @@ never cross texts.
    task: its strings' hashes are counted by a pre-aggregated group-by instead.
 4. The strings' places are joined back to the texts, which are cut there.
 
+Rows go by a 128-bit name of ``doc_id`` and text, so rows that share an id, or have none,
+are texts of their own.
+
 Defined results: null and empty texts, and texts shorter than ``length``, stay as
 they are (a null text comes back as empty bytes); repeated rows are copies of each
 other, so all of them go; a null ``doc_id`` is a document like others; columns
@@ -38,6 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barlab.llm.names import row_name
 from barlab.llm.scratch import stored
 from barlab.llm.textvec import Chunk, chunks, mix, prefix_hash, range_hash
 
@@ -45,6 +49,7 @@ LENGTH = 200
 GRAM = 32
 HOT_CONTEXTS = 3000
 CHUNK_CONTEXTS = 3000
+CHUNK_BYTES = 1 << 18  # of text in a step: a dozen arrays of eight times that size
 _NEVER = np.uint64(0xFFFFFFFFFFFFFFFF)
 _PLACE = np.uint64((1 << 31) - 1)
 
@@ -84,7 +89,7 @@ def find_anchors(chunk: Chunk, sums: np.ndarray, length: int) -> tuple[np.ndarra
 def _anchor_rows(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk in chunks(batch.column(2)):
+            for chunk in chunks(batch.column(1), CHUNK_BYTES):
                 sums = prefix_hash(chunk.buf)
                 row, at, first, last = find_anchors(chunk, sums, length)
                 gram = range_hash(sums, at, at + GRAM)
@@ -93,8 +98,8 @@ def _anchor_rows(length: int):
                 context |= ((last - first) << 8 | (at - first)).astype(np.uint64)
                 part = batch.slice(chunk.first, chunk.n)
                 pick = pa.array(row)
-                cols = [part.column(0).take(pick), part.column(1).take(pick), pa.array((first - chunk.bounds[row]).astype(np.int32)), pa.array(gram.view(np.int64)), pa.array(context.view(np.int64))]
-                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "mark", "pos", "gram", "context"])
+                cols = [part.column(0).take(pick), pa.array((first - chunk.bounds[row]).astype(np.int32)), pa.array(gram.view(np.int64)), pa.array(context.view(np.int64))]
+                yield pa.RecordBatch.from_arrays(cols, names=["row", "pos", "gram", "context"])
 
     return run
 
@@ -248,23 +253,21 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot_contexts: int = HO
     of 4 from 100 to 280."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    # Rows are told apart by doc_id and a hash of the text, so repeated ids do no harm.
-    base = docs.select("doc_id", F.hash(text).alias("mark"), text.alias("text"))
-    anchors = base.mapInArrow(_anchor_rows(length), f"doc_id {kind}, mark int, pos int, gram long, context long")
+    base = docs.select(row_name().alias("row"), text.alias("text"), "doc_id")
+    # The texts are scanned for anchors once; counting and joining read the stored rows.
+    anchors = stored(base.select("row", "text").mapInArrow(_anchor_rows(length), "row binary, pos int, gram long, context long"), "anchors")
     many = anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
-    shared = stored(anchors.join(many, "gram"), "anchors")
-    kinds = shared.groupBy("gram", "context").agg(F.count("*").alias("n"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "mark", "pos")).alias("one"))
+    shared = stored(anchors.join(many, "gram"), "shared-anchors")
+    kinds = shared.groupBy("gram", "context").agg(F.count("*").alias("n"), F.min(F.struct("row", "pos")).alias("one"))
     sizes = kinds.groupBy("gram").agg(F.count("*").alias("k"))
-    kinds = stored(kinds.join(sizes, "gram").select("gram", "context", "n", "k", "one.doc_id", "one.mark", "one.pos"), "contexts", small=True)
+    kinds = stored(kinds.join(sizes, "gram").select("gram", "context", "n", "k", "one.row", "one.pos"), "contexts", small=True)
 
-    asked = kinds.where("k > 1").groupBy("doc_id", "mark").agg(F.collect_list(F.struct("gram", "context", "pos")).alias("asked"))
-    asked = asked.select(F.col("doc_id").alias("_i"), F.col("mark").alias("_m"), "asked")
-    same = F.col("doc_id").eqNullSafe(F.col("_i")) & F.col("mark").eqNullSafe(F.col("_m"))
-    fetched = base.join(asked, same).select("text", "asked").mapInArrow(_fetch(length), "gram long, context long, bytes binary")
+    asked = kinds.where("k > 1").groupBy("row").agg(F.collect_list(F.struct("gram", "context", "pos")).alias("asked"))
+    fetched = base.join(asked, "row").select("text", "asked").mapInArrow(_fetch(length), "gram long, context long, bytes binary")
     hot = kinds.where(F.col("k") > hot_contexts).select("gram").distinct()
     some_hot = bool(hot.take(1))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # Rows that repeat doc_id and text are asked alike; one answer is enough.
+    # Copies of a row are asked alike; one answer is enough.
     cool = fetched.join(hot, "gram", "left_anti") if some_hot else fetched
     dealt = cool.repartition(parts, "gram").sortWithinPartitions("gram", "context")
     spans = dealt.mapInArrow(_distinct_contexts, "gram long, context long, bytes binary").mapInArrow(_refined(length), "gram long, context long, lo int, hi int")
@@ -277,8 +280,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot_contexts: int = HO
     spans = spans.unionByName(kinds.where("n > 1").select("gram", "context", F.lit(0).alias("lo"), _size(length).alias("hi")))
     places = shared.join(spans, ["gram", "context"])
     span = F.struct((F.col("pos") + F.col("lo")).alias("lo"), (F.col("pos") + F.col("hi")).alias("hi"))
-    by_text = places.groupBy("doc_id", "mark").agg(F.collect_list(span).alias("spans"))
-    by_text = by_text.select(F.col("doc_id").alias("_i"), F.col("mark").alias("_m"), "spans")
-    rows = base.join(by_text, same, "left").select("doc_id", "text", "spans")
+    # A set: copies of a row have the same spans.
+    by_text = places.groupBy("row").agg(F.collect_set(span).alias("spans"))
+    rows = base.join(by_text, "row", "left").select("doc_id", "text", "spans")
     names = ["doc_id", "n_bytes", "span_start", "span_end", "kept"]
     return rows.mapInArrow(_cut(length, names), f"doc_id {kind}, n_bytes long, span_start array<long>, span_end array<long>, kept binary")

@@ -59,6 +59,21 @@ def test_awkward_rows_match_brute_force(spark):
     assert run(spark, rows, 200) == brute(rows, 200)
 
 
+def test_rows_that_share_an_id_are_cut_by_themselves(spark):
+    rnd = random.Random(11)
+    p = prose(rnd, 80)
+    texts = [(None, prose(rnd, 50) + p), (None, prose(rnd, 120)), (5, p + prose(rnd, 40)), (5, prose(rnd, 90)), (5, p), (6, None)]
+    rows = [(d, t, "en", "s", 1) for d, t in texts]
+    assert run(spark, rows, 200) == brute(rows, 200)
+
+
+def test_many_copies_of_one_row(spark):
+    rnd = random.Random(12)
+    p = prose(rnd, 100)
+    rows = [(1, p, "en", "s", 1)] * 300 + [(2, prose(rnd, 60) + p[:250], "en", "s", 1)]
+    assert run(spark, rows, 200) == brute(rows, 200)
+
+
 def test_repeats_inside_one_text(spark):
     rnd = random.Random(9)
     p = prose(rnd, 60)
