@@ -320,5 +320,7 @@ def find_all_leaks(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, mi
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
     """``docs`` without the contaminated documents."""
-    bad = find_all_leaks(docs, benchmark, **settings).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_leak")), "left_anti")
+    bad = find_all_leaks(docs, benchmark, **settings).select(F.col("doc_id").alias("leak")).distinct()
+    # The whole row is one column here, so that no name of its own meets another.
+    kept = docs.select(F.struct("*").alias("doc")).join(bad, F.col("doc.doc_id").eqNullSafe(F.col("leak")), "left_anti")
+    return kept.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])

@@ -154,7 +154,10 @@ def train_profiles(docs: DataFrame, top: int = TOP) -> DataFrame:
     counts = rows.where("lang is not null and text is not null").mapInArrow(_gram_counts, "lang string, gram long, n long")
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     summed = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    return summed.withColumn("rank", F.row_number().over(order) - 1).where(F.col("rank") < top).select("lang", "rank", "gram")
+    # A filter on the plain row number is applied before the shuffle too (WindowGroupLimit),
+    # so at most ``top`` n-grams of each language and task meet in its window.
+    ranked = summed.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= top)
+    return ranked.select("lang", (F.col("nth") - 1).alias("rank"), "gram")
 
 
 class Profiles:

@@ -301,6 +301,8 @@ def drop_near_dups(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One document of each class: the one that stands for it.  Of repeated rows
     with its ``doc_id`` and text, one stays."""
     named = near_dup_classes(docs, threshold).where(F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("digest") == F.col("class_digest")))
-    named = named.select(_key("doc_id").alias("_key"), F.col("digest").alias("_digest")).distinct()
-    kept = docs.withColumns({"_key": _key("doc_id"), "_digest": digest()}).join(named, ["_key", "_digest"], "left_semi")
-    return kept.dropDuplicates(["_key", "_digest"]).select(*docs.columns)
+    named = named.select(_key("doc_id").alias("key"), "digest").distinct()
+    # The whole row is one column here, so that no name of its own meets another.
+    rows = docs.select(_key("doc_id").alias("key"), digest().alias("digest"), F.struct("*").alias("doc"))
+    kept = rows.join(named, ["key", "digest"], "left_semi").dropDuplicates(["key", "digest"])
+    return kept.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])
