@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barlab.llm.names import row_name
-from barlab.llm.scratch import stored
+from barlab.llm.scratch import removed, scratch_dir, stored
 from barlab.llm.textvec import Chunk, chunks, mix, prefix_hash, range_hash
 
 LENGTH = 200
@@ -255,9 +255,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot_contexts: int = HO
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     base = docs.select(row_name().alias("row"), text.alias("text"), "doc_id")
     # The texts are scanned for anchors once; counting and joining read the stored rows.
-    anchors = stored(base.select("row", "text").mapInArrow(_anchor_rows(length), "row binary, pos int, gram long, context long"), "anchors")
-    many = anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
+    # The counts are a table of their own, so that the join's two sides are plain shuffles
+    # and a gram that very many texts hold is split (AQE).
+    place = scratch_dir(docs.sparkSession, "anchors")
+    anchors = stored(base.select("row", "text").mapInArrow(_anchor_rows(length), "row binary, pos int, gram long, context long"), "anchors", path=place)
+    many = stored(anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "repeated-grams", small=True)
     shared = stored(anchors.join(many, "gram"), "shared-anchors")
+    removed(docs.sparkSession, place)
     kinds = shared.groupBy("gram", "context").agg(F.count("*").alias("n"), F.min(F.struct("row", "pos")).alias("one"))
     sizes = kinds.groupBy("gram").agg(F.count("*").alias("k"))
     kinds = stored(kinds.join(sizes, "gram").select("gram", "context", "n", "k", "one.row", "one.pos"), "contexts", small=True)
