@@ -191,10 +191,10 @@ def tick_aggregates(volume) -> list[Column]:
     ]
 
 
-def finished_bars(daily: DataFrame) -> DataFrame:
-    """Columns of ``BARS`` from the aggregates of a ticker-day."""
+def finished_bars(daily: DataFrame, others: Iterable[str] = ()) -> DataFrame:
+    """Columns of ``BARS`` from the aggregates of a ticker-day, and ``others`` as they are."""
     typical = (F.col("high") + F.col("low") + F.col("close")) / F.lit(3.0)
-    return daily.select("ticker", "date", "open", "high", "low", "close", typical.alias("adj_close"), "volume")
+    return daily.select("ticker", "date", "open", "high", "low", "close", typical.alias("adj_close"), "volume", *others)
 
 
 def bars_from_ticks(

@@ -1,5 +1,6 @@
-"""Structured Streaming: incremental bar building."""
+"""Structured Streaming: incremental bar building, returns and streaks."""
 
 from barlab.streaming.bars import stream_bars, write_bars_stream
+from barlab.streaming.series import final_bars, late_ticks, stream_series
 
-__all__ = ["stream_bars", "write_bars_stream"]
+__all__ = ["final_bars", "late_ticks", "stream_bars", "stream_series", "write_bars_stream"]
