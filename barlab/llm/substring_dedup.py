@@ -48,7 +48,7 @@ from barlab.llm.textvec import Chunk, chunks, mix, prefix_hash, range_hash
 LENGTH = 200
 GRAM = 32
 HOT_CONTEXTS = 3000
-CHUNK_CONTEXTS = 3000
+CHUNK_CONTEXTS = 1000
 CHUNK_BYTES = 1 << 18  # of text in a step: a dozen arrays of eight times that size
 _NEVER = np.uint64(0xFFFFFFFFFFFFFFFF)
 _PLACE = np.uint64((1 << 31) - 1)
@@ -198,7 +198,8 @@ def _refined(length: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple[list, list, list] = ([], [], [])
-        for batch in batches:
+        # One Python step: two in a row would be two worker processes a task.
+        for batch in _distinct_contexts(batches):
             for row in zip(*[c.to_pylist() for c in batch.columns]):
                 if len(held[0]) >= CHUNK_CONTEXTS and row[0] != held[0][-1]:
                     yield flush(*held)
@@ -274,7 +275,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot_contexts: int = HO
     # Copies of a row are asked alike; one answer is enough.
     cool = fetched.join(hot, "gram", "left_anti") if some_hot else fetched
     dealt = cool.repartition(parts, "gram").sortWithinPartitions("gram", "context")
-    spans = dealt.mapInArrow(_distinct_contexts, "gram long, context long, bytes binary").mapInArrow(_refined(length), "gram long, context long, lo int, hi int")
+    spans = dealt.mapInArrow(_refined(length), "gram long, context long, lo int, hi int")
     if some_hot:
         answers = fetched.join(hot, "gram", "left_semi").groupBy("gram", "context").agg(F.any_value("bytes").alias("bytes"))
         strings = stored(answers.mapInArrow(_hot_strings(length), "gram long, context long, col int, lo int, h long"), "hot-strings")
