@@ -8,13 +8,15 @@ reported if one of its rules, an ordered list of sentence identifiers, occurs in
 that sequence as consecutive entries.
 
 Texts are read twice: with line ends as sentence ends (notices on a line of their
-own), and with line ends as blanks (wrapped licence texts); a licence found in
-either reading counts.  The known sentences and rules are fixed tables, so the
+own), and with line ends as blanks (wrapped licence texts), where a blank line or one of
+marks only, and the end of a line that begins with "copyright", still end a sentence; a
+licence found in either reading counts.  An SPDX tag is a pair of sentences, the tag
+and the licence's identifier.  The known sentences and rules are fixed tables, so the
 scan is a projection of each row: nothing is shuffled or broadcast.
 
 Defined results: null and empty texts have no sentence and no licence; a licence
 named more than once is listed once; repeated rows are scanned each; columns
-named ``n_known`` or ``licenses`` are replaced, all others are kept.
+named ``n_known`` or ``licenses`` are replaced, all others are kept, whatever their name.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barlab.llm.names import unused
+
 # Licence sentences by identifier, as their licences and notices have them.
 SENTENCES = {
     "mit-released": "Released under the MIT License.",
@@ -58,10 +62,12 @@ SENTENCES = {
     "bsd-endorse": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
     "bsd-licensed": "Licensed under the BSD License.",
     "bsd3-licensed": "Licensed under the 3-Clause BSD License.",
+    "isc-and-grant": "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
     "isc-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
     "mpl-subject": "This Source Code Form is subject to the terms of the Mozilla Public License, v 2.0.",
     "mpl-subject-head": "This Source Code Form is subject to the terms of the Mozilla Public License, v.",
     "mpl-version": "2.0.",
+    "mpl-copy-https": "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
     "mpl-copy": "If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
     "unlicense": "This is free and unencumbered software released into the public domain.",
     "cc0": "This work is released under CC0 1.0.",
@@ -83,6 +89,7 @@ RULES = [
     ("Apache-2.0", ["apache-licensed"]),
     ("Apache-2.0", ["apache-header", "apache-comply"]),
     ("Apache-2.0", ["apache-comply", "apache-copy", "apache-unless", "apache-see"]),
+    ("Apache-2.0", ["apache-comply", "apache-copy-url"]),
     ("BSD", ["bsd-licensed"]),
     ("BSD-2-Clause", ["bsd-redistribution", "bsd-source", "bsd-binary"]),
     ("BSD-3-Clause", ["bsd3-licensed"]),
@@ -101,6 +108,7 @@ RULES = [
     ("GPL-3.0", ["gpl3-work"]),
     ("GPL-3.0", ["gpl3-terms"]),
     ("ISC", ["isc-grant"]),
+    ("ISC", ["isc-and-grant"]),
     ("LGPL-3.0", ["lgpl3-work"]),
     ("LGPL-3.0", ["lgpl3-terms"]),
     ("MIT", ["mit-released"]),
@@ -110,11 +118,46 @@ RULES = [
     ("MIT", ["mit-notice", "mit-warranty", "mit-liability"]),
     ("MPL-2.0", ["mpl-subject"]),
     ("MPL-2.0", ["mpl-subject-head", "mpl-version"]),
+    ("MPL-2.0", ["mpl-copy"]),
+    ("MPL-2.0", ["mpl-copy-https"]),
     ("Unlicense", ["unlicense"]),
 ]
+# How notices of one sentence name a licence, and its SPDX identifiers.  A notice is any of
+# the openings, a name and any of the ends.
+OPENINGS = ["Licensed under", "Released under", "Distributed under", "Available under"]
+SUBJECTS = ["", "This project is", "This software is", "This program is", "This library is", "This package is", "This code is", "This work is"]
+ENDS = ["", "(see LICENSE)", "see LICENSE", "see the LICENSE file", "see the LICENSE file for details", "see LICENSE for details"]
+NAMES = {
+    "Apache-2.0": ["the Apache License, Version 2.0", "the Apache License 2.0", "the Apache 2.0 License"],
+    "BSD-2-Clause": ["the 2-Clause BSD License", "the BSD 2-Clause License"],
+    "BSD-3-Clause": ["the 3-Clause BSD License", "the BSD 3-Clause License"],
+    "GPL-2.0": ["the GNU General Public License v2.0", "the GNU General Public License, version 2"],
+    "GPL-3.0": ["the GNU General Public License v3.0", "the GNU General Public License, version 3"],
+    "ISC": ["the ISC License"],
+    "MIT": ["the MIT License", "the terms of the MIT License"],
+    "MPL-2.0": ["the Mozilla Public License 2.0", "the Mozilla Public License, version 2.0"],
+}
+SPDX = {
+    "AGPL-3.0": ["AGPL-3.0", "AGPL-3.0-only", "AGPL-3.0-or-later"],
+    "Apache-2.0": ["Apache-2.0"],
+    "BSD-2-Clause": ["BSD-2-Clause"],
+    "BSD-3-Clause": ["BSD-3-Clause"],
+    "CC-BY-4.0": ["CC-BY-4.0"],
+    "CC-BY-SA-4.0": ["CC-BY-SA-4.0"],
+    "CC0-1.0": ["CC0-1.0"],
+    "GPL-2.0": ["GPL-2.0", "GPL-2.0+", "GPL-2.0-only", "GPL-2.0-or-later"],
+    "GPL-3.0": ["GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later"],
+    "ISC": ["ISC"],
+    "LGPL-3.0": ["LGPL-3.0", "LGPL-3.0-only", "LGPL-3.0-or-later"],
+    "MIT": ["MIT"],
+    "MPL-2.0": ["MPL-2.0"],
+    "Unlicense": ["Unlicense"],
+}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _END = r"([.!?;:])[\x20\x09-\x0D]+"
+_COPYRIGHT = r"((?:^|\n)[^a-z0-9\n]*copyright[^\n]*)"  # in lower-cased text
+_BLANK = r"\n[^a-z0-9\n]*\n"
 
 
 def normalise(sentence: str) -> str:
@@ -133,45 +176,79 @@ def _known(sentences: dict[str, str]) -> dict[str, str]:
 KNOWN = _known(SENTENCES)
 
 
-def _sentences(text: Column) -> Column:
-    """Normalised sentences of a text whose line ends are sentence ends."""
-    cut = F.split(F.regexp_replace(F.translate(text, _UPPER, _LOWER), _END, "$1\n"), "\n", -1)
+def _add_notices() -> None:
+    """Known sentences and rules of the one-sentence notices and the SPDX tags."""
+    for licence, names in NAMES.items():
+        RULES.append((licence, ["notice-" + licence]))
+        for name in names:
+            for text in (f"{subject} {opening} {name} {end}" for subject in SUBJECTS for opening in OPENINGS for end in ENDS):
+                KNOWN.setdefault(normalise(text), "notice-" + licence)
+    KNOWN[normalise("SPDX-License-Identifier:")] = "spdx"
+    single = [(normalise(tag), licence) for licence, tags in SPDX.items() for tag in tags]
+    for tag, licence in single:
+        KNOWN.setdefault(tag, "spdx-" + licence)
+    RULES.extend((licence, ["spdx", "spdx-" + licence]) for licence in SPDX)
+    for tag, licence in single:  # a choice or sum of two names both
+        for other_tag, other in single:
+            if licence != other:
+                for word in ("or", "and"):
+                    KNOWN.setdefault(f"{tag} {word} {other_tag}", "spdx-" + "-and-".join(sorted([licence, other])))
+    for a in SPDX:
+        for b in SPDX:
+            if a < b:
+                RULES.extend((x, ["spdx", f"spdx-{a}-and-{b}"]) for x in (a, b))
+
+
+_add_notices()
+
+
+def _flowing(lower: Column) -> Column:
+    """Lower-cased text with line ends as blanks, but for ends of paragraphs and of copyright lines."""
+    ended = F.regexp_replace(F.regexp_replace(lower, _COPYRIGHT, "$1.\n"), _BLANK, ".\n")
+    return F.translate(ended, "\n\r\x0b\x0c", "    ")
+
+
+def _sentences(lower: Column) -> Column:
+    """Normalised sentences of a lower-cased text whose line ends are sentence ends."""
+    cut = F.split(F.regexp_replace(lower, _END, "$1\n"), "\n", -1)
     return F.transform(cut, lambda s: F.btrim(F.regexp_replace(s, "[^a-z0-9]+", " ")))
 
 
-def _identifiers(text: Column) -> Column:
+def _identifiers(lower: Column) -> Column:
     """The known sentences' identifiers in text order."""
-    known = F.array(*[F.lit(k) for k in KNOWN])
     names = F.create_map(*[F.lit(x) for pair in KNOWN.items() for x in pair])
-    found = F.filter(_sentences(text), lambda s: F.array_contains(known, s))
+    found = F.filter(_sentences(lower), lambda s: s.isin(list(KNOWN)))
     return F.transform(found, lambda s: names[s])
 
 
 def scan_licenses(docs: DataFrame) -> DataFrame:
     """``docs`` with ``n_known`` (known sentences, line ends as sentence ends)
     and ``licenses`` (array of licence names, in alphabetical order)."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    flow = F.translate(text, "\n\r\x0b\x0c", "    ")
-    rows = docs.drop("n_known", "licenses").withColumn("_line", _identifiers(text)).withColumn("_flow", _identifiers(flow))
+    base = docs.drop("n_known", "licenses")
+    lower, line, flow, seq = unused([*base.columns, "n_known", "licenses"], "lower", "line", "flow", "seq")
+    rows = base.withColumn(lower, F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), _UPPER, _LOWER))
+    rows = rows.withColumn(line, _identifiers(F.col(lower))).withColumn(flow, _identifiers(_flowing(F.col(lower))))
     sequence = lambda c: F.concat(F.lit("|"), F.array_join(c, "|"), F.lit("|"))
-    rows = rows.withColumn("_seq", F.concat(sequence("_line"), F.lit("\n"), sequence("_flow")))
-    hits = [F.when(F.contains("_seq", F.lit("|" + "|".join(ids) + "|")), F.lit(name)) for name, ids in RULES]
-    rows = rows.withColumn("n_known", F.size("_line").cast("long")).withColumn("licenses", F.array_sort(F.array_distinct(F.array_compact(F.array(*hits)))))
-    return rows.drop("_line", "_flow", "_seq")
+    rows = rows.withColumn(seq, F.concat(sequence(line), F.lit("\n"), sequence(flow)))
+    hits = [F.when(F.contains(F.col(seq), F.lit("|" + "|".join(ids) + "|")), F.lit(name)) for name, ids in RULES]
+    rows = rows.withColumn("n_known", F.size(line).cast("long")).withColumn("licenses", F.array_sort(F.array_distinct(F.array_compact(F.array(*hits)))))
+    return rows.drop(lower, line, flow, seq)
 
 
 def _sql() -> str:
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     known = ", ".join(f"({quote(k)}, {quote(v)})" for k, v in KNOWN.items())
     rules = ", ".join(f"({quote(name)}, {quote('|' + '|'.join(ids) + '|')})" for name, ids in RULES)
-    cut = rf"string_split(regexp_replace(translate(t, '{_UPPER}', '{_LOWER}'), '{_END}', '\1' || chr(10), 'g'), chr(10))"
+    cut = rf"string_split(regexp_replace(t, '{_END}', '\1' || chr(10), 'g'), chr(10))"
+    ended = rf"regexp_replace(regexp_replace(t, '{_COPYRIGHT}', '\1.' || chr(10), 'g'), '{_BLANK}', '.' || chr(10), 'g')"
     return f"""
 WITH known(k, id) AS (VALUES {known}),
 rules(name, ids) AS (VALUES {rules}),
+lowered AS (SELECT doc_id, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS t FROM documents),
 texts AS (
-  SELECT doc_id, 1 AS view, coalesce(text, '') AS t FROM documents
+  SELECT doc_id, 1 AS view, t FROM lowered
   UNION ALL
-  SELECT doc_id, 2, translate(coalesce(text, ''), chr(10) || chr(13) || chr(11) || chr(12), '    ') FROM documents),
+  SELECT doc_id, 2, translate({ended}, chr(10) || chr(13) || chr(11) || chr(12), '    ') FROM lowered),
 cut AS (SELECT doc_id, view, unnest({cut}) AS s, generate_subscripts({cut}, 1) AS pos FROM texts),
 found AS (
   SELECT doc_id, view, pos, id FROM cut JOIN known ON trim(regexp_replace(s, '[^a-z0-9]+', ' ', 'g')) = k),
