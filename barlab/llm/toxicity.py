@@ -91,6 +91,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
     chosen = label.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).withColumn("order", F.xxhash64("doc_id")).orderBy("order", "doc_id").limit(sample_docs)
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id").select("text", "toxic", "order")
     found = rows.mapInArrow(_presence, "toxic int, order long, at array<int>")
+    found = found.orderBy("order", "toxic", "at").limit(sample_docs)  # rows that repeat an id count towards the bound
     return found.withColumn("sample", F.lit(0)).groupBy("sample").applyInPandas(lambda pdf: _ftrl(pdf), "at int, weight double")
 
 

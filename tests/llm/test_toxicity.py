@@ -71,3 +71,18 @@ def test_labels_of_other_rows_change_nothing(spark):
     assert min(got[i] for i in range(151, 200, 2)) > max(got[i] for i in range(150, 200, 2))
     other = {r.doc_id: r.score for r in toxicity.score(df.withColumn("lang", F.lit("x")).withColumn("source", F.lit("y")), toxicity.train(df, labels)).collect()}
     assert other == got
+
+
+def test_rows_of_one_id_count_towards_the_bound(spark, monkeypatch):
+    sizes = spark.sparkContext.accumulator(0)
+    plain = toxicity._ftrl
+
+    def counted(rows):
+        sizes.add(len(rows))
+        return plain(rows)
+
+    monkeypatch.setattr(toxicity, "_ftrl", counted)
+    docs = spark.createDataFrame([(i % 3, f"word{i} another{i % 5}") for i in range(300)], "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 1), (1, 0), (2, 0)], "doc_id long, toxic int")
+    toxicity.train(docs, labels, sample_docs=50).collect()
+    assert sizes.value == 50
