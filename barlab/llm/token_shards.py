@@ -16,10 +16,11 @@ under a temporary name that is renamed when complete, so a task that runs
 again leaves the same file.  A reader goes to a slot by one look into the index and one
 seek, and reads on from there.
 
-Defined results: a null or empty text is one sequence of end tokens; a null
-``doc_id`` is a document of its own number; rows that repeat a ``doc_id`` get the
-same numbers, and their slots follow the records' SHA-256; an empty table has no
-shard.  The order depends on the rows, ``key`` and ``length`` alone, not on files or
+Defined results: a null or empty text is one sequence of end tokens; rows whose
+``doc_id`` is null, and all rows if it is not an integer column, are numbered by a hash
+of id and text over four times as many numbers as there are such rows; rows that share
+a number (a repeated ``doc_id``, copies of one text without an id) have slots by the
+records' SHA-256; an empty table has no shard.  The order depends on the rows, ``key`` and ``length`` alone, not on files or
 partitions.
 """
 
@@ -38,6 +39,7 @@ import tiktoken
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barlab.llm.scratch import stored
 from barlab.llm.textvec import mix
@@ -180,15 +182,20 @@ def write_shards(docs: DataFrame, folder: str, vocabulary: str, pattern: str, en
         shared = spark.sparkContext.broadcast((f.read(), end_token))
     base = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     size = F.coalesce(F.octet_length("text"), F.lit(0))
-    lo, hi, longest, total = base.agg(F.min("doc_id"), F.max("doc_id"), F.max(size), F.sum(size.cast("long"))).first()
+    whole = isinstance(docs.schema["doc_id"].dataType, T.IntegralType)
+    known = F.col("doc_id").cast("long") if whole else F.lit(None).cast("long")
+    lo, hi, longest, total, rows = base.agg(F.min(known), F.max(known), F.max(size), F.sum(size.cast("long")), F.count_if(known.isNull())).first()
     most = (int(longest or 0) + length) // length  # a token has a byte at least
-    span = 0 if lo is None else int(hi) - int(lo) + 1
-    if (span + 1) * most < _MOST:
-        number = F.coalesce(F.col("doc_id").cast("long") - F.lit(int(lo or 0)), F.lit(span).cast("long"))
+    span = 0 if lo is None else hi - lo + 1
+    hashed = F.xxhash64(F.col("doc_id").cast("string"), "text")
+    spread = max(1, min(4 * rows, _MOST // most // 2))  # numbers of the rows without an integer id
+    if (span + spread) * most < _MOST:
+        number = F.coalesce(known - F.lit(lo or 0), F.lit(span) + F.pmod(hashed, F.lit(spread)))
     else:  # ids too far apart: numbers by hash; equal ones are told apart by SHA-256
-        span = _MOST // most - 1
-        number = F.pmod(F.xxhash64("doc_id"), F.lit(span).cast("long"))
-    order = Order((span + 1) * most, key)
+        span = _MOST // most - spread - 1
+        number = F.pmod(F.coalesce(F.xxhash64("doc_id"), hashed), F.lit(span)) if whole else F.pmod(hashed, F.lit(span))
+    number = number.cast("long")
+    order = Order((span + spread) * most, key)
     ranges = max(1, -(-int(total or 0) // shard_bytes))
     kind = docs.schema["doc_id"].dataType.simpleString()
     packed = base.select("doc_id", number.alias("number"), "text").mapInArrow(

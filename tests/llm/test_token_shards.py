@@ -83,3 +83,16 @@ def test_documents_table(spark):
     assert sorted(r.slot for r in rows) == list(range(len(want)))
     assert sorted((r.doc_id, r.seq_no, r.n_tokens, r.ids_sha256) for r in rows) == sorted(want)
     assert isinstance(token_shards._encoding(public_tokenizers.PATTERN, open(RANKS, "rb").read()), tiktoken.Encoding)
+
+
+def test_rows_without_an_integer_id_are_spread(spark):
+    texts = [f"text {i} of its own" for i in range(600)]
+    for ids in ([None] * 600, [f"doc-{i}" for i in range(600)], ["same"] * 600):
+        kind = "long" if ids[0] is None else "string"
+        df = spark.createDataFrame(list(zip(ids, texts)), f"doc_id {kind}, text string")
+        _, rows = write(spark, df, length=16, shard_bytes=1 << 12)
+        assert [r.slot for r in rows] == list(range(600)) and {r.doc_id for r in rows} == set(ids)
+        sizes = np.bincount([r.shard for r in rows])
+        assert len(sizes) > 2 and sizes.max() < 2 * 600 / len(sizes)
+        _, again = write(spark, df.repartition(7), length=16, shard_bytes=1 << 12)
+        assert [(r.slot, r.ids_sha256) for r in again] == [(r.slot, r.ids_sha256) for r in rows]
