@@ -2,6 +2,7 @@
 
 from barlab.operators.correlation import (
     aligned_closes,
+    aligned_closes_bitmap,
     aligned_wide,
     feature_correlation,
     ticker_correlation,
@@ -20,10 +21,15 @@ from barlab.operators.periods import (
     highest_volume,
     overall_average_return,
     overall_return_rate,
+    PeriodState,
+    advance,
+    averages_of,
     period_averages,
+    period_state,
+    return_rates_of,
     return_rates,
 )
-from barlab.operators.profile import bar_coverage, describe_stats, first_rows, last_rows
+from barlab.operators.profile import bar_coverage, describe_stats, describe_stats_selected, describe_strings, first_rows, last_rows
 from barlab.operators.ranking import best_intraday, close_extremes, highest_daily_return, highest_daily_return_overall
 from barlab.operators.returns import calendar_month_change, daily_returns, daily_returns_year_split, intraday_returns, monthly_price_change, with_monthly_change, with_returns
 from barlab.operators.risk import (
@@ -38,6 +44,7 @@ from barlab.operators.smoothing import ema_one_step, ema_recursive, sma
 
 __all__ = [
     "aligned_closes",
+    "aligned_closes_bitmap",
     "aligned_wide",
     "average_volume",
     "bar_coverage",
@@ -48,6 +55,8 @@ __all__ = [
     "daily_returns",
     "daily_returns_year_split",
     "describe_stats",
+    "describe_stats_selected",
+    "describe_strings",
     "ema_one_step",
     "ema_recursive",
     "feature_correlation",
@@ -66,7 +75,12 @@ __all__ = [
     "outlier_summary",
     "overall_average_return",
     "overall_return_rate",
+    "PeriodState",
+    "advance",
+    "averages_of",
     "period_averages",
+    "period_state",
+    "return_rates_of",
     "return_consistency",
     "return_histogram",
     "return_rates",

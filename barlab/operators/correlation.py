@@ -100,6 +100,32 @@ def aligned_closes(bars: DataFrame, tickers: Iterable[str] | None = None, featur
     return _shared(dates, _index(dates, chosen)).select("date", pairs)
 
 
+_DAY0 = 1_000_000  # keeps day numbers of all dates after 0768 BC positive
+
+
+def aligned_closes_bitmap(bars: DataFrame, tickers: Iterable[str] | None = None, feature: str = "close") -> DataFrame:
+    """``aligned_closes`` for very many tickers: no row holds a date's tickers.
+
+    Each ticker's dates become a bitmap of 4 KB per 32,768 days; the bitmaps are combined
+    by a bitwise-and aggregate, one row per task before the shuffle.  The shared days
+    are one bitmap per 32,768 days whatever the number of tickers or bars, so they are
+    broadcast and each bar looks up its own bit.
+    """
+    chosen = _chosen(tickers)
+    rows = bars.where(F.col("ticker").isNotNull() & F.col("date").isNotNull())
+    if chosen is not None:
+        rows = rows.where(F.col("ticker").isin(chosen))
+    day = F.unix_date("date").cast("long") + F.lit(_DAY0)
+    rows = rows.select("date", "ticker", feature, F.bitmap_bucket_number(day).alias("bucket"), F.bitmap_bit_position(day).alias("bit"))
+    dates = rows.groupBy("ticker", "bucket").agg(F.bitmap_construct_agg("bit").alias("days"))
+    all_ = F.lit(len(chosen)) if chosen is not None else dates.select("ticker").distinct().agg(F.count("ticker")).scalar()
+    shared = dates.groupBy("bucket").agg(F.bitmap_and_agg("days").alias("days"), F.count("ticker").alias("n")).where(F.col("n") == all_)
+    kept = rows.join(F.broadcast(shared), "bucket")
+    byte = F.conv(F.hex(F.substring("days", (F.col("bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    kept = kept.where(F.getbit(byte, F.pmod("bit", F.lit(8)).cast("int")) == 1)
+    return kept.groupBy("date", "ticker").agg(F.max(feature).alias(feature))
+
+
 def aligned_wide(bars: DataFrame, tickers: Iterable[str], feature: str = "close") -> DataFrame:
     """date and one column ``{ticker}_{feature}`` per given ticker, on the dates
     where every one of them has a bar."""

@@ -72,6 +72,15 @@ def _q(op: Callable[[DataFrame], DataFrame]) -> Query:
     return run
 
 
+def updated_state(bars: DataFrame, period: str) -> periods.PeriodState:
+    """The period state of the bars before START, updated twice (END's year by itself,
+    and all later bars; the first update runs twice, as after a retry)."""
+    cut = _dt.date(END.year, 1, 1)
+    state = periods.period_state(bars.where(F.col("date") < F.lit(START)), period)
+    days = bars.where((F.col("date") >= F.lit(START)) & (F.col("date") < F.lit(cut)))
+    return periods.advance(periods.advance(periods.advance(state, days), days), bars.where(F.col("date") >= F.lit(cut)))
+
+
 QUERIES: dict[str, Query] = {
     # sources (S1, S10)
     "bars": _q(lambda b: b),
@@ -87,10 +96,13 @@ QUERIES: dict[str, Query] = {
     "first_rows": _q(lambda b: profile.first_rows(b, N_ROWS)),
     "last_rows": _q(lambda b: profile.last_rows(b, N_ROWS)),
     "describe_stats": _q(profile.describe_stats),
+    "describe_stats_selected": _q(profile.describe_stats_selected),
+    "describe_strings": _q(profile.describe_strings),
     "bar_coverage": _q(profile.bar_coverage),
     # correlations (C3, J1, C10)
     "feature_correlation": _q(correlation.feature_correlation),
     "aligned_closes": _q(lambda b: correlation.aligned_closes(b, None, FEATURE)),
+    "aligned_closes_bitmap": _q(lambda b: correlation.aligned_closes_bitmap(b, None, FEATURE)),
     "aligned_wide": _q(lambda b: correlation.aligned_wide(b, ["1-URGENT", "5-LOW"], FEATURE)),
     "ticker_correlation": _q(lambda b: correlation.ticker_correlation(b, None, FEATURE)),
     "ticker_correlation_open": _q(lambda b: correlation.ticker_correlation(b, ["1-URGENT", "5-LOW"], "open")),
@@ -105,6 +117,8 @@ QUERIES: dict[str, Query] = {
     "intraday_returns": _q(returns.intraday_returns),
     # period averages (C5, C7)
     "weekly_averages": _q(lambda b: periods.period_averages(b, "week")),
+    "weekly_averages_updated": _q(lambda b: periods.averages_of(updated_state(b, "week"))),
+    "return_rate_monthly_updated": _q(lambda b: periods.return_rates_of(updated_state(b, "month"))),
     "monthly_averages": _q(lambda b: periods.period_averages(b, "month")),
     "yearly_averages": _q(lambda b: periods.period_averages(b, "year")),
     "overall_average_return": _q(periods.overall_average_return),
@@ -180,6 +194,8 @@ EVENT_QUERIES: dict[str, Query] = {
     "daily_returns_events": _q_events(returns.daily_returns),
     "daily_returns_year_split_events": _q_events(returns.daily_returns_year_split),
     "describe_stats_events": _q_events(profile.describe_stats),
+    "describe_stats_selected_events": _q_events(profile.describe_stats_selected),
+    "aligned_closes_bitmap_events": _q_events(lambda b: correlation.aligned_closes_bitmap(b, None, FEATURE)),
     "aligned_closes_events": _q_events(lambda b: correlation.aligned_closes(b, None, FEATURE)),
     "ticker_correlation_events": _q_events(lambda b: correlation.ticker_correlation(b, None, FEATURE)),
     "weekly_averages_events": _q_events(lambda b: periods.period_averages(b, "week")),
@@ -219,6 +235,7 @@ CUSTOMER_QUERIES: dict[str, Query] = {
     "bars_by_customer": _q_customers(lambda b: b),
     "daily_returns_by_customer": _q_customers(returns.daily_returns),
     "daily_returns_year_split_by_customer": _q_customers(returns.daily_returns_year_split),
+    "weekly_averages_updated_by_customer": _q_customers(lambda b: periods.averages_of(updated_state(b, "week"))),
     "weekly_averages_by_customer": _q_customers(lambda b: periods.period_averages(b, "week")),
     "highest_daily_return_by_customer": _q_customers(ranking.highest_daily_return),
     "close_extremes_by_customer": _q_customers(ranking.close_extremes),

@@ -417,3 +417,29 @@ for _suffix in ("_events", "_by_customer"):
 # Analyses on the bars table.
 for _name in ("bars", "daily_returns", "outlier_summary", "longest_streaks", "ema_recursive", "close_extremes"):
     ORACLE_SQL[f"{_name}_table"] = ORACLE_SQL[f"{_name}_by_customer"]
+# Averages kept up to date: sums of the three parts that the query adds one after the other.
+def _updated(period: str, select: str) -> str:
+    key, kept = _PERIOD[period], ("open", "close", "daily_return", "daily_change")
+    part = f"CASE WHEN date < {S} THEN 0 WHEN year(date) < {END.year} THEN 1 ELSE 2 END"
+    inner = ", ".join(f"sum({c} ORDER BY date) AS s_{c}, count({c}) AS n_{c}" for c in kept)
+    outer = ", ".join(f"sum(s_{c} ORDER BY part) / nullif(sum(n_{c}), 0) AS m_{c}" for c in kept)
+    return with_(
+        BARS,
+        RETS,
+        f"parts AS (SELECT ticker, CAST({key} AS INTEGER) AS period, {part} AS part, {inner} FROM rets GROUP BY ALL)",
+        f"means AS (SELECT ticker, period, {outer} FROM parts GROUP BY ticker, period)",
+    ) + f"SELECT ticker, period, {select} FROM means"
+
+
+ORACLE_SQL["weekly_averages_updated"] = _updated(
+    "week", ", ".join(f"{r6('m_' + c)} AS avg_{c.removeprefix('daily_')}" for c in ("open", "close", "daily_return", "daily_change"))
+)
+ORACLE_SQL["weekly_averages_updated_by_customer"] = ORACLE_SQL["weekly_averages_updated"].replace(BARS_BODY, CUSTOMER_BODY)
+ORACLE_SQL["return_rate_monthly_updated"] = _updated("month", f"{r6('m_daily_return')} AS avg_return, {r6('m_close - m_open')} AS return_rate")
+# Medians by selection and shared dates by bitmaps give the plain rows.
+for _suffix in ("", "_events"):
+    ORACLE_SQL[f"describe_stats_selected{_suffix}"] = ORACLE_SQL[f"describe_stats{_suffix}"]
+    ORACLE_SQL[f"aligned_closes_bitmap{_suffix}"] = ORACLE_SQL[f"aligned_closes{_suffix}"]
+ORACLE_SQL["describe_strings"] = with_(BARS) + (
+    "SELECT ticker, 'ticker' AS column_name, count(ticker) AS n, count(DISTINCT ticker) AS n_distinct, min(ticker) AS min, max(ticker) AS max FROM bars GROUP BY ticker"
+)
