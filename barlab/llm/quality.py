@@ -8,9 +8,13 @@ words stand in content lines, unless it fails the base rules.
 
 The field is fitted by maximum conditional likelihood (forward-backward, L2) on
 ``sample_docs`` labelled documents at most, half of each ``quality``, those
-with the least hash of ``doc_id``, of at most ``sample_lines`` lines.  The label
-of a document is taken as the label of its lines.  Everything else covers
-every whole text.
+with the least hash of ``doc_id``, of at most ``sample_lines`` lines.  Labels of
+lines are hidden; the document's label only says on which side of ``min_share`` its
+words in content lines lie.  So the lines are first scored without their neighbours,
+with the document's label for each; then a line takes the label of its own score, unless
+a document would come out on the wrong side (its lines keep its label), twice; and the
+chain is fitted to those labels, which vary inside a document.  Everything else
+covers every whole text.
 
 Defined results: a null or empty text is one empty line, has no words and fails
 the base rules; a share of no words is 0; with no usable labels nothing is
@@ -28,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barlab.llm.textvec import WORDLIKE, Chunk, chunks, mix, prefix_hash, range_hash, tally, windows, words
+from barlab.llm.textvec import WORDLIKE, Chunk, chunks, long_hash, mix, prefix_hash, range_hash, tally, windows, words
 
 MIN_SHARE = 0.5
 SAMPLE_DOCS = 3000
@@ -66,7 +70,7 @@ class Lines:
         end = np.where(last, chunk.bounds[self.row + 1], np.append(start[1:], 0) - 1) if len(start) else start
         self.first = np.searchsorted(self.row, np.arange(chunk.n + 1))
 
-        word_hash = range_hash(sums, w.start, w.end)
+        word_hash = long_hash(buf, w.start, w.end, range_hash(sums, w.start, w.end))
         at, value = windows(word_hash, w.row, 3)
         value = mix(value ^ (w.row[at].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
         by = np.argsort(value, kind="stable")
@@ -81,7 +85,7 @@ class Lines:
 
         a, b = np.searchsorted(w.start, start), np.searchsorted(w.start, end)
         self.n_words = b - a
-        hashes = range_hash(sums, start, end) if len(start) else np.zeros(0, np.uint64)
+        hashes = long_hash(buf, start, end, range_hash(sums, start, end)) if len(start) else np.zeros(0, np.uint64)
         by = np.lexsort((start, hashes, self.row))
         again = np.zeros(len(start), bool)
         again[by[1:]] = (hashes[by][1:] == hashes[by][:-1]) & (self.row[by][1:] == self.row[by][:-1])
@@ -203,6 +207,22 @@ class ChainField:
         return ChainField(theta[: 2 * k].reshape(k, 2), theta[2 * k :].reshape(2, 2))
 
 
+def line_labels(features: np.ndarray, first: np.ndarray, quality: np.ndarray, min_share: float = MIN_SHARE, rounds: int = 2) -> np.ndarray:
+    """Labels of the lines of documents of which only the quality is known."""
+    sizes = np.diff(first)
+    given = np.repeat(quality, sizes)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    n_words = np.expm1(3 * features[:, 1])
+    labels = given
+    for _ in range(rounds):
+        alone = ChainField.fit(features, np.arange(len(labels) + 1), labels)
+        own = (features @ (alone.emit[:, 1] - alone.emit[:, 0]) >= 0).astype(given.dtype)
+        inside = np.bincount(row, n_words * own, len(sizes)) / np.maximum(np.bincount(row, n_words, len(sizes)), 1)
+        right = (inside >= min_share) == (quality == 1)
+        labels = np.where(right[row], own, given)
+    return labels
+
+
 def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for chunk in chunks(batch.column(0)):
@@ -227,7 +247,7 @@ def fit_field(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS
     sizes = np.array([len(r.features) // N_FEATURES for r in found])
     features = np.concatenate([np.array(r.features) for r in found]).reshape(-1, N_FEATURES)
     first = np.concatenate([[0], np.cumsum(sizes)])
-    return ChainField.fit(features, first, np.repeat([r.quality for r in found], sizes))
+    return ChainField.fit(features, first, line_labels(features, first, np.array([r.quality for r in found])))
 
 
 _NEW = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]

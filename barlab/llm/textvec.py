@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -100,6 +101,15 @@ def range_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
     return mix((sums[end] - sums[start]) * _power(len(sums))[1][start])
 
 
+def long_hash(buf: np.ndarray, start: np.ndarray, end: np.ndarray, hashes: np.ndarray, least: int = 256) -> np.ndarray:
+    """``hashes`` with those of ranges of ``least`` bytes or more replaced by BLAKE2: sums of powers
+    modulo 2^64 coincide for some long ranges of two bytes in a regular order."""
+    out = hashes.copy()
+    for i in np.flatnonzero(end - start >= least):
+        out[i] = int.from_bytes(blake2b(buf[start[i] : end[i]].tobytes(), digest_size=8).digest(), "little")
+    return out
+
+
 @dataclass
 class Words:
     start: np.ndarray

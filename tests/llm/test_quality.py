@@ -1,4 +1,5 @@
 import itertools
+import random
 import re
 from collections import Counter
 
@@ -90,3 +91,42 @@ def test_no_labels_keep_all(spark):
     none = spark.createDataFrame([], "doc_id long, quality int")
     rows = quality.label_lines(docs(spark), quality.fit_field(docs(spark), none)).collect()
     assert all(all(r.line_is_content) for r in rows)
+
+
+def test_long_lines_and_words_of_one_power_hash(spark):
+    a = "a"
+    while len(a) < 4096:  # each text and its complement: their sums of powers modulo 2^64 coincide
+        a += a.translate(str.maketrans("ab", "ba"))
+    b = a.translate(str.maketrans("ab", "ba"))
+    texts = [f"{a}\n{b}", f"{a}\n{a}", f"{a} x y {b} x y {a} x y"]
+    field = quality.ChainField(np.zeros((quality.N_FEATURES, 2)), np.zeros((2, 2)))
+    got = quality.label_lines(docs(spark, [(i, t, "en", "s", 1) for i, t in enumerate(texts)]), field).collect()
+    for r in got:
+        assert tuple(r[c] for c in COLS) == stats(texts[r.doc_id])
+    assert sorted(r.n_dup_lines for r in got) == [0, 0, 1]
+
+
+NAVIGATION = ["HOME | ABOUT | CONTACT | LOGIN", "<< PREV | NEXT >>", "SHARE: # # & |", "MENU > SHOP > CART ($0) > $$$ SALE", "& COPYRIGHT | TERMS | PRIVACY | COOKIES"]
+
+
+def test_navigation_lines_inside_good_documents(spark):
+    """Planted in documents whose labels were not learned; none is in the learned ones."""
+    sf = "/root/testdata/sf0.1"
+    documents, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    held = "crc32(cast(doc_id as string)) % 4 = 0"
+    field = quality.fit_field(documents, labels.where(f"not ({held})"))
+    good = documents.join(labels.where("quality = 1"), "doc_id").where(held).where("text like '%\\n%'").orderBy("doc_id").limit(200).collect()
+    rnd, gold, rows = random.Random(3), {}, []
+    for r in good:
+        lines = [(x, True) for x in r.text.split("\n")]
+        for _ in range(rnd.randint(1, 4)):
+            at = rnd.choice([0, len(lines), rnd.randint(0, len(lines))])
+            lines[at:at] = [(x, False) for x in rnd.sample(NAVIGATION, rnd.randint(1, 3))]
+        gold[r.doc_id] = [c for _, c in lines]
+        rows.append((r.doc_id, "\n".join(x for x, _ in lines), "en", "s", 1))
+    got = quality.label_lines(docs(spark, rows), field).collect()
+    pairs = Counter(p for r in got for p in zip(r.line_is_content, gold[r.doc_id]))
+    caught, wrong, missed = pairs[False, False], pairs[False, True], pairs[True, False]
+    assert 2 * caught / (2 * caught + wrong + missed) > 0.95
+    given = quality.label_lines(documents, field).where("content_share > 0 and content_share < 1")
+    assert given.count() > 20
