@@ -109,15 +109,18 @@ def aligned_closes_bitmap(bars: DataFrame, tickers: Iterable[str] | None = None,
     Each ticker's dates become a bitmap of 4 KB per 32,768 days; the bitmaps are combined
     by a bitwise-and aggregate, one row per task before the shuffle.  The shared days
     are one bitmap per 32,768 days whatever the number of tickers or bars, so they are
-    broadcast and each bar looks up its own bit.
+    broadcast and each bar looks up its own bit.  The bitmaps' branch carries the
+    feature along, as a count, so that all branches reuse one exchange of the bars.
     """
     chosen = _chosen(tickers)
     rows = bars.where(F.col("ticker").isNotNull() & F.col("date").isNotNull())
     if chosen is not None:
         rows = rows.where(F.col("ticker").isin(chosen))
-    day = F.unix_date("date").cast("long") + F.lit(_DAY0)
-    rows = rows.select("date", "ticker", feature, F.bitmap_bucket_number(day).alias("bucket"), F.bitmap_bit_position(day).alias("bit"))
-    dates = rows.groupBy("ticker", "bucket").agg(F.bitmap_construct_agg("bit").alias("days"))
+    # Never NULL, so that no branch filters on it and the exchange stays the same.
+    day = F.coalesce(F.unix_date("date").cast("long"), F.lit(0)) + F.lit(_DAY0)
+    rows = rows.select("date", "ticker", feature, F.coalesce(F.bitmap_bucket_number(day), F.lit(0)).alias("bucket"), F.coalesce(F.bitmap_bit_position(day), F.lit(0)).alias("bit"))
+    dates = rows.groupBy("ticker", "bucket").agg(F.bitmap_construct_agg("bit").alias("days"), F.count(feature).alias("n_values"))
+    dates = dates.where((F.length("days") > 0) & (F.col("n_values") >= 0))
     all_ = F.lit(len(chosen)) if chosen is not None else dates.select("ticker").distinct().agg(F.count("ticker")).scalar()
     shared = dates.groupBy("bucket").agg(F.bitmap_and_agg("days").alias("days"), F.count("ticker").alias("n")).where(F.col("n") == all_)
     kept = rows.join(F.broadcast(shared), "bucket")
