@@ -52,7 +52,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barlab.llm.textvec import LOWER, Chunk, chunks, mix, prefix_hash, range_hash, windows, words
+from barlab.llm.textvec import LOWER, Chunk, chunks, long_hash, mix, prefix_hash, range_hash, windows, words
 
 WIDTH = 8
 MIN_WORDS = 5
@@ -112,7 +112,7 @@ class Template:
         digits = np.concatenate([[0], np.cumsum(_DIGIT[buf])])
         letters = np.concatenate([[0], np.cumsum(_LETTER[buf])])
         n_digits, n_letters = digits[end] - digits[start], letters[end] - letters[start]
-        self.value = range_hash(sums, start, end)
+        self.value = long_hash(low, start, end, range_hash(sums, start, end))
         breaks = np.concatenate([[0], np.cumsum(buf == 0x0A)])
         n = len(start)
         opens = np.ones(n, bool)

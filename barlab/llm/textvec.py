@@ -173,7 +173,8 @@ def shingles(chunk: Chunk, k: int) -> tuple[np.ndarray, np.ndarray]:
     """``(row, hash)`` of every run of ``k`` lower-cased words, in text order;
     a row with 1 to ``k - 1`` words has one shingle of all of them."""
     w = words(chunk)
-    h = range_hash(prefix_hash(LOWER[chunk.buf]), w.start, w.end)
+    low = LOWER[chunk.buf]
+    h = long_hash(low, w.start, w.end, range_hash(prefix_hash(low), w.start, w.end))
     at, values = windows(h, w.row, k)
     rows = w.row[at]
     count = np.diff(w.first)

@@ -5,7 +5,7 @@ import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from barlab.llm import textvec
+from barlab.llm import decontaminate, textvec
 
 
 @settings(max_examples=200, deadline=None)
@@ -41,3 +41,17 @@ def test_shingles_of_short_rows():
     rows, values = textvec.shingles(chunk, 5)
     by = {r: values[rows == r].tolist() for r in range(6)}
     assert by[0] == by[1] and len(by[0]) == 1 and len(by[2]) == 1 and by[3] == [] and by[4] == by[5][:1] and len(by[5]) == 2
+
+
+def test_long_words_that_sums_of_powers_confuse():
+    """A Thue-Morse word of two letters and its complement are different words."""
+    a = "a"
+    while len(a) < 1024:
+        a += a.translate(str.maketrans("ab", "ba"))
+    b = a.translate(str.maketrans("ab", "ba"))
+    (chunk,) = textvec.chunks(pa.array([a, b, f"x y z v {a}", f"x y z v {b}", f"X y z v {a.upper()}"]))
+    rows, values = textvec.shingles(chunk, 5)
+    by = {r: values[rows == r].tolist() for r in range(5)}
+    assert by[0] != by[1] and by[2] != by[3] and by[2] == by[4]
+    value = decontaminate.Template(chunk).value.tolist()
+    assert value[0] != value[1] and value[6] != value[11] and value[0] == value[6]
