@@ -18,7 +18,8 @@ No pairs within a group are spelled out as rows.  Equal texts are one node.  In
 band's bucket the member with most company is its hub, and every member is
 compared with the hub.  Buckets that then still have members of different
 components go by their hub's component to families; a family is cut into
-blocks of ``BLOCK_BYTES`` of text, and each pair of blocks is one task's group, which
+blocks of ``BLOCK_BYTES`` of text (a text counts as ``LEAST_BYTES`` at least, which
+bounds the texts of a block too), and each pair of blocks is one task's group, which
 takes the similarity of all texts of different components at once, as products
 of their weight matrices.  So every candidate pair is compared or in one component
 already.
@@ -50,6 +51,7 @@ FEATURE_BITS = 18
 RARITY = 0.25
 HUB_ROWS = 2000  # members of a hub that one task compares
 BLOCK_BYTES = 1 << 20
+LEAST_BYTES = 1 << 10  # so that a pair of blocks has some 2,000 texts at most, its matrix 32 MB
 _ID_BITS = 44
 
 
@@ -227,16 +229,20 @@ def _similarities(texts: pa.Array, idf: np.ndarray) -> np.ndarray:
         part = np.zeros((len(texts), step))
         part[row[a:b], column[a:b] - at] = weight[a:b]
         both += part @ part.T
-    either = total[:, None] + total[None, :] - both
-    return np.divide(both, either, out=np.zeros_like(both), where=either > 0)
+    for i in range(len(texts)):
+        either = total[i] + total - both[i]
+        np.divide(both[i], either, out=both[i], where=either > 0)
+    return both
 
 
 def _compare_blocks(shared, threshold: float):
     def run(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
-        label = np.array(group["label"].to_pylist(), dtype=object)
+        label = np.unique(np.array(group["label"].to_pylist(), dtype=object), return_inverse=True)[1]
         sim = _similarities(group["text"], shared.value)
-        a, b = np.nonzero(np.triu(sim >= threshold, 1) & (label[:, None] != label[None, :]))
+        a, b = np.nonzero(np.triu(sim >= threshold, 1))
+        apart = label[a] != label[b]
+        a, b = a[apart], b[apart]
         names = group["digest"].to_pylist()
         return pa.table({"a": pa.array([names[i] for i in a], pa.binary()), "b": pa.array([names[i] for i in b], pa.binary()), "similarity": pa.array(sim[a, b], pa.float64())})
 
@@ -246,7 +252,7 @@ def _compare_blocks(shared, threshold: float):
 def _across_components(open_: DataFrame, texts: DataFrame, shared, threshold: float) -> DataFrame:
     """Links between texts of different components that share a bucket, as ``(a, b,
     similarity)``; ``open_`` has (family, digest, label)."""
-    members = open_.join(texts, "digest").withColumn("bytes", F.octet_length("text") + 100)
+    members = open_.join(texts, "digest").withColumn("bytes", F.greatest(F.octet_length("text"), F.lit(LEAST_BYTES)).cast("long"))
     sizes = members.groupBy("family").agg(F.ceil(F.sum("bytes") / BLOCK_BYTES).cast("int").alias("blocks"))
     placed = members.join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int"))
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))

@@ -3,6 +3,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from barlab.llm import near_dup
@@ -105,6 +106,23 @@ def test_members_of_other_components_are_compared(spark):
     assert {r.class_id for r in found} == {0}
 
 
+def test_similarities_of_a_block():
+    rnd = random.Random(4)
+    texts = copies(rnd, 12, 6) + ["", "one two", "one  TWO", prose(rnd, 300)]
+    idf = np.ones(1 << near_dup.FEATURE_BITS, np.float32)
+    got = near_dup._similarities(pa.array(texts), idf)
+    sets = [shingles(t) for t in texts]
+    want = [[similarity(a, b) for b in sets] for a in sets]
+    above = np.triu_indices(len(texts), 1)  # what the operator reads
+    assert np.allclose(got[above], np.array(want)[above])
+
+
+def test_blocks_of_short_texts_are_bounded(spark, monkeypatch):
+    """Many short texts of one family make several blocks, and no link is lost."""
+    monkeypatch.setattr(near_dup, "LEAST_BYTES", 1 << 18)
+    test_members_of_other_components_are_compared(spark)
+
+
 def test_documents_table(spark):
     rows = [tuple(r) for r in table(spark, SF0001, "documents").select("doc_id", "text", "lang", "source", "n_chars").collect()]
     check(spark, rows)
