@@ -41,8 +41,12 @@ from barlab.operators.risk import (
     return_histogram,
 )
 from barlab.operators.smoothing import ema_one_step, ema_recursive, sma
+from barlab.operators.zoned import best_intraday_zoned, highest_daily_return_zoned, outlier_days_zoned
 
 __all__ = [
+    "best_intraday_zoned",
+    "highest_daily_return_zoned",
+    "outlier_days_zoned",
     "aligned_closes",
     "aligned_closes_bitmap",
     "aligned_wide",

@@ -22,10 +22,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from barlab.functions.columns import round6
-from barlab.operators import correlation, patterns, periods, profile, ranking, returns, risk, smoothing
+from barlab.operators import correlation, patterns, periods, profile, ranking, returns, risk, smoothing, zoned
 from barlab.schema import PRICE_COLUMNS
 from barlab.sources.bars import bars_from_events, bars_from_orders, bars_from_ticks, filter_bars, load_bars, union_bars
 from barlab.sources.table import save_bars_table
+from barlab.sources.zones import Zones, save_zones
 
 START = _dt.date(1996, 1, 1)
 END = _dt.date(1998, 12, 31)
@@ -274,5 +275,23 @@ TABLE_QUERIES: dict[str, Query] = {
 }
 QUERIES.update(TABLE_QUERIES)
 
+
+def _q_zones(op: Callable[[Zones], DataFrame], ticker: str = "o_orderpriority") -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return finish(op(save_zones(bars_from_orders(spark, sf_dir, ticker=ticker), parts=8)))
+
+    run.__doc__ = op.__doc__
+    return run
+
+
+# Searches for single days on returns kept with zone statistics, written first.
+ZONE_QUERIES: dict[str, Query] = {
+    "outlier_days_zoned": _q_zones(zoned.outlier_days_zoned),
+    "highest_daily_return_zoned": _q_zones(zoned.highest_daily_return_zoned),
+    "highest_daily_return_zoned_by_customer": _q_zones(zoned.highest_daily_return_zoned, "o_custkey"),
+    "best_intraday_year_zoned": _q_zones(lambda z: zoned.best_intraday_zoned(z, YEAR)),
+}
+QUERIES.update(ZONE_QUERIES)
+
 # The flagship query: which series has the steadiest daily returns.
 FLAGSHIP = "most_consistent_top3"

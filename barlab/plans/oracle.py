@@ -443,3 +443,7 @@ for _suffix in ("", "_events"):
 ORACLE_SQL["describe_strings"] = with_(BARS) + (
     "SELECT ticker, 'ticker' AS column_name, count(ticker) AS n, count(DISTINCT ticker) AS n_distinct, min(ticker) AS min, max(ticker) AS max FROM bars GROUP BY ticker"
 )
+# Days found by way of zone statistics.
+for _name in ("outlier_days", "highest_daily_return", "best_intraday_year"):
+    ORACLE_SQL[f"{_name}_zoned"] = ORACLE_SQL[_name]
+ORACLE_SQL["highest_daily_return_zoned_by_customer"] = ORACLE_SQL["highest_daily_return_by_customer"]

@@ -11,8 +11,12 @@ from barlab.sources.bars import (
     write_bars,
 )
 from barlab.sources.table import bars_table, save_bars_table
+from barlab.sources.zones import Zones, open_zones, save_zones
 
 __all__ = [
+    "Zones",
+    "open_zones",
+    "save_zones",
     "bars_table",
     "save_bars_table",
     "bars_from_events",
