@@ -18,8 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlab.functions.columns import intraday_return
-from barlab.operators.returns import with_key, with_returns
+from barlab.functions.columns import intraday_return, pct_change, series
 from barlab.plans.materialize import shared_folder
 
 PARTS = 64
@@ -50,10 +49,11 @@ def save_zones(bars: DataFrame, path: str | None = None, parts: int = PARTS) ->
     Take as many ``parts`` as make a folder some 100 MB."""
     spark = bars.sparkSession
     path = path or shared_folder(spark, "zones")
-    rows = with_returns(with_key(bars)).select(
+    keyed = bars.where(F.col("ticker").isNotNull() & F.col("date").isNotNull())
+    rows = keyed.select(
         F.col("ticker").cast("string").alias("ticker"),
         "date",
-        "daily_return",
+        pct_change(F.col("close"), F.lag("close", 1).over(series())).alias("daily_return"),
         intraday_return().alias("intraday_return"),
         F.year("date").alias("year"),
         F.pmod(F.xxhash64("ticker"), F.lit(parts)).cast("int").alias("part"),
