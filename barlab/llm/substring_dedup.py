@@ -12,7 +12,7 @@ never cross texts.
 2. *Contexts.*  An anchor's context is the bytes of all strings that it is the anchor
    of.  Equal contexts are one kind, and everything in a kind that occurs twice is
    repeated.  Of a bucket with several kinds, one context of each is fetched from the
-   texts.
+   texts and written, so that the texts are shuffled once for it whatever reads them.
 3. *Refinement.*  In a bucket, contexts lie side by side, aligned at the anchor.
    Every offset starts in the bucket of its first ``length / 4`` bytes; buckets are
    refined by sorting on their own identifier and the identifier that the offset
@@ -23,6 +23,10 @@ never cross texts.
    task: its strings' hashes are counted by a pre-aggregated group-by instead.
 4. The strings' places are joined back to the texts, which are cut there.
 
+Each step's table is written before the next one starts, and deleted after its last
+reader, so the shuffles of two steps never lie on disk together: at most one
+shuffle of the texts is there at a time.
+
 Rows go by a 128-bit name of ``doc_id`` and text, so rows that share an id, or have none,
 are texts of their own.
 
@@ -113,24 +117,31 @@ def _fetch(length: int):
     """The bytes of the contexts asked of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
         for batch in batches:
-            gram, context, data = [], [], []
-            for text, asked in zip(batch.column(0), batch.column(1)):
+            gram, context, hot, data = [], [], [], []
+            for row, text, asked in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                # Copies of a row are asked alike and mostly come one after the other.
+                if row == last:
+                    continue
+                last = row
                 whole = text.as_py().encode()
                 for x in asked.as_py():
                     gram.append(x["gram"])
                     context.append(x["context"])
+                    hot.append(x["hot"])
                     data.append(whole[x["pos"] : x["pos"] + (x["context"] >> 8 & 0xFF) + length])
                 if len(data) >= 20_000:
-                    yield _context_batch(gram, context, data)
-                    gram, context, data = [], [], []
-            yield _context_batch(gram, context, data)
+                    yield _context_batch(gram, context, hot, data)
+                    gram, context, hot, data = [], [], [], []
+            yield _context_batch(gram, context, hot, data)
 
     return run
 
 
-def _context_batch(gram: list[int], context: list[int], data: list[bytes]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(gram, pa.int64()), pa.array(context, pa.int64()), pa.array(data, pa.binary())], names=["gram", "context", "bytes"])
+def _context_batch(gram: list[int], context: list[int], hot: list[bool], data: list[bytes]) -> pa.RecordBatch:
+    cols = [pa.array(gram, pa.int64()), pa.array(context, pa.int64()), pa.array(hot, pa.bool_()), pa.array(data, pa.binary())]
+    return pa.RecordBatch.from_arrays(cols, names=["gram", "context", "hot", "bytes"])
 
 
 def _shared_buckets(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -252,41 +263,45 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot_contexts: int = HO
     """``(doc_id, n_bytes, span_start, span_end, kept)`` of every row: the maximal
     removed runs as two arrays, and the remaining bytes.  ``length`` is a multiple
     of 4 from 100 to 280."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    spark, kind = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     base = docs.select(row_name().alias("row"), text.alias("text"), "doc_id")
+    at = {x: scratch_dir(spark, x) for x in ("anchors", "repeated-grams", "shared-anchors", "contexts", "context-bytes", "hot-strings", "spans", "text-spans")}
     # The texts are scanned for anchors once; counting and joining read the stored rows.
     # The counts are a table of their own, so that the join's two sides are plain shuffles
     # and a gram that very many texts hold is split (AQE).
-    place = scratch_dir(docs.sparkSession, "anchors")
-    anchors = stored(base.select("row", "text").mapInArrow(_anchor_rows(length), "row binary, pos int, gram long, context long"), "anchors", path=place)
-    many = stored(anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "repeated-grams", small=True)
-    shared = stored(anchors.join(many, "gram"), "shared-anchors")
-    removed(docs.sparkSession, place)
+    anchors = stored(base.select("row", "text").mapInArrow(_anchor_rows(length), "row binary, pos int, gram long, context long"), "anchors", path=at["anchors"])
+    many = stored(anchors.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"), "repeated-grams", small=True, path=at["repeated-grams"])
+    shared = stored(anchors.join(many, "gram"), "shared-anchors", path=at["shared-anchors"])
+    for x in ("anchors", "repeated-grams"):
+        removed(spark, at[x])
     kinds = shared.groupBy("gram", "context").agg(F.count("*").alias("n"), F.min(F.struct("row", "pos")).alias("one"))
     sizes = kinds.groupBy("gram").agg(F.count("*").alias("k"))
-    kinds = stored(kinds.join(sizes, "gram").select("gram", "context", "n", "k", "one.row", "one.pos"), "contexts", small=True)
-
-    asked = kinds.where("k > 1").groupBy("row").agg(F.collect_list(F.struct("gram", "context", "pos")).alias("asked"))
-    fetched = base.join(asked, "row").select("text", "asked").mapInArrow(_fetch(length), "gram long, context long, bytes binary")
-    hot = kinds.where(F.col("k") > hot_contexts).select("gram").distinct()
-    some_hot = bool(hot.take(1))
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # Copies of a row are asked alike; one answer is enough.
-    cool = fetched.join(hot, "gram", "left_anti") if some_hot else fetched
-    dealt = cool.repartition(parts, "gram").sortWithinPartitions("gram", "context")
+    kinds = stored(kinds.join(sizes, "gram").select("gram", "context", "n", "k", "one.row", "one.pos"), "contexts", small=True, path=at["contexts"])
+
+    hot = F.col("k") > hot_contexts
+    asked = kinds.where("k > 1").groupBy("row").agg(F.collect_list(F.struct("gram", "context", "pos", hot.alias("hot"))).alias("asked"))
+    fetched = base.join(asked, "row").select("row", "text", "asked").mapInArrow(_fetch(length), "gram long, context long, hot boolean, bytes binary")
+    fetched = stored(fetched, "context-bytes", path=at["context-bytes"])
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = fetched.where("not hot").select("gram", "context", "bytes").repartition(parts, "gram").sortWithinPartitions("gram", "context")
     spans = dealt.mapInArrow(_refined(length), "gram long, context long, lo int, hi int")
-    if some_hot:
-        answers = fetched.join(hot, "gram", "left_semi").groupBy("gram", "context").agg(F.any_value("bytes").alias("bytes"))
-        strings = stored(answers.mapInArrow(_hot_strings(length), "gram long, context long, col int, lo int, h long"), "hot-strings")
+    if kinds.where(hot).take(1):
+        answers = fetched.where("hot").groupBy("gram", "context").agg(F.any_value("bytes").alias("bytes"))
+        strings = stored(answers.mapInArrow(_hot_strings(length), "gram long, context long, col int, lo int, h long"), "hot-strings", path=at["hot-strings"])
         often = strings.groupBy("gram", "col", "h").agg(F.count("*").alias("n")).where("n > 1").select("gram", "col", "h")
         found = strings.join(often, ["gram", "col", "h"])
         spans = spans.unionByName(found.select("gram", "context", "lo", (F.col("lo") + length).alias("hi")))
+    spans = stored(spans, "spans", path=at["spans"])
+    for x in ("context-bytes", "hot-strings"):
+        removed(spark, at[x])
     spans = spans.unionByName(kinds.where("n > 1").select("gram", "context", F.lit(0).alias("lo"), _size(length).alias("hi")))
     places = shared.join(spans, ["gram", "context"])
     span = F.struct((F.col("pos") + F.col("lo")).alias("lo"), (F.col("pos") + F.col("hi")).alias("hi"))
     # A set: copies of a row have the same spans.
-    by_text = places.groupBy("row").agg(F.collect_set(span).alias("spans"))
+    by_text = stored(places.groupBy("row").agg(F.collect_set(span).alias("spans")), "text-spans", path=at["text-spans"])
+    for x in ("shared-anchors", "contexts", "spans"):
+        removed(spark, at[x])
     rows = base.join(by_text, "row", "left").select("doc_id", "text", "spans")
     names = ["doc_id", "n_bytes", "span_start", "span_end", "kept"]
     return rows.mapInArrow(_cut(length, names), f"doc_id {kind}, n_bytes long, span_start array<long>, span_end array<long>, kept binary")
